@@ -21,8 +21,8 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 import oracle_model as om  # noqa: E402
-from strata.operators import gold, silver  # noqa: E402
-from strata.plans.pipeline import pipeline_for  # noqa: E402
+from strata.operators import gold, joins, layout, silver  # noqa: E402
+from strata.plans.pipeline import SNAPSHOT_NOW, pipeline_for  # noqa: E402
 from strata.sources import bronze  # noqa: E402
 
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -137,6 +137,141 @@ def q_gold_sales_enriched(spark, sf_dir):
     return present(gold.sales_enriched(p.fact(), p.gold_table("dim_customers"), p.gold_table("dim_products")))
 
 
+# -- joins and skew ------------------------------------------------------------------------
+
+def _fact_and_customers(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    dim = p.gold_table("dim_customers").select("customer_id", "customer_name", "city", "state", "signup_date")
+    return p, p.fact(), dim
+
+
+def q_join_fact_customer_auto(spark, sf_dir):
+    _, f, d = _fact_and_customers(spark, sf_dir)
+    return present(joins.join_auto(f, d, "customer_id"))
+
+
+def q_join_fact_customer_broadcast(spark, sf_dir):
+    p, f, d = _fact_and_customers(spark, sf_dir)
+    return present(joins.join_broadcast(f, d, "customer_id", p.config.max_broadcast_rows))
+
+
+def q_join_salted(spark, sf_dir):
+    p, f, d = _fact_and_customers(spark, sf_dir)
+    return present(joins.salted_join(f, d, "customer_id", p.config.salt_buckets, "sales_id"))
+
+
+def q_join_salted_heavy(spark, sf_dir):
+    p, f, d = _fact_and_customers(spark, sf_dir)
+    heavy = joins.heavy_keys(f, "customer_id", p.config.heavy_key_threshold)
+    return present(joins.salted_join(f, d, "customer_id", p.config.salt_buckets, "sales_id", heavy=heavy))
+
+
+def q_join_split_skew(spark, sf_dir):
+    p, f, d = _fact_and_customers(spark, sf_dir)
+    heavy = joins.heavy_keys(f, "customer_id", p.config.heavy_key_threshold)
+    return present(joins.split_skew_join(f, d, "customer_id", heavy, p.config.max_broadcast_rows))
+
+
+def q_join_light_keys_anti(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    f = p.fact()
+    return present(joins.light_rows(f, "customer_id", joins.heavy_keys(f, "customer_id", p.config.heavy_key_threshold)))
+
+
+def q_skew_top_keys(spark, sf_dir):
+    return joins.top_keys(_p(spark, sf_dir).fact(), "customer_id", 20, "order_count")
+
+
+def q_skew_heavy_keys(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    return joins.heavy_keys(p.fact(), "customer_id", p.config.heavy_key_threshold, "order_count")
+
+
+# -- layout ---------------------------------------------------------------------------------
+
+PRUNE_DATE = "2000-12-31"
+
+
+def q_product_sales_count(spark, sf_dir):
+    return layout.count_by(_p(spark, sf_dir).partitioned_fact(), "product_id")
+
+
+def q_partition_pruned_count(spark, sf_dir):
+    fp = _p(spark, sf_dir).partitioned_fact()
+    return layout.count_by(fp.filter(layout.date_partition_filter("sales_date", "=", PRUNE_DATE)), "product_id")
+
+
+def q_sales_limit(spark, sf_dir):
+    return present(_p(spark, sf_dir).fact().orderBy("sales_id").limit(10000))
+
+
+def q_fact_sales_partitioned(spark, sf_dir):
+    return present(_p(spark, sf_dir).partitioned_fact())
+
+
+def q_layout_partition_counts(spark, sf_dir):
+    out = None
+    for name, df in layout.layouts(_p(spark, sf_dir).fact(), "customer_id").items():
+        prof = layout.partition_profile(df, name)
+        out = prof if out is None else out.unionByName(prof)
+    return out
+
+
+def q_cached_sales_reuse(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    return present(layout.persisted(
+        gold.sales_enriched(p.fact(), p.gold_table("dim_customers"), p.gold_table("dim_products"))))
+
+
+def q_partition_listing(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    p.partitioned_fact()
+    return layout.partition_listing(spark, p.wh.name("gold", "fact_sales_partitioned"))
+
+
+def q_table_detail(spark, sf_dir):
+    return layout.file_stats(_p(spark, sf_dir).fact())
+
+
+def q_zorder_cluster(spark, sf_dir):
+    return present(_p(spark, sf_dir).zordered_fact())
+
+
+# -- snapshots and schema ----------------------------------------------------------------
+
+def q_snapshot_history(spark, sf_dir):
+    return _p(spark, sf_dir).fact_snapshots().history(10)
+
+
+def q_snapshot_counts(spark, sf_dir):
+    return _p(spark, sf_dir).fact_snapshots().versions()
+
+
+def q_snapshot_as_of_version(spark, sf_dir):
+    st = _p(spark, sf_dir).fact_snapshots()
+    latest = st.latest_version()
+    if latest is None or latest < 1:
+        raise ValueError("no previous version")
+    return present(st.as_of_version(latest - 1))
+
+
+def q_snapshot_as_of_timestamp(spark, sf_dir):
+    return present(_p(spark, sf_dir).fact_snapshots().as_of_timestamp("2024-01-01"))
+
+
+def q_snapshot_expiry_dry_run(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    return p.fact_snapshots().expired(p.config.retention_hours, SNAPSHOT_NOW)
+
+
+def q_snapshot_after_expiry(spark, sf_dir):
+    return _p(spark, sf_dir).retained_snapshots().versions()
+
+
+def q_schema_checked_append(spark, sf_dir):
+    return present(_p(spark, sf_dir).products_with_append())
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: revenue by state over the gold star schema built from sf0.001."""
     return q_gold_revenue_by_state(spark, SF_SMOKE)
@@ -170,6 +305,30 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_daily_sales": q_gold_daily_sales,
         "gold_monthly_sales": q_gold_monthly_sales,
         "gold_sales_enriched": q_gold_sales_enriched,
+        "join_fact_customer_auto": q_join_fact_customer_auto,
+        "join_fact_customer_broadcast": q_join_fact_customer_broadcast,
+        "join_salted": q_join_salted,
+        "join_salted_heavy": q_join_salted_heavy,
+        "join_split_skew": q_join_split_skew,
+        "join_light_keys_anti": q_join_light_keys_anti,
+        "skew_top_keys": q_skew_top_keys,
+        "skew_heavy_keys": q_skew_heavy_keys,
+        "product_sales_count": q_product_sales_count,
+        "partition_pruned_count": q_partition_pruned_count,
+        "sales_limit": q_sales_limit,
+        "fact_sales_partitioned": q_fact_sales_partitioned,
+        "layout_partition_counts": q_layout_partition_counts,
+        "cached_sales_reuse": q_cached_sales_reuse,
+        "partition_listing": q_partition_listing,
+        "table_detail": q_table_detail,
+        "zorder_cluster": q_zorder_cluster,
+        "snapshot_history": q_snapshot_history,
+        "snapshot_counts": q_snapshot_counts,
+        "snapshot_as_of_version": q_snapshot_as_of_version,
+        "snapshot_as_of_timestamp": q_snapshot_as_of_timestamp,
+        "snapshot_expiry_dry_run": q_snapshot_expiry_dry_run,
+        "snapshot_after_expiry": q_snapshot_after_expiry,
+        "schema_checked_append": q_schema_checked_append,
     }
 
 
@@ -303,4 +462,78 @@ SELECT f.sales_id, f.sales_date, c.customer_name, c.state, p.product_name, p.cat
        CAST(f.line_total AS DOUBLE) AS line_total
 FROM fact_sales f JOIN dim_customers c ON f.customer_id = c.customer_id
 JOIN dim_products p ON f.product_id = p.product_id""")
+    sql["cached_sales_reuse"] = sql["gold_sales_enriched"]
+
+    fact_cols = om.FACT_COLS
+    plain_join = om.with_(om.GOLD_CTES, f"""
+SELECT fc.*, c.customer_name, c.city, c.state, c.signup_date
+FROM (SELECT {fact_cols} FROM fact_sales) fc JOIN dim_customers c ON fc.customer_id = c.customer_id""")
+    for k in ("join_fact_customer_auto", "join_fact_customer_broadcast", "join_salted", "join_salted_heavy",
+              "join_split_skew"):
+        sql[k] = plain_join
+    heavy = (f"SELECT customer_id FROM fact_sales GROUP BY customer_id "
+             f"HAVING COUNT(*) > {se_config().heavy_key_threshold}")
+    sql["join_light_keys_anti"] = om.with_(
+        om.GOLD_CTES, f"SELECT {fact_cols} FROM fact_sales WHERE customer_id NOT IN ({heavy})")
+    sql["skew_top_keys"] = om.with_(om.GOLD_CTES, """
+SELECT customer_id, COUNT(*) AS order_count FROM fact_sales GROUP BY customer_id
+ORDER BY order_count DESC, customer_id LIMIT 20""")
+    sql["skew_heavy_keys"] = om.with_(om.GOLD_CTES, f"""
+SELECT customer_id, COUNT(*) AS order_count FROM fact_sales GROUP BY customer_id
+HAVING COUNT(*) > {se_config().heavy_key_threshold}""")
+    sql["product_sales_count"] = om.with_(
+        om.GOLD_CTES, "SELECT product_id, COUNT(*) AS sales_count FROM fact_sales GROUP BY product_id")
+    sql["partition_pruned_count"] = om.with_(om.GOLD_CTES, f"""
+SELECT product_id, COUNT(*) AS sales_count FROM fact_sales WHERE sales_date = DATE '{PRUNE_DATE}'
+GROUP BY product_id""")
+    sql["sales_limit"] = om.with_(om.GOLD_CTES, f"SELECT {fact_cols} FROM fact_sales ORDER BY sales_id LIMIT 10000")
+    sql["fact_sales_partitioned"] = om.with_(om.GOLD_CTES, f"""
+SELECT {fact_cols}, CAST(year(sales_date) AS INTEGER) AS year, CAST(month(sales_date) AS INTEGER) AS month
+FROM fact_sales""")
+    sql["layout_partition_counts"] = om.with_(om.GOLD_CTES, """
+SELECT layout, partitions, n AS rows FROM (SELECT COUNT(*) AS n FROM fact_sales) c,
+  (VALUES ('repartition_20', 20), ('repartition_10_by_customer_id', 10), ('coalesce_4_from_20', 4),
+          ('coalesce_40_from_20', 20)) v(layout, partitions)""")
+    sql["partition_listing"] = om.with_(om.GOLD_CTES, """
+SELECT DISTINCT CAST(year(sales_date) AS INTEGER) AS year, CAST(month(sales_date) AS INTEGER) AS month
+FROM fact_sales""")
+    sql["zorder_cluster"] = sql["gold_fact_sales"]
+    snap = om.GOLD_CTES + """,
+versions AS (
+  SELECT 0 AS version, TIMESTAMP '2024-01-01 00:00:00' AS timestamp, 'CREATE TABLE AS SELECT' AS operation,
+         (SELECT COUNT(*) FROM fact_sales WHERE sales_date <= DATE '1998-12-31') AS num_rows
+  UNION ALL
+  SELECT 1, TIMESTAMP '2024-01-10 00:00:00', 'WRITE',
+         (SELECT COUNT(*) FROM fact_sales WHERE sales_date <= DATE '1999-12-31')
+  UNION ALL
+  SELECT 2, TIMESTAMP '2024-01-20 00:00:00', 'WRITE', (SELECT COUNT(*) FROM fact_sales))"""
+    sql["snapshot_history"] = om.with_(
+        snap, "SELECT CAST(version AS BIGINT) AS version, timestamp, operation, CAST(num_rows AS BIGINT) AS num_rows "
+              "FROM versions ORDER BY version DESC LIMIT 10")
+    sql["snapshot_counts"] = om.with_(
+        snap, "SELECT CAST(version AS BIGINT) AS version, CAST(num_rows AS BIGINT) AS num_rows FROM versions")
+    sql["snapshot_as_of_version"] = om.with_(
+        om.GOLD_CTES, f"SELECT {fact_cols} FROM fact_sales WHERE sales_date <= DATE '1999-12-31'")
+    sql["snapshot_as_of_timestamp"] = om.with_(
+        om.GOLD_CTES, f"SELECT {fact_cols} FROM fact_sales WHERE sales_date <= DATE '1998-12-31'")
+    sql["snapshot_expiry_dry_run"] = om.with_(snap, f"""
+SELECT CAST(version AS BIGINT) AS version, timestamp, superseded_at FROM (
+  SELECT version, timestamp, LEAD(timestamp) OVER (ORDER BY version) AS superseded_at FROM versions) h
+WHERE superseded_at < TIMESTAMP '{SNAPSHOT_NOW}' - INTERVAL {se_config().retention_hours} HOUR""")
+    sql["snapshot_after_expiry"] = om.with_(snap, f"""
+SELECT CAST(version AS BIGINT) AS version, CAST(num_rows AS BIGINT) AS num_rows FROM (
+  SELECT version, num_rows, LEAD(timestamp) OVER (ORDER BY version) AS superseded_at FROM versions) h
+WHERE superseded_at IS NULL OR superseded_at >= TIMESTAMP '{SNAPSHOT_NOW}' - INTERVAL {se_config().retention_hours} HOUR""")
+    sql["schema_checked_append"] = om.with_(om.GOLD_CTES, f"""
+SELECT product_id, product_name, category, CAST(price AS DOUBLE) AS price, created_at, updated_at,
+       record_created_at, record_updated_at FROM dim_products
+UNION ALL
+SELECT product_id, product_name, category, CAST(price AS DOUBLE), CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP),
+       CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP)
+FROM s_products WHERE created_at > {om.INITIAL_TS} OR updated_at > {om.INITIAL_TS}""")
     return sql
+
+
+def se_config():
+    from strata.config import Config
+    return Config()

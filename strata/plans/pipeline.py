@@ -15,10 +15,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.config import Config
-from strata.operators import gold, silver
+from strata.operators import gold, layout, schema, silver
+from strata.operators.snapshots import SnapshotTable
 from strata.sources import bronze, retail
 from strata.sources.tables import Warehouse
 
+# Fixed values of the snapshot scenario: (last sales_date included or None for all,
+# commit timestamp, operation); retention is evaluated at SNAPSHOT_NOW.
+SNAPSHOT_PLAN = [
+    ("1998-12-31", "2024-01-01 00:00:00", "CREATE TABLE AS SELECT"),
+    ("1999-12-31", "2024-01-10 00:00:00", "WRITE"),
+    (None, "2024-01-20 00:00:00", "WRITE"),
+]
+SNAPSHOT_NOW = "2024-01-25 00:00:00"
+ZORDER_COLS = ["customer_id", "product_id", "sales_date"]
+
 
 class RetailPipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, config: Config | None = None,
@@ -86,6 +97,49 @@ class RetailPipeline:
     def fact(self) -> DataFrame:
         return self.gold_table("fact_sales")
 
+    # -- layout ------------------------------------------------------------
+    def partitioned_fact(self) -> DataFrame:
+        """The fact as a table partitioned by year / month of the sales date."""
+        if not self.wh.exists("gold", "fact_sales_partitioned"):
+            layout.write_partitioned(self.wh, self.fact(), "gold", "fact_sales_partitioned", "sales_date")
+        return self.wh.table("gold", "fact_sales_partitioned")
+
+    def zordered_fact(self) -> DataFrame:
+        """The fact rewritten into ``zorder_files`` files clustered on three columns."""
+        if not self.wh.exists("gold", "fact_sales_zordered"):
+            self.wh.save(layout.zorder_cluster(self.fact(), ZORDER_COLS, self.config.zorder_files),
+                         "gold", "fact_sales_zordered")
+        return self.wh.table("gold", "fact_sales_zordered")
+
+    # -- snapshots ---------------------------------------------------------
+    def fact_snapshots(self, name: str = "fact_sales_versions") -> SnapshotTable:
+        """Three committed versions of the fact (growing by sales date)."""
+        st = SnapshotTable(self.wh, "gold", name)
+        if st.latest_version() is None:
+            fact = self.fact()
+            for last_day, ts, op in SNAPSHOT_PLAN:
+                part = fact if last_day is None else fact.filter(fact.sales_date <= last_day)
+                st.commit(part, ts, op)
+        return st
+
+    def retained_snapshots(self) -> SnapshotTable:
+        """A second copy of the versions with retention applied (keeps the first copy whole)."""
+        st = SnapshotTable(self.wh, "gold", "fact_sales_retained")
+        if st.latest_version() is None:
+            self.fact_snapshots("fact_sales_retained")
+            st.vacuum(self.config.retention_hours, SNAPSHOT_NOW)
+        return st
+
+    # -- schema enforcement ------------------------------------------------
+    def products_with_append(self) -> DataFrame:
+        """Copy of dim_products plus the changed products appended with 4 of 8 columns."""
+        if not self.wh.exists("gold", "dim_products_appended"):
+            self.wh.save(self.gold_table("dim_products"), "gold", "dim_products_appended")
+            changes = self.incremental_table("products_changes").select(
+                "product_id", "product_name", "category", "price")
+            schema.guarded_append(self.spark, self.wh.name("gold", "dim_products_appended"), changes)
+        return self.wh.table("gold", "dim_products_appended")
+
     # -- incremental -------------------------------------------------------
     def incremental(self) -> None:
         """Initial load at ``initial_ts`` from the extract as of then, then one merge per entity.
