@@ -30,7 +30,11 @@ class Config:
     # largest side (rows) we ever broadcast; anything above takes the shuffle path
     max_broadcast_rows: int = 2_000_000
 
-    # layout
+    # layout: keyed tables (silver entities, gold dimensions) are bucketed on their
+    # key so merges and dimension joins shuffle only the other side. None = the
+    # session's spark.sql.shuffle.partitions (a bucket count below it makes the
+    # planner reshuffle both sides, so the bucketing would be wasted)
+    buckets: int | None = None
     zorder_files: int = 16
 
     # snapshot retention

@@ -39,25 +39,45 @@ def fact_sales(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def revenue_by_state(fact: DataFrame, dim_cust: DataFrame) -> DataFrame:
-    f = fact.select("order_id", "customer_id", "line_total", "quantity")
-    return (f.join(dim_cust.select("customer_id", "state"), "customer_id")
+    """Revenue per customer state.
+
+    Eager aggregation: the fact is first reduced to one row per (customer, order)
+    (partial aggregation runs before any shuffle), so the join with the customer
+    dimension moves orders instead of lines. Exact: every distinct order and
+    customer of a state survives as its own (customer, order) row, and sums /
+    counts add up.
+    """
+    per_order = fact.groupBy("customer_id", "order_id").agg(
+        F.sum("line_total").alias("_rev"), F.count("line_total").alias("_n"), F.sum("quantity").alias("_qty"))
+    return (per_order.join(dim_cust.select("customer_id", "state"), "customer_id")
             .groupBy("state")
             .agg(F.countDistinct("order_id").alias("total_orders"),
                  F.countDistinct("customer_id").alias("unique_customers"),
-                 as_double(F.sum("line_total")).alias("total_revenue"),
-                 mean("line_total").alias("avg_order_line_value"),
-                 F.sum("quantity").alias("total_quantity_sold")))
+                 as_double(F.sum("_rev")).alias("total_revenue"),
+                 ratio(F.sum("_rev"), F.sum("_n")).alias("avg_order_line_value"),
+                 F.sum("_qty").alias("total_quantity_sold")))
 
 
 def top_products(fact: DataFrame, dim_prod: DataFrame) -> DataFrame:
-    f = fact.select("order_id", "product_id", "quantity", "line_total", "unit_price")
-    return (f.join(dim_prod.select("product_id", "product_name", "category"), "product_id")
+    """Per-product sales with the product's name and category.
+
+    Eager aggregation: the fact is aggregated per product before the join, so the
+    join moves one row per product instead of every line. Exact for any dimension:
+    when several identical dimension rows match, the original sums grow with the
+    match count while the distinct order count does not, which ``sum`` / ``max``
+    of the per-product rows reproduce.
+    """
+    per_product = fact.groupBy("product_id").agg(
+        F.countDistinct("order_id").alias("_orders"), F.sum("quantity").alias("_qty"),
+        F.sum("line_total").alias("_rev"), F.sum("unit_price").alias("_price"),
+        F.count("unit_price").alias("_n_price"))
+    return (per_product.join(dim_prod.select("product_id", "product_name", "category"), "product_id")
             .groupBy("product_id", "product_name", "category")
-            .agg(F.countDistinct("order_id").alias("times_ordered"),
-                 F.sum("quantity").alias("total_quantity_sold"),
-                 as_double(F.sum("line_total")).alias("total_revenue"),
-                 mean("unit_price").alias("avg_unit_price"),
-                 ratio(F.sum("line_total"), F.sum("quantity")).alias("revenue_per_unit")))
+            .agg(F.max("_orders").alias("times_ordered"),
+                 F.sum("_qty").alias("total_quantity_sold"),
+                 as_double(F.sum("_rev")).alias("total_revenue"),
+                 ratio(F.sum("_price"), F.sum("_n_price")).alias("avg_unit_price"),
+                 ratio(F.sum("_rev"), F.sum("_qty")).alias("revenue_per_unit")))
 
 
 def daily_sales(fact: DataFrame) -> DataFrame:

@@ -84,6 +84,9 @@ def split_skew_join(fact: DataFrame, dim: DataFrame, key: str, heavy: DataFrame,
     heavy side broadcasts only the dimension rows of heavy keys, and only when
     those are proven to fit ``max_rows``.
     """
+    clash = (set(fact.columns) & set(dim.columns)) - {key}
+    if clash:
+        raise ValueError(f"fact and dim share non-key columns {sorted(clash)}; select or rename them first")
     hk = heavy.select(key).checkpoint(eager=True)
     small_keys = row_bound(hk, max_rows)
     hk_side = F.broadcast(hk) if small_keys else hk

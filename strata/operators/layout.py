@@ -21,11 +21,13 @@ def with_date_parts(df: DataFrame, date_col: str) -> DataFrame:
 def write_partitioned(wh: Warehouse, df: DataFrame, layer: str, name: str, date_col: str) -> DataFrame:
     """Table partitioned by the year and month of ``date_col``.
 
-    Rows are clustered by the partition columns first, so each task writes few
-    partition folders (no small-file explosion at scale).
+    A ``rebalance`` on the partition columns clusters rows by partition first (each
+    task writes few folders, no small-file explosion) while AQE splits a hot
+    month over several tasks and merges tiny ones, so a month holding a third
+    of the data does not land in one task.
     """
-    parts = with_date_parts(df, date_col)
-    return wh.save(parts.repartition("year", "month"), layer, name, partition_by=["year", "month"])
+    parts = with_date_parts(df, date_col).hint("rebalance", "year", "month")
+    return wh.save(parts, layer, name, partition_by=["year", "month"])
 
 
 def partition_listing(spark: SparkSession, table: str) -> DataFrame:

@@ -68,10 +68,17 @@ class RetailPipeline:
             return
         loaded = {}
         for e in retail.ENTITIES:
-            loaded[e] = self.wh.save(silver.full_load(self.raw(e), e, self.config.run_ts), "silver", e)
+            loaded[e] = self.wh.save(silver.full_load(self.raw(e), e, self.config.run_ts), "silver", e,
+                                     bucket_by=self._bucket(e))
         self.wh.save(silver.logger_init(loaded), "silver", "table_logger")
         self._silver = True
 
+    def buckets(self) -> int:
+        return self.config.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def _bucket(self, entity: str) -> tuple[int, str]:
+        return self.buckets(), silver.KEYS[entity]
+
     def silver_table(self, entity: str) -> DataFrame:
         self.silver()
         return self.wh.table("silver", entity)
@@ -81,8 +88,9 @@ class RetailPipeline:
         if self._gold:
             return
         s = self.silver_table
-        dc = self.wh.save(gold.dim_customers(s("customers")), "gold", "dim_customers")
-        dp = self.wh.save(gold.dim_products(s("products")), "gold", "dim_products")
+        n = self.buckets()
+        dc = self.wh.save(gold.dim_customers(s("customers")), "gold", "dim_customers", bucket_by=(n, "customer_id"))
+        dp = self.wh.save(gold.dim_products(s("products")), "gold", "dim_products", bucket_by=(n, "product_id"))
         f = self.wh.save(gold.fact_sales(s("orders"), s("order_items")), "gold", "fact_sales")
         self.wh.save(gold.revenue_by_state(f, dc), "gold", "agg_revenue_by_state")
         self.wh.save(gold.top_products(f, dp), "gold", "agg_top_products")
@@ -153,13 +161,14 @@ class RetailPipeline:
         loaded = {}
         for e in retail.ENTITIES:
             early = retail.as_of(silver.typed(self.raw(e), silver.SPECS[e]), c.initial_ts)
-            loaded[e] = self.wh.save(silver.stamp_load(early, c.initial_ts), "silver", f"{e}_v0")
+            loaded[e] = self.wh.save(silver.stamp_load(early, c.initial_ts), "silver", f"{e}_v0",
+                                     bucket_by=self._bucket(e))
         logger = self.wh.save(silver.logger_init(loaded), "silver", "table_logger_v0")
         for e in retail.ENTITIES:
             mark = silver.read_mark(logger, e)
             src = self.wh.save(silver.incremental_source(self.raw(e), e, mark), "silver", f"{e}_changes")
             merged = silver.upsert(loaded[e], src, silver.KEYS[e], c.incremental_ts)
-            self.wh.save(merged, "silver", f"{e}_v1")
+            self.wh.save(merged, "silver", f"{e}_v1", bucket_by=self._bucket(e))
         new_logger = logger
         for e in retail.ENTITIES:
             new_logger = silver.logger_update(new_logger, e, c.incremental_ts)
