@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no streaming source, watermark, window or state: every read
+is a batch read, and its incremental load is driven by a processing-time
+high-water mark (see :mod:`strata.operators.silver`). No streaming operator is
+provided here on purpose.
+"""
