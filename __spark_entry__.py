@@ -230,7 +230,11 @@ def q_partition_listing(spark, sf_dir):
 
 
 def q_table_detail(spark, sf_dir):
-    return layout.file_stats(_p(spark, sf_dir).fact())
+    """File statistics of the fact before and after the z-order compaction."""
+    p = _p(spark, sf_dir)
+    before = layout.file_stats(p.fact()).select(F.lit("fact_sales").alias("table_name"), "*")
+    after = layout.file_stats(p.zordered_fact()).select(F.lit("fact_sales_zordered").alias("table_name"), "*")
+    return before.unionByName(after)
 
 
 def q_zorder_cluster(spark, sf_dir):

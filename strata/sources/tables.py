@@ -60,19 +60,24 @@ class Warehouse:
 
     # -- data --------------------------------------------------------------
     def save(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite",
-             partition_by: list[str] | None = None, bucket_by: tuple[int, str] | None = None) -> DataFrame:
+             partition_by: list[str] | None = None, bucket_by: tuple[int, str] | None = None,
+             prepartitioned: bool = False) -> DataFrame:
         """Write ``df`` as a managed Parquet table and return a fresh scan of it.
 
         ``overwrite`` = drop + create as select (the catalog has no
         ``CREATE OR REPLACE`` for Parquet tables). ``bucket_by=(n, key)`` hash-
         partitions on the key first (same hash as the bucket id), so each task
         writes one sorted bucket file and later joins / merges on the key read
-        it pre-partitioned.
+        it pre-partitioned. ``prepartitioned=True`` skips that shuffle when the
+        rows already sit in their buckets (e.g. the output of a join on the key
+        against a table with the same buckets): the writer still computes every
+        row's bucket, so the table is right either way.
         """
         self.ensure_schema(layer)
         if bucket_by:
             n, key = bucket_by
-            df = df.repartition(n, key)
+            if not prepartitioned:
+                df = df.repartition(n, key)
         w = df.write.mode(mode).format("parquet")
         if bucket_by:
             w = w.bucketBy(n, key).sortBy(key)
