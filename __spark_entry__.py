@@ -495,7 +495,7 @@ GROUP BY product_id""")
 SELECT {fact_cols}, CAST(year(sales_date) AS INTEGER) AS year, CAST(month(sales_date) AS INTEGER) AS month
 FROM fact_sales""")
     sql["layout_partition_counts"] = om.with_(om.GOLD_CTES, """
-SELECT layout, partitions, n AS rows FROM (SELECT COUNT(*) AS n FROM fact_sales) c,
+SELECT layout, CAST(partitions AS BIGINT) AS partitions, n AS rows FROM (SELECT COUNT(*) AS n FROM fact_sales) c,
   (VALUES ('repartition_20', 20), ('repartition_10_by_customer_id', 10), ('coalesce_4_from_20', 4),
           ('coalesce_40_from_20', 20)) v(layout, partitions)""")
     sql["partition_listing"] = om.with_(om.GOLD_CTES, """
