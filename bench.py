@@ -16,6 +16,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from strata.config import Config  # noqa: E402
 from strata.operators import gold, joins, layout  # noqa: E402
 from strata.plans.pipeline import RetailPipeline  # noqa: E402
@@ -61,6 +63,11 @@ def main() -> None:
     heavy = joins.heavy_keys(f, "customer_id", cfg.heavy_key_threshold)
     fp = p.partitioned_fact()
     snaps = p.fact_snapshots()
+    # a hot key: one customer takes a third of the lines (deterministic rule on the line id)
+    hot = dcs.agg(F.min("customer_id")).first()[0]
+    skewed = f.withColumn("customer_id", F.when(F.pmod(F.xxhash64("sales_id"), F.lit(3)) == 0, F.lit(hot))
+                          .otherwise(F.col("customer_id"))).checkpoint(eager=True)
+    skew_heavy = joins.heavy_keys(skewed, "customer_id", cfg.heavy_key_threshold)
     queries = {
         "gold_revenue_by_state": lambda: gold.revenue_by_state(f, dc),
         "gold_top_products": lambda: gold.top_products(f, dp),
@@ -79,6 +86,12 @@ def main() -> None:
         "partition_pruned_count": lambda: layout.count_by(
             fp.filter(layout.date_partition_filter("sales_date", "=", "2000-12-31")), "product_id"),
         "unpruned_date_count": lambda: layout.count_by(fp.filter(fp.sales_date == "2000-12-31"), "product_id"),
+        "skewed_join_auto": lambda: joins.join_auto(skewed, dcs, "customer_id"),
+        "skewed_join_salted_heavy": lambda: joins.salted_join(skewed, dcs, "customer_id", cfg.salt_buckets,
+                                                              "sales_id", heavy=skew_heavy),
+        "skewed_join_split": lambda: joins.split_skew_join(skewed, dcs, "customer_id", skew_heavy,
+                                                           cfg.max_broadcast_rows),
+        "skewed_revenue_by_state": lambda: gold.revenue_by_state(skewed, dc),
         "snapshot_as_of_version": lambda: snaps.as_of_version(1),
         "snapshot_as_of_timestamp": lambda: snaps.as_of_timestamp("2024-01-01"),
     }
