@@ -163,7 +163,8 @@ def q_join_salted(spark, sf_dir):
 def q_join_salted_heavy(spark, sf_dir):
     p, f, d = _fact_and_customers(spark, sf_dir)
     heavy = joins.heavy_keys(f, "customer_id", p.config.heavy_key_threshold)
-    return present(joins.salted_join(f, d, "customer_id", p.config.salt_buckets, "sales_id", heavy=heavy))
+    return present(joins.salted_join(f, d, "customer_id", p.config.salt_buckets, "sales_id", heavy=heavy,
+                                     max_rows=p.config.max_broadcast_rows))
 
 
 def q_join_split_skew(spark, sf_dir):

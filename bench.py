@@ -78,7 +78,7 @@ def main() -> None:
         "join_fact_customer_broadcast": lambda: joins.join_broadcast(f, dcs, "customer_id", cfg.max_broadcast_rows),
         "join_salted": lambda: joins.salted_join(f, dcs, "customer_id", cfg.salt_buckets, "sales_id"),
         "join_salted_heavy": lambda: joins.salted_join(f, dcs, "customer_id", cfg.salt_buckets, "sales_id",
-                                                       heavy=heavy),
+                                                       heavy=heavy, max_rows=cfg.max_broadcast_rows),
         "join_split_skew": lambda: joins.split_skew_join(f, dcs, "customer_id", heavy, cfg.max_broadcast_rows),
         "skew_top_keys": lambda: joins.top_keys(f, "customer_id", 20, "order_count"),
         "skew_heavy_keys": lambda: heavy,
@@ -88,7 +88,8 @@ def main() -> None:
         "unpruned_date_count": lambda: layout.count_by(fp.filter(fp.sales_date == "2000-12-31"), "product_id"),
         "skewed_join_auto": lambda: joins.join_auto(skewed, dcs, "customer_id"),
         "skewed_join_salted_heavy": lambda: joins.salted_join(skewed, dcs, "customer_id", cfg.salt_buckets,
-                                                              "sales_id", heavy=skew_heavy),
+                                                              "sales_id", heavy=skew_heavy,
+                                                              max_rows=cfg.max_broadcast_rows),
         "skewed_join_split": lambda: joins.split_skew_join(skewed, dcs, "customer_id", skew_heavy,
                                                            cfg.max_broadcast_rows),
         "skewed_revenue_by_state": lambda: gold.revenue_by_state(skewed, dc),

@@ -53,19 +53,27 @@ def salt_of(row_id: str, buckets: int):
 
 
 def salted_join(fact: DataFrame, dim: DataFrame, key: str, buckets: int, row_id: str,
-                heavy: DataFrame | None = None) -> DataFrame:
+                heavy: DataFrame | None = None, max_rows: int = 2_000_000) -> DataFrame:
     """Join on (key, salt): a hot key's fact rows spread over ``buckets`` tasks.
 
     Without ``heavy`` every dim row is replicated ``buckets`` times (the classic
     form). With ``heavy`` (a frame of hot keys) only those keys are salted and
     replicated; the rest keep salt 0, so the dim grows by |heavy| * (buckets - 1).
+    Flagging hot fact rows must not itself shuffle the fact by key (that would
+    put the hot key in one task again), so the heavy set is broadcast, and only
+    behind a proven bound of ``max_rows``; above it every key is salted. The
+    heavy set is checkpointed to the shared folder, so it is computed once.
     Output = plain join columns (the salt is dropped).
     """
-    if heavy is None:
+    hk = None
+    if heavy is not None:
+        # computed once (a full pass over the fact), checked, then reused
+        hk = heavy.select(key).checkpoint(eager=True).withColumn("_hot", F.lit(True))
+        hk = F.broadcast(hk) if row_bound(hk, max_rows) else None
+    if hk is None:
         f = fact.withColumn("_salt", salt_of(row_id, buckets))
         d = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     else:
-        hk = heavy.select(key).withColumn("_hot", F.lit(True))
         f = (fact.join(hk, key, "left")
              .withColumn("_salt", F.when(F.col("_hot"), salt_of(row_id, buckets)).otherwise(F.lit(0)))
              .drop("_hot"))

@@ -25,6 +25,7 @@ def test_all_strategies_equal_plain_join(pipeline):
         joins.join_broadcast(f, d, "customer_id", 3),            # over the bound: shuffle join
         joins.salted_join(f, d, "customer_id", 7, "sales_id"),
         joins.salted_join(f, d, "customer_id", 7, "sales_id", heavy=heavy),
+        joins.salted_join(f, d, "customer_id", 7, "sales_id", heavy=heavy, max_rows=1),  # over the bound
         joins.split_skew_join(f, d, "customer_id", heavy, 1_000_000),
         joins.split_skew_join(f, d, "customer_id", heavy, 1),   # keys over the bound: no broadcast
     ):
