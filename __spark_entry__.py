@@ -170,7 +170,8 @@ def q_join_salted_heavy(spark, sf_dir):
 def q_join_split_skew(spark, sf_dir):
     p, f, d = _fact_and_customers(spark, sf_dir)
     heavy = joins.heavy_keys(f, "customer_id", p.config.heavy_key_threshold)
-    return present(joins.split_skew_join(f, d, "customer_id", heavy, p.config.max_broadcast_rows))
+    return present(joins.split_skew_join(f, d, "customer_id", heavy, p.config.max_broadcast_rows,
+                                         row_id="sales_id", buckets=p.config.salt_buckets))
 
 
 def q_join_light_keys_anti(spark, sf_dir):

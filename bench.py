@@ -79,7 +79,8 @@ def main() -> None:
         "join_salted": lambda: joins.salted_join(f, dcs, "customer_id", cfg.salt_buckets, "sales_id"),
         "join_salted_heavy": lambda: joins.salted_join(f, dcs, "customer_id", cfg.salt_buckets, "sales_id",
                                                        heavy=heavy, max_rows=cfg.max_broadcast_rows),
-        "join_split_skew": lambda: joins.split_skew_join(f, dcs, "customer_id", heavy, cfg.max_broadcast_rows),
+        "join_split_skew": lambda: joins.split_skew_join(f, dcs, "customer_id", heavy, cfg.max_broadcast_rows,
+                                                         row_id="sales_id", buckets=cfg.salt_buckets),
         "skew_top_keys": lambda: joins.top_keys(f, "customer_id", 20, "order_count"),
         "skew_heavy_keys": lambda: heavy,
         "product_sales_count": lambda: layout.count_by(fp, "product_id"),
@@ -91,7 +92,8 @@ def main() -> None:
                                                               "sales_id", heavy=skew_heavy,
                                                               max_rows=cfg.max_broadcast_rows),
         "skewed_join_split": lambda: joins.split_skew_join(skewed, dcs, "customer_id", skew_heavy,
-                                                           cfg.max_broadcast_rows),
+                                                           cfg.max_broadcast_rows, row_id="sales_id",
+                                                           buckets=cfg.salt_buckets),
         "skewed_revenue_by_state": lambda: gold.revenue_by_state(skewed, dc),
         "snapshot_as_of_version": lambda: snaps.as_of_version(1),
         "snapshot_as_of_timestamp": lambda: snaps.as_of_timestamp("2024-01-01"),

@@ -84,13 +84,15 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, buckets: int, row_id:
     return f.join(d, [key, "_salt"], "inner").drop("_salt")
 
 
-def split_skew_join(fact: DataFrame, dim: DataFrame, key: str, heavy: DataFrame, max_rows: int) -> DataFrame:
+def split_skew_join(fact: DataFrame, dim: DataFrame, key: str, heavy: DataFrame, max_rows: int,
+                    row_id: str | None = None, buckets: int = 10) -> DataFrame:
     """Heavy keys through a broadcast join, the rest through the regular join, then union.
 
     ``heavy`` is used twice (semi and anti), so it is checkpointed to the shared
     folder: one computation, no lineage replay after an executor loss. The
     heavy side broadcasts only the dimension rows of heavy keys, and only when
-    those are proven to fit ``max_rows``.
+    those are proven to fit ``max_rows``; otherwise, given a ``row_id``, the heavy
+    side takes the salted join (a shuffle join would put each hot key in one task).
     """
     clash = (set(fact.columns) & set(dim.columns)) - {key}
     if clash:
@@ -100,8 +102,12 @@ def split_skew_join(fact: DataFrame, dim: DataFrame, key: str, heavy: DataFrame,
     hk_side = F.broadcast(hk) if small_keys else hk
     heavy_fact = fact.join(hk_side, key, "left_semi")
     heavy_dim = dim.join(hk_side, key, "left_semi")
-    heavy_part = (heavy_fact.join(F.broadcast(heavy_dim), key) if small_keys and row_bound(heavy_dim, max_rows)
-                  else heavy_fact.join(heavy_dim, key))
+    if small_keys and row_bound(heavy_dim, max_rows):
+        heavy_part = heavy_fact.join(F.broadcast(heavy_dim), key)
+    elif row_id is not None:
+        heavy_part = salted_join(heavy_fact, heavy_dim, key, buckets, row_id)
+    else:
+        heavy_part = heavy_fact.join(heavy_dim, key)  # AQE skew-join splits hot partitions
     light_part = fact.join(hk_side, key, "left_anti").join(dim, key)
     return heavy_part.unionByName(light_part)
 

@@ -28,6 +28,7 @@ def test_all_strategies_equal_plain_join(pipeline):
         joins.salted_join(f, d, "customer_id", 7, "sales_id", heavy=heavy, max_rows=1),  # over the bound
         joins.split_skew_join(f, d, "customer_id", heavy, 1_000_000),
         joins.split_skew_join(f, d, "customer_id", heavy, 1),   # keys over the bound: no broadcast
+        joins.split_skew_join(f, d, "customer_id", heavy, 1, row_id="sales_id", buckets=5),  # salted heavy side
     ):
         assert _same(variant, plain)
 
