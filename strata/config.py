@@ -37,5 +37,9 @@ class Config:
     buckets: int | None = None
     zorder_files: int = 16
 
+    # independent table jobs (one per entity / mart) submitted at once from driver
+    # threads; each is still an ordinary distributed job
+    parallel_jobs: int = 4
+
     # snapshot retention
     retention_hours: int = 168

@@ -12,6 +12,9 @@ Two runs are modelled:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.config import Config
@@ -31,6 +34,13 @@ SNAPSHOT_NOW = "2024-01-25 00:00:00"
 ZORDER_COLS = ["customer_id", "product_id", "sales_date"]
 
 
+def concurrently(tasks: dict[str, Callable[[], object]], workers: int) -> dict[str, object]:
+    """Run independent Spark jobs from driver threads; results by name, first error re-raised."""
+    with ThreadPoolExecutor(max(1, workers)) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 class RetailPipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, config: Config | None = None,
                  warehouse: Warehouse | None = None):
@@ -49,12 +59,12 @@ class RetailPipeline:
         """Drop the raw text extracts + the JSON config (stands in for the upstream files)."""
         if self.config_path is None:
             extracts = {e: retail.as_raw(retail.entity(self.spark, self.sf_dir, e)) for e in retail.ENTITIES}
-            self.config_path = bronze.land_raw(self.wh, extracts)
+            self.config_path = bronze.land_raw(self.wh, extracts, self.config.parallel_jobs)
         return self.config_path
 
     def bronze(self) -> dict[str, str]:
         if self._bronze is None:
-            self._bronze = bronze.ingest(self.wh, self.land(), self.config.run_ts)
+            self._bronze = bronze.ingest(self.wh, self.land(), self.config.run_ts, self.config.parallel_jobs)
         return self._bronze
 
     def raw(self, entity: str) -> DataFrame:
@@ -66,10 +76,11 @@ class RetailPipeline:
         """Typed full load of all four entities + the control table."""
         if self._silver:
             return
-        loaded = {}
-        for e in retail.ENTITIES:
-            loaded[e] = self.wh.save(silver.full_load(self.raw(e), e, self.config.run_ts), "silver", e,
-                                     bucket_by=self._bucket(e))
+        self.bronze()
+        loaded = concurrently({
+            e: (lambda e=e: self.wh.save(silver.full_load(self.raw(e), e, self.config.run_ts), "silver", e,
+                                         bucket_by=self._bucket(e)))
+            for e in retail.ENTITIES}, self.config.parallel_jobs)
         self.wh.save(silver.logger_init(loaded), "silver", "table_logger")
         self._silver = True
 
@@ -89,13 +100,21 @@ class RetailPipeline:
             return
         s = self.silver_table
         n = self.buckets()
-        dc = self.wh.save(gold.dim_customers(s("customers")), "gold", "dim_customers", bucket_by=(n, "customer_id"))
-        dp = self.wh.save(gold.dim_products(s("products")), "gold", "dim_products", bucket_by=(n, "product_id"))
-        f = self.wh.save(gold.fact_sales(s("orders"), s("order_items")), "gold", "fact_sales")
-        self.wh.save(gold.revenue_by_state(f, dc), "gold", "agg_revenue_by_state")
-        self.wh.save(gold.top_products(f, dp), "gold", "agg_top_products")
-        self.wh.save(gold.daily_sales(f), "gold", "agg_daily_sales")
-        self.wh.save(gold.monthly_sales(f), "gold", "agg_monthly_sales")
+        self.silver()
+        star = concurrently({
+            "dim_customers": lambda: self.wh.save(gold.dim_customers(s("customers")), "gold", "dim_customers",
+                                                  bucket_by=(n, "customer_id")),
+            "dim_products": lambda: self.wh.save(gold.dim_products(s("products")), "gold", "dim_products",
+                                                 bucket_by=(n, "product_id")),
+            "fact_sales": lambda: self.wh.save(gold.fact_sales(s("orders"), s("order_items")), "gold", "fact_sales"),
+        }, self.config.parallel_jobs)
+        f, dc, dp = star["fact_sales"], star["dim_customers"], star["dim_products"]
+        concurrently({
+            "agg_revenue_by_state": lambda: self.wh.save(gold.revenue_by_state(f, dc), "gold", "agg_revenue_by_state"),
+            "agg_top_products": lambda: self.wh.save(gold.top_products(f, dp), "gold", "agg_top_products"),
+            "agg_daily_sales": lambda: self.wh.save(gold.daily_sales(f), "gold", "agg_daily_sales"),
+            "agg_monthly_sales": lambda: self.wh.save(gold.monthly_sales(f), "gold", "agg_monthly_sales"),
+        }, self.config.parallel_jobs)
         self._gold = True
 
     def gold_table(self, name: str) -> DataFrame:
@@ -158,19 +177,25 @@ class RetailPipeline:
         if self._incremental:
             return
         c = self.config
-        loaded = {}
-        for e in retail.ENTITIES:
+        self.bronze()
+
+        def first_load(e: str) -> DataFrame:
             early = retail.as_of(silver.typed(self.raw(e), silver.SPECS[e]), c.initial_ts)
-            loaded[e] = self.wh.save(silver.stamp_load(early, c.initial_ts), "silver", f"{e}_v0",
-                                     bucket_by=self._bucket(e))
+            return self.wh.save(silver.stamp_load(early, c.initial_ts), "silver", f"{e}_v0",
+                                bucket_by=self._bucket(e))
+
+        loaded = concurrently({e: (lambda e=e: first_load(e)) for e in retail.ENTITIES}, c.parallel_jobs)
         logger = self.wh.save(silver.logger_init(loaded), "silver", "table_logger_v0")
-        for e in retail.ENTITIES:
-            mark = silver.read_mark(logger, e)
-            src = self.wh.save(silver.incremental_source(self.raw(e), e, mark), "silver", f"{e}_changes")
+        marks = {r["table_name"]: r["last_run_time"] for r in logger.collect()}  # one row per table
+
+        def merge(e: str) -> DataFrame:
+            src = self.wh.save(silver.incremental_source(self.raw(e), e, marks.get(e)), "silver", f"{e}_changes")
             merged = silver.upsert(loaded[e], src, silver.KEYS[e], c.incremental_ts)
             # the merge's join tasks already hold one bucket each (target read by bucket,
             # source shuffled to match), so the new table is written without a reshuffle
-            self.wh.save(merged, "silver", f"{e}_v1", bucket_by=self._bucket(e), prepartitioned=True)
+            return self.wh.save(merged, "silver", f"{e}_v1", bucket_by=self._bucket(e), prepartitioned=True)
+
+        concurrently({e: (lambda e=e: merge(e)) for e in retail.ENTITIES}, c.parallel_jobs)
         new_logger = logger
         for e in retail.ENTITIES:
             new_logger = silver.logger_update(new_logger, e, c.incremental_ts)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ CONFIG_SCHEMA = T.StructType([
 
 def read_config(spark: SparkSession, path: str) -> DataFrame:
     """Multi-line JSON ingestion config: one (FilePath, TargetTableName) object per entry."""
-    return spark.read.option("multiLine", True).json(path)
+    return spark.read.schema(CONFIG_SCHEMA).option("multiLine", True).json(path)
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -38,19 +39,23 @@ def stamp(df: DataFrame, source_file: str, load_ts: str | None) -> DataFrame:
     return df.withColumn("ingestion_timestamp", ts).withColumn("source_file_name", F.lit(source_file))
 
 
-def ingest(wh: Warehouse, config_path: str, load_ts: str | None = None) -> dict[str, str]:
+def ingest(wh: Warehouse, config_path: str, load_ts: str | None = None, workers: int = 1) -> dict[str, str]:
     """Load every configured file into ``bronze.<TargetTableName>`` (overwrite).
 
     The config is a handful of rows, so collecting it is bounded; each load is
-    its own distributed CSV -> Parquet job.
+    its own distributed CSV -> Parquet job, and up to ``workers`` of them are
+    submitted at once (they are independent).
     """
     wh.ensure_layers()
-    out = {}
-    for row in read_config(wh.spark, config_path).select("FilePath", "TargetTableName").collect():
+    rows = read_config(wh.spark, config_path).select("FilePath", "TargetTableName").collect()
+
+    def load(row) -> tuple[str, str]:
         df = stamp(read_raw_csv(wh.spark, row["FilePath"]), file_name(row["FilePath"]), load_ts)
         wh.save(df, "bronze", row["TargetTableName"])
-        out[row["TargetTableName"]] = wh.name("bronze", row["TargetTableName"])
-    return out
+        return row["TargetTableName"], wh.name("bronze", row["TargetTableName"])
+
+    with ThreadPoolExecutor(max(1, workers)) as pool:
+        return dict(pool.map(load, rows))
 
 
 def write_config(spark: SparkSession, path: str, entries: list[tuple[str, str]]) -> str:
@@ -60,16 +65,19 @@ def write_config(spark: SparkSession, path: str, entries: list[tuple[str, str]])
     return path
 
 
-def land_raw(wh: Warehouse, extracts: dict[str, DataFrame]) -> str:
+def land_raw(wh: Warehouse, extracts: dict[str, DataFrame], workers: int = 1) -> str:
     """Write each extract as a header CSV under ``<root>/raw_data/<name>.csv`` plus the config.
 
     Stands in for the files an upstream system drops; returns the config path.
     """
-    entries = []
-    for name, df in extracts.items():
+    def land(item) -> tuple[str, str]:
+        name, df = item
         p = f"{wh.root}/raw_data/{name}.csv"
         df.write.mode("overwrite").option("header", True).csv(p)
-        entries.append((p, f"raw_{name}"))
+        return p, f"raw_{name}"
+
+    with ThreadPoolExecutor(max(1, workers)) as pool:
+        entries = list(pool.map(land, extracts.items()))
     return write_config(wh.spark, f"{wh.root}/raw_data/metadata_config.json", entries)
 
 
