@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import datetime as _dt
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -18,8 +19,9 @@ class Config:
     silver_schema: str = "silver"
     gold_schema: str = "gold"
 
-    # load stamp of the full (initial) load; timestamp_ntz text
-    run_ts: str = "2002-01-01 00:00:00"
+    # load stamp of the full (initial) load; timestamp_ntz text. None = the wall
+    # clock, captured once per run (see ``resolved``)
+    run_ts: str | None = "2002-01-01 00:00:00"
     # incremental scenario: first load at initial_ts, merge at incremental_ts
     initial_ts: str = "1999-01-01 00:00:00"
     incremental_ts: str = "2002-01-01 00:00:00"
@@ -43,3 +45,10 @@ class Config:
 
     # snapshot retention
     retention_hours: int = 168
+
+    def resolved(self) -> "Config":
+        """A copy with ``run_ts`` fixed: one stamp for every table of the run, so a
+        retried job rewrites the same values."""
+        if self.run_ts is not None:
+            return self
+        return replace(self, run_ts=_dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S"))

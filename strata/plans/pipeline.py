@@ -46,7 +46,7 @@ class RetailPipeline:
                  warehouse: Warehouse | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        self.config = config or Config()
+        self.config = (config or Config()).resolved()
         self.wh = warehouse or Warehouse(spark, self.config)
         self._bronze: dict[str, str] | None = None
         self._silver = False

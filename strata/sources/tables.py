@@ -34,7 +34,10 @@ class Warehouse:
 
     # -- names -------------------------------------------------------------
     def schema(self, layer: str) -> str:
-        return f"{self.prefix}{layer}"
+        """Catalog schema of a layer: the configured name (bronze / silver / gold) plus the run prefix."""
+        names = {"bronze": self.config.bronze_schema, "silver": self.config.silver_schema,
+                 "gold": self.config.gold_schema}
+        return f"{self.prefix}{names.get(layer, layer)}"
 
     def name(self, layer: str, table: str) -> str:
         return f"{self.schema(layer)}.{table}"
