@@ -38,7 +38,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="strata-bench")
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 2 * cpus)), app="strata-bench")
     cfg = Config()
 
     # warm the JVM on the smallest data (not timed)
