@@ -12,6 +12,8 @@ Two runs are modelled:
 
 from __future__ import annotations
 
+import functools
+import threading
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -41,6 +43,19 @@ def concurrently(tasks: dict[str, Callable[[], object]], workers: int) -> dict[s
         return {name: f.result() for name, f in futures.items()}
 
 
+def _stage(fn):
+    """Build a stage under the pipeline lock (one builder at a time per pipeline).
+
+    Accessors used inside the stages' worker threads (``raw``, ``silver_table``)
+    only enter a stage when it is not built yet, so workers never wait on the lock.
+    """
+    @functools.wraps(fn)
+    def run(self, *args, **kwargs):
+        with self._lock:
+            return fn(self, *args, **kwargs)
+    return run
+
+
 class RetailPipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, config: Config | None = None,
                  warehouse: Warehouse | None = None):
@@ -53,8 +68,10 @@ class RetailPipeline:
         self._gold = False
         self._incremental = False
         self.config_path: str | None = None
+        self._lock = threading.RLock()
 
     # -- bronze ------------------------------------------------------------
+    @_stage
     def land(self) -> str:
         """Drop the raw text extracts + the JSON config (stands in for the upstream files)."""
         if self.config_path is None:
@@ -62,16 +79,19 @@ class RetailPipeline:
             self.config_path = bronze.land_raw(self.wh, extracts, self.config.parallel_jobs)
         return self.config_path
 
+    @_stage
     def bronze(self) -> dict[str, str]:
         if self._bronze is None:
             self._bronze = bronze.ingest(self.wh, self.land(), self.config.run_ts, self.config.parallel_jobs)
         return self._bronze
 
     def raw(self, entity: str) -> DataFrame:
-        self.bronze()
+        if self._bronze is None:
+            self.bronze()
         return self.wh.table("bronze", f"raw_{entity}")
 
     # -- silver ------------------------------------------------------------
+    @_stage
     def silver(self) -> None:
         """Typed full load of all four entities + the control table."""
         if self._silver:
@@ -91,10 +111,12 @@ class RetailPipeline:
         return self.buckets(), silver.KEYS[entity]
 
     def silver_table(self, entity: str) -> DataFrame:
-        self.silver()
+        if not self._silver:
+            self.silver()
         return self.wh.table("silver", entity)
 
     # -- gold --------------------------------------------------------------
+    @_stage
     def gold(self) -> None:
         if self._gold:
             return
@@ -118,19 +140,22 @@ class RetailPipeline:
         self._gold = True
 
     def gold_table(self, name: str) -> DataFrame:
-        self.gold()
+        if not self._gold:
+            self.gold()
         return self.wh.table("gold", name)
 
     def fact(self) -> DataFrame:
         return self.gold_table("fact_sales")
 
     # -- layout ------------------------------------------------------------
+    @_stage
     def partitioned_fact(self) -> DataFrame:
         """The fact as a table partitioned by year / month of the sales date."""
         if not self.wh.exists("gold", "fact_sales_partitioned"):
             layout.write_partitioned(self.wh, self.fact(), "gold", "fact_sales_partitioned", "sales_date")
         return self.wh.table("gold", "fact_sales_partitioned")
 
+    @_stage
     def zordered_fact(self) -> DataFrame:
         """The fact rewritten into ``zorder_files`` files clustered on three columns."""
         if not self.wh.exists("gold", "fact_sales_zordered"):
@@ -139,6 +164,7 @@ class RetailPipeline:
         return self.wh.table("gold", "fact_sales_zordered")
 
     # -- snapshots ---------------------------------------------------------
+    @_stage
     def fact_snapshots(self, name: str = "fact_sales_versions") -> SnapshotTable:
         """Three committed versions of the fact (growing by sales date)."""
         st = SnapshotTable(self.wh, "gold", name)
@@ -149,6 +175,7 @@ class RetailPipeline:
                 st.commit(part, ts, op)
         return st
 
+    @_stage
     def retained_snapshots(self) -> SnapshotTable:
         """A second copy of the versions with retention applied (keeps the first copy whole)."""
         st = SnapshotTable(self.wh, "gold", "fact_sales_retained")
@@ -158,6 +185,7 @@ class RetailPipeline:
         return st
 
     # -- schema enforcement ------------------------------------------------
+    @_stage
     def products_with_append(self) -> DataFrame:
         """Copy of dim_products plus the changed products appended with 4 of 8 columns."""
         if not self.wh.exists("gold", "dim_products_appended"):
@@ -168,6 +196,7 @@ class RetailPipeline:
         return self.wh.table("gold", "dim_products_appended")
 
     # -- incremental -------------------------------------------------------
+    @_stage
     def incremental(self) -> None:
         """Initial load at ``initial_ts`` from the extract as of then, then one merge per entity.
 
@@ -203,17 +232,20 @@ class RetailPipeline:
         self._incremental = True
 
     def incremental_table(self, name: str) -> DataFrame:
-        self.incremental()
+        if not self._incremental:
+            self.incremental()
         return self.wh.table("silver", name)
 
 
 _CACHE: dict[tuple, RetailPipeline] = {}
+_CACHE_LOCK = threading.Lock()
 
 
 def pipeline_for(spark: SparkSession, sf_dir: str, config: Config | None = None) -> RetailPipeline:
     """One pipeline per (session, data folder) so several queries share the written layers."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), config)
-    p = _CACHE.get(key)
-    if p is None:
-        p = _CACHE[key] = RetailPipeline(spark, sf_dir, config)
-    return p
+    with _CACHE_LOCK:
+        p = _CACHE.get(key)
+        if p is None:
+            p = _CACHE[key] = RetailPipeline(spark, sf_dir, config)
+        return p
