@@ -12,6 +12,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from strata.config import Config  # noqa: E402
 from strata.operators import gold, joins, layout, silver  # noqa: E402
 from strata.plans.inspect import plan_text  # noqa: E402
@@ -47,11 +49,24 @@ def main():
                                   "product_id"),
         "snapshot_v1": p.fact_snapshots().as_of_version(1).select("sales_id"),
     }
+    plans["revenue_by_state_skewed_hot_customer"] = gold.revenue_by_state(
+        f.withColumn("customer_id", F.when(F.pmod(F.xxhash64("sales_id"), F.lit(3)) == 0, F.lit(1))
+                     .otherwise(F.col("customer_id"))), dc)
+    plans["salted_heavy_only"] = joins.salted_join(f, dcs, "customer_id", 10, "sales_id", heavy=heavy)
+    plans["zorder"] = layout.zorder_cluster(f, ["customer_id", "product_id", "sales_date"], 16)
     only = [a[2:] for a in sys.argv[1:] if a.startswith("--") and a[2:] in plans]
+    tree_only = "--tree" in sys.argv
     for name, df in plans.items():
         if only and name not in only:
             continue
-        print(f"\n######## {name}\n{plan_text(df)}")
+        txt = plan_text(df)
+        if tree_only:
+            # operator tree + the scan details that show pruning / pushdown
+            tree = txt.split("\n\n")[0]
+            scans = [ln for ln in txt.splitlines()
+                     if ln.startswith(("PushedFilters", "PartitionFilters", "ReadSchema", "Bucketed", "SelectedBucketsCount"))]
+            txt = tree + "\n" + "\n".join(scans)
+        print(f"\n### {name}\n```\n{txt.strip()}\n```")
 
 
 if __name__ == "__main__":
