@@ -9,6 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.session import shared_dir
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Materialize ``df`` in the shared checkpoint folder (reliable, cuts lineage)."""
+    shared_dir(df.sparkSession)  # make sure the context has the session's checkpoint folder
+    return df.checkpoint(eager=True)
+
 
 def row_bound(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` provably has at most ``max_rows`` rows.
@@ -68,7 +76,7 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, buckets: int, row_id:
     hk = None
     if heavy is not None:
         # computed once (a full pass over the fact), checked, then reused
-        hk = heavy.select(key).checkpoint(eager=True).withColumn("_hot", F.lit(True))
+        hk = checkpointed(heavy.select(key)).withColumn("_hot", F.lit(True))
         hk = F.broadcast(hk) if row_bound(hk, max_rows) else None
     if hk is None:
         f = fact.withColumn("_salt", salt_of(row_id, buckets))
@@ -97,7 +105,7 @@ def split_skew_join(fact: DataFrame, dim: DataFrame, key: str, heavy: DataFrame,
     clash = (set(fact.columns) & set(dim.columns)) - {key}
     if clash:
         raise ValueError(f"fact and dim share non-key columns {sorted(clash)}; select or rename them first")
-    hk = heavy.select(key).checkpoint(eager=True)
+    hk = checkpointed(heavy.select(key))
     small_keys = row_bound(hk, max_rows)
     hk_side = F.broadcast(hk) if small_keys else hk
     heavy_fact = fact.join(hk_side, key, "left_semi")
