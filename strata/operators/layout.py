@@ -85,14 +85,19 @@ def partition_profile(df: DataFrame, layout: str) -> DataFrame:
         F.lit(layout).alias("layout"), "partitions", "rows")
 
 
-def layouts(df: DataFrame, key: str) -> dict[str, DataFrame]:
-    """The reference's three layouts plus the 'coalesce cannot grow' case."""
-    rr = df.repartition(20)
+def layouts(df: DataFrame, key: str, n: int = 20, n_key: int = 10, n_small: int = 4) -> dict[str, DataFrame]:
+    """Round-robin to ``n``, hash on ``key`` to ``n_key``, coalesce ``n`` down to ``n_small``,
+    and the 'coalesce cannot grow' case (``n`` to ``2n`` stays ``n``).
+
+    The defaults are the reference's demo counts; on a large table pick them from
+    the data size (about 256 MB per partition), since each is a full shuffle.
+    """
+    rr = df.repartition(n)
     return {
-        "repartition_20": rr,
-        f"repartition_10_by_{key}": df.repartition(10, key),
-        "coalesce_4_from_20": rr.coalesce(4),
-        "coalesce_40_from_20": rr.coalesce(40),
+        f"repartition_{n}": rr,
+        f"repartition_{n_key}_by_{key}": df.repartition(n_key, key),
+        f"coalesce_{n_small}_from_{n}": rr.coalesce(n_small),
+        f"coalesce_{2 * n}_from_{n}": rr.coalesce(2 * n),
     }
 
 
