@@ -394,7 +394,7 @@ def oracle_sql() -> dict[str, str]:
         "bronze_orders": om.with_(om.ENTITY_CTES, _raw("orders", _COLS["orders"], "orders.csv")),
         "bronze_product_lookup": om.with_(
             om.ENTITY_CTES, f"SELECT * FROM ({_raw('products', _COLS['products'], 'products.csv')}) r "
-                            "WHERE TRY_CAST(product_id AS INTEGER) = 150"),
+                            "WHERE TRY_CAST(product_id AS BIGINT) = 150"),
     }
     for e in ("customers", "order_items", "orders", "products"):
         sql[f"silver_{e}_load"] = om.with_(
@@ -414,7 +414,7 @@ def oracle_sql() -> dict[str, str]:
         for c, t in spec:
             if t == "string":
                 continue
-            dt = {"int": "INTEGER", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}.get(t, t.upper())
+            dt = {"int": "INTEGER", "bigint": "BIGINT", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}.get(t, t.upper())
             rej.append(f"SELECT '{e}' AS table_name, '{c}' AS column_name, COUNT(*) AS rows_checked, "
                        f"COUNT(CASE WHEN v IS NOT NULL AND TRY_CAST(v AS {dt}) IS NULL THEN 1 END) AS rejected "
                        f"FROM (SELECT CAST({c} AS VARCHAR) AS v FROM s_{e})")

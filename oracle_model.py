@@ -17,7 +17,7 @@ INCR_TS = f"TIMESTAMP '{_C.incremental_ts}'"
 
 ENTITY_CTES = f"""
 s_customers AS (
-  SELECT CAST(c_custkey AS INTEGER) AS customer_id, c_name AS name, n_name || '-' || c_mktsegment AS city,
+  SELECT CAST(c_custkey AS BIGINT) AS customer_id, c_name AS name, n_name || '-' || c_mktsegment AS city,
          n_name AS state, CAST(created AS DATE) AS signup_date, created AS created_at,
          CASE WHEN c_custkey % 7 = 0 THEN created + INTERVAL 400 DAY END AS updated_at
   FROM (SELECT *, TIMESTAMP '1994-01-01 00:00:00' + to_days(CAST(c_custkey * 7 % 2500 AS INTEGER)) AS created
@@ -25,14 +25,14 @@ s_customers AS (
   JOIN nation ON c_nationkey = n_nationkey
 ),
 s_products AS (
-  SELECT CAST(p_partkey AS INTEGER) AS product_id, p_name AS product_name, p_brand AS category,
+  SELECT CAST(p_partkey AS BIGINT) AS product_id, p_name AS product_name, p_brand AS category,
          CAST(p_retailprice AS DECIMAL(12,2)) AS price, created AS created_at,
          CASE WHEN p_size > 40 THEN created + INTERVAL 300 DAY END AS updated_at
   FROM (SELECT *, TIMESTAMP '1995-01-01 00:00:00' + to_days(CAST(p_partkey * 3 % 2000 AS INTEGER)) AS created
         FROM part) x
 ),
 s_orders AS (
-  SELECT CAST(o_orderkey AS INTEGER) AS order_id, CAST(o_custkey AS INTEGER) AS customer_id,
+  SELECT CAST(o_orderkey AS BIGINT) AS order_id, CAST(o_custkey AS BIGINT) AS customer_id,
          CAST(o_orderdate AS DATE) AS order_date, CAST(o_totalprice AS DECIMAL(14,2)) AS total_amount,
          o_orderstatus AS order_status, o_orderdate AS created_at,
          CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 30 DAY END AS updated_at
@@ -40,8 +40,8 @@ s_orders AS (
 ),
 s_order_items AS (
   SELECT CAST(l_orderkey * 100 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey,
-              l_suppkey, l_shipdate, l_extendedprice, l_quantity) AS INTEGER) AS order_item_id,
-         CAST(l_orderkey AS INTEGER) AS order_id, CAST(l_partkey AS INTEGER) AS product_id,
+              l_suppkey, l_shipdate, l_extendedprice, l_quantity) AS BIGINT) AS order_item_id,
+         CAST(l_orderkey AS BIGINT) AS order_id, CAST(l_partkey AS BIGINT) AS product_id,
          CAST(l_quantity AS INTEGER) AS quantity, CAST(l_extendedprice AS DECIMAL(12,2)) AS price,
          l_shipdate AS created_at,
          CASE WHEN l_returnflag = 'R' THEN l_shipdate + INTERVAL 60 DAY END AS updated_at

@@ -1,8 +1,8 @@
 """Run the medallion pipeline: ``python -m strata <data folder> [stage ...]``.
 
 Stages: bronze, silver, gold, incremental, layout, snapshots (default: bronze silver gold).
-Tables go to the plain layer schemas (bronze / silver / gold) under the folder
-named by ``spark.checkpoint.dir``; ``--run-ts now`` stamps loads with the wall clock.
+Tables go to the plain layer schemas (bronze / silver / gold), stored in a fresh
+folder under ``spark.checkpoint.dir``; ``--run-ts now`` stamps loads with the wall clock.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 
 from strata.config import Config
 from strata.plans.pipeline import RetailPipeline
-from strata.session import shared_dir
+from strata.session import new_run_root
 from strata.sources.tables import Warehouse
 
 
@@ -22,12 +22,15 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("data", help="folder with the source parquet tables")
     ap.add_argument("stages", nargs="*", default=["bronze", "silver", "gold"])
     ap.add_argument("--run-ts", default=Config.run_ts, help="load stamp, or 'now'")
-    ap.add_argument("--root", default=None, help="table folder (default: <spark.checkpoint.dir>/strata/...)")
+    ap.add_argument("--root", default=None,
+                    help="new table folder (default: a fresh <spark.checkpoint.dir>/strata/warehouse-<id>)")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("strata").getOrCreate()
     cfg = Config(run_ts=None if args.run_ts == "now" else args.run_ts).resolved()
-    root = args.root or f"{shared_dir(spark)}/strata/warehouse"
+    # the session catalog lives as long as the session, so each run takes a fresh folder
+    root = args.root or new_run_root(spark, "warehouse")
+    print(f"tables under {root}")
     p = RetailPipeline(spark, args.data, cfg, Warehouse(spark, cfg, root=root, prefix=""))
     steps = {"bronze": p.bronze, "silver": p.silver, "gold": p.gold, "incremental": p.incremental,
              "layout": lambda: (p.partitioned_fact(), p.zordered_fact()), "snapshots": p.fact_snapshots}

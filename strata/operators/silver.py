@@ -11,23 +11,25 @@ from pyspark.sql import functions as F
 from strata.functions.expressions import ntz, null_ts
 
 # Typed schema of each silver entity (column, Spark type) and its key.
-# Money is decimal instead of the reference's float (exact sums).
+# Money is decimal instead of the reference's float (exact sums); ids are bigint
+# instead of the reference's int, which runs out at ~2.1 billion rows (far below
+# the order and line counts of a 100 TB run).
 SPECS: dict[str, list[tuple[str, str]]] = {
     "customers": [
-        ("customer_id", "int"), ("name", "string"), ("city", "string"), ("state", "string"),
+        ("customer_id", "bigint"), ("name", "string"), ("city", "string"), ("state", "string"),
         ("signup_date", "date"), ("created_at", "timestamp_ntz"), ("updated_at", "timestamp_ntz"),
     ],
     "order_items": [
-        ("order_item_id", "int"), ("order_id", "int"), ("product_id", "int"), ("quantity", "int"),
+        ("order_item_id", "bigint"), ("order_id", "bigint"), ("product_id", "bigint"), ("quantity", "int"),
         ("price", "decimal(12,2)"), ("created_at", "timestamp_ntz"), ("updated_at", "timestamp_ntz"),
     ],
     "orders": [
-        ("order_id", "int"), ("customer_id", "int"), ("order_date", "date"),
+        ("order_id", "bigint"), ("customer_id", "bigint"), ("order_date", "date"),
         ("total_amount", "decimal(14,2)"), ("order_status", "string"),
         ("created_at", "timestamp_ntz"), ("updated_at", "timestamp_ntz"),
     ],
     "products": [
-        ("product_id", "int"), ("product_name", "string"), ("category", "string"),
+        ("product_id", "bigint"), ("product_name", "string"), ("category", "string"),
         ("price", "decimal(12,2)"), ("created_at", "timestamp_ntz"), ("updated_at", "timestamp_ntz"),
     ],
 }

@@ -35,7 +35,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         c.join(n, c.c_nationkey == n.n_nationkey)
         .select(
-            F.col("c_custkey").cast("int").alias("customer_id"),
+            F.col("c_custkey").cast("bigint").alias("customer_id"),
             F.col("c_name").alias("name"),
             F.concat_ws("-", "n_name", "c_mktsegment").alias("city"),
             F.col("n_name").alias("state"),
@@ -55,7 +55,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
     created = days_after(ntz(PRODUCT_EPOCH), (F.col("p_partkey") * 3 % 2000).cast("int"))
     return p.select(
-        F.col("p_partkey").cast("int").alias("product_id"),
+        F.col("p_partkey").cast("bigint").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_brand").alias("category"),
         money("p_retailprice").alias("price"),
@@ -67,8 +67,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     return o.select(
-        F.col("o_orderkey").cast("int").alias("order_id"),
-        F.col("o_custkey").cast("int").alias("customer_id"),
+        F.col("o_orderkey").cast("bigint").alias("order_id"),
+        F.col("o_custkey").cast("bigint").alias("customer_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),
         money("o_totalprice", 14).alias("total_amount"),
         F.col("o_orderstatus").alias("order_status"),
@@ -87,9 +87,9 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("l_orderkey").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity")
     return li.select(
-        (F.col("l_orderkey") * 100 + F.row_number().over(w)).cast("int").alias("order_item_id"),
-        F.col("l_orderkey").cast("int").alias("order_id"),
-        F.col("l_partkey").cast("int").alias("product_id"),
+        (F.col("l_orderkey") * 100 + F.row_number().over(w)).cast("bigint").alias("order_item_id"),
+        F.col("l_orderkey").cast("bigint").alias("order_id"),
+        F.col("l_partkey").cast("bigint").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         money("l_extendedprice").alias("price"),
         F.col("l_shipdate").alias("created_at"),

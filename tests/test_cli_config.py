@@ -1,4 +1,5 @@
 import datetime as dt
+import uuid
 
 from strata.__main__ import main
 from strata.config import Config
@@ -12,7 +13,7 @@ def test_resolved_run_ts_is_captured_once():
 
 
 def test_cli_runs_stages_into_plain_schemas(spark, tmp_path, capsys):
-    root = f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/cli-test-{tmp_path.name}"
+    root = f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/cli-test-{uuid.uuid4().hex[:10]}"
     cfg = Config(bronze_schema="cli_bronze", silver_schema="cli_silver", gold_schema="cli_gold")
     from strata.plans.pipeline import RetailPipeline
     from strata.sources.tables import Warehouse
@@ -20,6 +21,6 @@ def test_cli_runs_stages_into_plain_schemas(spark, tmp_path, capsys):
     p.bronze()
     assert spark.catalog.tableExists("cli_bronze.raw_orders")
     assert spark.table("cli_bronze.raw_orders").count() == 1500
-    main(["/root/testdata/sf0.001", "bronze", "--root", root + "-main"])
+    main(["/root/testdata/sf0.001", "bronze"])
     assert "bronze: done" in capsys.readouterr().out
     assert spark.catalog.tableExists("bronze.raw_customers")
