@@ -87,10 +87,16 @@ def q_silver_incremental_orders(spark, sf_dir):
 
 def _silver_merge(entity):
     def q(spark, sf_dir):
-        return present(_p(spark, sf_dir).incremental_table(f"{entity}_v1"))
+        return present(_p(spark, sf_dir).merged(entity))
     return q
 
 
+def q_silver_orders_history(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    p.merged("orders")
+    return p.silver_versions("orders").history()
+
+
 def q_silver_logger_update(spark, sf_dir):
     return _p(spark, sf_dir).incremental_table("table_logger_v1")
 
@@ -301,6 +307,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "silver_orders_merge": _silver_merge("orders"),
         "silver_products_merge": _silver_merge("products"),
         "silver_logger_update": q_silver_logger_update,
+        "silver_orders_history": q_silver_orders_history,
         "silver_orders_with_customers": q_silver_orders_with_customers,
         "silver_orders_with_products": q_silver_orders_with_products,
         "gold_dim_customers": _gold_table("dim_customers"),
@@ -419,6 +426,14 @@ def oracle_sql() -> dict[str, str]:
                        f"COUNT(CASE WHEN v IS NOT NULL AND TRY_CAST(v AS {dt}) IS NULL THEN 1 END) AS rejected "
                        f"FROM (SELECT CAST({c} AS VARCHAR) AS v FROM s_{e})")
     sql["silver_reject_report"] = om.with_(om.ENTITY_CTES, " UNION ALL ".join(rej))
+    sql["silver_orders_history"] = om.with_(om.ENTITY_CTES, f"""
+SELECT CAST(0 AS BIGINT) AS version, {om.INITIAL_TS} AS timestamp, 'WRITE' AS operation, COUNT(*) AS num_rows
+FROM s_orders WHERE created_at <= {om.INITIAL_TS}
+UNION ALL
+SELECT CAST(1 AS BIGINT), {om.INCR_TS}, 'MERGE', COUNT(*) FROM
+  (SELECT order_id FROM s_orders WHERE created_at <= {om.INITIAL_TS}) t
+  FULL OUTER JOIN (SELECT order_id FROM s_orders WHERE created_at > {om.INITIAL_TS} OR updated_at > {om.INITIAL_TS}) s
+  ON t.order_id = s.order_id""")
     sql["silver_incremental_orders"] = om.with_(
         om.ENTITY_CTES, f"SELECT {_dbl('orders')} FROM s_orders "
                         f"WHERE created_at > {om.INITIAL_TS} OR updated_at > {om.INITIAL_TS}")

@@ -196,3 +196,15 @@ def orders_with_products(orders: DataFrame, items: DataFrame, products: DataFram
         "order_id", "order_date", "order_status", "customer_id", "order_item_id", "product_id",
         "product_name", "category", "quantity", "item_price",
         (F.col("quantity") * F.col("item_price")).alias("line_total"))
+
+
+def merge_into(table, source: DataFrame, key: str, run_ts: str) -> int:
+    """``MERGE INTO`` a versioned table: upsert its current version with ``source`` and
+    commit the result as a new version (operation ``MERGE``); returns the version.
+
+    ``table`` is a :class:`strata.operators.snapshots.SnapshotTable`; when it is
+    bucketed on ``key`` the merged rows are written straight from the join tasks.
+    """
+    merged = upsert(table.current(), source, key, run_ts)
+    same_buckets = bool(table.bucket_by) and table.bucket_by[1] == key
+    return table.commit(merged, run_ts, "MERGE", prepartitioned=same_buckets)

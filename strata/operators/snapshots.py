@@ -39,22 +39,35 @@ class VersionNotFound(LookupError):
 
 
 class SnapshotTable:
-    def __init__(self, wh: Warehouse, layer: str, name: str):
+    """``bucket_by=(n, key)`` buckets every version on its key, so a merge reads the
+    current version by bucket and shuffles only the incoming rows."""
+
+    def __init__(self, wh: Warehouse, layer: str, name: str, bucket_by: tuple[int, str] | None = None):
         self.wh = wh
         self.spark = wh.spark
         self.layer = layer
         self.name = name
+        self.bucket_by = bucket_by
         self.data = wh.name(layer, name)
         self.hist = wh.name(layer, f"{name}_history")
 
     # -- writes ---------------------------------------------------------------
-    def commit(self, df: DataFrame, timestamp, operation: str = "WRITE") -> int:
-        """Write ``df`` as the next version; record it in the history."""
+    def commit(self, df: DataFrame, timestamp, operation: str = "WRITE", prepartitioned: bool = False) -> int:
+        """Write ``df`` as the next version; record it in the history.
+
+        ``prepartitioned``: the rows already sit in their buckets (a join on the key
+        with the bucketed current version), so no shuffle before the write.
+        """
         self.wh.ensure_schema(self.layer)
         latest = self.latest_version()
         v = 0 if latest is None else latest + 1
-        (df.withColumn("_version", F.lit(v).cast("long"))
-         .write.mode("append").format("parquet").partitionBy("_version").saveAsTable(self.data))
+        out = df.withColumn("_version", F.lit(v).cast("long"))
+        if self.bucket_by and not prepartitioned:
+            out = out.repartition(self.bucket_by[0], self.bucket_by[1])
+        w = out.write.mode("append").format("parquet").partitionBy("_version")
+        if self.bucket_by:
+            w = w.bucketBy(self.bucket_by[0], self.bucket_by[1]).sortBy(self.bucket_by[1])
+        w.saveAsTable(self.data)
         n = self.as_of_version(v).count()  # footer-only count of the new folder
         row = self.spark.createDataFrame([(v, _ts(timestamp), operation, n)], HISTORY_SCHEMA)
         row.write.mode("append").format("parquet").saveAsTable(self.hist)

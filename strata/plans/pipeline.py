@@ -209,20 +209,20 @@ class RetailPipeline:
         self.bronze()
 
         def first_load(e: str) -> DataFrame:
+            st = self.silver_versions(e)
             early = retail.as_of(silver.typed(self.raw(e), silver.SPECS[e]), c.initial_ts)
-            return self.wh.save(silver.stamp_load(early, c.initial_ts), "silver", f"{e}_v0",
-                                bucket_by=self._bucket(e))
+            st.commit(silver.stamp_load(early, c.initial_ts), c.initial_ts, "WRITE")
+            return st.current()
 
         loaded = concurrently({e: (lambda e=e: first_load(e)) for e in retail.ENTITIES}, c.parallel_jobs)
         logger = self.wh.save(silver.logger_init(loaded), "silver", "table_logger_v0")
         marks = {r["table_name"]: r["last_run_time"] for r in logger.collect()}  # one row per table
 
-        def merge(e: str) -> DataFrame:
+        def merge(e: str) -> int:
             src = self.wh.save(silver.incremental_source(self.raw(e), e, marks.get(e)), "silver", f"{e}_changes")
-            merged = silver.upsert(loaded[e], src, silver.KEYS[e], c.incremental_ts)
-            # the merge's join tasks already hold one bucket each (target read by bucket,
-            # source shuffled to match), so the new table is written without a reshuffle
-            return self.wh.save(merged, "silver", f"{e}_v1", bucket_by=self._bucket(e), prepartitioned=True)
+            # new version = upsert of the current one; the bucketed current version is read by
+            # bucket and the merged rows are written from the join tasks (only the source moves)
+            return silver.merge_into(self.silver_versions(e), src, silver.KEYS[e], c.incremental_ts)
 
         concurrently({e: (lambda e=e: merge(e)) for e in retail.ENTITIES}, c.parallel_jobs)
         new_logger = logger
@@ -231,6 +231,16 @@ class RetailPipeline:
         self.wh.save(new_logger, "silver", "table_logger_v1")
         self._incremental = True
 
+    def silver_versions(self, entity: str) -> SnapshotTable:
+        """The versioned silver table of one entity in the incremental run (v0 load, v1 merge)."""
+        return SnapshotTable(self.wh, "silver", f"{entity}_versions", bucket_by=self._bucket(entity))
+
+    def merged(self, entity: str) -> DataFrame:
+        """Current (merged) version of an entity after the incremental run."""
+        if not self._incremental:
+            self.incremental()
+        return self.silver_versions(entity).current()
+
     def incremental_table(self, name: str) -> DataFrame:
         if not self._incremental:
             self.incremental()

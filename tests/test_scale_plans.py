@@ -24,7 +24,7 @@ def _exchanges(txt: str) -> int:
 
 def test_merge_shuffles_only_the_source(pipeline, no_auto_broadcast):
     pipeline.incremental()
-    target = pipeline.wh.table("silver", "orders_v0")
+    target = pipeline.silver_versions("orders").as_of_version(0)
     source = pipeline.wh.table("silver", "orders_changes")
     txt = plan_text(silver.upsert(target, source, "order_id", "2002-01-01 00:00:00", check=False))
     assert "SortMergeJoin FullOuter" in txt

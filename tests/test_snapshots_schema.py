@@ -65,3 +65,22 @@ def test_schema_listing(spark):
     df = spark.createDataFrame([], "a int, b string")
     rows = schema.schema_listing(spark, df).collect()
     assert [(r.column_name, r.data_type) for r in rows] == [("a", "int"), ("b", "string")]
+
+
+def test_merge_into_versioned_table(wh, spark):
+    from strata.operators import silver
+    st = SnapshotTable(wh, "silver", "m", bucket_by=(4, "id"))
+    base = spark.createDataFrame(
+        [(1, "a", dt.datetime(2000, 1, 1), None), (2, "b", dt.datetime(2000, 1, 1), None)],
+        "id bigint, v string, created_at timestamp_ntz, updated_at timestamp_ntz")
+    st.commit(silver.stamp_load(base, "2001-01-01 00:00:00"), "2001-01-01 00:00:00")
+    src = spark.createDataFrame([(2, "B", dt.datetime(2000, 1, 1), dt.datetime(2001, 6, 1)),
+                                 (3, "c", dt.datetime(2001, 7, 1), None)],
+                                "id bigint, v string, created_at timestamp_ntz, updated_at timestamp_ntz")
+    v = silver.merge_into(st, src, "id", "2002-01-01 00:00:00")
+    assert v == 1
+    assert [(r.version, r.operation) for r in st.history().collect()] == [(1, "MERGE"), (0, "WRITE")]
+    cur = {r.id: r for r in st.current().collect()}
+    assert cur[2].v == "B" and cur[2].record_updated_at == dt.datetime(2002, 1, 1)
+    assert cur[3].record_created_at == dt.datetime(2002, 1, 1) and cur[1].v == "a"
+    assert {r.id: r.v for r in st.as_of_version(0).collect()} == {1: "a", 2: "b"}   # time travel to pre-merge

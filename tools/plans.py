@@ -40,7 +40,7 @@ def main():
         "fact_sales": gold.fact_sales(s("orders"), s("order_items")),
         "revenue_by_state": gold.revenue_by_state(f, dc),
         "top_products": gold.top_products(f, dp),
-        "merge_orders": silver.upsert(p.wh.table("silver", "orders_v0"), p.wh.table("silver", "orders_changes"),
+        "merge_orders": silver.upsert(p.silver_versions("orders").as_of_version(0), p.wh.table("silver", "orders_changes"),
                                       "order_id", "2002-01-01 00:00:00", check=False),
         "incremental_source": silver.incremental_source(p.raw("orders"), "orders", None),
         "salted": joins.salted_join(f, dcs, "customer_id", 10, "sales_id"),
