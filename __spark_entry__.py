@@ -22,7 +22,7 @@ from pyspark.sql import types as T  # noqa: E402
 
 import oracle_model as om  # noqa: E402
 from strata.operators import gold, joins, layout, silver  # noqa: E402
-from strata.plans.pipeline import SNAPSHOT_NOW, pipeline_for  # noqa: E402
+from strata.plans.medallion import SNAPSHOT_NOW, run_for  # noqa: E402
 from strata.sources import bronze  # noqa: E402
 
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -37,7 +37,7 @@ def present(df: DataFrame) -> DataFrame:
 
 
 def _p(spark, sf_dir):
-    return pipeline_for(spark, sf_dir)
+    return run_for(spark, sf_dir)
 
 
 # -- bronze ------------------------------------------------------------------------

@@ -1,7 +1,7 @@
 """Benchmark: the medallion run and the headline queries at one scale factor.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3). Pipeline stages (they write tables) are timed once on
+BENCH_RUNS (default 3). Medallion stages (they write tables) are timed once on
 a warm JVM; read-only queries are forced with a ``noop`` write and reported
 as the median of BENCH_RUNS warm runs. Prints ONE JSON line.
 """
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from strata.config import Config  # noqa: E402
 from strata.operators import gold, joins, layout  # noqa: E402
-from strata.plans.pipeline import RetailPipeline  # noqa: E402
+from strata.plans.medallion import MedallionRun  # noqa: E402
 from strata.session import local_session  # noqa: E402
 
 
@@ -43,10 +43,10 @@ def main() -> None:
     cfg = Config()
 
     # warm the JVM on the smallest data (not timed)
-    warm = RetailPipeline(spark, "/root/testdata/sf0.001", cfg)
+    warm = MedallionRun(spark, "/root/testdata/sf0.001", cfg)
     warm.gold()
 
-    p = RetailPipeline(spark, sf_dir, cfg)
+    p = MedallionRun(spark, sf_dir, cfg)
     out: dict[str, float] = {}
     out["land_raw_extracts"] = timed(p.land)
     out["bronze_ingest"] = timed(p.bronze)

@@ -1,4 +1,4 @@
-"""Run the medallion pipeline: ``python -m strata <data folder> [stage ...]``.
+"""Run the medallion layers: ``python -m strata <data folder> [stage ...]``.
 
 Stages: bronze, silver, gold, incremental, layout, snapshots (default: bronze silver gold).
 Tables go to the plain layer schemas (bronze / silver / gold), stored in a fresh
@@ -12,7 +12,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from strata.config import Config
-from strata.plans.pipeline import RetailPipeline
+from strata.plans.medallion import MedallionRun
 from strata.session import new_run_root
 from strata.sources.tables import Warehouse
 
@@ -31,7 +31,7 @@ def main(argv: list[str] | None = None) -> None:
     # the session catalog lives as long as the session, so each run takes a fresh folder
     root = args.root or new_run_root(spark, "warehouse")
     print(f"tables under {root}")
-    p = RetailPipeline(spark, args.data, cfg, Warehouse(spark, cfg, root=root, prefix=""))
+    p = MedallionRun(spark, args.data, cfg, Warehouse(spark, cfg, root=root, prefix=""))
     steps = {"bronze": p.bronze, "silver": p.silver, "gold": p.gold, "incremental": p.incremental,
              "layout": lambda: (p.partitioned_fact(), p.zordered_fact()), "snapshots": p.fact_snapshots}
     for s in args.stages:

@@ -1,6 +1,6 @@
 """End-to-end medallion runs over the given tables.
 
-``RetailPipeline`` materializes each layer once (as catalog tables under the
+``MedallionRun`` materializes each layer once (as catalog tables under the
 shared folder) and hands later layers fresh scans, so every stage's lineage
 starts at files: a lost executor never replays the layers above it.
 
@@ -44,7 +44,7 @@ def concurrently(tasks: dict[str, Callable[[], object]], workers: int) -> dict[s
 
 
 def _stage(fn):
-    """Build a stage under the pipeline lock (one builder at a time per pipeline).
+    """Build a stage under the run lock (one builder at a time per run).
 
     Accessors used inside the stages' worker threads (``raw``, ``silver_table``)
     only enter a stage when it is not built yet, so workers never wait on the lock.
@@ -56,7 +56,7 @@ def _stage(fn):
     return run
 
 
-class RetailPipeline:
+class MedallionRun:
     def __init__(self, spark: SparkSession, sf_dir: str, config: Config | None = None,
                  warehouse: Warehouse | None = None):
         self.spark = spark
@@ -247,15 +247,15 @@ class RetailPipeline:
         return self.wh.table("silver", name)
 
 
-_CACHE: dict[tuple, RetailPipeline] = {}
+_CACHE: dict[tuple, MedallionRun] = {}
 _CACHE_LOCK = threading.Lock()
 
 
-def pipeline_for(spark: SparkSession, sf_dir: str, config: Config | None = None) -> RetailPipeline:
-    """One pipeline per (session, data folder) so several queries share the written layers."""
+def run_for(spark: SparkSession, sf_dir: str, config: Config | None = None) -> MedallionRun:
+    """One run per (session, data folder) so several queries share the written layers."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), config)
     with _CACHE_LOCK:
         p = _CACHE.get(key)
         if p is None:
-            p = _CACHE[key] = RetailPipeline(spark, sf_dir, config)
+            p = _CACHE[key] = MedallionRun(spark, sf_dir, config)
         return p

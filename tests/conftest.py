@@ -6,7 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from strata.config import Config  # noqa: E402
-from strata.plans.pipeline import RetailPipeline  # noqa: E402
+from strata.plans.medallion import MedallionRun  # noqa: E402
 from strata.session import local_session  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
@@ -20,8 +20,8 @@ def spark():
 
 
 @pytest.fixture(scope="session")
-def pipeline(spark):
-    return RetailPipeline(spark, SF_SMALL, Config())
+def medallion(spark):
+    return MedallionRun(spark, SF_SMALL, Config())
 
 
 @pytest.fixture()

@@ -15,9 +15,9 @@ def test_resolved_run_ts_is_captured_once():
 def test_cli_runs_stages_into_plain_schemas(spark, tmp_path, capsys):
     root = f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/cli-test-{uuid.uuid4().hex[:10]}"
     cfg = Config(bronze_schema="cli_bronze", silver_schema="cli_silver", gold_schema="cli_gold")
-    from strata.plans.pipeline import RetailPipeline
+    from strata.plans.medallion import MedallionRun
     from strata.sources.tables import Warehouse
-    p = RetailPipeline(spark, "/root/testdata/sf0.001", cfg, Warehouse(spark, cfg, root=root, prefix=""))
+    p = MedallionRun(spark, "/root/testdata/sf0.001", cfg, Warehouse(spark, cfg, root=root, prefix=""))
     p.bronze()
     assert spark.catalog.tableExists("cli_bronze.raw_orders")
     assert spark.table("cli_bronze.raw_orders").count() == 1500

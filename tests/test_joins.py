@@ -2,9 +2,9 @@ from strata.operators import joins
 from strata.plans.inspect import plan_text
 
 
-def _inputs(pipeline):
-    f = pipeline.fact()
-    d = pipeline.gold_table("dim_customers").select("customer_id", "customer_name", "state")
+def _inputs(medallion):
+    f = medallion.fact()
+    d = medallion.gold_table("dim_customers").select("customer_id", "customer_name", "state")
     return f, d
 
 
@@ -14,8 +14,8 @@ def _same(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_all_strategies_equal_plain_join(pipeline):
-    f, d = _inputs(pipeline)
+def test_all_strategies_equal_plain_join(medallion):
+    f, d = _inputs(medallion)
     plain = f.join(d, "customer_id")
     heavy = joins.heavy_keys(f, "customer_id", 5)
     assert heavy.count() > 0
@@ -33,8 +33,8 @@ def test_all_strategies_equal_plain_join(pipeline):
         assert _same(variant, plain)
 
 
-def test_broadcast_only_behind_the_bound(pipeline):
-    f, d = _inputs(pipeline)
+def test_broadcast_only_behind_the_bound(medallion):
+    f, d = _inputs(medallion)
     assert "BroadcastHashJoin" in plan_text(joins.join_broadcast(f, d, "customer_id", 1_000_000))
     # over the bound no hint is placed; the planner's own size threshold decides
     big = joins.join_broadcast(f, d, "customer_id", 3)
@@ -50,15 +50,15 @@ def test_row_bound(spark):
     assert not joins.row_bound(df, 99)
 
 
-def test_heavy_and_light_partition_the_fact(pipeline):
-    f, _ = _inputs(pipeline)
+def test_heavy_and_light_partition_the_fact(medallion):
+    f, _ = _inputs(medallion)
     heavy = joins.heavy_keys(f, "customer_id", 5)
     hk = f.join(heavy.select("customer_id"), "customer_id", "left_semi")
     assert hk.count() + joins.light_rows(f, "customer_id", heavy).count() == f.count()
 
 
-def test_top_keys_plan_and_order(pipeline):
-    f, _ = _inputs(pipeline)
+def test_top_keys_plan_and_order(medallion):
+    f, _ = _inputs(medallion)
     top = joins.top_keys(f, "customer_id", 20, "order_count")
     assert "TakeOrderedAndProject" in plan_text(top)
     rows = top.collect()

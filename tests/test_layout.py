@@ -6,16 +6,16 @@ from strata.operators import layout
 from strata.plans.inspect import plan_text
 
 
-def test_partitioned_fact_and_listing(pipeline, spark):
-    fp = pipeline.partitioned_fact()
-    assert fp.count() == pipeline.fact().count()
-    listing = layout.partition_listing(spark, pipeline.wh.name("gold", "fact_sales_partitioned"))
-    expected = pipeline.fact().select(F.year("sales_date").alias("year"), F.month("sales_date").alias("month")).distinct()
+def test_partitioned_fact_and_listing(medallion, spark):
+    fp = medallion.partitioned_fact()
+    assert fp.count() == medallion.fact().count()
+    listing = layout.partition_listing(spark, medallion.wh.name("gold", "fact_sales_partitioned"))
+    expected = medallion.fact().select(F.year("sales_date").alias("year"), F.month("sales_date").alias("month")).distinct()
     assert listing.exceptAll(expected).count() == 0 and expected.exceptAll(listing).count() == 0
 
 
-def test_derived_predicates_prune_partitions(pipeline):
-    fp = pipeline.partitioned_fact()
+def test_derived_predicates_prune_partitions(medallion):
+    fp = medallion.partitioned_fact()
     day = fp.select("sales_date").first()[0]
     plain = fp.filter(F.col("sales_date") == F.lit(day))
     pruned = fp.filter(layout.date_partition_filter("sales_date", "=", day))
@@ -26,8 +26,8 @@ def test_derived_predicates_prune_partitions(pipeline):
     assert re.search(r"PartitionFilters: \[\]", plan_text(plain)) or "PartitionFilters" not in plan_text(plain)
 
 
-def test_range_predicates_exact(pipeline):
-    fp = pipeline.partitioned_fact()
+def test_range_predicates_exact(medallion):
+    fp = medallion.partitioned_fact()
     for op, a, b in ((">=", "1997-03-15", None), ("<", "1996-07-01", None), ("between", "1996-02-10", "1998-11-20"),
                      (">", "2000-12-31", None), ("<=", "1995-01-31", None)):
         c = F.col("sales_date")
@@ -37,8 +37,8 @@ def test_range_predicates_exact(pipeline):
         assert fp.filter(layout.date_partition_filter("sales_date", op, a, b)).count() == fp.filter(base).count()
 
 
-def test_repartition_and_coalesce_keep_rows(pipeline):
-    f = pipeline.fact()
+def test_repartition_and_coalesce_keep_rows(medallion):
+    f = medallion.fact()
     n = f.count()
     got = {r["layout"]: (r["partitions"], r["rows"]) for name, df in layout.layouts(f, "customer_id").items()
            for r in layout.partition_profile(df, name).collect()}
@@ -48,8 +48,8 @@ def test_repartition_and_coalesce_keep_rows(pipeline):
     assert got["repartition_10_by_customer_id"][1] == n
 
 
-def test_persisted_reads_cache(pipeline):
-    f = pipeline.fact()
+def test_persisted_reads_cache(medallion):
+    f = medallion.fact()
     df = layout.persisted(f.groupBy("customer_id").count())
     try:
         assert "InMemoryTableScan" in plan_text(df)
@@ -58,17 +58,17 @@ def test_persisted_reads_cache(pipeline):
         df.unpersist()
 
 
-def test_file_stats(pipeline):
-    st = layout.file_stats(pipeline.fact()).first()
-    assert st["num_rows"] == pipeline.fact().count() and st["num_files"] >= 1 and st["size_in_bytes"] > 0
+def test_file_stats(medallion):
+    st = layout.file_stats(medallion.fact()).first()
+    assert st["num_rows"] == medallion.fact().count() and st["num_files"] >= 1 and st["size_in_bytes"] > 0
 
 
-def test_zorder_keeps_rows_and_narrows_files(spark, pipeline):
-    f = pipeline.fact().repartition(16)  # unclustered input, 16 files
+def test_zorder_keeps_rows_and_narrows_files(spark, medallion):
+    f = medallion.fact().repartition(16)  # unclustered input, 16 files
     cols = ["customer_id", "product_id", "sales_date"]
     z = layout.zorder_cluster(f, cols, 16)
     assert z.exceptAll(f).count() == 0 and f.exceptAll(z).count() == 0
-    base = pipeline.wh.root + "/scratch_zorder"
+    base = medallion.wh.root + "/scratch_zorder"
     f.write.mode("overwrite").parquet(base + "/plain")
     z.write.mode("overwrite").parquet(base + "/z")
     plain_r = layout.file_ranges(spark.read.parquet(base + "/plain"), cols).collect()

@@ -22,26 +22,26 @@ def _exchanges(txt: str) -> int:
     return len(re.findall(r"^\(\d+\) Exchange", txt, flags=re.M))
 
 
-def test_merge_shuffles_only_the_source(pipeline, no_auto_broadcast):
-    pipeline.incremental()
-    target = pipeline.silver_versions("orders").as_of_version(0)
-    source = pipeline.wh.table("silver", "orders_changes")
+def test_merge_shuffles_only_the_source(medallion, no_auto_broadcast):
+    medallion.incremental()
+    target = medallion.silver_versions("orders").as_of_version(0)
+    source = medallion.wh.table("silver", "orders_changes")
     txt = plan_text(silver.upsert(target, source, "order_id", "2002-01-01 00:00:00", check=False))
     assert "SortMergeJoin FullOuter" in txt
     assert "Bucketed: true" in txt          # the target is read by bucket
     assert _exchanges(txt) == 1             # only the incoming rows move
 
 
-def test_fact_build_reads_orders_by_bucket(pipeline, no_auto_broadcast):
-    s = pipeline.silver_table
+def test_fact_build_reads_orders_by_bucket(medallion, no_auto_broadcast):
+    s = medallion.silver_table
     txt = plan_text(gold.fact_sales(s("orders"), s("order_items")))
     assert "Bucketed: true" in txt and _exchanges(txt) == 1
 
 
-def test_marts_aggregate_below_the_join(pipeline, no_auto_broadcast):
-    f = pipeline.fact()
-    for df in (gold.top_products(f, pipeline.gold_table("dim_products")),
-               gold.revenue_by_state(f, pipeline.gold_table("dim_customers"))):
+def test_marts_aggregate_below_the_join(medallion, no_auto_broadcast):
+    f = medallion.fact()
+    for df in (gold.top_products(f, medallion.gold_table("dim_products")),
+               gold.revenue_by_state(f, medallion.gold_table("dim_customers"))):
         txt = plan_text(df)
         tree = txt.split("\n\n")[0]
         join_at = tree.index("SortMergeJoin")
@@ -49,9 +49,9 @@ def test_marts_aggregate_below_the_join(pipeline, no_auto_broadcast):
         assert "HashAggregate" in tree[join_at:]
 
 
-def test_split_skew_broadcasts_only_the_heavy_side(pipeline, no_auto_broadcast):
-    f = pipeline.fact()
-    d = pipeline.gold_table("dim_customers").select("customer_id", "customer_name", "state")
+def test_split_skew_broadcasts_only_the_heavy_side(medallion, no_auto_broadcast):
+    f = medallion.fact()
+    d = medallion.gold_table("dim_customers").select("customer_id", "customer_name", "state")
     heavy = joins.heavy_keys(f, "customer_id", 45)
     txt = plan_text(joins.split_skew_join(f, d, "customer_id", heavy, 1_000_000))
     assert "BroadcastHashJoin Inner" in txt        # heavy keys x their dimension rows
@@ -59,14 +59,14 @@ def test_split_skew_broadcasts_only_the_heavy_side(pipeline, no_auto_broadcast):
     assert "BroadcastHashJoin LeftAnti" in txt
 
 
-def test_hot_key_is_spread_by_salting(pipeline, spark):
+def test_hot_key_is_spread_by_salting(medallion, spark):
     """One customer holding a third of the rows: the salted join spreads it over tasks
     and every strategy still returns the plain join's rows."""
-    f = pipeline.fact()
+    f = medallion.fact()
     hot = f.select("customer_id").first()[0]
     skewed = f.withColumn("customer_id", F.when(F.pmod(F.xxhash64("sales_id"), F.lit(3)) == 0, F.lit(hot))
                           .otherwise(F.col("customer_id")))
-    d = pipeline.gold_table("dim_customers").select("customer_id", "customer_name", "state")
+    d = medallion.gold_table("dim_customers").select("customer_id", "customer_name", "state")
     n_hot = skewed.filter(F.col("customer_id") == hot).count()
     assert n_hot > skewed.count() / 4
 

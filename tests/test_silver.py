@@ -123,7 +123,7 @@ def test_key_check(spark):
     assert silver.key_check(df, ["a", "b"]).count() == 2
 
 
-def test_pipeline_silver_counts(pipeline):
-    assert pipeline.silver_table("order_items").count() == pipeline.raw("order_items").count()
-    keys = pipeline.silver_table("order_items")
+def test_silver_counts(medallion):
+    assert medallion.silver_table("order_items").count() == medallion.raw("order_items").count()
+    keys = medallion.silver_table("order_items")
     assert silver.key_check(keys, "order_item_id").count() == 0

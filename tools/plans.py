@@ -17,7 +17,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from strata.config import Config  # noqa: E402
 from strata.operators import gold, joins, layout, silver  # noqa: E402
 from strata.plans.inspect import plan_text  # noqa: E402
-from strata.plans.pipeline import RetailPipeline  # noqa: E402
+from strata.plans.medallion import MedallionRun  # noqa: E402
 from strata.session import local_session  # noqa: E402
 
 
@@ -25,7 +25,7 @@ def main():
     args = [a for a in sys.argv[1:] if not a.startswith("--")]
     sf = args[0] if args else "/root/testdata/sf0.01"
     spark = local_session(8)
-    p = RetailPipeline(spark, sf, Config())
+    p = MedallionRun(spark, sf, Config())
     p.gold()
     p.incremental()
     p.partitioned_fact()
