@@ -59,8 +59,7 @@ class SnapshotTable:
         with the bucketed current version), so no shuffle before the write.
         """
         self.wh.ensure_schema(self.layer)
-        latest = self.latest_version()
-        v = 0 if latest is None else latest + 1
+        v = self._next_version()
         out = df.withColumn("_version", F.lit(v).cast("long"))
         if self.bucket_by and not prepartitioned:
             out = out.repartition(self.bucket_by[0], self.bucket_by[1])
@@ -77,6 +76,19 @@ class SnapshotTable:
         row.write.mode("append").format("parquet").saveAsTable(self.hist)
         return v
 
+    def _partition_versions(self) -> set[int]:
+        """Versions with data folders (catalog metadata, no job)."""
+        if not self.spark.catalog.tableExists(self.data):
+            return set()
+        return {int(r[0].split("=", 1)[1]) for r in self.spark.sql(f"SHOW PARTITIONS {self.data}").collect()}
+
+    def _next_version(self) -> int:
+        """One past every version seen in the history *or* on disk: if a run died between
+        writing a version's data and its history row, the retry never appends into that folder."""
+        latest = self.latest_version()
+        seen = self._partition_versions() | ({latest} if latest is not None else set())
+        return max(seen) + 1 if seen else 0
+
     # -- metadata -------------------------------------------------------------
     def history(self, limit: int | None = None) -> DataFrame:
         h = self.spark.table(self.hist).orderBy(F.desc("version"))
@@ -88,9 +100,12 @@ class SnapshotTable:
         return self.spark.table(self.hist).agg(F.max("version")).first()[0]
 
     def versions(self) -> DataFrame:
-        """(version, num_rows) of the data still present, counted from the files."""
+        """(version, num_rows) of the committed versions whose data is still present, counted
+        from the files (a folder without a history row, left by a failed run, is not a version)."""
+        committed = self.spark.table(self.hist).select("version")
         return (self.spark.table(self.data).groupBy(F.col("_version").alias("version"))
-                .agg(F.count(F.lit(1)).alias("num_rows")))
+                .agg(F.count(F.lit(1)).alias("num_rows"))
+                .join(committed, "version", "left_semi"))
 
     # -- reads ----------------------------------------------------------------
     def as_of_version(self, v: int) -> DataFrame:
@@ -131,8 +146,7 @@ class SnapshotTable:
     def vacuum(self, retain_hours: int, now) -> list[int]:
         """Drop the data of expired versions (their partitions and files)."""
         gone = [r["version"] for r in self.expired(retain_hours, now).select("version").collect()]
-        # versions present = the table's partitions (catalog metadata, no data scan)
-        present = {int(r[0].split("=", 1)[1]) for r in self.spark.sql(f"SHOW PARTITIONS {self.data}").collect()}
+        present = self._partition_versions()
         for v in gone:
             if v in present:
                 self.spark.sql(f"ALTER TABLE {self.data} DROP IF EXISTS PARTITION (_version={v})")

@@ -84,3 +84,16 @@ def test_merge_into_versioned_table(wh, spark):
     assert cur[2].v == "B" and cur[2].record_updated_at == dt.datetime(2002, 1, 1)
     assert cur[3].record_created_at == dt.datetime(2002, 1, 1) and cur[1].v == "a"
     assert {r.id: r.v for r in st.as_of_version(0).collect()} == {1: "a", 2: "b"}   # time travel to pre-merge
+
+
+def test_commit_after_orphan_data_skips_that_version(wh, spark):
+    st = SnapshotTable(wh, "gold", "orph")
+    st.commit(spark.range(3), "2024-01-01 00:00:00")
+    # a run that died after writing version 1's data but before its history row
+    from pyspark.sql import functions as F
+    spark.range(7).withColumn("_version", F.lit(1).cast("long")).write.mode("append").format("parquet") \
+        .partitionBy("_version").saveAsTable(st.data)
+    assert st.latest_version() == 0 and st.current().count() == 3   # readers follow the history
+    v = st.commit(spark.range(5), "2024-01-02 00:00:00")
+    assert v == 2 and st.current().count() == 5
+    assert sorted(r.version for r in st.versions().collect()) == [0, 2]
