@@ -410,9 +410,9 @@ def oracle_sql() -> dict[str, str]:
     sql["silver_logger_init"] = om.with_(om.SILVER_CTES, " UNION ALL ".join(
         f"SELECT '{e}' AS table_name, MAX(record_created_at) AS last_run_time FROM sv_{e}"
         for e in ("customers", "products", "orders", "order_items")))
-    sql["silver_logger_update"] = om.with_(om.ENTITY_CTES, " UNION ALL ".join(
-        f"SELECT '{e}' AS table_name, {om.INCR_TS} AS last_run_time FROM (SELECT MAX(1) FROM s_{e})"
-        for e in ("customers", "products", "orders", "order_items")))
+    sql["silver_logger_update"] = (
+        f"SELECT table_name, {om.INCR_TS} AS last_run_time FROM "
+        "(VALUES ('customers'), ('products'), ('orders'), ('order_items')) v(table_name)")
     sql["silver_key_check"] = ("SELECT l_orderkey, l_linenumber, COUNT(*) AS row_count FROM lineitem "
                                "GROUP BY l_orderkey, l_linenumber "
                                "HAVING COUNT(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL")
