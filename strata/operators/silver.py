@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.expressions import ntz, null_ts
@@ -106,7 +106,8 @@ class MergeConflict(ValueError):
 
 
 def check_merge_source(target: DataFrame, source: DataFrame, key: str) -> None:
-    """MERGE guard: fail when several source rows would update one target row.
+    """Up-front MERGE guard (separate jobs; ``upsert`` checks inside the merge job instead):
+    fail when several source rows would update one target row.
 
     Source duplicates are found with one partial-aggregated pass over the source;
     only when there are any is the target's key column probed (semi join).
@@ -127,22 +128,32 @@ def upsert(target: DataFrame, source: DataFrame, key: str, run_ts: str, check: b
     source only  -> inserted, record_created_at = run_ts, record_updated_at NULL
     target only  -> untouched (no delete clause)
     A NULL source key never matches, so it is inserted (SQL ``=`` semantics).
+
+    ``check``: MERGE fails when several source rows match one target row. The
+    guard runs inside the merge job: a count per key over the source (its window
+    shuffles the source by key, which is the shuffle the join needs anyway) and an
+    error raised for any matched row whose key has more than one source row.
+    Unmatched duplicates are all inserted, as MERGE does.
     """
-    if check:
-        check_merge_source(target, source, key)
     business = [c for c in target.columns if c not in AUDIT]
     missing = [c for c in business if c not in source.columns]
     if missing:
         raise ValueError(f"source lacks columns {missing}")
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in target.columns], F.lit(True).alias("_in_t"))
     s = source.select(*[F.col(c).alias(f"s_{c}") for c in business], F.lit(True).alias("_in_s"))
+    if check:
+        s = s.withColumn("_n_src", F.count(F.lit(1)).over(Window.partitionBy(f"s_{key}")))
     j = t.join(s, F.col(f"t_{key}") == F.col(f"s_{key}"), "full_outer")
     in_t = F.col("_in_t").isNotNull()
     in_s = F.col("_in_s").isNotNull()
+    matched = F.when(in_t & in_s, ntz(run_ts))
+    if check:
+        matched = F.when(in_t & in_s & (F.col("_n_src") > 1), F.raise_error(F.concat(
+            F.lit(f"MERGE conflict: several source rows match target {key}="),
+            F.col(f"t_{key}").cast("string")))).when(in_t & in_s, ntz(run_ts))
     cols: list[Column] = [F.when(in_s, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c) for c in business]
     cols.append(F.when(in_t, F.col("t_record_created_at")).otherwise(ntz(run_ts)).alias("record_created_at"))
-    cols.append(F.when(in_t & in_s, ntz(run_ts)).when(in_t, F.col("t_record_updated_at"))
-                .otherwise(null_ts()).alias("record_updated_at"))
+    cols.append(matched.when(in_t, F.col("t_record_updated_at")).otherwise(null_ts()).alias("record_updated_at"))
     return j.select(cols)
 
 

@@ -26,10 +26,11 @@ def test_merge_shuffles_only_the_source(medallion, no_auto_broadcast):
     medallion.incremental()
     target = medallion.silver_versions("orders").as_of_version(0)
     source = medallion.wh.table("silver", "orders_changes")
-    txt = plan_text(silver.upsert(target, source, "order_id", "2002-01-01 00:00:00", check=False))
-    assert "SortMergeJoin FullOuter" in txt
-    assert "Bucketed: true" in txt          # the target is read by bucket
-    assert _exchanges(txt) == 1             # only the incoming rows move
+    for check in (False, True):
+        txt = plan_text(silver.upsert(target, source, "order_id", "2002-01-01 00:00:00", check=check))
+        assert "SortMergeJoin FullOuter" in txt
+        assert "Bucketed: true" in txt          # the target is read by bucket
+        assert _exchanges(txt) == 1             # only the incoming rows move (the guard's window reuses it)
 
 
 def test_fact_build_reads_orders_by_bucket(medallion, no_auto_broadcast):

@@ -59,8 +59,10 @@ def test_upsert_duplicate_source_rows_fail(spark):
     target = _items(spark, [(1, 10, 100, 1, D("1.00"), ts("1998-01-01"), None, T0, None)])
     source = _items(spark, [(1, 10, 100, 2, D("1.00"), ts("1999-01-02"), None),
                             (1, 10, 100, 3, D("1.00"), ts("1999-01-03"), None)], audit=False)
+    with pytest.raises(Exception, match="MERGE conflict"):
+        silver.upsert(target, source, "order_item_id", "2002-01-01 00:00:00").collect()
     with pytest.raises(silver.MergeConflict):
-        silver.upsert(target, source, "order_item_id", "2002-01-01 00:00:00")
+        silver.check_merge_source(target, source, "order_item_id")
 
 
 def test_duplicate_unmatched_source_rows_are_both_inserted(spark):
