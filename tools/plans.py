@@ -41,7 +41,7 @@ def main():
         "revenue_by_state": gold.revenue_by_state(f, dc),
         "top_products": gold.top_products(f, dp),
         "merge_orders": silver.upsert(p.silver_versions("orders").as_of_version(0), p.wh.table("silver", "orders_changes"),
-                                      "order_id", "2002-01-01 00:00:00", check=False),
+                                      "order_id", "2002-01-01 00:00:00"),
         "incremental_source": silver.incremental_source(p.raw("orders"), "orders", None),
         "salted": joins.salted_join(f, dcs, "customer_id", 10, "sales_id"),
         "split_skew": joins.split_skew_join(f, dcs, "customer_id", heavy, 2_000_000),
