@@ -27,3 +27,12 @@ def test_lookup_implicit_int(spark):
 def test_file_name():
     assert bronze.file_name("/a/b/raw_data/customers.csv") == "customers.csv"
     assert bronze.file_name("/a/b/raw_data/customers.csv/") == "customers.csv"
+
+
+def test_lookup_pushes_an_implied_predicate(spark, wh):
+    from strata.plans.inspect import plan_text
+    path = f"{wh.root}/lookup.parquet"
+    spark.createDataFrame([("150",), ("0150",), ("15",), ("abc",)], "product_id string").write.parquet(path)
+    df = bronze.lookup(spark.read.parquet(path), "product_id", 150)
+    assert "StringContains(product_id,150)" in plan_text(df)
+    assert sorted(r[0] for r in df.collect()) == ["0150", "150"]
