@@ -25,6 +25,13 @@ from strata.operators import gold, joins, layout, silver  # noqa: E402
 from strata.plans.medallion import SNAPSHOT_NOW, run_for  # noqa: E402
 from strata.sources import bronze  # noqa: E402
 
+try:  # the corpus operators are an optional part
+    import strata.llm.queries as llm
+except ModuleNotFoundError as e:
+    if (e.name or "").split(".")[:2] not in (["strata", "llm"], ["corpus_pipeline"]):
+        raise
+    llm = None
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 
@@ -342,6 +349,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "snapshot_expiry_dry_run": q_snapshot_expiry_dry_run,
         "snapshot_after_expiry": q_snapshot_after_expiry,
         "schema_checked_append": q_schema_checked_append,
+        **(llm.QUERIES if llm else {}),
     }
 
 
@@ -552,7 +560,7 @@ UNION ALL
 SELECT product_id, product_name, category, CAST(price AS DOUBLE), CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP),
        CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP)
 FROM s_products WHERE created_at > {om.INITIAL_TS} OR updated_at > {om.INITIAL_TS}""")
-    return sql
+    return sql | (llm.ORACLES if llm else {})
 
 
 def se_config():
