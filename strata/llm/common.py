@@ -99,37 +99,42 @@ def fold(x: np.ndarray) -> np.ndarray:
     return x
 
 
-#: bytes that separate words: ASCII blanks and controls
-_IS_SPACE = np.zeros(256, dtype=bool)
-_IS_SPACE[:33] = True
+#: bytes that separate words: ASCII blanks and controls; with punctuation
+_BLANKS = np.zeros(256, dtype=bool)
+_BLANKS[:33] = True
+_MARKS = _BLANKS.copy()
+for _lo, _hi in ((33, 48), (58, 65), (91, 97), (123, 128)):
+    _MARKS[_lo:_hi] = True
 _LONGEST = 4096
 _POWERS = (np.random.default_rng(11).integers(1, 1 << 63, _LONGEST, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the blank-separated words of each text, and each text's offsets.
+def word_hashes(
+    texts: list[str], marks: bool = False, prefixes: tuple[int, ...] = ()
+) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """64-bit hashes of the words of all texts, each text's offsets, hashes of word prefixes.
 
-    Works on the UTF-8 bytes of all texts at once.  Unicode blanks are mapped to
-    ASCII ones first, so the words are those of ``str.split``.
+    Words are those of ``str.split``; with ``marks`` ASCII punctuation separates too.
+    ``prefixes`` asks for hashes of each word's first so many bytes. All texts are
+    handled at once, on their UTF-8 bytes.
     """
+    none = np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64), [np.zeros(0, np.uint64) for _ in prefixes]
     flat = [t if t.isascii() else " ".join(t.split()) for t in texts]
     data = [t.encode("utf-8", "surrogatepass") for t in flat]
-    sizes = np.array([len(d) + 1 for d in data], dtype=np.int64)
     raw = np.frombuffer(b" ".join([*data, b""]), dtype=np.uint8)
-    if not len(raw):
-        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
-    blank = _IS_SPACE[raw]
+    blank = (_MARKS if marks else _BLANKS)[raw]
     begins = np.flatnonzero(~blank & np.concatenate(([True], blank[:-1])))
     if not len(begins):
-        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+        return none
     lens = np.flatnonzero(blank & np.concatenate(([False], ~blank[:-1]))) - begins
-    at = np.arange(int(lens.sum())) - np.repeat(np.cumsum(lens) - lens, lens)
-    letters = raw[~blank].astype(np.uint64) + np.uint64(1)
-    # a position-dependent multiplier, and a second mix for positions beyond the table
+    firsts = np.cumsum(lens) - lens
+    at = np.arange(int(lens.sum())) - np.repeat(firsts, lens)
+    # a multiplier for each place, and a second mix for places beyond the table
     weight = _POWERS[at % _LONGEST]
     if lens.max() > _LONGEST:
         weight = weight + fold((at // _LONGEST).astype(np.uint64)) * np.uint64(2)
-    firsts = np.cumsum(lens) - lens
-    words = fold(np.add.reduceat(letters * weight, firsts) + lens.astype(np.uint64))
-    text_ends = np.concatenate(([0], np.cumsum(sizes)))
-    return words, np.searchsorted(begins, text_ends)
+    value = (raw[~blank].astype(np.uint64) + np.uint64(1)) * weight
+    words = fold(np.add.reduceat(value, firsts) + lens.astype(np.uint64))
+    heads = [fold(np.add.reduceat(np.where(at < p, value, np.uint64(0)), firsts) + np.uint64((1 << 40) + p)) for p in prefixes]
+    ends = np.cumsum([0, *(len(d) + 1 for d in data)])
+    return words, np.searchsorted(begins, ends), heads

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import strata
-from strata.llm import bpe, langid, ring
+from strata.llm import bpe, langid, ring, toxicity
 
 #: vocabulary files of public tokenizers
 TOKENIZERS = os.environ.get("STRATA_TOKENIZERS", "/opt/tokenizers")
@@ -53,6 +53,14 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).withColumn("held_out", remainder("doc_id", 3) == 1).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 4) != 2).select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))
+    known = labels.join(docs.select(F.col("doc_id").alias("id"), "text"), "id").select("id", "text", "label")
+    model = toxicity.fit(known)
+    return toxicity.score(docs, model).withColumn("held_out", remainder("doc_id", 4) == 2).select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), tokenizer())
 
@@ -63,6 +71,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_toxicity": op2_toxicity,
     "op7_bpe": op7_bpe,
     "op9_sharding": op9_sharding,
 }
