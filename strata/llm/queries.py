@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import strata
-from strata.llm import bpe, langid, ring, toxicity
+from strata.llm import bpe, langid, ring, syncmers, toxicity
 
 #: vocabulary files of public tokenizers
 TOKENIZERS = os.environ.get("STRATA_TOKENIZERS", "/opt/tokenizers")
@@ -61,6 +61,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).withColumn("held_out", remainder("doc_id", 4) == 2).select("doc_id", "held_out", "score", "predicted")
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.compare_neighbours(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), tokenizer())
 
@@ -72,6 +76,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
+    "op5_fingerprints": op5_fingerprints,
     "op7_bpe": op7_bpe,
     "op9_sharding": op9_sharding,
 }
