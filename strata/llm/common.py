@@ -99,6 +99,16 @@ def fold(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def window_least(values: np.ndarray, n: int) -> np.ndarray:
+    """Least of each run of ``n`` values, by doubling."""
+    out, have = values, 1
+    while have < n:
+        step = min(have, n - have)
+        out = np.minimum(out[: len(out) - step], out[step:])
+        have += step
+    return out
+
+
 #: bytes that separate words: ASCII blanks and controls; with punctuation
 _BLANKS = np.zeros(256, dtype=bool)
 _BLANKS[:33] = True

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import strata
-from strata.llm import bpe, langid, ring, syncmers, toxicity
+from strata.llm import bpe, htmltext, langid, ring, syncmers, toxicity
 
 #: vocabulary files of public tokenizers
 TOKENIZERS = os.environ.get("STRATA_TOKENIZERS", "/opt/tokenizers")
@@ -73,11 +73,16 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring.assign(table(spark, sf_dir, "documents"), shards=16)
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
     "op5_fingerprints": op5_fingerprints,
     "op7_bpe": op7_bpe,
     "op9_sharding": op9_sharding,
+    "op10_html_text": op10_html_text,
 }
 ORACLES: dict[str, str] = {}

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import code_points, fold, pieces
+from strata.llm.common import code_points, fold, pieces, window_least
 
 
 @dataclass(frozen=True)
@@ -47,23 +47,13 @@ def _rolling(points: np.ndarray, n: int) -> np.ndarray:
     return fold(h)
 
 
-def _window_least(h: np.ndarray, n: int) -> np.ndarray:
-    """Least of each run of ``n`` values, by doubling."""
-    out, have = h, 1
-    while have < n:
-        step = min(have, n - have)
-        out = np.minimum(out[: len(out) - step], out[step:])
-        have += step
-    return out
-
-
 def anchors(points: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of the closed syncmers in one run of code points."""
     if len(points) < p.k:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     inner = _rolling(points, p.s)
     width = p.k - p.s + 1
-    least = _window_least(inner, width)
+    least = window_least(inner, width)
     at = np.flatnonzero((inner[: len(least)] == least) | (inner[width - 1 :] == least))
     # the k-mer's hash from hashes of three inner pieces that cover it
     h = inner[at]
