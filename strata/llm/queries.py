@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import strata
-from strata.llm import bpe, htmltext, langid, ring, syncmers, toxicity
+from strata.llm import bpe, htmltext, langid, ring, syncmers, toxicity, warc
 
 #: vocabulary files of public tokenizers
 TOKENIZERS = os.environ.get("STRATA_TOKENIZERS", "/opt/tokenizers")
@@ -65,6 +65,10 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.compare_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), tokenizer())
 
@@ -81,6 +85,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
     "op5_fingerprints": op5_fingerprints,
+    "op6_warc": op6_warc,
     "op7_bpe": op7_bpe,
     "op9_sharding": op9_sharding,
     "op10_html_text": op10_html_text,
