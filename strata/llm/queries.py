@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import strata
-from strata.llm import bpe, htmltext, langid, ring, syncmers, toxicity, warc
+from strata.llm import bpe, htmltext, langid, ring, suffixdedup, syncmers, toxicity, warc
 
 #: vocabulary files of public tokenizers
 TOKENIZERS = os.environ.get("STRATA_TOKENIZERS", "/opt/tokenizers")
@@ -56,11 +56,15 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 4) != 2).select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))
-    known = labels.join(docs.select(F.col("doc_id").alias("id"), "text"), "id").select("id", "text", "label")
-    model = toxicity.fit(known)
+    model = toxicity.fit(docs.select(F.col("doc_id").alias("id"), "text"), labels)
     return toxicity.score(docs, model).withColumn("held_out", remainder("doc_id", 4) == 2).select("doc_id", "held_out", "score", "predicted")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixdedup.cleaned(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.compare_neighbours(table(spark, sf_dir, "documents"))
 
@@ -84,6 +88,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_fingerprints": op5_fingerprints,
     "op6_warc": op6_warc,
     "op7_bpe": op7_bpe,
