@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import strata
-from strata.llm import bpe, htmltext, langid, ring, suffixdedup, syncmers, toxicity, warc
+from strata.llm import bpe, htmltext, jaccard, langid, ring, suffixdedup, syncmers, toxicity, warc
 
 #: vocabulary files of public tokenizers
 TOKENIZERS = os.environ.get("STRATA_TOKENIZERS", "/opt/tokenizers")
@@ -77,6 +77,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring.assign(table(spark, sf_dir, "documents"), shards=16)
 
@@ -92,6 +96,7 @@ QUERIES = {
     "op5_fingerprints": op5_fingerprints,
     "op6_warc": op6_warc,
     "op7_bpe": op7_bpe,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_sharding": op9_sharding,
     "op10_html_text": op10_html_text,
 }
