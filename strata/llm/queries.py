@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import strata
-from strata.llm import bpe, htmltext, jaccard, langid, ring, suffixdedup, syncmers, toxicity, warc
+from strata.llm import bpe, decontam, htmltext, jaccard, langid, ring, suffixdedup, syncmers, toxicity, warc
 
 #: vocabulary files of public tokenizers
 TOKENIZERS = os.environ.get("STRATA_TOKENIZERS", "/opt/tokenizers")
@@ -60,6 +60,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).withColumn("held_out", remainder("doc_id", 4) == 2).select("doc_id", "held_out", "score", "predicted")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixdedup.cleaned(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -92,6 +96,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
+    "op3_decontamination": op3_decontamination,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_fingerprints": op5_fingerprints,
     "op6_warc": op6_warc,
