@@ -2,21 +2,20 @@
 
 Documents are read as overlapping passages. Passages and benchmark items are TF-IDF
 vectors over the words of the items, with document frequencies from all passages. A
-randomised singular value decomposition of the passage matrix, computed in passes over
-the corpus, gives the latent space: its basis is found from random mixtures of the
-passages (range finder) and of the items' own rows, and turned to singular vectors by
-the Gram matrix of the projected passages. Passages whose cosine with an item is high
-are candidates; a candidate counts if the longest common subsequence with the item is
+randomised singular value decomposition of the passage matrix, computed in one pass
+over the corpus, gives the latent space, which the items' own rows complete. Passages
+whose cosine with an item is high in it are candidates; a candidate counts if the longest common subsequence with the item is
 long, or if it is of middle length and the item's answer (its last words) is there too.
 
-Passes return sums of a fixed size for each task, which Spark adds up; only the items
-and these sums are on the driver. Items are taken in blocks, so the broadcast arrays
+The pass returns sums of a fixed size for each task, which Spark adds up; only the
+items and these sums are on the driver. Items are taken in blocks, so the broadcast arrays
 have a bound. A document's passages are searched in the task that reads it: no text is
 shuffled.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -32,15 +31,15 @@ from strata.llm.common import pieces, word_hashes
 @dataclass(frozen=True)
 class Params:
     #: words of a passage, an even number; the next begins after half of them
-    passage: int = 48
+    passage: int = 32
     #: random mixtures of the corpus, and dimensions for the items' rows
     mixtures: int = 48
     item_rows: int = 208
     #: least cosine of a candidate
-    cosine: float = 0.42
+    cosine: float = 0.33
     #: share of an item's words in the common subsequence: enough alone; enough with the answer
-    alone: float = 0.75
-    with_answer: float = 0.6
+    alone: float = 0.7
+    with_answer: float = 0.55
     answer_found: float = 0.8
     #: the answer: this share of the item's words, the last ones
     answer: float = 0.25
@@ -52,29 +51,23 @@ class Params:
 
 @dataclass
 class Items:
-    """A block of benchmark items: ids, words, passages and the vocabulary of all."""
+    """A block of benchmark items: ids, words, and the vocabulary of all."""
 
     ids: list
     words: list[np.ndarray]
-    #: item of each passage, its first word and its vocabulary numbers
-    of: np.ndarray
-    rows: list[np.ndarray]
+    #: how often each word is in an item
+    counts: list[dict[int, int]]
     vocabulary: np.ndarray
     table: np.ndarray
 
     @classmethod
-    def build(cls, ids: list, texts: list[str], p: Params) -> Items:
+    def build(cls, ids: list, texts: list[str]) -> Items:
         hashes, at, _ = word_hashes([t.lower() for t in texts], marks=True)
         words = [hashes[lo:hi] for lo, hi in zip(at[:-1], at[1:], strict=True)]
         vocabulary = np.unique(hashes)
         table = np.zeros(1 << 20, dtype=bool)
         table[vocabulary >> np.uint64(44)] = True
-        of, rows = [], []
-        for i, w in enumerate(words):
-            for start in range(0, max(1, len(w) - p.passage // 2), p.passage // 2) if len(w) > p.passage else [0]:
-                of.append(i)
-                rows.append(np.searchsorted(vocabulary, w[start : start + p.passage]))
-        return cls(ids, words, np.array(of), rows, vocabulary, table)
+        return cls(ids, words, [dict(Counter(w.tolist())) for w in words], vocabulary, table)
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """Vocabulary number of each word, -1 for other words."""
@@ -86,10 +79,10 @@ class Items:
         return out
 
     def matrix(self, idf: np.ndarray) -> np.ndarray:
-        """TF-IDF rows of the items' passages, of length 1."""
-        m = np.zeros((len(self.rows), len(self.vocabulary)))
-        for r, numbers in enumerate(self.rows):
-            np.add.at(m[r], numbers, 1.0)
+        """TF-IDF rows of the items, of length 1."""
+        m = np.zeros((len(self.words), len(self.vocabulary)))
+        for r, words in enumerate(self.words):
+            np.add.at(m[r], np.searchsorted(self.vocabulary, words), 1.0)
         m *= idf
         norm = np.linalg.norm(m, axis=1, keepdims=True)
         return m / np.where(norm > 0, norm, 1)
@@ -100,8 +93,9 @@ class Halves:
     """Half passages of some texts: their words' numbers, and which halves make passages."""
 
     numbers: np.ndarray
-    #: half of each word that is in the vocabulary, and the number of halves
+    #: half of each word that is in the vocabulary, its place among these, the number of halves
     half: np.ndarray
+    slot: np.ndarray
     count: int
     #: passages: first and second half (the same one at a text's end), text, first word
     first: np.ndarray
@@ -122,26 +116,31 @@ def halves(texts: list[str], items: Items, p: Params) -> Halves:
     known = np.flatnonzero(numbers >= 0)
     text = np.searchsorted(at, known, side="right") - 1
     half = base[text] + (known - at[text]) // step
+    starts = np.flatnonzero(np.diff(half, prepend=-1))
+    slot = np.arange(len(half)) - np.repeat(starts, np.diff(np.append(starts, len(half))))
     total = int(count.sum())
     of = np.repeat(np.arange(len(texts)), count)
     nth = np.arange(total) - base[of]
     # a text's last half is a passage only if it stands alone
     passage = np.flatnonzero((nth < count[of] - 1) | (count[of] == 1))
     second = np.where(count[of[passage]] > 1, passage + 1, passage)
-    return Halves(numbers[known], half, total, passage, second, of[passage], nth[passage] * step, hashes, at)
+    return Halves(numbers[known], half, slot, total, passage, second, of[passage], nth[passage] * step, hashes, at)
 
 
 def _half_sums(h: Halves, weights: np.ndarray) -> np.ndarray:
     """Sum of the words' rows of ``weights`` for each half."""
     out = np.zeros((h.count, weights.shape[1]), dtype=np.float32)
-    if len(h.half):
-        starts = np.flatnonzero(np.diff(h.half, prepend=-1))
-        out[h.half[starts]] = np.add.reduceat(weights[h.numbers], starts, axis=0)
+    order = np.argsort(h.slot, kind="stable")
+    edges = np.searchsorted(h.slot[order], np.arange((h.slot.max() if len(h.slot) else -1) + 2))
+    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+        own = order[lo:hi]  # at most one word of each half
+        out[h.half[own]] += weights[h.numbers[own]]
     return out
 
 
-def _passages(h: Halves, sums: np.ndarray) -> np.ndarray:
-    return sums[h.first] + np.where((h.second > h.first)[:, None], sums[h.second], 0)
+def _passages(h: Halves, sums: np.ndarray, part: slice = slice(None)) -> np.ndarray:
+    first, second = h.first[part], h.second[part]
+    return sums[first] + sums[second] * (second > first)[:, None]
 
 
 def _parts(batch: pa.RecordBatch, size: int = 200_000) -> Iterator[tuple[int, list[str]]]:
@@ -160,7 +159,7 @@ def _parts(batch: pa.RecordBatch, size: int = 200_000) -> Iterator[tuple[int, li
 _CHUNK = 64
 
 
-def _summed(source: DataFrame, shape: tuple[int, ...], add: Callable[[np.ndarray, list[str]], None], items, p: Params) -> np.ndarray:
+def _summed(source: DataFrame, shape: tuple[int, ...], add: Callable[[np.ndarray, list[str]], None]) -> np.ndarray:
     """Sum over all tasks of an array that ``add`` fills in from texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,68 +193,54 @@ def _summed(source: DataFrame, shape: tuple[int, ...], add: Callable[[np.ndarray
 
 
 def latent_space(source: DataFrame, items: Items, p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(words, dimensions) weights that project words, the items' passages in the space, singular values."""
+    """(words, dimensions) weights that project words, the items in the space, singular values.
+
+    One pass over the corpus gives the document frequencies and the word counts of
+    random mixtures of all passages, ``A' (A R)`` for the passage matrix ``A`` and a random
+    ``R``; the inverse frequencies scale the rows afterwards. Its singular vectors are those
+    of the passages, to the accuracy of one power step. The items' own rows complete the
+    space, so what is rare in the corpus keeps its place in it.
+    """
     spark = source.sparkSession
     shared = spark.sparkContext.broadcast(items)
-    size = len(items.vocabulary)
-
-    def frequencies(total: np.ndarray, texts: list[str]) -> None:
-        h = halves(texts, shared.value, p)
-        total[size] += len(h.first)
-        # a passage counts once for a word: words of a half, less what two halves share
-        cells = np.unique(h.half * size + h.numbers)
-        half, number = cells // size, cells % size
-        lone = np.zeros(h.count, dtype=np.int64)
-        np.add.at(lone, h.first, 1)
-        np.add.at(lone, h.second[h.second > h.first], 1)
-        total[:size] += np.bincount(number, weights=lone[half], minlength=size)
-        pair = np.zeros(h.count, dtype=bool)
-        pair[h.first[h.second > h.first]] = True
-        both = cells[pair[half]]
-        again = np.isin(both + size, cells, assume_unique=True)
-        total[:size] -= np.bincount(both[again] % size, minlength=size)
-
-    counts = _summed(source, (size + 1,), frequencies, items, p)
-    idf = np.log((1 + counts[size]) / (1 + counts[:size])) + 0.2
-    own = items.matrix(idf)
+    size, mixtures = len(items.vocabulary), p.mixtures
     random = np.random.default_rng(3)
-    start = random.standard_normal((size, p.mixtures)).astype(np.float32)
-    weights = spark.sparkContext.broadcast(((idf[:, None] * start).astype(np.float32), idf))
+    start = spark.sparkContext.broadcast(random.standard_normal((size, mixtures)).astype(np.float32))
 
-    def mixtures(total: np.ndarray, texts: list[str]) -> None:
+    def add(total: np.ndarray, texts: list[str]) -> None:
         h = halves(texts, shared.value, p)
+        total[size, mixtures] += len(h.first)
         if not len(h.numbers):
             return
-        project, word_idf = weights.value
-        y = _passages(h, _half_sums(h, project))
-        of_half = np.zeros((h.count, y.shape[1]), dtype=np.float32)
-        of_half[h.first] += y
+        # a passage counts once for a word: the words of its halves, less what both have
+        cells = np.unique(h.half * size + h.numbers)
+        half, number = cells // size, cells % size
         two = h.second > h.first
+        in_passages = np.bincount(h.first, minlength=h.count) + np.bincount(h.second[two], minlength=h.count)
+        total[:size, mixtures] += np.bincount(number, weights=in_passages[half], minlength=size)
+        opens = np.zeros(h.count, dtype=bool)
+        opens[h.first[two]] = True
+        both = cells[opens[half]]
+        again = both[np.isin(both + size, cells, assume_unique=True)]
+        total[:size, mixtures] -= np.bincount(again % size, minlength=size)
+        y = _passages(h, _half_sums(h, start.value))
+        of_half = np.zeros((h.count, mixtures), dtype=np.float32)
+        of_half[h.first] += y
         of_half[h.second[two]] += y[two]
-        order = np.argsort(h.numbers, kind="stable")
-        starts = np.flatnonzero(np.diff(h.numbers[order], prepend=-1))
-        word = h.numbers[order[starts]]
-        total[word] += word_idf[word, None] * np.add.reduceat(of_half[h.half[order]], starts, axis=0)
+        for d, column in enumerate(np.ascontiguousarray(of_half.T)):
+            total[:size, d] += np.bincount(h.numbers, weights=column[h.half], minlength=size)
 
-    spread = _summed(source, (size, p.mixtures), mixtures, items, p)
+    sums = _summed(source, (size + 1, mixtures + 1), add)
+    idf = np.log((1 + sums[size, mixtures]) / (1 + np.maximum(sums[:size, mixtures], 0))) + 0.2
+    own = items.matrix(idf)
+    left, singular, _ = np.linalg.svd(idf[:, None] * sums[:size, :mixtures], full_matrices=False)
+    left = left[:, singular > 1e-9 * max(1e-30, singular.max())]
     rows = own if len(own) <= p.item_rows else random.standard_normal((p.item_rows, len(own))) @ own
-    basis, r = np.linalg.qr(np.column_stack((rows.T, spread / max(1e-30, np.abs(spread).max()))))
-    basis = basis[:, np.abs(np.diag(r)) > 1e-9]
-    projected = spark.sparkContext.broadcast((idf[:, None] * basis).astype(np.float32))
-
-    def gram(total: np.ndarray, texts: list[str]) -> None:
-        h = halves(texts, shared.value, p)
-        y = _passages(h, _half_sums(h, projected.value))
-        total += y.T @ y
-
-    k = basis.shape[1]
-    values, turn = np.linalg.eigh(_summed(source, (k, k), gram, items, p))
-    turn = turn[:, ::-1]
-    singular = np.sqrt(np.maximum(values[::-1], 0))
-    space = basis @ turn
+    basis, r = np.linalg.qr(np.column_stack((left, rows.T)))
+    space = basis[:, np.abs(np.diag(r)) > 1e-9]
     found = own @ space
     norm = np.linalg.norm(found, axis=1, keepdims=True)
-    return (idf[:, None] * space).astype(np.float32), (found / np.where(norm > 0, norm, 1)).astype(np.float32), singular
+    return (idf[:, None] * space).astype(np.float32), (found / np.where(norm > 0, norm, 1)).astype(np.float32), np.sqrt(singular)
 
 
 def common_subsequence(item: np.ndarray, text: np.ndarray) -> int:
@@ -265,11 +250,9 @@ def common_subsequence(item: np.ndarray, text: np.ndarray) -> int:
         masks[w] = masks.get(w, 0) | (1 << i)
     full = (1 << len(item)) - 1
     row = full
-    for w in text.tolist():
-        m = masks.get(w)
-        if m:
-            u = row & m
-            row = ((row + u) | (row - u)) & full
+    for m in [masks[w] for w in text.tolist() if w in masks]:
+        u = row & m
+        row = ((row + u) | (row - u)) & full
     return len(item) - row.bit_count()
 
 
@@ -300,7 +283,7 @@ def search(docs: DataFrame, benchmark: DataFrame, p: Params = Params(), id_col:
     block: list = []
 
     def searched(block: list) -> DataFrame | None:
-        items = Items.build([r["id"] for r in block], [r["text"] for r in block], p)
+        items = Items.build([r["id"] for r in block], [r["text"] for r in block])
         if not len(items.vocabulary):
             return None
         weights, rows_in_space, _ = latent_space(source, items, p)
@@ -308,6 +291,7 @@ def search(docs: DataFrame, benchmark: DataFrame, p: Params = Params(), id_col:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own, project, targets = shared.value
+            longest = max(map(len, own.words))
             for batch in batches:
                 for first, texts in _parts(batch):
                     best: dict[tuple[int, int], tuple] = {}
@@ -315,21 +299,26 @@ def search(docs: DataFrame, benchmark: DataFrame, p: Params = Params(), id_col:
                     sums = _half_sums(h, project)
                     for lo in range(0, len(h.first), 4096):
                         part = slice(lo, lo + 4096)
-                        y = _passages(Halves(h.numbers, h.half, h.count, h.first[part], h.second[part], h.text[part], h.word[part], h.hashes, h.word_at), sums)
+                        y = _passages(h, sums, part)
                         norm = np.linalg.norm(y, axis=1, keepdims=True)
                         cosine = (y / np.where(norm > 0, norm, 1)) @ targets.T
-                        for i, j in zip(*np.nonzero(cosine >= p.cosine), strict=True):
-                            text, item = int(h.text[lo + i]), int(own.of[j])
-                            words = own.words[item]
-                            if not len(words):
-                                continue
+                        rows, found = np.nonzero(cosine >= p.cosine)
+                        seen, region = -1, set()
+                        for i, item in zip(rows.tolist(), found.tolist(), strict=True):
+                            text, words = int(h.text[lo + i]), own.words[item]
                             begin, end = h.word_at[text], h.word_at[text + 1]
                             at = begin + h.word[lo + i]
+                            if i != seen:
+                                seen, region = i, set(h.hashes[max(begin, at - longest) : min(end, at + p.passage + longest)].tolist())
+                            # no subsequence is longer than the words that are there at all
+                            there = sum([n for w, n in own.counts[item].items() if w in region])
+                            if there < p.with_answer * len(words):
+                                continue
                             near = h.hashes[max(begin, at - len(words)) : min(end, at + p.passage + len(words))]
                             hit, share, answer = verdict(words, near, p)
                             key = (text, item)
                             if hit and (key not in best or share > best[key][1]):
-                                best[key] = (float(cosine[i, j]), share, answer, int(h.word[lo + i]))
+                                best[key] = (float(cosine[i, item]), share, answer, int(h.word[lo + i]))
                     if best:
                         yield pa.RecordBatch.from_arrays(
                             [
