@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import pieces, word_hashes
+from strata.llm.common import pieces, word_hashes, written
 
 
 @dataclass(frozen=True)
@@ -123,22 +123,25 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 60)
     return w
 
 
-def fit(labelled: DataFrame, params: Params = Params()) -> Model:
-    """Fit on (id, text, label); rows without text or label do not count.
+def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Model:
+    """Fit on texts (id, text) and labels (id, label); rows without text or label do not count.
 
-    Of equal texts one row is taken, so a copied document is not counted as many. The
-    sample is bounded (``rows_per_class``) and chosen by hash of the id. The driver gets
-    the codes that pass the frequency bound and a few numbers a sample row.
+    The sample of labels is bounded (``rows_per_class``, on average) and chosen by hash
+    of the id; only it is sent to the scan of the texts, so no text but the sample's
+    moves. Of equal texts one row is taken, so a copied document is not counted as many.
+    The driver gets the codes that pass the frequency bound and a few numbers a sample row.
     """
-    spark = labelled.sparkSession
-    rows = labelled.where("text IS NOT NULL AND label IN (0, 1)")
+    spark = docs.sparkSession
+    rows = labels.where("label IN (0, 1) AND id IS NOT NULL")
     counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     rate = F.lit(0.0)
     for label, n in counts.items():
         rate = F.when(F.col("label") == label, min(1.0, params.rows_per_class / n)).otherwise(rate)
     chosen = rows.where(F.pmod(F.xxhash64(F.lit("toxicity"), "id"), F.lit(1 << 20)) / float(1 << 20) < rate)
-    sample = chosen.groupBy("text").agg(F.max("label").cast("int").alias("label")).withColumn(
-        "fold", F.pmod(F.xxhash64(F.lit("fold"), "text"), F.lit(2)).cast("int")
+    known = docs.where("text IS NOT NULL").join(F.broadcast(chosen), "id")
+    sample = written(
+        known.groupBy("text").agg(F.max("label").cast("int").alias("label")).withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "text"), F.lit(2)).cast("int")),
+        "toxicity-sample",
     )
     own = params.beginnings
 
