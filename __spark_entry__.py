@@ -22,8 +22,8 @@ from pyspark.sql import types as T  # noqa: E402
 
 import oracle_model as om  # noqa: E402
 from strata.operators import gold, joins, layout, silver  # noqa: E402
-from strata.plans.medallion import SNAPSHOT_NOW, run_for  # noqa: E402
-from strata.sources import bronze  # noqa: E402
+from strata.plans.medallion import MIDDLE_TS, SNAPSHOT_NOW, run_for  # noqa: E402
+from strata.sources import bronze, retail  # noqa: E402
 
 try:  # the corpus operators are an optional part
     import strata.llm.queries as llm
@@ -80,10 +80,11 @@ def q_silver_key_check(spark, sf_dir):
 
 
 def q_silver_reject_report(spark, sf_dir):
-    p = _p(spark, sf_dir)
+    """Rejects of a damaged extract (the strict loads read the clean one)."""
     out = None
     for e in ("customers", "order_items", "orders", "products"):
-        r = silver.reject_summary(p.raw(e), e)
+        typed = retail.entity(spark, sf_dir, e).select([c for c, _ in silver.SPECS[e]])
+        r = silver.reject_summary(retail.as_dirty_raw(typed, silver.KEYS[e]), e)
         out = r if out is None else out.unionByName(r)
     return out
 
@@ -105,18 +106,29 @@ def q_silver_orders_history(spark, sf_dir):
 
 
 def q_silver_logger_update(spark, sf_dir):
-    return _p(spark, sf_dir).incremental_table("table_logger_v1")
+    p = _p(spark, sf_dir)
+    p.two_increments()
+    return p.control("_two").current()
 
 
-def q_silver_orders_with_customers(spark, sf_dir):
+def q_silver_orders_two_increments(spark, sf_dir):
     p = _p(spark, sf_dir)
-    return present(silver.orders_with_customers(p.silver_table("orders"), p.silver_table("customers")))
+    p.two_increments()
+    return present(p.silver_versions("orders", "_two").current())
 
 
-def q_silver_orders_with_products(spark, sf_dir):
+def q_silver_orders_two_history(spark, sf_dir):
     p = _p(spark, sf_dir)
-    return present(silver.orders_with_products(
-        p.silver_table("orders"), p.silver_table("order_items"), p.silver_table("products")))
+    p.two_increments()
+    return p.silver_versions("orders", "_two").history()
+
+
+def q_silver_orders_with_customers(spark, sf_dir):
+    return present(_p(spark, sf_dir).silver_table("orders_with_customers"))
+
+
+def q_silver_orders_with_products(spark, sf_dir):
+    return present(_p(spark, sf_dir).silver_table("orders_with_products"))
 
 
 # -- gold -----------------------------------------------------------------------------
@@ -145,6 +157,12 @@ def q_gold_monthly_sales(spark, sf_dir):
     return gold.ordered(gold.monthly_sales(_p(spark, sf_dir).fact()), "agg_monthly_sales")
 
 
+def _mart(name):
+    def q(spark, sf_dir):
+        return gold.ordered(_p(spark, sf_dir).gold_table(name), name)
+    return q
+
+
 def q_gold_sales_enriched(spark, sf_dir):
     p = _p(spark, sf_dir)
     return present(gold.sales_enriched(p.fact(), p.gold_table("dim_customers"), p.gold_table("dim_products")))
@@ -165,7 +183,7 @@ def q_join_fact_customer_auto(spark, sf_dir):
 
 def q_join_fact_customer_broadcast(spark, sf_dir):
     p, f, d = _fact_and_customers(spark, sf_dir)
-    return present(joins.join_broadcast(f, d, "customer_id", p.config.max_broadcast_rows))
+    return present(joins.join_broadcast(f, d, "customer_id", p.config.max_broadcast_bytes))
 
 
 def q_join_salted(spark, sf_dir):
@@ -175,22 +193,22 @@ def q_join_salted(spark, sf_dir):
 
 def q_join_salted_heavy(spark, sf_dir):
     p, f, d = _fact_and_customers(spark, sf_dir)
-    heavy = joins.heavy_keys(f, "customer_id", p.config.heavy_key_threshold)
-    return present(joins.salted_join(f, d, "customer_id", p.config.salt_buckets, "sales_id", heavy=heavy,
-                                     max_rows=p.config.max_broadcast_rows))
+    hot = joins.hot_keys(f, "customer_id", p.config.heavy_key_threshold, p.config.most_hot_keys)
+    return present(joins.salted_join(f, d, "customer_id", p.config.salt_buckets, "sales_id", hot=hot))
 
 
 def q_join_split_skew(spark, sf_dir):
     p, f, d = _fact_and_customers(spark, sf_dir)
-    heavy = joins.heavy_keys(f, "customer_id", p.config.heavy_key_threshold)
-    return present(joins.split_skew_join(f, d, "customer_id", heavy, p.config.max_broadcast_rows,
-                                         row_id="sales_id", buckets=p.config.salt_buckets))
+    hot = joins.hot_keys(f, "customer_id", p.config.heavy_key_threshold, p.config.most_hot_keys)
+    return present(joins.split_skew_join(f, d, "customer_id", hot, p.config.max_broadcast_bytes, "sales_id",
+                                         p.config.salt_buckets))
 
 
 def q_join_light_keys_anti(spark, sf_dir):
     p = _p(spark, sf_dir)
     f = p.fact()
-    return present(joins.light_rows(f, "customer_id", joins.heavy_keys(f, "customer_id", p.config.heavy_key_threshold)))
+    heavy = joins.heavy_keys(f, "customer_id", p.config.heavy_key_threshold)
+    return present(joins.light_rows(f, "customer_id", heavy, p.config.max_broadcast_bytes, "sales_id", p.config.salt_buckets))
 
 
 def q_skew_top_keys(spark, sf_dir):
@@ -234,8 +252,9 @@ def q_layout_partition_counts(spark, sf_dir):
 
 def q_cached_sales_reuse(spark, sf_dir):
     p = _p(spark, sf_dir)
-    return present(layout.persisted(
-        gold.sales_enriched(p.fact(), p.gold_table("dim_customers"), p.gold_table("dim_products"))))
+    star = gold.sales_enriched(p.fact(), p.gold_table("dim_customers"), p.gold_table("dim_products"))
+    with layout.persisted(star) as cached:  # the second use reads the cached blocks; then they are released
+        return present(p.wh.save(cached, "gold", "sales_enriched_cached"))
 
 
 def q_partition_listing(spark, sf_dir):
@@ -245,10 +264,13 @@ def q_partition_listing(spark, sf_dir):
 
 
 def q_table_detail(spark, sf_dir):
-    """File statistics of the fact before and after the z-order compaction."""
+    """Rows of the fact before and after the z-order compaction, and whether the compacted
+    table has no more files than its size asks for (any count is right before)."""
     p = _p(spark, sf_dir)
-    before = layout.file_stats(p.fact()).select(F.lit("fact_sales").alias("table_name"), "*")
-    after = layout.file_stats(p.zordered_fact()).select(F.lit("fact_sales_zordered").alias("table_name"), "*")
+    asked = layout.tasks_for(p.fact(), p.config.target_file_bytes)
+    before = layout.file_stats(p.fact()).select(F.lit("fact_sales").alias("table_name"), "num_rows", (F.col("num_files") > 0).alias("within_target"))
+    after = layout.file_stats(p.zordered_fact()).select(
+        F.lit("fact_sales_zordered").alias("table_name"), "num_rows", F.col("num_files").between(1, asked).alias("within_target"))
     return before.unionByName(after)
 
 
@@ -309,6 +331,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "silver_key_check": q_silver_key_check,
         "silver_reject_report": q_silver_reject_report,
         "silver_incremental_orders": q_silver_incremental_orders,
+        "silver_orders_two_increments": q_silver_orders_two_increments,
+        "silver_orders_two_history": q_silver_orders_two_history,
+        **{f"gold_{m}": _mart(m) for m in ("agg_revenue_by_state", "agg_top_products", "agg_daily_sales", "agg_monthly_sales")},
         "silver_customers_merge": _silver_merge("customers"),
         "silver_order_items_merge": _silver_merge("order_items"),
         "silver_orders_merge": _silver_merge("orders"),
@@ -418,21 +443,23 @@ def oracle_sql() -> dict[str, str]:
     sql["silver_logger_init"] = om.with_(om.SILVER_CTES, " UNION ALL ".join(
         f"SELECT '{e}' AS table_name, MAX(record_created_at) AS last_run_time FROM sv_{e}"
         for e in ("customers", "products", "orders", "order_items")))
+    middle = f"TIMESTAMP '{MIDDLE_TS}'"
+    # the second of two increments is for the orders only
     sql["silver_logger_update"] = (
-        f"SELECT table_name, {om.INCR_TS} AS last_run_time FROM "
-        "(VALUES ('customers'), ('products'), ('orders'), ('order_items')) v(table_name)")
+        f"SELECT 'customers' AS table_name, {middle} AS last_run_time UNION ALL SELECT 'orders', {om.INCR_TS}")
     sql["silver_key_check"] = ("SELECT l_orderkey, l_linenumber, COUNT(*) AS row_count FROM lineitem "
                                "GROUP BY l_orderkey, l_linenumber "
                                "HAVING COUNT(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL")
     rej = []
     for e, spec in silver.SPECS.items():
-        for c, t in spec:
+        for i, (c, t) in enumerate(spec):
             if t == "string":
                 continue
             dt = {"int": "INTEGER", "bigint": "BIGINT", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}.get(t, t.upper())
             rej.append(f"SELECT '{e}' AS table_name, '{c}' AS column_name, COUNT(*) AS rows_checked, "
                        f"COUNT(CASE WHEN v IS NOT NULL AND TRY_CAST(v AS {dt}) IS NULL THEN 1 END) AS rejected "
-                       f"FROM (SELECT CAST({c} AS VARCHAR) AS v FROM s_{e})")
+                       f"FROM (SELECT CASE WHEN ({silver.KEYS[e]} + {i}) % 50 = 0 THEN '#' || CAST({c} AS VARCHAR) "
+                       f"ELSE CAST({c} AS VARCHAR) END AS v FROM s_{e})")
     sql["silver_reject_report"] = om.with_(om.ENTITY_CTES, " UNION ALL ".join(rej))
     sql["silver_orders_history"] = om.with_(om.ENTITY_CTES, f"""
 SELECT CAST(0 AS BIGINT) AS version, {om.INITIAL_TS} AS timestamp, 'WRITE' AS operation, COUNT(*) AS num_rows
@@ -442,6 +469,18 @@ SELECT CAST(1 AS BIGINT), {om.INCR_TS}, 'MERGE', COUNT(*) FROM
   (SELECT order_id FROM s_orders WHERE created_at <= {om.INITIAL_TS}) t
   FULL OUTER JOIN (SELECT order_id FROM s_orders WHERE created_at > {om.INITIAL_TS} OR updated_at > {om.INITIAL_TS}) s
   ON t.order_id = s.order_id""")
+    sql["silver_orders_two_increments"] = om.with_(om.ENTITY_CTES, f"""
+SELECT {_dbl('orders')},
+  CASE WHEN created_at <= {om.INITIAL_TS} THEN {om.INITIAL_TS} WHEN created_at <= {middle} THEN {middle}
+       ELSE {om.INCR_TS} END AS record_created_at,
+  CASE WHEN created_at <= {middle} AND updated_at > {middle} THEN {om.INCR_TS}
+       WHEN created_at <= {om.INITIAL_TS} AND updated_at > {om.INITIAL_TS} THEN {middle} END AS record_updated_at
+FROM s_orders""")
+    sql["silver_orders_two_history"] = om.with_(om.ENTITY_CTES, f"""
+SELECT CAST(0 AS BIGINT) AS version, {om.INITIAL_TS} AS timestamp, 'WRITE' AS operation,
+       (SELECT COUNT(*) FROM s_orders WHERE created_at <= {om.INITIAL_TS}) AS num_rows
+UNION ALL SELECT 1, {middle}, 'MERGE', (SELECT COUNT(*) FROM s_orders WHERE created_at <= {middle})
+UNION ALL SELECT 2, {om.INCR_TS}, 'MERGE', (SELECT COUNT(*) FROM s_orders)""")
     sql["silver_incremental_orders"] = om.with_(
         om.ENTITY_CTES, f"SELECT {_dbl('orders')} FROM s_orders "
                         f"WHERE created_at > {om.INITIAL_TS} OR updated_at > {om.INITIAL_TS}")
@@ -486,6 +525,9 @@ FROM sv_orders o JOIN sv_order_items oi ON o.order_id = oi.order_id JOIN sv_prod
         "CAST(SUM(line_total) AS DOUBLE) AS monthly_revenue, "
         "CAST(SUM(line_total) AS DOUBLE) / COUNT(line_total) AS avg_line_value, "
         "CAST(SUM(quantity) AS BIGINT) AS monthly_quantity_sold", "fact_sales")
+    for mart, key in (("agg_revenue_by_state", "revenue_by_state"), ("agg_top_products", "top_products"),
+                      ("agg_daily_sales", "daily_sales"), ("agg_monthly_sales", "monthly_sales")):
+        sql[f"gold_{mart}"] = sql[f"gold_{key}"]
     sql["gold_sales_enriched"] = om.with_(om.GOLD_CTES, """
 SELECT f.sales_id, f.sales_date, c.customer_name, c.state, p.product_name, p.category, f.quantity,
        CAST(f.line_total AS DOUBLE) AS line_total
@@ -545,14 +587,20 @@ versions AS (
         om.GOLD_CTES, f"SELECT {fact_cols} FROM fact_sales WHERE sales_date <= DATE '1999-12-31'")
     sql["snapshot_as_of_timestamp"] = om.with_(
         om.GOLD_CTES, f"SELECT {fact_cols} FROM fact_sales WHERE sales_date <= DATE '1998-12-31'")
+    due = f"superseded_at < TIMESTAMP '{SNAPSHOT_NOW}' - INTERVAL {se_config().retention_hours} HOUR"
+    superseded = "SELECT *, LEAD(timestamp) OVER (ORDER BY version) AS superseded_at FROM versions"
     sql["snapshot_expiry_dry_run"] = om.with_(snap, f"""
-SELECT CAST(version AS BIGINT) AS version, timestamp, superseded_at FROM (
-  SELECT version, timestamp, LEAD(timestamp) OVER (ORDER BY version) AS superseded_at FROM versions) h
-WHERE superseded_at < TIMESTAMP '{SNAPSHOT_NOW}' - INTERVAL {se_config().retention_hours} HOUR""")
-    sql["snapshot_after_expiry"] = om.with_(snap, f"""
-SELECT CAST(version AS BIGINT) AS version, CAST(num_rows AS BIGINT) AS num_rows FROM (
-  SELECT version, num_rows, LEAD(timestamp) OVER (ORDER BY version) AS superseded_at FROM versions) h
-WHERE superseded_at IS NULL OR superseded_at >= TIMESTAMP '{SNAPSHOT_NOW}' - INTERVAL {se_config().retention_hours} HOUR""")
+SELECT CAST(version AS BIGINT) AS version, timestamp, superseded_at, CAST(num_rows AS BIGINT) AS num_rows
+FROM ({superseded}) h WHERE {due}""")
+    # retention is applied to versions of the products
+    kept = snap.replace("fact_sales WHERE sales_date <= DATE", "dim_products WHERE created_at <= DATE").replace(
+        "(SELECT COUNT(*) FROM fact_sales))", "(SELECT COUNT(*) FROM dim_products))")
+    sql["snapshot_after_expiry"] = om.with_(kept, f"""
+SELECT CAST(version AS BIGINT) AS version, CAST(num_rows AS BIGINT) AS num_rows
+FROM ({superseded}) h WHERE superseded_at IS NULL OR NOT ({due})""")
+    sql["table_detail"] = om.with_(om.GOLD_CTES, """
+SELECT table_name, COUNT(*) AS num_rows, true AS within_target
+FROM fact_sales, (VALUES ('fact_sales'), ('fact_sales_zordered')) v(table_name) GROUP BY table_name""")
     sql["schema_checked_append"] = om.with_(om.GOLD_CTES, f"""
 SELECT product_id, product_name, category, CAST(price AS DOUBLE) AS price, created_at, updated_at,
        record_created_at, record_updated_at FROM dim_products

@@ -68,7 +68,8 @@ def main() -> None:
     hot = dcs.agg(F.min("customer_id")).first()[0]
     skewed = f.withColumn("customer_id", F.when(F.pmod(F.xxhash64("sales_id"), F.lit(3)) == 0, F.lit(hot))
                           .otherwise(F.col("customer_id"))).checkpoint(eager=True)
-    skew_heavy = joins.heavy_keys(skewed, "customer_id", cfg.heavy_key_threshold)
+    hot_keys = joins.hot_keys(f, "customer_id", cfg.heavy_key_threshold, cfg.most_hot_keys)
+    skew_hot = joins.hot_keys(skewed, "customer_id", cfg.heavy_key_threshold, cfg.most_hot_keys)
     queries = {
         "gold_revenue_by_state": lambda: gold.revenue_by_state(f, dc),
         "gold_top_products": lambda: gold.top_products(f, dp),
@@ -76,12 +77,11 @@ def main() -> None:
         "gold_monthly_sales": lambda: gold.monthly_sales(f),
         "gold_sales_enriched": lambda: gold.sales_enriched(f, dc, dp),
         "join_fact_customer_auto": lambda: joins.join_auto(f, dcs, "customer_id"),
-        "join_fact_customer_broadcast": lambda: joins.join_broadcast(f, dcs, "customer_id", cfg.max_broadcast_rows),
+        "join_fact_customer_broadcast": lambda: joins.join_broadcast(f, dcs, "customer_id", cfg.max_broadcast_bytes),
         "join_salted": lambda: joins.salted_join(f, dcs, "customer_id", cfg.salt_buckets, "sales_id"),
-        "join_salted_heavy": lambda: joins.salted_join(f, dcs, "customer_id", cfg.salt_buckets, "sales_id",
-                                                       heavy=heavy, max_rows=cfg.max_broadcast_rows),
-        "join_split_skew": lambda: joins.split_skew_join(f, dcs, "customer_id", heavy, cfg.max_broadcast_rows,
-                                                         row_id="sales_id", buckets=cfg.salt_buckets),
+        "join_salted_heavy": lambda: joins.salted_join(f, dcs, "customer_id", cfg.salt_buckets, "sales_id", hot=hot_keys),
+        "join_split_skew": lambda: joins.split_skew_join(f, dcs, "customer_id", hot_keys, cfg.max_broadcast_bytes, "sales_id",
+                                                         cfg.salt_buckets),
         "skew_top_keys": lambda: joins.top_keys(f, "customer_id", 20, "order_count"),
         "skew_heavy_keys": lambda: heavy,
         "product_sales_count": lambda: layout.count_by(fp, "product_id"),
@@ -90,11 +90,9 @@ def main() -> None:
         "unpruned_date_count": lambda: layout.count_by(fp.filter(fp.sales_date == "2000-12-31"), "product_id"),
         "skewed_join_auto": lambda: joins.join_auto(skewed, dcs, "customer_id"),
         "skewed_join_salted_heavy": lambda: joins.salted_join(skewed, dcs, "customer_id", cfg.salt_buckets,
-                                                              "sales_id", heavy=skew_heavy,
-                                                              max_rows=cfg.max_broadcast_rows),
-        "skewed_join_split": lambda: joins.split_skew_join(skewed, dcs, "customer_id", skew_heavy,
-                                                           cfg.max_broadcast_rows, row_id="sales_id",
-                                                           buckets=cfg.salt_buckets),
+                                                              "sales_id", hot=skew_hot),
+        "skewed_join_split": lambda: joins.split_skew_join(skewed, dcs, "customer_id", skew_hot,
+                                                           cfg.max_broadcast_bytes, "sales_id", cfg.salt_buckets),
         "skewed_revenue_by_state": lambda: gold.revenue_by_state(skewed, dc),
         "snapshot_as_of_version": lambda: snaps.as_of_version(1),
         "snapshot_as_of_timestamp": lambda: snaps.as_of_timestamp("2024-01-01"),

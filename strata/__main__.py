@@ -24,6 +24,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--run-ts", default=Config.run_ts, help="load stamp, or 'now'")
     ap.add_argument("--root", default=None,
                     help="new table folder (default: a fresh <spark.checkpoint.dir>/strata/warehouse-<id>)")
+    ap.add_argument("--config", default=None, help="your own ingestion config (JSON list of FilePath, TargetTableName) for the bronze stage")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("strata").getOrCreate()
@@ -31,7 +32,7 @@ def main(argv: list[str] | None = None) -> None:
     # the session catalog lives as long as the session, so each run takes a fresh folder
     root = args.root or new_run_root(spark, "warehouse")
     print(f"tables under {root}")
-    p = MedallionRun(spark, args.data, cfg, Warehouse(spark, cfg, root=root, prefix=""))
+    p = MedallionRun(spark, args.data, cfg, Warehouse(spark, cfg, root=root, prefix=""), config_file=args.config)
     steps = {"bronze": p.bronze, "silver": p.silver, "gold": p.gold, "incremental": p.incremental,
              "layout": lambda: (p.partitioned_fact(), p.zordered_fact()), "snapshots": p.fact_snapshots}
     for s in args.stages:

@@ -29,15 +29,20 @@ class Config:
     # skew handling
     heavy_key_threshold: int = 60
     salt_buckets: int = 10
-    # largest side (rows) we ever broadcast; anything above takes the shuffle path
-    max_broadcast_rows: int = 2_000_000
+    # keys treated apart by the skew joins: fewer than this many, each with more than its
+    # inverse share of all rows (and more than heavy_key_threshold)
+    most_hot_keys: int = 10_000
+    # largest side (bytes) we ever broadcast; anything above takes the shuffle path
+    max_broadcast_bytes: int = 64 << 20
 
     # layout: keyed tables (silver entities, gold dimensions) are bucketed on their
-    # key so merges and dimension joins shuffle only the other side. None = the
-    # session's spark.sql.shuffle.partitions (a bucket count below it makes the
-    # planner reshuffle both sides, so the bucketing would be wasted)
+    # key so merges and dimension joins shuffle only the other side. None = the largest
+    # source's bytes / target_file_bytes, at least the session's
+    # spark.sql.shuffle.partitions (a bucket count below it makes the planner reshuffle
+    # both sides, so the bucketing would be wasted)
     buckets: int | None = None
-    zorder_files: int = 16
+    # bytes of a bucket, of a z-ordered file and of a repartitioned task
+    target_file_bytes: int = 256 << 20
 
     # independent table jobs (one per entity / mart) submitted at once from driver
     # threads; each is still an ordinary distributed job

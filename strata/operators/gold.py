@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.expressions import as_double, mean, month_start, ratio
+from strata.functions.expressions import as_double, month_start, ratio
 
 AUDIT = ["created_at", "updated_at", "record_created_at", "record_updated_at"]
 
@@ -38,24 +38,30 @@ def fact_sales(orders: DataFrame, items: DataFrame) -> DataFrame:
         "order_total", "order_status", *AUDIT)
 
 
-def revenue_by_state(fact: DataFrame, dim_cust: DataFrame) -> DataFrame:
-    """Revenue per customer state.
+def order_totals(fact: DataFrame) -> DataFrame:
+    """The fact reduced to (sales_date, customer_id, order_id): revenue, counted lines, quantity.
 
-    Eager aggregation: the fact is first reduced to one row per (customer, order)
-    (partial aggregation runs before any shuffle), so the join with the customer
-    dimension moves orders instead of lines. Exact: every distinct order and
-    customer of a state survives as its own (customer, order) row, and sums /
-    counts add up.
+    Partial aggregation runs before any shuffle. State, day and month marts build on it:
+    every distinct order and customer survives as its own row, and sums and counts add
+    up, so distinct counts expand orders instead of lines.
     """
-    per_order = fact.groupBy("customer_id", "order_id").agg(
-        F.sum("line_total").alias("_rev"), F.count("line_total").alias("_n"), F.sum("quantity").alias("_qty"))
-    return (per_order.join(dim_cust.select("customer_id", "state"), "customer_id")
+    return fact.groupBy("sales_date", "customer_id", "order_id").agg(
+        F.sum("line_total").alias("revenue"), F.count("line_total").alias("lines"), F.sum("quantity").alias("quantity"))
+
+
+def state_revenue(totals: DataFrame, dim_cust: DataFrame) -> DataFrame:
+    """Revenue per customer state from :func:`order_totals`; the join moves orders, not lines."""
+    return (totals.join(dim_cust.select("customer_id", "state"), "customer_id")
             .groupBy("state")
             .agg(F.countDistinct("order_id").alias("total_orders"),
                  F.countDistinct("customer_id").alias("unique_customers"),
-                 as_double(F.sum("_rev")).alias("total_revenue"),
-                 ratio(F.sum("_rev"), F.sum("_n")).alias("avg_order_line_value"),
-                 F.sum("_qty").alias("total_quantity_sold")))
+                 as_double(F.sum("revenue")).alias("total_revenue"),
+                 ratio(F.sum("revenue"), F.sum("lines")).alias("avg_order_line_value"),
+                 F.sum("quantity").alias("total_quantity_sold")))
+
+
+def revenue_by_state(fact: DataFrame, dim_cust: DataFrame) -> DataFrame:
+    return state_revenue(order_totals(fact), dim_cust)
 
 
 def top_products(fact: DataFrame, dim_prod: DataFrame) -> DataFrame:
@@ -80,23 +86,29 @@ def top_products(fact: DataFrame, dim_prod: DataFrame) -> DataFrame:
                  ratio(F.sum("_rev"), F.sum("_qty")).alias("revenue_per_unit")))
 
 
+def _sales(prefix: str) -> list:
+    return [F.countDistinct("order_id").alias(f"{prefix}_orders"),
+            F.countDistinct("customer_id").alias(f"{prefix}_customers"),
+            as_double(F.sum("revenue")).alias(f"{prefix}_revenue"),
+            ratio(F.sum("revenue"), F.sum("lines")).alias("avg_line_value"),
+            F.sum("quantity").alias(f"{prefix}_quantity_sold")]
+
+
+def by_day(totals: DataFrame) -> DataFrame:
+    return totals.groupBy("sales_date").agg(*_sales("daily"))
+
+
+def by_month(totals: DataFrame) -> DataFrame:
+    return totals.groupBy(F.year("sales_date").alias("year"), F.month("sales_date").alias("month"),
+                          month_start("sales_date").alias("month_start")).agg(*_sales("monthly"))
+
+
 def daily_sales(fact: DataFrame) -> DataFrame:
-    return (fact.groupBy("sales_date")
-            .agg(F.countDistinct("order_id").alias("daily_orders"),
-                 F.countDistinct("customer_id").alias("daily_customers"),
-                 as_double(F.sum("line_total")).alias("daily_revenue"),
-                 mean("line_total").alias("avg_line_value"),
-                 F.sum("quantity").alias("daily_quantity_sold")))
+    return by_day(order_totals(fact))
 
 
 def monthly_sales(fact: DataFrame) -> DataFrame:
-    return (fact.groupBy(F.year("sales_date").alias("year"), F.month("sales_date").alias("month"),
-                         month_start("sales_date").alias("month_start"))
-            .agg(F.countDistinct("order_id").alias("monthly_orders"),
-                 F.countDistinct("customer_id").alias("monthly_customers"),
-                 as_double(F.sum("line_total")).alias("monthly_revenue"),
-                 mean("line_total").alias("avg_line_value"),
-                 F.sum("quantity").alias("monthly_quantity_sold")))
+    return by_month(order_totals(fact))
 
 
 def sales_enriched(fact: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame) -> DataFrame:

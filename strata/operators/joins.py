@@ -18,13 +18,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def row_bound(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` provably has at most ``max_rows`` rows.
-
-    ``limit(max_rows + 1).count()`` stops every task after ``max_rows + 1`` rows,
-    so the check costs at most that much work even when the answer is no.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
+def byte_size(df: DataFrame) -> int:
+    """Estimated bytes of ``df`` in memory: text and binary columns by their lengths, 16 for
+    each other column and row. One aggregate whose tasks each return one row."""
+    width = F.lit(16 * len(df.columns))
+    for f in df.schema.fields:
+        if f.dataType.simpleString() in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+    return df.agg(F.sum(width.cast("long")).alias("n")).first()["n"] or 0
 
 
 def join_auto(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
@@ -32,9 +33,9 @@ def join_auto(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return fact.join(dim, key, "inner")
 
 
-def join_broadcast(fact: DataFrame, dim: DataFrame, key: str, max_rows: int) -> DataFrame:
-    """Broadcast hint on ``dim`` only behind a proven row bound; otherwise the shuffle join."""
-    if row_bound(dim, max_rows):
+def join_broadcast(fact: DataFrame, dim: DataFrame, key: str, max_bytes: int) -> DataFrame:
+    """Broadcast hint on ``dim`` only if its measured size is within the bound; otherwise the shuffle join."""
+    if byte_size(dim) <= max_bytes:
         return fact.join(F.broadcast(dim), key, "inner")
     return join_auto(fact, dim, key)
 
@@ -54,6 +55,18 @@ def heavy_keys(fact: DataFrame, key: str, threshold: int, name: str = "row_count
     return key_counts(fact, key, name).filter(F.col(name) > threshold)
 
 
+def hot_keys(fact: DataFrame, key: str, threshold: int, most: int = 10_000) -> DataFrame:
+    """The keys worth treating apart: more rows than ``threshold`` and than 1 / ``most`` of all.
+
+    Fewer than ``most`` keys can hold more than that share, whatever the data, so the
+    set is small enough to broadcast by construction. It is checkpointed to the shared
+    folder: one pass over the fact, no replay after an executor loss. NULL keys join
+    nothing and are left out.
+    """
+    least = max(threshold, fact.count() // most)
+    return checkpointed(heavy_keys(fact.filter(F.col(key).isNotNull()), key, least).select(key))
+
+
 def salt_of(row_id: str, buckets: int):
     """Deterministic salt in [0, buckets): hash of a row id, so a retried task
     salts every row the same way (``rand()`` would not)."""
@@ -61,65 +74,63 @@ def salt_of(row_id: str, buckets: int):
 
 
 def salted_join(fact: DataFrame, dim: DataFrame, key: str, buckets: int, row_id: str,
-                heavy: DataFrame | None = None, max_rows: int = 2_000_000) -> DataFrame:
+                hot: DataFrame | None = None) -> DataFrame:
     """Join on (key, salt): a hot key's fact rows spread over ``buckets`` tasks.
 
-    Without ``heavy`` every dim row is replicated ``buckets`` times (the classic
-    form). With ``heavy`` (a frame of hot keys) only those keys are salted and
-    replicated; the rest keep salt 0, so the dim grows by |heavy| * (buckets - 1).
+    Without ``hot`` every dim row is replicated ``buckets`` times (the classic
+    form). With ``hot`` (from :func:`hot_keys`, bounded) only those keys are salted and
+    replicated; the rest keep salt 0, so the dim grows by |hot| * (buckets - 1).
     Flagging hot fact rows must not itself shuffle the fact by key (that would
-    put the hot key in one task again), so the heavy set is broadcast, and only
-    behind a proven bound of ``max_rows``; above it every key is salted. The
-    heavy set is checkpointed to the shared folder, so it is computed once.
+    put the hot key in one task again), so the hot set is broadcast.
     Output = plain join columns (the salt is dropped).
     """
-    hk = None
-    if heavy is not None:
-        # computed once (a full pass over the fact), checked, then reused
-        hk = checkpointed(heavy.select(key)).withColumn("_hot", F.lit(True))
-        hk = F.broadcast(hk) if row_bound(hk, max_rows) else None
-    if hk is None:
+    if hot is None:
         f = fact.withColumn("_salt", salt_of(row_id, buckets))
         d = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     else:
-        f = (fact.join(hk, key, "left")
+        flag = F.broadcast(hot.select(key).withColumn("_hot", F.lit(True)))
+        f = (fact.join(flag, key, "left")
              .withColumn("_salt", F.when(F.col("_hot"), salt_of(row_id, buckets)).otherwise(F.lit(0)))
              .drop("_hot"))
-        d = (dim.join(hk, key, "left")
+        d = (dim.join(flag, key, "left")
              .withColumn("_salt", F.explode(F.sequence(
                  F.lit(0), F.when(F.col("_hot"), F.lit(buckets - 1)).otherwise(F.lit(0)))))
              .drop("_hot"))
     return f.join(d, [key, "_salt"], "inner").drop("_salt")
 
 
-def split_skew_join(fact: DataFrame, dim: DataFrame, key: str, heavy: DataFrame, max_rows: int,
-                    row_id: str | None = None, buckets: int = 10) -> DataFrame:
-    """Heavy keys through a broadcast join, the rest through the regular join, then union.
+def split_skew_join(fact: DataFrame, dim: DataFrame, key: str, hot: DataFrame, max_bytes: int,
+                    row_id: str, buckets: int = 10) -> DataFrame:
+    """Hot keys through a broadcast join, the rest through the regular join, then union.
 
-    ``heavy`` is used twice (semi and anti), so it is checkpointed to the shared
-    folder: one computation, no lineage replay after an executor loss. The
-    heavy side broadcasts only the dimension rows of heavy keys, and only when
-    those are proven to fit ``max_rows``; otherwise, given a ``row_id``, the heavy
-    side takes the salted join (a shuffle join would put each hot key in one task).
+    ``hot`` (from :func:`hot_keys`) is small by construction, so both halves of the
+    fact are told apart by a broadcast and never shuffled by the raw key. The hot half
+    joins a broadcast of the dimension's hot rows if their measured size is within
+    ``max_bytes``, else the salted join (a plain shuffle join would put each hot key in
+    one task).
     """
     clash = (set(fact.columns) & set(dim.columns)) - {key}
     if clash:
         raise ValueError(f"fact and dim share non-key columns {sorted(clash)}; select or rename them first")
-    hk = checkpointed(heavy.select(key))
-    small_keys = row_bound(hk, max_rows)
-    hk_side = F.broadcast(hk) if small_keys else hk
-    heavy_fact = fact.join(hk_side, key, "left_semi")
-    heavy_dim = dim.join(hk_side, key, "left_semi")
-    if small_keys and row_bound(heavy_dim, max_rows):
-        heavy_part = heavy_fact.join(F.broadcast(heavy_dim), key)
-    elif row_id is not None:
-        heavy_part = salted_join(heavy_fact, heavy_dim, key, buckets, row_id)
+    keys = F.broadcast(hot.select(key))
+    hot_fact = fact.join(keys, key, "left_semi")
+    hot_dim = dim.join(keys, key, "left_semi")
+    if byte_size(hot_dim) <= max_bytes:
+        hot_part = hot_fact.join(F.broadcast(hot_dim), key)
     else:
-        heavy_part = heavy_fact.join(heavy_dim, key)  # AQE skew-join splits hot partitions
-    light_part = fact.join(hk_side, key, "left_anti").join(dim, key)
-    return heavy_part.unionByName(light_part)
+        hot_part = salted_join(hot_fact, hot_dim, key, buckets, row_id)
+    return hot_part.unionByName(fact.join(keys, key, "left_anti").join(dim, key))
 
 
-def light_rows(fact: DataFrame, key: str, heavy: DataFrame) -> DataFrame:
-    """Fact rows whose key is not heavy (``left_anti``)."""
-    return fact.join(heavy.select(key), key, "left_anti")
+def light_rows(fact: DataFrame, key: str, heavy: DataFrame, max_bytes: int, row_id: str, buckets: int = 10) -> DataFrame:
+    """Fact rows whose key is not heavy (``left_anti``).
+
+    The heavy set is any size here (a plain threshold): it is broadcast within
+    ``max_bytes``; beyond, the fact is salted and the set replicated, so a hot key
+    spreads over ``buckets`` tasks. A NULL key is not heavy: its rows stay.
+    """
+    keys = checkpointed(heavy.select(key))
+    if byte_size(keys) <= max_bytes:
+        return fact.join(F.broadcast(keys), key, "left_anti")
+    salted = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    return fact.withColumn("_salt", salt_of(row_id, buckets)).join(salted, [key, "_salt"], "left_anti").drop("_salt")

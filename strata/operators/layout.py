@@ -4,6 +4,8 @@ reuse through persist, file statistics and multi-column (z-order) clustering."""
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,11 +33,12 @@ def write_partitioned(wh: Warehouse, df: DataFrame, layer: str, name: str, date_
 
 
 def partition_listing(spark: SparkSession, table: str) -> DataFrame:
-    """``SHOW PARTITIONS`` parsed into typed (year, month) columns."""
+    """``SHOW PARTITIONS`` parsed into typed (year, month) columns; the folder of rows
+    without a date gives NULL."""
     p = spark.sql(f"SHOW PARTITIONS {table}")
     return p.select(
-        F.regexp_extract("partition", r"year=(\d+)", 1).cast("int").alias("year"),
-        F.regexp_extract("partition", r"month=(\d+)", 1).cast("int").alias("month"))
+        F.regexp_extract("partition", r"year=(\d+)", 1).try_cast("int").alias("year"),
+        F.regexp_extract("partition", r"month=(\d+)", 1).try_cast("int").alias("month"))
 
 
 def _as_date(v) -> _dt.date:
@@ -90,7 +93,7 @@ def layouts(df: DataFrame, key: str, n: int = 20, n_key: int = 10, n_small: int
     and the 'coalesce cannot grow' case (``n`` to ``2n`` stays ``n``).
 
     The defaults are the reference's demo counts; on a large table pick them from
-    the data size (about 256 MB per partition), since each is a full shuffle.
+    the data size (:func:`tasks_for`), since each is a full shuffle.
     """
     rr = df.repartition(n)
     return {
@@ -103,22 +106,38 @@ def layouts(df: DataFrame, key: str, n: int = 20, n_key: int = 10, n_small: int
 
 # -- reuse ------------------------------------------------------------------------
 
-def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
-    """Persist and materialize once; later actions read the cached blocks
-    (``InMemoryTableScan``), and a lost block is recomputed from lineage."""
+@contextmanager
+def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
+    """Persist and materialize once; inside the block actions read the cached blocks
+    (``InMemoryTableScan``), and a lost block is recomputed from lineage. The blocks are
+    released at the end."""
     df = df.persist(level)
-    df.count()
-    return df
+    try:
+        df.count()
+        yield df
+    finally:
+        df.unpersist()
 
 
 # -- file statistics ----------------------------------------------------------------
 
 def file_stats(df: DataFrame) -> DataFrame:
-    """(num_files, size_in_bytes, num_rows) of a file-backed table, from ``_metadata``."""
-    per_file = df.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path").agg(
-        F.first("file_size").alias("size"), F.count(F.lit(1)).alias("rows"))
-    return per_file.agg(F.count(F.lit(1)).alias("num_files"), F.sum("size").alias("size_in_bytes"),
-                        F.sum("rows").alias("num_rows"))
+    """(num_files, size_in_bytes, num_rows) of a file-backed table.
+
+    Files and their sizes come from a listing of the table's paths (the ``binaryFile``
+    source without its content column reads no data), rows from a count that the Parquet
+    footers answer; no row carries a path.
+    """
+    spark = df.sparkSession
+    files = spark.read.format("binaryFile").load(df.inputFiles()).select(F.lit(1).alias("num_files"), F.col("length").alias("size_in_bytes"), F.lit(0).alias("num_rows"))
+    rows = df.agg(F.count(F.lit(1)).alias("num_rows")).select(F.lit(0).alias("num_files"), F.lit(0).cast("long").alias("size_in_bytes"), "num_rows")
+    return files.unionByName(rows).agg(*[F.sum(c).alias(c) for c in ("num_files", "size_in_bytes", "num_rows")])
+
+
+def tasks_for(df: DataFrame, target_bytes: int) -> int:
+    """Number of files (or tasks) of about ``target_bytes`` that a file-backed frame is worth."""
+    size = file_stats(df).first()["size_in_bytes"] or 0
+    return max(1, -(-size // target_bytes))
 
 
 def file_ranges(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -132,6 +151,8 @@ def file_ranges(df: DataFrame, cols: list[str]) -> DataFrame:
 # -- z-order ------------------------------------------------------------------------
 
 def _numeric(c: str, dtype: str) -> Column:
+    if dtype == "string":  # by its first 6 bytes, in byte order
+        return F.conv(F.hex(F.substring(F.rpad(F.encode(F.col(c), "UTF-8"), 6, F.lit(b"\x00")), 1, 6)), 16, 10).cast("double")
     if dtype == "date":
         return F.unix_date(F.col(c)).cast("double")
     if dtype.startswith("timestamp"):
@@ -167,7 +188,7 @@ def zorder_key(df: DataFrame, cols: list[str], bits: int = 8) -> DataFrame:
 
 
 def zorder_cluster(df: DataFrame, cols: list[str], files: int, bits: int = 8) -> DataFrame:
-    """Compact into ``files`` range partitions of the z-value, sorted inside each file,
+    """Compact into ``files`` (see :func:`tasks_for`) range partitions of the z-value, sorted inside each file,
     so per-file min / max of every clustered column narrow together.
 
     A row hash breaks ties in the range bounds, so rows sharing one z-value (a

@@ -101,26 +101,6 @@ def incremental_source(raw: DataFrame, entity: str, mark) -> DataFrame:
 
 # -- merge -------------------------------------------------------------------------
 
-class MergeConflict(ValueError):
-    """More than one source row matches the same target row."""
-
-
-def check_merge_source(target: DataFrame, source: DataFrame, key: str) -> None:
-    """Up-front MERGE guard (separate jobs; ``upsert`` checks inside the merge job instead):
-    fail when several source rows would update one target row.
-
-    Source duplicates are found with one partial-aggregated pass over the source;
-    only when there are any is the target's key column probed (semi join).
-    """
-    dup = source.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    if dup.limit(1).count() == 0:
-        return
-    hit = dup.join(target.select(key), key, "left_semi")
-    if hit.limit(1).count() > 0:
-        example = hit.first()
-        raise MergeConflict(f"{example['n']} source rows match target {key}={example[key]}")
-
-
 def upsert(target: DataFrame, source: DataFrame, key: str, run_ts: str, check: bool = True) -> DataFrame:
     """``MERGE INTO target USING source ON key`` as one full outer join.
 
@@ -140,21 +120,26 @@ def upsert(target: DataFrame, source: DataFrame, key: str, run_ts: str, check: b
     if missing:
         raise ValueError(f"source lacks columns {missing}")
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in target.columns], F.lit(True).alias("_in_t"))
-    s = source.select(*[F.col(c).alias(f"s_{c}") for c in business], F.lit(True).alias("_in_s"))
+    # NULL keys match nothing: they are inserted beside the join, so however many there
+    # are they are no window group and no join partition
+    unkeyed = source.filter(F.col(key).isNull()).select(
+        *business, ntz(run_ts).alias("record_created_at"), null_ts().alias("record_updated_at"))
+    s = source.filter(F.col(key).isNotNull()).select(
+        *[F.col(c).alias(f"s_{c}") for c in business], F.lit(True).alias("_in_s"))
     if check:
         s = s.withColumn("_n_src", F.count(F.lit(1)).over(Window.partitionBy(f"s_{key}")))
     j = t.join(s, F.col(f"t_{key}") == F.col(f"s_{key}"), "full_outer")
     in_t = F.col("_in_t").isNotNull()
     in_s = F.col("_in_s").isNotNull()
-    matched = F.when(in_t & in_s, ntz(run_ts))
-    if check:
-        matched = F.when(in_t & in_s & (F.col("_n_src") > 1), F.raise_error(F.concat(
+    if check:  # a row filter: no column pruning above can take it away
+        j = j.filter(F.when(in_t & in_s & (F.col("_n_src") > 1), F.raise_error(F.concat(
             F.lit(f"MERGE conflict: several source rows match target {key}="),
-            F.col(f"t_{key}").cast("string")))).when(in_t & in_s, ntz(run_ts))
+            F.col(f"t_{key}").cast("string"))).cast("boolean")).otherwise(F.lit(True)))
+    matched = F.when(in_t & in_s, ntz(run_ts))
     cols: list[Column] = [F.when(in_s, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c) for c in business]
     cols.append(F.when(in_t, F.col("t_record_created_at")).otherwise(ntz(run_ts)).alias("record_created_at"))
     cols.append(matched.when(in_t, F.col("t_record_updated_at")).otherwise(null_ts()).alias("record_updated_at"))
-    return j.select(cols)
+    return j.select(cols).unionByName(unkeyed.select([c.name for c in target.schema.fields if c.name in (*business, *AUDIT)]))
 
 
 # -- checks ------------------------------------------------------------------------

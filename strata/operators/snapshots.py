@@ -5,7 +5,8 @@ partitioned by ``_version`` (one folder per committed version) plus a small
 ``<name>_history`` table (version, timestamp, operation, num_rows). Reading a
 version is a partition-pruned scan; expiring a version is
 ``ALTER TABLE .. DROP PARTITION``, which removes its files. A new version is
-written while older ones are read (no overwrite of a table being read).
+written while older ones are read (no overwrite of a table being read). There is no
+commit protocol: one writer a table.
 """
 
 from __future__ import annotations
@@ -47,11 +48,17 @@ class SnapshotTable:
         self.spark = wh.spark
         self.layer = layer
         self.name = name
-        self.bucket_by = bucket_by
         self.data = wh.name(layer, name)
         self.hist = wh.name(layer, f"{name}_history")
+        known = wh.buckets_of(layer, name) if bucket_by else None  # an existing table keeps its buckets
+        self.bucket_by = (known, bucket_by[1]) if known else bucket_by
 
     # -- writes ---------------------------------------------------------------
+    def drop(self) -> None:
+        """Remove the table with all its versions and its history."""
+        self.wh.drop(self.layer, self.name)
+        self.wh.drop(self.layer, f"{self.name}_history")
+
     def commit(self, df: DataFrame, timestamp, operation: str = "WRITE", prepartitioned: bool = False) -> int:
         """Write ``df`` as the next version; record it in the history.
 
@@ -82,6 +89,11 @@ class SnapshotTable:
             return set()
         return {int(r[0].split("=", 1)[1]) for r in self.spark.sql(f"SHOW PARTITIONS {self.data}").collect()}
 
+    def _committed(self, v: int) -> bool:
+        """In the history and with its data present."""
+        return (v in self._partition_versions()
+                and self.spark.table(self.hist).filter(F.col("version") == F.lit(v).cast("long")).limit(1).count() > 0)
+
     def _next_version(self) -> int:
         """One past every version seen in the history *or* on disk: if a run died between
         writing a version's data and its history row, the retry never appends into that folder."""
@@ -109,6 +121,10 @@ class SnapshotTable:
 
     # -- reads ----------------------------------------------------------------
     def as_of_version(self, v: int) -> DataFrame:
+        """Rows of one version. A version that was never committed, or whose data
+        retention has removed, is an error (an empty frame would read as 'no rows')."""
+        if not self._committed(v):
+            raise VersionNotFound(f"{self.data} has no version {v} (unknown, or removed by retention)")
         return self.spark.table(self.data).filter(F.col("_version") == F.lit(v).cast("long")).drop("_version")
 
     def current(self) -> DataFrame:
@@ -135,19 +151,26 @@ class SnapshotTable:
 
         A version expires once it was superseded (next commit's timestamp) before
         ``now - retain_hours``; the latest version is never superseded, so never expires.
+        Versions whose data is gone already are not listed again.
         """
         cutoff = _ts(now) - _dt.timedelta(hours=retain_hours)
         h = self.spark.table(self.hist)
         w = Window.orderBy("version")  # one row per commit: the history is tiny
         return (h.withColumn("superseded_at", F.lead("timestamp").over(w))
                 .filter(F.col("superseded_at") < F.lit(cutoff).cast("timestamp_ntz"))
-                .select("version", "timestamp", "superseded_at"))
+                .filter(F.col("version").isin(sorted(self._partition_versions())))
+                .select("version", "timestamp", "superseded_at", "num_rows"))
 
     def vacuum(self, retain_hours: int, now) -> list[int]:
-        """Drop the data of expired versions (their partitions and files)."""
+        """Drop the data of expired versions (their partitions and files) and of folders
+        without a history row, which a failed commit leaves. Returns the expired versions.
+
+        One writer a table: a commit under way has no history row yet, so retention
+        must not run beside it.
+        """
         gone = [r["version"] for r in self.expired(retain_hours, now).select("version").collect()]
-        present = self._partition_versions()
-        for v in gone:
-            if v in present:
-                self.spark.sql(f"ALTER TABLE {self.data} DROP IF EXISTS PARTITION (_version={v})")
+        known = {r["version"] for r in self.spark.table(self.hist).select("version").collect()}
+        orphans = self._partition_versions() - known
+        for v in sorted({*gone, *orphans}):
+            self.spark.sql(f"ALTER TABLE {self.data} DROP IF EXISTS PARTITION (_version={v})")
         return gone

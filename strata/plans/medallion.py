@@ -33,6 +33,8 @@ SNAPSHOT_PLAN = [
     (None, "2024-01-20 00:00:00", "WRITE"),
 ]
 SNAPSHOT_NOW = "2024-01-25 00:00:00"
+# the first of two increments (fixed value of that scenario)
+MIDDLE_TS = "2000-01-01 00:00:00"
 ZORDER_COLS = ["customer_id", "product_id", "sales_date"]
 
 
@@ -58,7 +60,9 @@ def _stage(fn):
 
 class MedallionRun:
     def __init__(self, spark: SparkSession, sf_dir: str, config: Config | None = None,
-                 warehouse: Warehouse | None = None):
+                 warehouse: Warehouse | None = None, config_file: str | None = None):
+        """``config_file``: the user's own ingestion config; without one the run lands
+        extracts of the given tables and a config for them."""
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.config = (config or Config()).resolved()
@@ -67,9 +71,18 @@ class MedallionRun:
         self._silver = False
         self._gold = False
         self._incremental = False
-        self.config_path: str | None = None
+        self.config_path: str | None = config_file
+        self._buckets: int | None = None
+        self._built: set[str] = set()
         self._lock = threading.RLock()
 
+    def _fresh(self, table: str) -> bool:
+        """True once a table and run: a rerun writes its tables again, whatever an earlier run left."""
+        if table in self._built:
+            return False
+        self._built.add(table)
+        return True
+
     # -- bronze ------------------------------------------------------------
     @_stage
     def land(self) -> str:
@@ -102,10 +115,20 @@ class MedallionRun:
                                          bucket_by=self._bucket(e)))
             for e in retail.ENTITIES}, self.config.parallel_jobs)
         self.wh.save(silver.logger_init(loaded), "silver", "table_logger")
+        concurrently({
+            "orders_with_customers": lambda: self.wh.save(
+                silver.orders_with_customers(loaded["orders"], loaded["customers"]), "silver", "orders_with_customers"),
+            "orders_with_products": lambda: self.wh.save(
+                silver.orders_with_products(loaded["orders"], loaded["order_items"], loaded["products"]),
+                "silver", "orders_with_products"),
+        }, self.config.parallel_jobs)
         self._silver = True
 
     def buckets(self) -> int:
-        return self.config.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        if self._buckets is None:
+            by_size = layout.tasks_for(self.raw("order_items"), self.config.target_file_bytes)
+            self._buckets = self.config.buckets or max(by_size, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        return self._buckets
 
     def _bucket(self, entity: str) -> tuple[int, str]:
         return self.buckets(), silver.KEYS[entity]
@@ -131,11 +154,13 @@ class MedallionRun:
             "fact_sales": lambda: self.wh.save(gold.fact_sales(s("orders"), s("order_items")), "gold", "fact_sales"),
         }, self.config.parallel_jobs)
         f, dc, dp = star["fact_sales"], star["dim_customers"], star["dim_products"]
+        # three marts need the fact by order only: it is reduced to that once
+        totals = self.wh.save(gold.order_totals(f), "gold", "order_totals")
         concurrently({
-            "agg_revenue_by_state": lambda: self.wh.save(gold.revenue_by_state(f, dc), "gold", "agg_revenue_by_state"),
+            "agg_revenue_by_state": lambda: self.wh.save(gold.state_revenue(totals, dc), "gold", "agg_revenue_by_state"),
             "agg_top_products": lambda: self.wh.save(gold.top_products(f, dp), "gold", "agg_top_products"),
-            "agg_daily_sales": lambda: self.wh.save(gold.daily_sales(f), "gold", "agg_daily_sales"),
-            "agg_monthly_sales": lambda: self.wh.save(gold.monthly_sales(f), "gold", "agg_monthly_sales"),
+            "agg_daily_sales": lambda: self.wh.save(gold.by_day(totals), "gold", "agg_daily_sales"),
+            "agg_monthly_sales": lambda: self.wh.save(gold.by_month(totals), "gold", "agg_monthly_sales"),
         }, self.config.parallel_jobs)
         self._gold = True
 
@@ -151,16 +176,16 @@ class MedallionRun:
     @_stage
     def partitioned_fact(self) -> DataFrame:
         """The fact as a table partitioned by year / month of the sales date."""
-        if not self.wh.exists("gold", "fact_sales_partitioned"):
+        if self._fresh("fact_sales_partitioned"):
             layout.write_partitioned(self.wh, self.fact(), "gold", "fact_sales_partitioned", "sales_date")
         return self.wh.table("gold", "fact_sales_partitioned")
 
     @_stage
     def zordered_fact(self) -> DataFrame:
-        """The fact rewritten into ``zorder_files`` files clustered on three columns."""
-        if not self.wh.exists("gold", "fact_sales_zordered"):
-            self.wh.save(layout.zorder_cluster(self.fact(), ZORDER_COLS, self.config.zorder_files),
-                         "gold", "fact_sales_zordered")
+        """The fact rewritten into files of ``target_file_bytes`` clustered on three columns."""
+        if self._fresh("fact_sales_zordered"):
+            files = layout.tasks_for(self.fact(), self.config.target_file_bytes)
+            self.wh.save(layout.zorder_cluster(self.fact(), ZORDER_COLS, files), "gold", "fact_sales_zordered")
         return self.wh.table("gold", "fact_sales_zordered")
 
     # -- snapshots ---------------------------------------------------------
@@ -168,7 +193,8 @@ class MedallionRun:
     def fact_snapshots(self, name: str = "fact_sales_versions") -> SnapshotTable:
         """Three committed versions of the fact (growing by sales date)."""
         st = SnapshotTable(self.wh, "gold", name)
-        if st.latest_version() is None:
+        if self._fresh(name):
+            st.drop()
             fact = self.fact()
             for last_day, ts, op in SNAPSHOT_PLAN:
                 part = fact if last_day is None else fact.filter(fact.sales_date <= last_day)
@@ -177,10 +203,13 @@ class MedallionRun:
 
     @_stage
     def retained_snapshots(self) -> SnapshotTable:
-        """A second copy of the versions with retention applied (keeps the first copy whole)."""
-        st = SnapshotTable(self.wh, "gold", "fact_sales_retained")
-        if st.latest_version() is None:
-            self.fact_snapshots("fact_sales_retained")
+        """Versions of the product table with retention applied (the fact's stay whole)."""
+        st = SnapshotTable(self.wh, "gold", "dim_products_retained")
+        if self._fresh("dim_products_retained"):
+            st.drop()
+            products = self.gold_table("dim_products")
+            for last_day, ts, op in SNAPSHOT_PLAN:
+                st.commit(products if last_day is None else products.filter(products.created_at <= last_day), ts, op)
             st.vacuum(self.config.retention_hours, SNAPSHOT_NOW)
         return st
 
@@ -188,7 +217,7 @@ class MedallionRun:
     @_stage
     def products_with_append(self) -> DataFrame:
         """Copy of dim_products plus the changed products appended with 4 of 8 columns."""
-        if not self.wh.exists("gold", "dim_products_appended"):
+        if self._fresh("dim_products_appended"):
             self.wh.save(self.gold_table("dim_products"), "gold", "dim_products_appended")
             changes = self.incremental_table("products_changes").select(
                 "product_id", "product_name", "category", "price")
@@ -196,44 +225,73 @@ class MedallionRun:
         return self.wh.table("gold", "dim_products_appended")
 
     # -- incremental -------------------------------------------------------
-    @_stage
-    def incremental(self) -> None:
-        """Initial load at ``initial_ts`` from the extract as of then, then one merge per entity.
+    def control(self, tag: str = "") -> SnapshotTable:
+        """The control table of the incremental loads: a mark per entity, a version per run."""
+        return SnapshotTable(self.wh, "silver", f"table_logger_versions{tag}")
+
+    def silver_versions(self, entity: str, tag: str = "") -> SnapshotTable:
+        """The versioned silver table of one entity (a load, then a version per merge)."""
+        return SnapshotTable(self.wh, "silver", f"{entity}_versions{tag}", bucket_by=self._bucket(entity))
 
-        The mark is read from the control table (D7: the mark is the load stamp captured
-        before the read, so rows stamped during the run are never skipped).
+    @_stage
+    def increment(self, ts: str, entities: tuple[str, ...] = tuple(retail.ENTITIES), tag: str = "",
+                  extract_ts: str | None = None) -> None:
+        """One incremental run at ``ts`` over ``entities``.
+
+        It goes on from what earlier runs left: the mark is read from the control table,
+        the rows changed since are merged into the current version, and the marks of the
+        entities merged are set to ``ts``. Only an entity without a version is loaded in
+        full first, from the extract as of ``initial_ts``. ``extract_ts``: the extract as
+        it looked then (None: all of it). The mark is the stamp of a run's begin, so rows
+        that change during it are not skipped.
         """
-        if self._incremental:
-            return
         c = self.config
         self.bronze()
+        control = self.control(tag)
+
+        def extract(e: str, at: str | None) -> DataFrame:
+            full = silver.typed(self.raw(e), silver.SPECS[e])
+            return full if at is None else retail.as_of(full, at, silver.KEYS[e])
 
         def first_load(e: str) -> DataFrame:
-            st = self.silver_versions(e)
-            early = retail.as_of(silver.typed(self.raw(e), silver.SPECS[e]), c.initial_ts)
-            st.commit(silver.stamp_load(early, c.initial_ts), c.initial_ts, "WRITE")
+            st = self.silver_versions(e, tag)
+            if st.latest_version() is None:
+                st.commit(silver.stamp_load(extract(e, c.initial_ts), c.initial_ts), c.initial_ts, "WRITE")
             return st.current()
 
-        loaded = concurrently({e: (lambda e=e: first_load(e)) for e in retail.ENTITIES}, c.parallel_jobs)
-        logger = self.wh.save(silver.logger_init(loaded), "silver", "table_logger_v0")
-        marks = {r["table_name"]: r["last_run_time"] for r in logger.collect()}  # one row per table
+        if control.latest_version() is None:
+            loaded = concurrently({e: (lambda e=e: first_load(e)) for e in entities}, c.parallel_jobs)
+            control.commit(silver.logger_init(loaded), c.initial_ts, "WRITE")
+        logger = control.current()
 
         def merge(e: str) -> int:
-            src = self.wh.save(silver.incremental_source(self.raw(e), e, marks.get(e)), "silver", f"{e}_changes")
+            mark = silver.read_mark(logger, e)
+            src = self.wh.save(silver.changed_since(extract(e, extract_ts), mark), "silver", f"{e}_changes{tag}")
             # new version = upsert of the current one; the bucketed current version is read by
             # bucket and the merged rows are written from the join tasks (only the source moves)
-            return silver.merge_into(self.silver_versions(e), src, silver.KEYS[e], c.incremental_ts)
-
-        concurrently({e: (lambda e=e: merge(e)) for e in retail.ENTITIES}, c.parallel_jobs)
-        new_logger = logger
-        for e in retail.ENTITIES:
-            new_logger = silver.logger_update(new_logger, e, c.incremental_ts)
-        self.wh.save(new_logger, "silver", "table_logger_v1")
-        self._incremental = True
-
-    def silver_versions(self, entity: str) -> SnapshotTable:
-        """The versioned silver table of one entity in the incremental run (v0 load, v1 merge)."""
-        return SnapshotTable(self.wh, "silver", f"{entity}_versions", bucket_by=self._bucket(entity))
+            return silver.merge_into(self.silver_versions(e, tag), src, silver.KEYS[e], ts)
+
+        concurrently({e: (lambda e=e: merge(e)) for e in entities}, c.parallel_jobs)
+        for e in entities:
+            logger = silver.logger_update(logger, e, ts)
+        control.commit(logger, ts, "UPDATE")
+
+    @_stage
+    def incremental(self) -> None:
+        """The run's increment at ``incremental_ts`` (after a first load where there is none)."""
+        if not self._incremental:
+            self.increment(self.config.incremental_ts)
+            self._incremental = True
+
+    @_stage
+    def two_increments(self) -> None:
+        """Orders and customers, loaded, merged from the extract as of ``MIDDLE_TS``, and the
+        orders merged once more later: the second run goes on from the first one's marks."""
+        if self._fresh("two_increments"):
+            for st in (self.control("_two"), *(self.silver_versions(e, "_two") for e in ("orders", "customers"))):
+                st.drop()
+            self.increment(MIDDLE_TS, ("orders", "customers"), "_two", extract_ts=MIDDLE_TS)
+            self.increment(self.config.incremental_ts, ("orders",), "_two")
 
     def merged(self, entity: str) -> DataFrame:
         """Current (merged) version of an entity after the incremental run."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -32,14 +33,18 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) do we create one
-    and register it, so ``DataFrame.checkpoint()`` and our tables agree.
+    Read from the session; only when it is unset and the master is local (tests) do
+    we create one and register it, so ``DataFrame.checkpoint()`` and our tables agree.
+    A cluster without the setting is an error: a folder of one machine is no place for
+    tables that all executors read.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        # unset (tests only): take our own folder
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"spark.checkpoint.dir is not set; on {master} it must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="strata-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)

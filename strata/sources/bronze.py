@@ -84,11 +84,12 @@ def land_raw(wh: Warehouse, extracts: dict[str, DataFrame], workers: int = 1) ->
 def lookup(df: DataFrame, column: str, value: int) -> DataFrame:
     """``where <string col> = <integer>``: compare as a number like the implicit cast, NULL for non-numbers.
 
-    Any text that casts to ``value`` contains its decimal digits (padding, sign,
-    blanks and a fraction only add characters around them), so ``contains`` is an
-    implied predicate the Parquet scan can evaluate; the cast keeps the exact rows.
+    Any text that casts to ``value`` contains the decimal digits of its absolute value
+    (padding, a sign, blanks and a fraction only add characters around them), so
+    ``contains`` is an implied predicate the Parquet scan can evaluate; the cast keeps
+    the exact rows.
     """
-    return df.filter(F.col(column).contains(str(value)) & (F.expr(f"try_cast({column} as bigint)") == F.lit(value)))
+    return df.filter(F.col(column).contains(str(abs(value))) & (F.expr(f"try_cast({column} as bigint)") == F.lit(value)))
 
 
 def bronze_counts(wh: Warehouse, tables: dict[str, str]) -> DataFrame:

@@ -80,14 +80,18 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with a surrogate key: the (orderkey, linenumber) pair repeats in the data.
 
-    The rank is a window per order; orders are small groups (<100 lines, which
-    the ``* 100`` id scheme requires anyway), so the window never holds a big group.
+    The rank is a window per order; orders are small groups, so the window never holds
+    a big one. The id has room for 99 lines an order; a longer order is an error, as its
+    ids would be those of the next order.
     """
     li = read_table(spark, sf_dir, "lineitem")
     w = Window.partitionBy("l_orderkey").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity")
+    rank = F.row_number().over(w)
+    line = F.when(rank < 100, rank).otherwise(F.raise_error(F.concat(
+        F.lit("more than 99 lines in order "), F.col("l_orderkey").cast("string"))).cast("int"))
     return li.select(
-        (F.col("l_orderkey") * 100 + F.row_number().over(w)).cast("bigint").alias("order_item_id"),
+        (F.col("l_orderkey") * 100 + line).cast("bigint").alias("order_item_id"),
         F.col("l_orderkey").cast("bigint").alias("order_id"),
         F.col("l_partkey").cast("bigint").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
@@ -109,8 +113,32 @@ def as_raw(df: DataFrame) -> DataFrame:
     return df.select([F.col(c).cast("string").alias(c) for c in df.columns])
 
 
-def as_of(df: DataFrame, ts: str) -> DataFrame:
-    """The extract as it looked at ``ts``: rows created by then, later updates not yet made."""
+def as_dirty_raw(df: DataFrame, key: str) -> DataFrame:
+    """The text extract with damage in every typed column: the value of column number i
+    (from 0) has a ``#`` in front where key + i is a multiple of 50."""
+    raw = []
+    for i, f in enumerate(df.schema.fields):
+        text = F.col(f.name).cast("string")
+        if f.dataType.simpleString() != "string":
+            text = F.when((F.col(key) + i) % 50 == 0, F.concat(F.lit("#"), text)).otherwise(text)
+        raw.append(text.alias(f.name))
+    return df.select(raw)
+
+
+def as_of(df: DataFrame, ts: str, key: str) -> DataFrame:
+    """The extract as it looked at ``ts``: rows created by then, later updates not yet made.
+
+    A row that is updated later still has its old values then: text is marked as old,
+    numbers are one less, dates a day earlier. A merge must overwrite all of them.
+    """
     t = ntz(ts)
-    return df.filter(F.col("created_at") <= t).withColumn(
-        "updated_at", F.when(F.col("updated_at") <= t, F.col("updated_at")))
+    later = F.col("updated_at") > t
+    early = df.filter(F.col("created_at") <= t)
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        kind = f.dataType.simpleString()
+        if f.name in (key, "created_at", "updated_at"):
+            continue
+        old = F.concat(F.lit("old "), c) if kind == "string" else F.date_sub(c, 1) if kind == "date" else (c - 1).cast(kind)
+        early = early.withColumn(f.name, F.when(later, old).otherwise(c))
+    return early.withColumn("updated_at", F.when(F.col("updated_at") <= t, F.col("updated_at")))

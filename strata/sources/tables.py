@@ -9,6 +9,7 @@ tasks of the current stage.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,11 @@ from strata.config import Config
 from strata.session import new_run_root
 
 
+def _plain(path: str) -> str:
+    """A path without the local scheme and trailing slash, for comparison."""
+    return re.sub(r"^file:/*", "/", path).rstrip("/")
+
+
 class Warehouse:
     """Catalog schemas + table writes for one run.
 
@@ -51,6 +57,9 @@ class Warehouse:
         s = self.schema(layer)
         if s not in self._schemas:
             self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {s} LOCATION '{self.root}/{layer}'")
+            at = self.spark.catalog.getDatabase(s).locationUri
+            if _plain(at) != _plain(f"{self.root}/{layer}"):
+                raise ValueError(f"schema {s} is at {at}, not below {self.root}; give the run its root or other schema names")
             self._schemas.add(s)
         return s
 
@@ -92,5 +101,12 @@ class Warehouse:
     def table(self, layer: str, table: str) -> DataFrame:
         return self.spark.table(self.name(layer, table))
 
+    def buckets_of(self, layer: str, table: str) -> int | None:
+        """Bucket count of an existing table, from the catalog; None without one."""
+        if not self.exists(layer, table):
+            return None
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(layer, table)}").filter("col_name = 'Num Buckets'").collect()
+        return int(rows[0]["data_type"]) if rows else None
+
     def exists(self, layer: str, table: str) -> bool:
         return self.spark.catalog.tableExists(self.name(layer, table))

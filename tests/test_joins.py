@@ -17,18 +17,16 @@ def _same(a, b):
 def test_all_strategies_equal_plain_join(medallion):
     f, d = _inputs(medallion)
     plain = f.join(d, "customer_id")
-    heavy = joins.heavy_keys(f, "customer_id", 5)
-    assert heavy.count() > 0
+    hot = joins.hot_keys(f, "customer_id", 5)
+    assert hot.count() > 0
     for variant in (
         joins.join_auto(f, d, "customer_id"),
         joins.join_broadcast(f, d, "customer_id", 1_000_000),
         joins.join_broadcast(f, d, "customer_id", 3),            # over the bound: shuffle join
         joins.salted_join(f, d, "customer_id", 7, "sales_id"),
-        joins.salted_join(f, d, "customer_id", 7, "sales_id", heavy=heavy),
-        joins.salted_join(f, d, "customer_id", 7, "sales_id", heavy=heavy, max_rows=1),  # over the bound
-        joins.split_skew_join(f, d, "customer_id", heavy, 1_000_000),
-        joins.split_skew_join(f, d, "customer_id", heavy, 1),   # keys over the bound: no broadcast
-        joins.split_skew_join(f, d, "customer_id", heavy, 1, row_id="sales_id", buckets=5),  # salted heavy side
+        joins.salted_join(f, d, "customer_id", 7, "sales_id", hot=hot),
+        joins.split_skew_join(f, d, "customer_id", hot, 1_000_000, "sales_id"),
+        joins.split_skew_join(f, d, "customer_id", hot, 1, "sales_id", buckets=5),  # dimension over the bound: salted
     ):
         assert _same(variant, plain)
 
@@ -44,17 +42,26 @@ def test_broadcast_only_behind_the_bound(medallion):
     assert "strategy=broadcast" in hinted.split("== Optimized Logical Plan ==")[0]
 
 
-def test_row_bound(spark):
-    df = spark.range(100)
-    assert joins.row_bound(df, 100)
-    assert not joins.row_bound(df, 99)
+def test_byte_size_counts_text(spark):
+    df = spark.createDataFrame([(1, "x" * 1000), (2, None)], "a bigint, b string")
+    assert joins.byte_size(df) == 1000 + 2 * 2 * 16
+    assert joins.byte_size(df.limit(0)) == 0
+
+
+def test_hot_keys_are_few_whatever_the_threshold(spark):
+    df = spark.range(4000).selectExpr("id % 1000 AS k").unionByName(spark.range(2000).selectExpr("cast(7 AS bigint) AS k"))
+    assert [r.k for r in joins.hot_keys(df, "k", 1, most=100).collect()] == [7]   # 4 rows are over 1, not over 1 %
+    assert joins.hot_keys(df, "k", 1, most=10_000).count() == 1000
+    assert joins.hot_keys(df.selectExpr("cast(NULL AS bigint) AS k"), "k", 1).count() == 0
 
 
 def test_heavy_and_light_partition_the_fact(medallion):
     f, _ = _inputs(medallion)
     heavy = joins.heavy_keys(f, "customer_id", 5)
     hk = f.join(heavy.select("customer_id"), "customer_id", "left_semi")
-    assert hk.count() + joins.light_rows(f, "customer_id", heavy).count() == f.count()
+    light = joins.light_rows(f, "customer_id", heavy, 1 << 20, "sales_id")
+    assert hk.count() + light.count() == f.count()
+    assert _same(light, joins.light_rows(f, "customer_id", heavy, 1, "sales_id", buckets=3))   # over the bound: salted
 
 
 def test_top_keys_plan_and_order(medallion):

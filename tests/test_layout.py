@@ -50,12 +50,24 @@ def test_repartition_and_coalesce_keep_rows(medallion):
 
 def test_persisted_reads_cache(medallion):
     f = medallion.fact()
-    df = layout.persisted(f.groupBy("customer_id").count())
-    try:
+    with layout.persisted(f.groupBy("customer_id").count()) as df:
         assert "InMemoryTableScan" in plan_text(df)
         assert df.storageLevel.useDisk and df.storageLevel.useMemory
-    finally:
-        df.unpersist()
+    assert not df.storageLevel.useDisk and not df.storageLevel.useMemory   # released
+
+
+def test_partition_listing_with_rows_without_a_date(spark, wh):
+    import datetime as dt
+    df = spark.createDataFrame([(1, dt.date(2001, 2, 3)), (2, None)], "id bigint, d date")
+    layout.write_partitioned(wh, df, "gold", "dated", "d")
+    got = {tuple(r) for r in layout.partition_listing(spark, wh.name("gold", "dated")).collect()}
+    assert got == {(2001, 2), (None, None)}
+
+
+def test_zorder_takes_text_columns(spark):
+    df = spark.range(400).selectExpr("id", "concat(char(97 + id % 26), id) AS name")
+    z = layout.zorder_cluster(df, ["id", "name"], 4, bits=4)
+    assert z.exceptAll(df).count() == 0 and z.count() == 400
 
 
 def test_file_stats(medallion):

@@ -53,13 +53,25 @@ def test_marts_aggregate_below_the_join(medallion, no_auto_broadcast):
 def test_split_skew_broadcasts_only_the_heavy_side(medallion, no_auto_broadcast):
     f = medallion.fact()
     d = medallion.gold_table("dim_customers").select("customer_id", "customer_name", "state")
-    heavy = joins.heavy_keys(f, "customer_id", 45)
-    txt = plan_text(joins.split_skew_join(f, d, "customer_id", heavy, 1_000_000))
+    hot = joins.hot_keys(f, "customer_id", 45)
+    txt = plan_text(joins.split_skew_join(f, d, "customer_id", hot, 1_000_000, "sales_id"))
     assert "BroadcastHashJoin Inner" in txt        # heavy keys x their dimension rows
     assert "SortMergeJoin Inner" in txt            # light keys: the regular shuffle join
     assert "BroadcastHashJoin LeftAnti" in txt
 
 
+def test_many_hot_keys_never_shuffle_the_fact_by_the_raw_key(medallion, no_auto_broadcast):
+    """Most customers are over the threshold, and their dimension rows over the bound: the
+    halves are still told apart by a broadcast and the hot half is salted."""
+    f = medallion.fact()
+    d = medallion.gold_table("dim_customers").select("customer_id", "customer_name", "state")
+    hot = joins.hot_keys(f, "customer_id", 1)
+    assert hot.count() > 50
+    txt = plan_text(joins.split_skew_join(f, d, "customer_id", hot, 1, "sales_id"))
+    assert "SortMergeJoin LeftSemi" not in txt and "SortMergeJoin LeftAnti" not in txt
+    assert "BroadcastHashJoin LeftSemi" in txt and "BroadcastHashJoin LeftAnti" in txt
+
+
 def test_hot_key_is_spread_by_salting(medallion, spark):
     """One customer holding a third of the rows: the salted join spreads it over tasks
     and every strategy still returns the plain join's rows."""
@@ -71,11 +83,11 @@ def test_hot_key_is_spread_by_salting(medallion, spark):
     n_hot = skewed.filter(F.col("customer_id") == hot).count()
     assert n_hot > skewed.count() / 4
 
-    heavy = joins.heavy_keys(skewed, "customer_id", n_hot // 2)
-    assert [r.customer_id for r in heavy.collect()] == [hot]
+    hot_set = joins.hot_keys(skewed, "customer_id", n_hot // 2)
+    assert [r.customer_id for r in hot_set.collect()] == [hot]
     plain = skewed.join(d, "customer_id")
-    salted = joins.salted_join(skewed, d, "customer_id", 8, "sales_id", heavy=heavy)
-    split = joins.split_skew_join(skewed, d, "customer_id", heavy, 1_000_000)
+    salted = joins.salted_join(skewed, d, "customer_id", 8, "sales_id", hot=hot_set)
+    split = joins.split_skew_join(skewed, d, "customer_id", hot_set, 1_000_000, "sales_id")
     for v in (salted, split):
         cols = sorted(plain.columns)
         assert v.select(cols).exceptAll(plain.select(cols)).count() == 0
