@@ -33,7 +33,7 @@ def main():
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     f, dc, dp = p.fact(), p.gold_table("dim_customers"), p.gold_table("dim_products")
     s = p.silver_table
-    heavy = joins.heavy_keys(f, "customer_id", 60)
+    hot = joins.hot_keys(f, "customer_id", 60)
     dcs = dc.select("customer_id", "customer_name", "city", "state", "signup_date")
     fp = p.partitioned_fact()
     plans = {
@@ -42,9 +42,9 @@ def main():
         "top_products": gold.top_products(f, dp),
         "merge_orders": silver.upsert(p.silver_versions("orders").as_of_version(0), p.wh.table("silver", "orders_changes"),
                                       "order_id", "2002-01-01 00:00:00"),
-        "incremental_source": silver.incremental_source(p.raw("orders"), "orders", None),
+        "incremental_source": silver.incremental_source(p.raw("orders"), "orders", "1999-01-01 00:00:00"),
         "salted": joins.salted_join(f, dcs, "customer_id", 10, "sales_id"),
-        "split_skew": joins.split_skew_join(f, dcs, "customer_id", heavy, 2_000_000),
+        "split_skew": joins.split_skew_join(f, dcs, "customer_id", hot, 64 << 20, "sales_id"),
         "pruned": layout.count_by(fp.filter(layout.date_partition_filter("sales_date", "=", "2000-12-31")),
                                   "product_id"),
         "snapshot_v1": p.fact_snapshots().as_of_version(1).select("sales_id"),
@@ -52,7 +52,7 @@ def main():
     plans["revenue_by_state_skewed_hot_customer"] = gold.revenue_by_state(
         f.withColumn("customer_id", F.when(F.pmod(F.xxhash64("sales_id"), F.lit(3)) == 0, F.lit(1))
                      .otherwise(F.col("customer_id"))), dc)
-    plans["salted_heavy_only"] = joins.salted_join(f, dcs, "customer_id", 10, "sales_id", heavy=heavy)
+    plans["salted_heavy_only"] = joins.salted_join(f, dcs, "customer_id", 10, "sales_id", hot=hot)
     plans["zorder"] = layout.zorder_cluster(f, ["customer_id", "product_id", "sales_date"], 16)
     only = [a[2:] for a in sys.argv[1:] if a.startswith("--") and a[2:] in plans]
     tree_only = "--tree" in sys.argv
