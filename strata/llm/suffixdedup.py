@@ -1,21 +1,22 @@
 """Removal of long repeated strings by suffix sorting (operator 4).
 
 A byte is removed if a string of ``length`` bytes that covers it also starts in a
-document with a smaller id. To find such strings without sorting every suffix of the
-corpus:
+document with a smaller id. Texts are dealt, compressed, to parts of some megabytes by
+one shuffle that all steps share; after it only messages between parts and shards move:
 
 1. Every string of that length belongs to the place of its least 16-byte piece (by
-   hash), so equal strings share a piece. Tasks send the pieces' hashes, packed and
-   bucketed; pieces of one document only are no longer of interest.
-2. For the other pieces, a task cuts out the stretch of text whose strings belong to
-   the place. Equal stretches are merged with the smallest id before the shuffle.
-3. The stretches of a bucket are one shard: an induced suffix sort with common prefixes
-   (``induced.py``, queues on disk) puts equal strings next to each other and gives each
-   the smallest document id.
-4. Stretches find their answer by a join, documents their removed runs by another; a
-   text is read, and shuffled once, with the same exchange for steps 2 and 4.
-
-Copies of a whole document are found by a digest beforehand and take no part in 2-4.
+   hash), so equal strings share a piece. A part sends its distinct pieces to buckets,
+   which answer with those that another document has as well.
+2. Around these a part cuts out the stretches of text whose strings belong to the
+   place, and sends each distinct one once, with the smallest id, to its shard.
+3. A shard sorts the suffixes of its stretches by external induction (``induced.py``,
+   queues on disk) with their common prefixes, which puts equal strings next to each
+   other, and answers each part with the smallest owners of its stretches' strings.
+4. A part finds its stretches again and removes what an answer tells it to.
+
+A piece or stretch with a third of all occurrences comes once from each part, so no
+bucket or shard follows a hot string. Copies of a whole document are found by a digest
+beforehand; they take no part in 2-4.
 """
 
 from __future__ import annotations
@@ -25,9 +26,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 from strata.llm.common import fold, window_least, written
 from strata.llm.induced import suffix_order
@@ -38,17 +42,18 @@ class Params:
     #: bytes of a repeated string, and of the piece that stands for it
     length: int = 50
     piece: int = 16
-    #: bytes of text a bucket of pieces, and of a shard, stands for on average
-    bucket_bytes: int = 8_000_000
+    #: bytes of text of a part, and that a bucket and a shard stand for, on average
+    part_bytes: int = 6_000_000
+    bucket_bytes: int = 4_000_000
     #: entries of the induced sort's queues that stay in memory
-    memory: int = 4_000_000
+    memory: int = 2_000_000
 
 
 def _buffer(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), dtype=np.uint8), np.cumsum([0, *map(len, texts)])
 
 
-def groups_of(texts: list[bytes], size: int = 4_000_000) -> Iterator[tuple[int, list[bytes]]]:
+def groups_of(texts: list[bytes], size: int = 1_000_000) -> Iterator[tuple[int, list[bytes]]]:
     """Lists of texts of about ``size`` bytes together (a longer text is on its own)."""
     first, held = 0, 0
     for i, t in enumerate(texts):
@@ -60,6 +65,12 @@ def groups_of(texts: list[bytes], size: int = 4_000_000) -> Iterator[tuple[int,
         yield first, texts[first:]
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def stretches(texts: list[bytes], p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, begin, end, piece hash, first byte of the text) of all stretches.
 
@@ -70,9 +81,7 @@ def stretches(texts: list[bytes], p: Params) -> tuple[np.ndarray, np.ndarray, np
     none = np.zeros(0, np.int64)
     if len(raw) < p.length:
         return none, none, none, none.view(np.uint64), none
-    words = np.zeros(len(raw) - 7, dtype=np.uint64)
-    for i in range(8):
-        words |= raw[i : len(raw) - 7 + i].astype(np.uint64) << np.uint64(8 * i)
+    words = np.ndarray(len(raw) - 7, dtype="<u8", buffer=raw.data, strides=(1,)).copy()
     piece = fold(words[: len(words) - 8] ^ (words[8:] * np.uint64(0xD6E8FEB86659FD93)))  # 16 bytes
     width = p.length - p.piece + 1
     key = (piece >> np.uint64(32) << np.uint64(32)) | np.arange(len(piece), dtype=np.uint64)
@@ -89,106 +98,249 @@ def stretches(texts: list[bytes], p: Params) -> tuple[np.ndarray, np.ndarray, np
     begin = place[cut]
     end = place[np.append(cut[1:], len(place)) - 1] + 1
     text = np.searchsorted(ends, begin, side="right") - 1
-    return text, begin, end, piece[owner[cut].astype(np.int64)], ends[text]
+    # the least hashes are all small: mixed once more, they spread evenly over buckets
+    return text, begin, end, fold(piece[owner[cut].astype(np.int64)] ^ np.uint64(0xA5A5A5A5A5A5A5A5)), ends[text]
+
+
+#: a piece is known by 47 bits and its bucket; chance meetings only cost work
+_LOW = np.uint64((1 << 47) - 1)
+
+
+_PACKER: list = []
 
 
-#: a piece is known by its low 48 bits and its bucket; chance meetings only cost work
-_KEEP = np.uint64(0x0000FFFFFFFFFFFF)
+def pack(data: bytes) -> bytes:
+    """Compressed by this worker's own compressor (a new one for each call is slow)."""
+    if not _PACKER:
+        _PACKER.extend((zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()))
+    return _PACKER[0].compress(data)
+
+
+def unpack(data: bytes) -> bytes:
+    if not _PACKER:
+        pack(b"")
+    return _PACKER[1].decompress(data)
 
 
 def bucket_of(pieces: np.ndarray, buckets: int) -> np.ndarray:
     return ((pieces >> np.uint64(40)).astype(np.int64) * buckets) >> 24
 
 
-def _low_bytes(pieces: np.ndarray) -> bytes:
-    return np.ascontiguousarray(pieces.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+def _six(values: np.ndarray) -> bytes:
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def _from_six(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), dtype=np.uint8)
+    out[:, :6] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
 
 
 def _to_text(value: str | None) -> bytes:
     return value.encode("utf-8", "surrogatepass") if value else b""
 
 
-def shared_pieces(docs: DataFrame, buckets: int, p: Params) -> DataFrame:
-    """(key, piece): the pieces of each document that another document has as well.
-
-    A document whose text came before in its task is skipped: it is a whole copy.
-    """
+def dealt(docs: DataFrame, parts: int, carried: list[StructField]) -> DataFrame:
+    """(part, key, text, ...): compressed UTF-8 texts, the part of each row, and columns c0, c1, ... as they are."""
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
-        hashes: list[np.ndarray] = []
-        owners: list[np.ndarray] = []
-        held = 0
-
-        def flush() -> pa.RecordBatch:
-            h, d = np.concatenate(hashes), np.concatenate(owners)
-            bucket = bucket_of(h, buckets)
-            order = np.lexsort((h, bucket))
-            h, d, bucket = h[order], d[order], bucket[order]
-            edges = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
-            spans = list(zip(edges[:-1], edges[1:], strict=True))
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(bucket[edges[:-1]].astype(np.int32)), pa.array([_low_bytes(h[lo:hi]) for lo, hi in spans], pa.binary()),
-                    pa.array([_pack_ids(d[lo:hi]) for lo, hi in spans], pa.binary()),
-                ],
-                names=["bucket", "pieces", "owners"],
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([pack(_to_text(t)) for t in batch.column(2).to_pylist()], pa.binary()), *batch.columns[3:]],
+                names=["part", "key", "text", *(f"c{i}" for i in range(len(carried)))],
             )
 
-        for batch in batches:
-            keys = batch.column(0).to_numpy()
-            texts = [_to_text(t) for t in batch.column(1).to_pylist()]
-            for first, own in groups_of(texts):
-                fresh = []
-                for i, t in enumerate(own):
-                    digest = hashlib.blake2b(t, digest_size=16).digest()
-                    if len(t) >= p.length and digest not in seen:
-                        seen.add(digest)
-                        fresh.append(i)
-                if not fresh:
-                    continue
-                text, _, _, piece, _ = stretches([own[i] for i in fresh], p)
-                if not len(text):
-                    continue
-                hashes.append(piece)
-                owners.append(keys[first + np.array(fresh)][text])
-                held += len(piece)
-                if held > 3_000_000:
-                    yield flush()
-                    hashes, owners, held = [], [], 0
-        if held:
-            yield flush()
-
-    packed = docs.where("key IS NOT NULL").select("key", "text").mapInArrow(send, "bucket int, pieces binary, owners binary")
-
-    def meet(table: pa.Table) -> pa.Table:
-        low = np.frombuffer(b"".join(table.column("pieces").to_pylist()), dtype=np.uint8).reshape(-1, 6)
-        h = np.zeros((len(low), 8), dtype=np.uint8)
-        h[:, :6] = low
-        h = h.view("<u8").ravel()
-        d = np.concatenate([_unpack_ids(x) for x in table.column("owners").to_pylist()])
-        order = np.argsort(h, kind="stable")
-        h, d = h[order], d[order]
-        starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-        several = np.minimum.reduceat(d, starts) != np.maximum.reduceat(d, starts)
-        on = np.repeat(several, np.diff(np.append(starts, len(h))))
-        return pa.table({"key": pa.array(d[on], pa.int64()), "piece": pa.array(h[on].view(np.int64), pa.int64())})
-
-    return packed.groupBy("bucket").applyInArrow(meet, "key bigint, piece bigint")
-
-
-def _pack_ids(ids: np.ndarray) -> bytes:
-    """Ids in 4 bytes each if they fit, else in 8; the first byte says which."""
-    small = len(ids) and ids.min() >= 0 and ids.max() < 1 << 32
-    return (b"\x04" + ids.astype("<u4").tobytes()) if small else (b"\x08" + ids.astype("<i8").tobytes())
-
-
-def _unpack_ids(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, dtype="<u4" if data[0] == 4 else "<i8", offset=1).astype(np.int64)
-
-
-def smallest_owners(strings: list[bytes], owners: np.ndarray, p: Params) -> list[bytes]:
-    """For each stretch, the smallest owner of each of its strings, as int64 bytes.
+    part = F.pmod(F.xxhash64("key", "text"), F.lit(parts)).cast("int").alias("part")
+    rest = [f"c{i}" for i in range(len(carried))]
+    shape = ", ".join(["part int, key bigint, text binary", *(f"{c} {f.dataType.simpleString()}" for c, f in zip(rest, carried, strict=True))])
+    return docs.select(part, "key", "text", *rest).mapInArrow(run, shape)
+
+
+def texts_of(table: pa.Table) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """(ids, texts, has an id) of a part's rows."""
+    known = np.array(table.column("key").is_valid().to_pylist(), dtype=bool)
+    keys = table.column("key").fill_null(0).to_numpy()
+    return keys, [unpack(t) for t in table.column("text").to_pylist()], known
+
+
+def piece_messages(table: pa.Table, buckets: int, p: Params) -> pa.Table:
+    """What a part sends to the buckets: its distinct pieces, with a bit for those of several documents."""
+    keys, texts, known = texts_of(table)
+    seen: set[bytes] = set()
+    take = []
+    for i, t in enumerate(texts):
+        if known[i] and len(t) >= p.length and t not in seen:
+            seen.add(t)
+            take.append(i)
+    found, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for first, own in groups_of([texts[i] for i in take]):
+        text, _, _, piece, _ = stretches(own, p)
+        found.append(piece)
+        owners.append(keys[np.array(take[first : first + len(own)])][text] if len(text) else owners[0])
+    h, d = np.concatenate(found), np.concatenate(owners)
+    order = np.argsort(h, kind="stable")
+    h, d = h[order], d[order]
+    starts = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
+    several = np.minimum.reduceat(d, starts) != np.maximum.reduceat(d, starts) if len(h) else np.zeros(0, bool)
+    h = h[starts]
+    bucket = bucket_of(h, buckets)
+    value = (h & _LOW) | (several.astype(np.uint64) << np.uint64(47))
+    edges = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+    part = table.column("part")[0].as_py() if table.num_rows else 0
+    spans = list(zip(edges[:-1], edges[1:], strict=True))
+    return pa.table({
+        "bucket": pa.array(bucket[edges[:-1]].astype(np.int32)), "part": pa.array([part] * len(spans), pa.int32()),
+        "pieces": pa.array([_six(value[lo:hi]) for lo, hi in spans], pa.binary()),
+    })
+
+
+def piece_answers(table: pa.Table) -> pa.Table:
+    """What a bucket answers each part: those of its pieces that several documents have."""
+    sent = [_from_six(x) for x in table.column("pieces").to_pylist()]
+    all_ = np.concatenate(sent)
+    h, counts = np.unique(all_ & _LOW, return_counts=True)
+    shared = counts > 1
+    marked = np.unique((all_ & _LOW)[(all_ >> np.uint64(47)) > 0])
+    shared |= np.isin(h, marked, assume_unique=True)
+    h = h[shared]
+    out = [np.intersect1d(x & _LOW, h, assume_unique=True) for x in sent]
+    keep = [i for i, x in enumerate(out) if len(x)]
+    parts = table.column("part").to_pylist()
+    return pa.table({"part": pa.array([parts[i] for i in keep], pa.int32()), "shared": pa.array([_six(out[i]) for i in keep], pa.binary())})
+
+
+@dataclass
+class Found:
+    """The stretches of a part: their shard and string, and each document's places."""
+
+    shards: np.ndarray
+    strings: list[bytes]
+    pieces: np.ndarray
+    #: index of the string, row and place of each occurrence
+    string: np.ndarray
+    row: np.ndarray
+    place: np.ndarray
+
+
+def find(keys: np.ndarray, texts: list[bytes], take: list[int], shared: np.ndarray, buckets: int, p: Params) -> Found:
+    """Distinct stretches of the rows ``take`` around shared pieces, in the order of (shard, string)."""
+    names: dict[bytes, int] = {}
+    shard_of: list[int] = []
+    piece_of: list[int] = []
+    which, rows, places = [], [], []
+    for first, own in groups_of([texts[i] for i in take]):
+        text, begin, end, piece, zero = stretches(own, p)
+        on = np.flatnonzero(np.isin(piece & _LOW, shared)) if len(text) else []
+        if not len(on):
+            continue
+        text, begin, end, piece, zero = text[on], begin[on], end[on], piece[on], zero[on]
+        raw, tail = b"".join(own), p.length - 1
+        for b, e, s, q in zip(begin.tolist(), end.tolist(), bucket_of(piece, buckets).tolist(), (piece & np.uint64(0xFFFFFFFF)).tolist(), strict=True):
+            string = raw[b : e + tail]
+            i = names.setdefault(string, len(names))
+            if i == len(shard_of):
+                shard_of.append(s)
+                piece_of.append(q)
+            which.append(i)
+        rows.append(np.array(take[first : first + len(own)])[text])
+        places.append(begin - zero)
+    strings = list(names)
+    order = [i for _, _, i in sorted(zip(shard_of, strings, range(len(strings)), strict=True))]
+    new = np.empty(len(order), dtype=np.int64)
+    new[order] = np.arange(len(order))
+    none = np.zeros(0, np.int64)
+    return Found(
+        np.array([shard_of[i] for i in order], dtype=np.int64), [strings[i] for i in order], np.array([piece_of[i] for i in order], dtype=np.uint32),
+        new[np.array(which, dtype=np.int64)] if which else none, np.concatenate(rows) if rows else none, np.concatenate(places) if places else none,
+    )
+
+
+def part_stretches(left: pa.Table, right: pa.Table, buckets: int, p: Params) -> tuple[np.ndarray, list[bytes], np.ndarray, Found]:
+    """A part's ids, texts and copies, and its stretches, from its rows and the messages to it."""
+    keys, texts, known = texts_of(left)
+    shared = [_from_six(x) for x in right.column("shared").to_pylist() if x is not None]
+    marks = {(k, m) for k, m in zip(right.column("key").to_pylist(), right.column("mark").to_pylist(), strict=True) if k is not None}
+    copy = np.array([bool(marks) and k and (int(key), hashlib.md5(t).hexdigest()) in marks for key, t, k in zip(keys, texts, known, strict=True)], dtype=bool)
+    take = [i for i, t in enumerate(texts) if known[i] and not copy[i] and len(t) >= p.length]
+    return keys, texts, copy, find(keys, texts, take, np.unique(np.concatenate(shared)) if shared else np.zeros(0, np.uint64), buckets, p)
+
+
+def stretch_messages(left: pa.Table, right: pa.Table, buckets: int, p: Params) -> pa.Table:
+    """What a part sends to the shards: its distinct stretches and the smallest id of each."""
+    keys, _, _, f = part_stretches(left, right, buckets, p)
+    owner = np.full(len(f.strings), np.iinfo(np.int64).max)
+    np.minimum.at(owner, f.string, keys[f.row] if len(f.row) else f.row)
+    edges = np.append(np.flatnonzero(np.diff(f.shards, prepend=-1)), len(f.shards))
+    part = left.column("part")[0].as_py() if left.num_rows else 0
+    spans = [(int(a), int(b)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    return pa.table({
+        "shard": pa.array(f.shards[edges[:-1]].astype(np.int32)), "part": pa.array([part] * len(spans), pa.int32()),
+        "stretches": pa.array([pack(b"\xff".join(f.strings[a:b])) for a, b in spans], pa.binary()),
+        "pieces": pa.array([f.pieces[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary()),
+        "owners": pa.array([pack(owner[a:b].astype("<i8").tobytes()) for a, b in spans], pa.binary()),
+    })
+
+
+def shard_answers(table: pa.Table, p: Params) -> pa.Table:
+    """What a shard answers each part: of each of its stretches the runs of strings with one smallest owner.
+
+    Strings of one piece are in stretches of that piece only: a piece with one stretch
+    needs no sorting, all its strings have the stretch's owner.
+    """
+    sent = [unpack(x).split(b"\xff") for x in table.column("stretches").to_pylist()]
+    ids = [np.frombuffer(unpack(x), dtype="<i8").astype(np.int64) for x in table.column("owners").to_pylist()]
+    names: dict[bytes, int] = {}
+    which = [np.array([names.setdefault(s, len(names)) for s in own]) for own in sent]
+    owner = np.full(len(names), np.iinfo(np.int64).max)
+    piece = np.zeros(len(names), dtype=np.uint32)
+    for w, d, q in zip(which, ids, table.column("pieces").to_pylist(), strict=True):
+        np.minimum.at(owner, w, d)
+        piece[w] = np.frombuffer(q, dtype="<u4")
+    _, group, sizes = np.unique(piece, return_inverse=True, return_counts=True)
+    several = np.flatnonzero(sizes[group] > 1)
+    strings = list(names)
+    runs: list = [(1, b"\0", x) for x in map(bytes, owner.astype("<i8").view(np.uint8).reshape(-1, 8))]
+    for i, x in zip(several.tolist(), smallest_owners([strings[i] for i in several], owner[several], p) if len(several) else (), strict=True):
+        f = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
+        runs[i] = (len(f), f.astype(np.uint8).tobytes(), x[f].astype("<i8").tobytes())
+    out = []
+    for w in which:
+        own = [runs[i] for i in w]
+        sizes = np.array([r[0] for r in own], dtype=np.uint8).tobytes()
+        out.append(pack(sizes + b"".join(r[1] for r in own) + b"".join(r[2] for r in own)))
+    shard = table.column("shard")[0].as_py()
+    return pa.table({"part": table.column("part"), "shard": pa.array([shard] * len(out), pa.int32()), "answer": pa.array(out, pa.binary())})
+
+
+def removed(left: pa.Table, right: pa.Table, buckets: int, p: Params) -> tuple[np.ndarray, list[bytes], list[list[tuple[int, int]]]]:
+    """A part's ids and texts, and the runs of bytes that go from each."""
+    keys, texts, copy, f = part_stretches(left, right, buckets, p)
+    answers = {s: a for s, a in zip(right.column("shard").to_pylist(), right.column("answer").to_pylist(), strict=True) if a is not None}
+    edges = np.append(np.flatnonzero(np.diff(f.shards, prepend=-1)), len(f.shards))
+    runs: list[list[tuple[int, int]]] = [[] for _ in f.strings]
+    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+        data, n = unpack(answers[int(f.shards[lo])]), int(hi - lo)
+        sizes = np.frombuffer(data, dtype=np.uint8, count=n).astype(np.int64)
+        total = int(sizes.sum())
+        first = np.frombuffer(data, dtype=np.uint8, count=total, offset=n).tolist()
+        owner = np.frombuffer(data, dtype="<i8", count=total, offset=n + total).tolist()
+        at = 0
+        for i, size in zip(range(lo, hi), sizes.tolist(), strict=True):
+            runs[i] = list(zip(first[at : at + size], owner[at : at + size], strict=True))
+            at += size
+    out: list[list[tuple[int, int]]] = [[] for _ in texts]
+    for i, row, place in zip(f.string.tolist(), f.row.tolist(), f.place.tolist(), strict=True):
+        own, key = runs[i], int(keys[row])
+        last = len(f.strings[i]) - p.length + 1
+        for k, (first, owner) in enumerate(own):
+            if owner < key:
+                end = own[k + 1][0] if k + 1 < len(own) else last
+                out[row].append((place + first, place + end - 1 + p.length))
+    return keys, texts, [[(0, len(t))] if c else merged(r) for t, c, r in zip(texts, copy, out, strict=True)]
+
+
+def smallest_owners(strings: list[bytes], owners: np.ndarray, p: Params) -> list[np.ndarray]:
+    """For each stretch, the smallest owner of each of its strings.
 
     One induced suffix sort of all stretches: strings that are equal are neighbours whose
     common prefix is at least their length.
@@ -208,109 +360,13 @@ def smallest_owners(strings: list[bytes], owners: np.ndarray, p: Params) -> list
     least = np.minimum.reduceat(owner, lead)[np.cumsum(~same) - 1]
     at = np.full(len(text), np.iinfo(np.int64).max, dtype=np.int64)
     at[order[starts_string]] = least[starts_string]
-    return [at[b : b + n - p.length + 1].tobytes() for b, n in zip(begins, sizes, strict=True)]
-
+    return [at[b : b + n - p.length + 1] for b, n in zip(begins, sizes, strict=True)]
 
-def _run_lengths(least: np.ndarray) -> bytes:
-    """(first place, owner) pairs of runs of equal owners."""
-    first = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
-    return np.stack((first, least[first])).T.astype("<i8").tobytes()
 
-
-def removed_runs(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(key, text, copy, runs): each document's text and the runs (begin, end) to remove.
-
-    ``copy``: an equal text has a smaller id, so all of it goes. Runs may overlap.
-    """
-    spark = docs.sparkSession
-    base = docs.select(docs[id_col].cast("bigint").alias("key"), docs[text_col].alias("text"))
-    total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = int(min(1 << 24, max(64, total // p.bucket_bytes)))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    once = base.repartition(parts, "key")
-
-    digests = base.where("key IS NOT NULL AND octet_length(text) >= " + str(p.length)).select("key", F.sha2("text", 256).alias("digest"), F.xxhash64("text").alias("mark"))
-    firsts = digests.groupBy("digest").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last").select("digest", "first")
-    copies = written(
-        digests.join(firsts, "digest").where("key > first").groupBy("key").agg(F.collect_set("mark").alias("marks")), "suffix-copies"
-    )
-    pieces = shared_pieces(base, buckets, p).groupBy("key").agg(F.collect_set("piece").alias("pieces"))
-    is_copy = F.coalesce(F.array_contains("marks", F.xxhash64("text")), F.lit(False)).alias("copy")
-    marked_text = once.join(copies, "key", "left").select("key", "text", is_copy)
-    noted = marked_text.join(pieces, "key", "left")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(k, _to_text(t), s) for k, t, s, c in zip(*(x.to_pylist() for x in batch.columns), strict=True) if s and not c]
-            for first, own in groups_of([r[1] for r in rows]):
-                text, begin, end, piece, zero = stretches(own, p)
-                wanted = [np.array(r[2], dtype=np.int64).view(np.uint64) for r in rows[first : first + len(own)]]
-                sizes = np.array([len(w) for w in wanted])
-                # (text, piece) pairs that are shared, looked up for all texts at once
-                have = fold(np.concatenate(wanted)) ^ np.repeat(fold(np.arange(len(own), dtype=np.uint64) + np.uint64(7)), sizes)
-                on = np.isin(fold(piece & _KEEP) ^ fold(text.astype(np.uint64) + np.uint64(7)), have)
-                text, begin, end, piece, zero = text[on], begin[on], end[on], piece[on], zero[on]
-                if not len(text):
-                    continue
-                raw = b"".join(own)
-                tail = p.length - 1
-                strings = [raw[b : e + tail] for b, e in zip(begin.tolist(), end.tolist(), strict=True)]
-                keys = np.array([r[0] for r in rows[first : first + len(own)]], dtype=np.int64)[text]
-                shard = bucket_of(piece, buckets).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard), pa.array(strings, pa.binary()), pa.array(keys), pa.array((begin - zero).astype(np.int32))],
-                    names=["shard", "stretch", "key", "place"],
-                )
-
-    found = noted.select("key", "text", "pieces", "copy").mapInArrow(cut, "shard int, stretch binary, key bigint, place int")
-    distinct = found.groupBy("shard", "stretch").agg(F.min("key").alias("owner"))
-
-    def sort_shard(table: pa.Table) -> pa.Table:
-        strings = table.column("stretch").to_pylist()
-        least = smallest_owners(strings, table.column("owner").to_numpy(), p)
-        runs = [_run_lengths(np.frombuffer(x, dtype=np.int64)) for x in least]
-        mark = [hashlib.blake2b(s, digest_size=16).digest() for s in strings]
-        return pa.table({"mark": pa.array(mark, pa.binary()), "owners": pa.array(runs, pa.binary())})
-
-    answers = distinct.groupBy("shard").applyInArrow(sort_shard, "mark binary, owners binary")
-
-    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            strings = batch.column("stretch").to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([hashlib.blake2b(s, digest_size=16).digest() for s in strings], pa.binary()), batch.column("key"), batch.column("place"),
-                    pa.array([len(s) - p.length + 1 for s in strings], pa.int32()),
-                ],
-                names=["mark", "key", "place", "strings"],
-            )
-
-    places = found.mapInArrow(marked, "mark binary, key bigint, place int, strings int")
-
-    def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, begins, ends = [], [], []
-            for owners, key, place, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                runs = np.frombuffer(owners, dtype="<i8").reshape(-1, 2)
-                bounds = np.append(runs[:, 0], n)
-                for (first, owner), last in zip(runs, bounds[1:], strict=True):
-                    if owner < key:
-                        keys.append(key)
-                        begins.append(place + int(first))
-                        ends.append(place + int(last) - 1 + p.length)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(begins, pa.int32()), pa.array(ends, pa.int32())], names=["key", "begin", "end"])
-
-    runs = (
-        places.join(answers, "mark").select("owners", "key", "place", "strings").mapInArrow(resolve, "key bigint, begin int, end int")
-        .groupBy("key").agg(F.collect_list(F.struct("begin", "end")).alias("runs"))
-    )
-    return marked_text.join(runs, "key", "left")
-
-
-def merged(runs: list[dict] | None) -> list[tuple[int, int]]:
+def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Disjoint runs in order; runs that touch are one."""
     out: list[list[int]] = []
-    for begin, end in sorted((r["begin"], r["end"]) for r in runs or ()):
+    for begin, end in sorted(runs):
         if out and begin <= out[-1][1]:
             out[-1][1] = max(out[-1][1], end)
         else:
@@ -318,37 +374,72 @@ def merged(runs: list[dict] | None) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def cleaned(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256, kept binary, spans) of every document.
+def cleaned(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, n_bytes, n_removed, n_spans, kept_sha256, kept binary, spans, ...) of every document.
 
     A null text counts as empty. Texts shorter than ``length`` bytes keep everything, as
     does a document with a null id, and of several rows with one id none removes
     from another. An empty table gives no rows; other columns are not read. ``spans``
-    has the removed runs, ``kept`` the remaining bytes.
+    has the removed runs, ``kept`` the remaining bytes; columns in ``carry`` come along.
     """
     kind = docs.schema[id_col].dataType.simpleString()
+    carried = [docs.schema[c] for c in carry]
+    base = docs.select(docs[id_col].cast("bigint").alias("key"), docs[text_col].alias("text"), *[docs[c].alias(f"c{i}") for i, c in enumerate(carry)])
+    total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = int(min(1 << 24, max(64, total // p.bucket_bytes)))
+    texts = dealt(base, max(1, -(-total // p.part_bytes)), carried)
+
+    digests = base.where(f"key IS NOT NULL AND octet_length(text) >= {p.length}").select("key", F.xxhash64("key", "text").alias("at"), F.md5("text").alias("mark"))
+    firsts = digests.groupBy("mark").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last").select("mark", "first")
+    parts = F.lit(max(1, -(-total // p.part_bytes)))
+    copies = written(digests.join(firsts, "mark").where("key > first").select(F.pmod("at", parts).cast("int").alias("part"), "key", "mark"), "suffix-copies")
+
+    mail = "part int, shared binary, key bigint, mark string, shard int, answer binary"
+    empty = {f.split()[0]: F.lit(None).cast(f.split()[1]) for f in mail.split(", ")}
+
+    def message(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(c) if c in df.columns else v.alias(c) for c, v in empty.items()])
 
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                rows = batch.slice(i, 500).to_pylist()
-                out = {k: [] for k in ("key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans")}
-                for r in rows:
-                    data = _to_text(r["text"])
-                    spans = [(0, len(data))] if r["copy"] else merged(r["runs"])
-                    kept, at = [], 0
-                    for begin, end in spans:
-                        kept.append(data[at:begin])
-                        at = end
-                    kept.append(data[at:])
-                    left = b"".join(kept)
-                    for k, v in zip(out, (r["key"], len(data), len(data) - len(left), len(spans), hashlib.sha256(left).hexdigest(), left, [x for s in spans for x in s]), strict=True):
-                        out[k].append(v)
-                yield pa.RecordBatch.from_pydict(
-                    out, schema=pa.schema([("key", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary()), ("spans", pa.list_(pa.int64()))])
-                )
-
-    got = removed_runs(docs, p, id_col, text_col).mapInArrow(
-        apply, "key bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary, spans array<bigint>"
+    pieces = texts.groupBy("part").applyInArrow(lambda t: piece_messages(t, buckets, p), "bucket int, part int, pieces binary")
+    shared = message(pieces.groupBy("bucket").applyInArrow(piece_answers, "part int, shared binary")).unionByName(message(copies))
+    sent = texts.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(
+        lambda a, b: stretch_messages(a, b, buckets, p), "shard int, part int, stretches binary, pieces binary, owners binary"
     )
-    return got.select(F.col("key").cast(kind).alias(id_col), *[c for c in got.columns if c != "key"])
+    answers = message(sent.groupBy("shard").applyInArrow(lambda t: shard_answers(t, p), "part int, shard int, answer binary"))
+
+    def apply(left: pa.Table, right: pa.Table) -> pa.Table:
+        keys, own, runs = removed(left, right, buckets, p)
+        kept = []
+        for t, r in zip(own, runs, strict=True):
+            at, rest = 0, []
+            for begin, end in r:
+                rest.append(t[at:begin])
+                at = end
+            kept.append(b"".join([*rest, t[at:]]))
+        return pa.table({
+            "key": left.column("key"), "n_bytes": pa.array([len(t) for t in own], pa.int64()),
+            "n_removed": pa.array([len(t) - len(k) for t, k in zip(own, kept, strict=True)], pa.int64()),
+            "n_spans": pa.array([len(r) for r in runs], pa.int64()), "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
+            "kept": pa.array(kept, pa.binary()), "spans": pa.array([[x for y in r for x in y] for r in runs], pa.list_(pa.int64())),
+            **{f"c{i}": left.column(f"c{i}") for i in range(len(carried))},
+        })
+
+    got = texts.groupBy("part").cogroup(shared.unionByName(answers).groupBy("part")).applyInArrow(
+        apply,
+        ", ".join(
+            ["key bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary, spans array<bigint>"]
+            + [f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(carried)]
+        ),
+    )
+    own = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"]
+    return got.select(F.col("key").cast(kind).alias(id_col), *own, *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)])
+
+
+def whole_characters(df: DataFrame, bytes_col: str, text_col: str) -> DataFrame:
+    """``df`` with the bytes as text; what is left of a cut character is dropped."""
+
+    @F.pandas_udf("string")
+    def decode(data: pd.Series) -> pd.Series:
+        return data.map(lambda b: bytes(b).decode("utf-8", "ignore"))
+
+    return df.withColumn(text_col, decode(F.col(bytes_col)))
