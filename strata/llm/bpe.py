@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 import struct
 import unicodedata
@@ -266,6 +267,14 @@ class _WordTable(dict):
         return out
 
 
+#: where the vocabulary files of public tokenizers are, on every executor
+TOKENIZERS = os.environ.get("STRATA_TOKENIZERS", "/opt/tokenizers")
+
+
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    return f"{TOKENIZERS}/{name}"
+
+
 _CODECS: dict[str, Codec] = {}
 
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+import strata
 from strata.session import shared_dir
 
 #: characters handled at once by the vectorised text code; longer texts are cut in
@@ -16,6 +20,20 @@ from strata.session import shared_dir
 BLOCK_CHARS = 1 << 20
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once a session, as a zip."""
+    sc = spark.sparkContext
+    if getattr(sc, "_strata_shipped", False):
+        return
+    home = Path(strata.__file__).parent
+    name = Path(tempfile.mkdtemp(prefix="strata-py-")) / "strata.zip"
+    with zipfile.ZipFile(name, "w") as z:
+        for p in sorted(home.rglob("*.py")):
+            z.write(p, p.relative_to(home.parent))
+    sc.addPyFile(str(name))
+    sc._strata_shipped = True
+
+
 def scratch(spark: SparkSession, tag: str) -> str:
     """A new folder for one intermediate table below the shared folder."""
     return f"{shared_dir(spark)}/strata/llm-{tag}-{uuid.uuid4().hex[:12]}"
@@ -138,12 +156,15 @@ def word_hashes(
         return none
     lens = np.flatnonzero(blank & np.concatenate(([False], ~blank[:-1]))) - begins
     firsts = np.cumsum(lens) - lens
-    at = np.arange(int(lens.sum())) - np.repeat(firsts, lens)
+    letters = int(lens.sum())
+    small = np.int32 if letters < 1 << 31 else np.int64
+    at = np.arange(letters, dtype=small) - np.repeat(firsts.astype(small), lens)
     # a multiplier for each place, and a second mix for places beyond the table
-    weight = _POWERS[at % _LONGEST]
-    if lens.max() > _LONGEST:
-        weight = weight + fold((at // _LONGEST).astype(np.uint64)) * np.uint64(2)
-    value = (raw[~blank].astype(np.uint64) + np.uint64(1)) * weight
+    if lens.max() <= _LONGEST:
+        value = _POWERS[at]
+    else:
+        value = _POWERS[at % _LONGEST] + fold((at // _LONGEST).astype(np.uint64)) * np.uint64(2)
+    value *= raw[~blank] + np.uint64(1)
     words = fold(np.add.reduceat(value, firsts) + lens.astype(np.uint64))
     heads = [fold(np.add.reduceat(np.where(at < p, value, np.uint64(0)), firsts) + np.uint64((1 << 40) + p)) for p in prefixes]
     ends = np.cumsum([0, *(len(d) + 1 for d in data)])

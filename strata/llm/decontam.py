@@ -114,8 +114,9 @@ def halves(texts: list[str], items: Items, p: Params) -> Halves:
     base = np.cumsum(count) - count
     numbers = items.numbers(hashes)
     known = np.flatnonzero(numbers >= 0)
-    text = np.searchsorted(at, known, side="right") - 1
-    half = base[text] + (known - at[text]) // step
+    # half of a word: its text's first half and the steps from the text's first word
+    shift = np.repeat(base * step - at[:-1], n)[known]
+    half = (known + shift) // step
     starts = np.flatnonzero(np.diff(half, prepend=-1))
     slot = np.arange(len(half)) - np.repeat(starts, np.diff(np.append(starts, len(half))))
     total = int(count.sum())

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from strata.llm.common import code_points, pieces, segment_sums
 
@@ -59,6 +60,11 @@ def ngram_buckets(points: np.ndarray, bits: int) -> list[np.ndarray]:
     return out
 
 
+def continued(index: np.ndarray, last: int) -> np.ndarray:
+    """Which pieces go on a text that an earlier piece began; ``last``: text of the piece before."""
+    return np.diff(index, prepend=last) == 0
+
+
 @dataclass(frozen=True)
 class Params:
     #: labelled rows a language that the model is fitted on, on average; the choice is by hash
@@ -83,16 +89,17 @@ class Model:
         """Sums of log-probabilities by text and language, and the number of n-grams."""
         total = np.zeros((len(texts), len(self.languages)))
         grams = np.zeros(len(texts))
+        last = -1
         for index, own in pieces(texts, overlap=2):
             points, ends = code_points(own)
+            later = continued(index, last)
+            last = int(index[-1])
             if not len(points):
                 continue
-            firsts = ends[:-1]
             score = np.zeros((len(own), len(self.languages)))
             for n, bucket in enumerate(ngram_buckets(points, self.bits), 1):
-                # the first n - 1 places of a piece have no whole n-gram (or had it before)
-                skip = 2 if n == 3 else n - 1
-                starts = np.minimum(firsts + skip, ends[1:])
+                # the first places have no whole n-gram, or the piece before had it
+                starts = np.minimum(ends[:-1] + np.where(later, 2, n - 1), ends[1:])
                 score += segment_sums(self.log_prob[bucket], starts, ends[1:])
                 np.add.at(grams, index, ends[1:] - starts)
             np.add.at(total, index, score)
@@ -148,10 +155,17 @@ def fit(labelled: DataFrame, params: Params = Params()) -> Model:
                 own = [t for t, x in zip(d["text"], d["lang"], strict=True) if x == lang]
                 c = sums.setdefault(lang, np.zeros(1 << bits, dtype=np.int64))
                 rows[lang] = rows.get(lang, 0) + len(own)
-                for _, part in pieces(own, overlap=2):
-                    points, _ = code_points(part)
-                    for bucket in ngram_buckets(points, bits):
-                        c += np.bincount(bucket, minlength=1 << bits)
+                last = -1
+                for index, part in pieces(own, overlap=2):
+                    points, ends = code_points(part)
+                    later = continued(index, last)
+                    last = int(index[-1])
+                    for n, bucket in enumerate(ngram_buckets(points, bits), 1):
+                        whole = np.ones(len(points), dtype=bool)
+                        for k in range(2):
+                            begins = ends[:-1][np.where(later, 2, n - 1) > k] + k
+                            whole[begins[begins < len(points)]] = False
+                        c += np.bincount(bucket[whole], minlength=1 << bits)
         for lang, c in sums.items():
             at = np.flatnonzero(c)
             yield pa.RecordBatch.from_arrays(
@@ -200,20 +214,24 @@ def fit(labelled: DataFrame, params: Params = Params()) -> Model:
     return Model(languages, log_prob, flat, float(grid[best]), bits)
 
 
-def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, lang_pred, score) of every whole text.
+def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """(id, lang_pred, score) of every whole text; with ``carry`` all columns of ``docs`` too.
 
     A null text, an empty one and one without a letter give ``und`` with score 0. Ties
     go to the language first in alphabetical order. Every row is answered on its own,
-    so repeated and null ids do no harm; other columns are not read.
+    so repeated and null ids do no harm. Other columns are read only if they come along;
+    one that is called ``lang_pred`` or ``score`` then gives way to the answer.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    answer = ("lang_pred", "score")
+    kept = [f for f in docs.schema.fields if f.name not in answer] if carry else [docs.schema[id_col]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, score = shared.value.predict(batch.column(1).to_pylist(), batch.column(2).to_numpy(zero_copy_only=False).astype(bool))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(score)], names=[id_col, "lang_pred", "score"])
+            text, lettered = batch.column(0).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            names, score = shared.value.predict(text, lettered)
+            yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(names, pa.string()), pa.array(score)], names=[*(f.name for f in kept), *answer])
 
-    source = docs.select(docs[id_col].alias("key"), docs[text_col].alias("text"), F.coalesce(docs[text_col].rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
-    kind = docs.schema[id_col].dataType.simpleString()
-    return source.mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double")
+    lettered = F.coalesce(docs[text_col].rlike(r"\p{L}"), F.lit(False)).alias("lettered")
+    source = docs.select(docs[text_col].alias("judged"), lettered, *[docs[f.name].alias(f"c{i}") for i, f in enumerate(kept)])
+    return source.mapInArrow(run, StructType([*kept, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))

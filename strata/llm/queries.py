@@ -2,39 +2,12 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import strata
+import corpus_pipeline
 from strata.llm import bpe, decontam, htmltext, jaccard, langid, ring, suffixdedup, syncmers, toxicity, warc
-
-#: vocabulary files of public tokenizers
-TOKENIZERS = os.environ.get("STRATA_TOKENIZERS", "/opt/tokenizers")
-WORD_BPE = "word_bpe_49k.json"
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once a session, as a zip."""
-    sc = spark.sparkContext
-    if getattr(sc, "_strata_shipped", False):
-        return
-    home = Path(strata.__file__).parent
-    name = Path(tempfile.mkdtemp(prefix="strata-py-")) / "strata.zip"
-    with zipfile.ZipFile(name, "w") as z:
-        for p in sorted(home.rglob("*.py")):
-            z.write(p, p.relative_to(home.parent))
-    sc.addPyFile(str(name))
-    sc._strata_shipped = True
-
-
-def tokenizer(name: str = WORD_BPE) -> str:
-    return f"{TOKENIZERS}/{name}"
-
+from strata.llm.common import ship
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
@@ -78,7 +51,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.round_trip_digests(table(spark, sf_dir, "documents"), tokenizer())
+    return bpe.round_trip_digests(table(spark, sf_dir, "documents"), bpe.tokenizer_file())
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,5 +77,6 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_sharding": op9_sharding,
     "op10_html_text": op10_html_text,
+    "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}

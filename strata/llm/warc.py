@@ -273,13 +273,12 @@ def _assembled(spark: SparkSession, path: str, blocks: DataFrame, parts: DataFra
         first = group.iloc[0]
         size = int(first["succ"] - first["start"] - len(MAGIC))
         data = MAGIC.join(map(bytes, group["cut"]))
-        if len(data) != size or not data.endswith(_END):
-            return pd.DataFrame({"file": [], "start": [], "payload_bytes": [], "payload_sha256": [], "payload": []})
         payload = data[int(first["head"]) : size - len(_END)]
-        return pd.DataFrame({
+        made = pd.DataFrame({
             "file": [first["file"]], "start": [first["start"]], "payload_bytes": [len(payload)],
             "payload_sha256": [hashlib.sha256(payload).hexdigest()], "payload": [payload if with_payload else None],
         })
+        return made if len(data) == size and data.endswith(_END) else made.iloc[:0]
 
     return inside.groupBy("file", "start").applyInPandas(put_together, "file string, start bigint, payload_bytes bigint, payload_sha256 string, payload binary")
 
