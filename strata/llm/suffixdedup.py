@@ -22,6 +22,7 @@ beforehand; they take no part in 2-4.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -71,8 +72,8 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(i, rows)
 
 
-def stretches(texts: list[bytes], p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, begin, end, piece hash, first byte of the text) of all stretches.
+def stretches(texts: list[bytes], p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, begin, end, piece hash, first byte of the text, bytes before the piece) of all stretches.
 
     ``begin`` and ``end`` are the places, in the joined texts, of the first and after the
     last string of a stretch.
@@ -80,7 +81,7 @@ def stretches(texts: list[bytes], p: Params) -> tuple[np.ndarray, np.ndarray, np
     raw, ends = _buffer(texts)
     none = np.zeros(0, np.int64)
     if len(raw) < p.length:
-        return none, none, none, none.view(np.uint64), none
+        return none, none, none, none.view(np.uint64), none, none
     words = np.ndarray(len(raw) - 7, dtype="<u8", buffer=raw.data, strides=(1,)).copy()
     piece = fold(words[: len(words) - 8] ^ (words[8:] * np.uint64(0xD6E8FEB86659FD93)))  # 16 bytes
     width = p.length - p.piece + 1
@@ -92,14 +93,14 @@ def stretches(texts: list[bytes], p: Params) -> tuple[np.ndarray, np.ndarray, np
     # a text shorter than a string, too
     place = np.flatnonzero(inside)
     if not len(place):
-        return none, none, none, none.view(np.uint64), none
+        return none, none, none, none.view(np.uint64), none, none
     owner = least[place]
     cut = np.flatnonzero((np.diff(owner.astype(np.int64), prepend=-1) != 0) | (np.diff(place, prepend=-2) != 1))
     begin = place[cut]
     end = place[np.append(cut[1:], len(place)) - 1] + 1
     text = np.searchsorted(ends, begin, side="right") - 1
     # the least hashes are all small: mixed once more, they spread evenly over buckets
-    return text, begin, end, fold(piece[owner[cut].astype(np.int64)] ^ np.uint64(0xA5A5A5A5A5A5A5A5)), ends[text]
+    return text, begin, end, fold(piece[owner[cut].astype(np.int64)] ^ np.uint64(0xA5A5A5A5A5A5A5A5)), ends[text], owner[cut].astype(np.int64) - begin
 
 
 #: a piece is known by 47 bits and its bucket; chance meetings only cost work
@@ -174,7 +175,7 @@ def piece_messages(table: pa.Table, buckets: int, p: Params) -> pa.Table:
             take.append(i)
     found, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for first, own in groups_of([texts[i] for i in take]):
-        text, _, _, piece, _ = stretches(own, p)
+        text, _, _, piece, _, _ = stretches(own, p)
         found.append(piece)
         owners.append(keys[np.array(take[first : first + len(own)])][text] if len(text) else owners[0])
     h, d = np.concatenate(found), np.concatenate(owners)
@@ -216,6 +217,8 @@ class Found:
     shards: np.ndarray
     strings: list[bytes]
     pieces: np.ndarray
+    #: bytes before the piece in each string
+    leads: np.ndarray
     #: index of the string, row and place of each occurrence
     string: np.ndarray
     row: np.ndarray
@@ -227,20 +230,24 @@ def find(keys: np.ndarray, texts: list[bytes], take: list[int], shared: np.ndarr
     names: dict[bytes, int] = {}
     shard_of: list[int] = []
     piece_of: list[int] = []
+    lead_of: list[int] = []
     which, rows, places = [], [], []
     for first, own in groups_of([texts[i] for i in take]):
-        text, begin, end, piece, zero = stretches(own, p)
+        text, begin, end, piece, zero, lead = stretches(own, p)
         on = np.flatnonzero(np.isin(piece & _LOW, shared)) if len(text) else []
         if not len(on):
             continue
-        text, begin, end, piece, zero = text[on], begin[on], end[on], piece[on], zero[on]
+        text, begin, end, piece, zero, lead = text[on], begin[on], end[on], piece[on], zero[on], lead[on]
         raw, tail = b"".join(own), p.length - 1
-        for b, e, s, q in zip(begin.tolist(), end.tolist(), bucket_of(piece, buckets).tolist(), (piece & np.uint64(0xFFFFFFFF)).tolist(), strict=True):
+        for b, e, s, q, a in zip(
+            begin.tolist(), end.tolist(), bucket_of(piece, buckets).tolist(), (piece & np.uint64(0xFFFFFFFF)).tolist(), lead.tolist(), strict=True
+        ):
             string = raw[b : e + tail]
             i = names.setdefault(string, len(names))
             if i == len(shard_of):
                 shard_of.append(s)
                 piece_of.append(q)
+                lead_of.append(a)
             which.append(i)
         rows.append(np.array(take[first : first + len(own)])[text])
         places.append(begin - zero)
@@ -251,6 +258,7 @@ def find(keys: np.ndarray, texts: list[bytes], take: list[int], shared: np.ndarr
     none = np.zeros(0, np.int64)
     return Found(
         np.array([shard_of[i] for i in order], dtype=np.int64), [strings[i] for i in order], np.array([piece_of[i] for i in order], dtype=np.uint32),
+        np.array([lead_of[i] for i in order], dtype=np.uint8),
         new[np.array(which, dtype=np.int64)] if which else none, np.concatenate(rows) if rows else none, np.concatenate(places) if places else none,
     )
 
@@ -277,15 +285,40 @@ def stretch_messages(left: pa.Table, right: pa.Table, buckets: int, p: Params) -
         "shard": pa.array(f.shards[edges[:-1]].astype(np.int32)), "part": pa.array([part] * len(spans), pa.int32()),
         "stretches": pa.array([pack(b"\xff".join(f.strings[a:b])) for a, b in spans], pa.binary()),
         "pieces": pa.array([f.pieces[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary()),
+        "leads": pa.array([f.leads[a:b].tobytes() for a, b in spans], pa.binary()),
         "owners": pa.array([pack(owner[a:b].astype("<i8").tobytes()) for a, b in spans], pa.binary()),
     })
 
 
+def ambiguous(strings: list[bytes], lead: list[int], among: list[int], p: Params) -> list[int]:
+    """Those of ``among`` that may have a string in common with another one.
+
+    A common string has its piece and ``length - piece`` more bytes, some before the piece
+    and some after. Whatever the split, it holds one of four surroundings of the piece,
+    of which each has nearly the string's length.
+    """
+    extra = p.length - p.piece
+    cuts = [round(extra * k / 4) for k in range(5)]
+    spans = [(lo, extra - hi) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+    keys: list[tuple[int, tuple[int, bytes]]] = []
+    count: Counter = Counter()
+    for i in among:
+        s, a = strings[i], lead[i]
+        after = len(s) - a - p.piece
+        for k, (left, right) in enumerate(spans):
+            if a >= left and after >= right:
+                key = (k, s[a - left : a + p.piece + right])
+                keys.append((i, key))
+                count[key] += 1
+    return sorted({i for i, key in keys if count[key] > 1})
+
+
 def shard_answers(table: pa.Table, p: Params) -> pa.Table:
     """What a shard answers each part: of each of its stretches the runs of strings with one smallest owner.
 
-    Strings of one piece are in stretches of that piece only: a piece with one stretch
-    needs no sorting, all its strings have the stretch's owner.
+    Strings of one piece are in stretches of that piece only. A stretch that has no long
+    enough surrounding of its piece in common with another needs no sorting: all its
+    strings have the stretch's owner.
     """
     sent = [unpack(x).split(b"\xff") for x in table.column("stretches").to_pylist()]
     ids = [np.frombuffer(unpack(x), dtype="<i8").astype(np.int64) for x in table.column("owners").to_pylist()]
@@ -293,12 +326,14 @@ def shard_answers(table: pa.Table, p: Params) -> pa.Table:
     which = [np.array([names.setdefault(s, len(names)) for s in own]) for own in sent]
     owner = np.full(len(names), np.iinfo(np.int64).max)
     piece = np.zeros(len(names), dtype=np.uint32)
-    for w, d, q in zip(which, ids, table.column("pieces").to_pylist(), strict=True):
+    lead = np.zeros(len(names), dtype=np.uint8)
+    for w, d, q, a in zip(which, ids, table.column("pieces").to_pylist(), table.column("leads").to_pylist(), strict=True):
         np.minimum.at(owner, w, d)
         piece[w] = np.frombuffer(q, dtype="<u4")
+        lead[w] = np.frombuffer(a, dtype=np.uint8)
     _, group, sizes = np.unique(piece, return_inverse=True, return_counts=True)
-    several = np.flatnonzero(sizes[group] > 1)
     strings = list(names)
+    several = np.array(ambiguous(strings, lead.tolist(), np.flatnonzero(sizes[group] > 1).tolist(), p), dtype=np.int64)
     runs: list = [(1, b"\0", x) for x in map(bytes, owner.astype("<i8").view(np.uint8).reshape(-1, 8))]
     for i, x in zip(several.tolist(), smallest_owners([strings[i] for i in several], owner[several], p) if len(several) else (), strict=True):
         f = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
@@ -403,7 +438,7 @@ def cleaned(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_
     pieces = texts.groupBy("part").applyInArrow(lambda t: piece_messages(t, buckets, p), "bucket int, part int, pieces binary")
     shared = message(pieces.groupBy("bucket").applyInArrow(piece_answers, "part int, shared binary")).unionByName(message(copies))
     sent = texts.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(
-        lambda a, b: stretch_messages(a, b, buckets, p), "shard int, part int, stretches binary, pieces binary, owners binary"
+        lambda a, b: stretch_messages(a, b, buckets, p), "shard int, part int, stretches binary, pieces binary, leads binary, owners binary"
     )
     answers = message(sent.groupBy("shard").applyInArrow(lambda t: shard_answers(t, p), "part int, shard int, answer binary"))
 
