@@ -195,12 +195,15 @@ def orders_with_products(orders: DataFrame, items: DataFrame, products: DataFram
 
 
 def merge_into(table, source: DataFrame, key: str, run_ts: str) -> int:
-    """``MERGE INTO`` a versioned table: upsert its current version with ``source`` and
-    commit the result as a new version (operation ``MERGE``); returns the version.
+    """``MERGE INTO`` a versioned table; returns the new version (operation ``MERGE``).
 
-    ``table`` is a :class:`strata.operators.snapshots.SnapshotTable`; when it is
-    bucketed on ``key`` the merged rows are written straight from the join tasks.
+    ``table`` is a :class:`strata.operators.snapshots.SnapshotTable` with this key. Only the
+    current rows whose key is in the source take part, and only they and the inserted
+    rows are written, so a merge writes as much as changes. When the table is bucketed
+    on ``key`` only the source is shuffled.
     """
-    merged = upsert(table.current(), source, key, run_ts)
-    same_buckets = bool(table.bucket_by) and table.bucket_by[1] == key
-    return table.commit(merged, run_ts, "MERGE", prepartitioned=same_buckets)
+    keys = source.filter(F.col(key).isNotNull()).select(key).distinct()
+    touched = table.current().join(keys, key, "left_semi")
+    merged = upsert(touched, source, key, run_ts)
+    # every touched row is matched, so a row without an update stamp is a new one
+    return table.commit_changes(merged, run_ts, F.col("record_updated_at").isNull())

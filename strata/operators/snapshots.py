@@ -7,13 +7,19 @@ version is a partition-pruned scan; expiring a version is
 ``ALTER TABLE .. DROP PARTITION``, which removes its files. A new version is
 written while older ones are read (no overwrite of a table being read). There is no
 commit protocol: one writer a table.
+
+A table with a ``key`` can also hold change versions (operation ``MERGE``): only the rows
+that were inserted or changed, all rows of a key together. Reading such a version
+takes each key's rows of the latest version since the last full one, on the bucketed
+key, so a merge writes what changed and not the whole table; ``compact`` commits a full
+version when reads have many changes to go through.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,7 +49,9 @@ class SnapshotTable:
     """``bucket_by=(n, key)`` buckets every version on its key, so a merge reads the
     current version by bucket and shuffles only the incoming rows."""
 
-    def __init__(self, wh: Warehouse, layer: str, name: str, bucket_by: tuple[int, str] | None = None):
+    def __init__(self, wh: Warehouse, layer: str, name: str, bucket_by: tuple[int, str] | None = None,
+                 key: str | None = None):
+        self.key = key
         self.wh = wh
         self.spark = wh.spark
         self.layer = layer
@@ -59,11 +67,28 @@ class SnapshotTable:
         self.wh.drop(self.layer, self.name)
         self.wh.drop(self.layer, f"{self.name}_history")
 
-    def commit(self, df: DataFrame, timestamp, operation: str = "WRITE", prepartitioned: bool = False) -> int:
+    def commit_changes(self, df: DataFrame, timestamp, inserted: Column) -> int:
+        """Write the inserted and changed rows of a merge as the next version.
+
+        ``inserted`` is true for the rows whose key is new; the history's row count is the
+        whole table's. A key that is changed has all its rows in ``df``.
+        """
+        if not self.key:
+            raise ValueError(f"{self.data} has no key, so it holds full versions only")
+        before = self.spark.table(self.hist).orderBy(F.desc("version")).first()["num_rows"]
+        return self.commit(df, timestamp, "MERGE", prepartitioned=True, rows=F.count_if(inserted), before=before)
+
+    def compact(self, timestamp) -> int:
+        """The current rows as a full version; older ones can then expire."""
+        return self.commit(self.current(), timestamp, "COMPACT", prepartitioned=True)
+
+    def commit(self, df: DataFrame, timestamp, operation: str = "WRITE", prepartitioned: bool = False,
+               rows: Column | None = None, before: int = 0) -> int:
         """Write ``df`` as the next version; record it in the history.
 
         ``prepartitioned``: the rows already sit in their buckets (a join on the key
-        with the bucketed current version), so no shuffle before the write.
+        with the bucketed current version), so no shuffle before the write. The row count
+        in the history is ``before`` plus ``rows`` (all of them by default).
         """
         self.wh.ensure_schema(self.layer)
         v = self._next_version()
@@ -73,12 +98,12 @@ class SnapshotTable:
         # the row count rides on the write itself (no second job). It is observed in the
         # write stage, whose tasks report once even when retried, so the count stays exact.
         obs = Observation(f"commit_{self.name}_{v}")
-        out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
+        out = out.observe(obs, (F.count(F.lit(1)) if rows is None else rows).alias("rows"))
         w = out.write.mode("append").format("parquet").partitionBy("_version")
         if self.bucket_by:
             w = w.bucketBy(self.bucket_by[0], self.bucket_by[1]).sortBy(self.bucket_by[1])
         w.saveAsTable(self.data)
-        n = obs.get["rows"]
+        n = before + obs.get["rows"]
         row = self.spark.createDataFrame([(v, _ts(timestamp), operation, n)], HISTORY_SCHEMA)
         row.write.mode("append").format("parquet").saveAsTable(self.hist)
         return v
@@ -90,9 +115,13 @@ class SnapshotTable:
         return {int(r[0].split("=", 1)[1]) for r in self.spark.sql(f"SHOW PARTITIONS {self.data}").collect()}
 
     def _committed(self, v: int) -> bool:
-        """In the history and with its data present."""
-        return (v in self._partition_versions()
-                and self.spark.table(self.hist).filter(F.col("version") == F.lit(v).cast("long")).limit(1).count() > 0)
+        """In the history, and the full version it builds on still has its data (an empty
+        version has none; a merge that changed nothing has no folder of its own)."""
+        known = {r["version"]: r["num_rows"] for r in self.spark.table(self.hist).select("version", "num_rows").collect()}
+        if v not in known:
+            return False
+        base = self._full_version(v)
+        return base in self._partition_versions() or known[base] == 0
 
     def _next_version(self) -> int:
         """One past every version seen in the history *or* on disk: if a run died between
@@ -112,7 +141,7 @@ class SnapshotTable:
         return self.spark.table(self.hist).agg(F.max("version")).first()[0]
 
     def versions(self) -> DataFrame:
-        """(version, num_rows) of the committed versions whose data is still present, counted
+        """(version, rows written) of the committed versions whose data is still present, counted
         from the files (a folder without a history row, left by a failed run, is not a version)."""
         committed = self.spark.table(self.hist).select("version")
         return (self.spark.table(self.data).groupBy(F.col("_version").alias("version"))
@@ -125,7 +154,22 @@ class SnapshotTable:
         retention has removed, is an error (an empty frame would read as 'no rows')."""
         if not self._committed(v):
             raise VersionNotFound(f"{self.data} has no version {v} (unknown, or removed by retention)")
-        return self.spark.table(self.data).filter(F.col("_version") == F.lit(v).cast("long")).drop("_version")
+        data = self.spark.table(self.data)
+        base = self._full_version(v)
+        if base == v:
+            return data.filter(F.col("_version") == F.lit(v).cast("long")).drop("_version")
+        since = data.filter(F.col("_version").between(base, v))
+        latest = F.max("_version").over(Window.partitionBy(self.key))
+        keyed = since.filter(F.col(self.key).isNotNull()).withColumn("_latest", latest)
+        # NULL keys match nothing, so their rows are never replaced
+        return keyed.filter("_version = _latest").drop("_version", "_latest").unionByName(
+            since.filter(F.col(self.key).isNull()).drop("_version"))
+
+    def _full_version(self, v: int) -> int:
+        """The last full version at or before ``v``."""
+        if not self.key:
+            return v
+        return self.spark.table(self.hist).filter((F.col("version") <= v) & (F.col("operation") != "MERGE")).agg(F.max("version")).first()[0]
 
     def current(self) -> DataFrame:
         v = self.latest_version()
@@ -151,16 +195,22 @@ class SnapshotTable:
 
         A version expires once it was superseded (next commit's timestamp) before
         ``now - retain_hours``; the latest version is never superseded, so never expires.
-        Versions whose data is gone already are not listed again.
+        Versions whose data is gone already are not listed again, nor are those that the
+        latest version builds on.
         """
         cutoff = _ts(now) - _dt.timedelta(hours=retain_hours)
         h = self.spark.table(self.hist)
         w = Window.orderBy("version")  # one row per commit: the history is tiny
         return (h.withColumn("superseded_at", F.lead("timestamp").over(w))
                 .filter(F.col("superseded_at") < F.lit(cutoff).cast("timestamp_ntz"))
-                .filter(F.col("version").isin(sorted(self._partition_versions())))
+                .filter(F.col("version").isin(sorted(self._partition_versions())) & (F.col("version") < self._needed()))
                 .select("version", "timestamp", "superseded_at", "num_rows"))
 
+    def _needed(self) -> int:
+        """Versions from here on are read by the latest one (change versions build on a full one)."""
+        latest = self.latest_version()
+        return self._full_version(latest) if latest is not None else 0
+
     def vacuum(self, retain_hours: int, now) -> list[int]:
         """Drop the data of expired versions (their partitions and files) and of folders
         without a history row, which a failed commit leaves. Returns the expired versions.

@@ -231,7 +231,8 @@ class MedallionRun:
 
     def silver_versions(self, entity: str, tag: str = "") -> SnapshotTable:
         """The versioned silver table of one entity (a load, then a version per merge)."""
-        return SnapshotTable(self.wh, "silver", f"{entity}_versions{tag}", bucket_by=self._bucket(entity))
+        return SnapshotTable(self.wh, "silver", f"{entity}_versions{tag}", bucket_by=self._bucket(entity),
+                             key=silver.KEYS[entity])
 
     @_stage
     def increment(self, ts: str, entities: tuple[str, ...] = tuple(retail.ENTITIES), tag: str = "",

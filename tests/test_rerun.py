@@ -102,3 +102,28 @@ def test_ingest_of_a_users_config(spark, tmp_path):
     run = MedallionRun(spark, SF_SMALL, Config(), config_file=config)
     assert list(run.bronze()) == ["raw_own"]
     assert run.raw("own").count() == 2
+
+
+def test_a_merge_writes_what_changes(spark, wh):
+    """Bytes of a merge follow the increment; reads see whole tables; a full version lets old ones expire."""
+    from strata.operators import silver
+
+    shape = "id bigint, v string, record_created_at timestamp_ntz, record_updated_at timestamp_ntz"
+    rows = spark.range(20_000).selectExpr("id", "concat('value ', id) AS v", "timestamp_ntz'2024-01-01' AS record_created_at", "cast(NULL AS timestamp_ntz) AS record_updated_at")
+    st = SnapshotTable(wh, "silver", "slim", (3, "id"), key="id")
+    st.commit(rows.unionByName(spark.createDataFrame([(None, "no key", None, None), (5, "again", None, None)], shape)), "2024-01-01 00:00:00")
+    change = spark.range(100, 300).selectExpr("id", "'new' AS v").unionByName(spark.createDataFrame([(90_000, "in"), (90_000, "twice"), (None, "no key")], "id bigint, v string"))
+    silver.merge_into(st, change, "id", "2024-01-02 00:00:00")
+    silver.merge_into(st, spark.createDataFrame([(5, "both"), (150, "newer")], "id bigint, v string"), "id", "2024-01-03 00:00:00")
+    folder = f"{wh.root}/silver/slim"
+    size = {v: spark.read.format("binaryFile").load(f"{folder}/_version={v}").selectExpr("sum(length) AS n").first()["n"] for v in (0, 1)}
+    assert size[1] < size[0] / 10
+    now = st.current()
+    assert now.count() == 20_002 + 3 == st.history(1).first()["num_rows"]
+    got = {(r["id"], r["v"]) for r in now.where("id IN (5, 7, 150, 151, 90000) OR id IS NULL").collect()}
+    assert got == {(5, "both"), (7, "value 7"), (150, "newer"), (151, "new"), (90_000, "in"), (90_000, "twice"), (None, "no key")}
+    assert now.where("id IS NULL").count() == 2 and now.where("id = 5").count() == 2
+    assert st.as_of_version(1).where("id = 150").first()["v"] == "new"
+    assert st.vacuum(0, "2025-01-01 00:00:00") == []          # the latest version builds on all of them
+    st.compact("2024-01-04 00:00:00")
+    assert st.vacuum(0, "2025-01-01 00:00:00") == [0, 1, 2] and st.current().count() == 20_005
