@@ -15,6 +15,11 @@ LEAST_SCORE = 0.3
 BROADCAST_IDS = 1_000_000
 
 
+def _ids(table: DataFrame) -> DataFrame:
+    """A written table of ids, with a broadcast hint if it is within the bound."""
+    return F.broadcast(table) if table.count() <= BROADCAST_IDS else table
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the model knows and is sure of; a null ``lang`` is filled in.
 
@@ -39,9 +44,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     ship(spark)
     classes = jaccard.classes(docs)
-    keep = classes.where("class_id = doc_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    known = docs.join(keep, docs["doc_id"] == keep["kept_id"], "left_semi").withColumn("same", F.xxhash64("text")).dropDuplicates(["doc_id", "same"])
-    return known.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    keep = written(classes.where("class_id = doc_id").select("doc_id").distinct(), "pipeline-kept")
+    known = docs.join(_ids(keep), "doc_id", "left_semi").select(*docs.columns)
+    twice = written(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "pipeline-twice")
+    if twice.limit(1).count():  # texts are grouped for such ids only
+        repeated = known.join(_ids(twice), "doc_id", "left_semi").withColumn("same", F.xxhash64("text")).dropDuplicates(["doc_id", "same"])
+        known = known.join(_ids(twice), "doc_id", "left_anti").select(*docs.columns).unionByName(repeated.select(*docs.columns))
+    return known.unionByName(docs.where("doc_id IS NULL"))
 
 
 def long_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,8 +70,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents that hold no item of ``benchmark``."""
     ship(spark)
     found = written(decontam.search(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct(), "pipeline-leaks")
-    ids = F.broadcast(found) if found.count() <= BROADCAST_IDS else found
-    return docs.join(ids, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(_ids(found), "doc_id", "left_anti").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

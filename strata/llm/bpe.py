@@ -26,12 +26,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from strata.llm.common import enter, kept, trim
+
 #: white space of the tokenizer's ``\s`` (Unicode White_Space), fixed values
 _BLANK = "\t-\r \u0085   -     　"
 _RUN = regex.compile(f"[{_BLANK}]+")
 _CONTROL = re.compile("[\x1c-\x1f]")
 #: remembered chunks of a worker, at most
-WORD_TABLE = 800_000
+WORD_TABLE = 300_000
 #: characters of a text that are encoded at once, cut at white space
 PIECE = 1 << 20
 
@@ -275,11 +277,12 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return f"{TOKENIZERS}/{name}"
 
 
-_CODECS: dict[str, Codec] = {}
+_CODECS: dict[str, Codec] = kept({})
 
 
 def codec(path: str) -> Codec:
     """One codec a worker and file."""
+    enter("bpe")
     if path not in _CODECS:
         _CODECS[path] = Codec(path)
     return _CODECS[path]
@@ -302,6 +305,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
                     [part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64())],
                     names=[id_col, "ids", "n_tokens"],
                 )
+        trim()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return source.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, n_tokens bigint")

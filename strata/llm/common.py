@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -20,9 +21,18 @@ from strata.session import shared_dir
 BLOCK_CHARS = 1 << 20
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once a session, as a zip."""
+    """Send this package to the executors once a session, as a zip.
+
+    Batches of rows to Python hold at most 1,000 rows unless the session says otherwise:
+    with Spark's 10,000 some thousand long texts would be in memory at once.
+    """
     sc = spark.sparkContext
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, "1000")
     if getattr(sc, "_strata_shipped", False):
         return
     home = Path(strata.__file__).parent
@@ -39,6 +49,41 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/strata/llm-{tag}-{uuid.uuid4().hex[:12]}"
 
 
+def trim() -> None:
+    """Give freed memory of a Python worker back to the machine.
+
+    Workers live on from stage to stage; what malloc and Arrow keep for later use would
+    add up with what other stages' workers keep.
+    """
+    pa.default_memory_pool().release_unused()
+    release = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if release:
+        release(0)
+
+
+_AT_WORK: list[str] = []
+_TABLES: list = []
+
+
+def enter(operator: str) -> None:
+    """Called by an operator's task code: what another operator left in this worker goes.
+
+    A worker keeps the tables of one operator (``kept``) from task to task, not of all
+    that a pipeline has run in it.
+    """
+    if _AT_WORK != [operator]:
+        for table in _TABLES:
+            table.clear()
+        _AT_WORK[:] = [operator]
+        trim()
+
+
+def kept(table):
+    """Register a dict or list that an operator keeps in a worker."""
+    _TABLES.append(table)
+    return table
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here, every
     executor can read the result, and a lost executor costs no recomputation."""

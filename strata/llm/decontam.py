@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import pieces, word_hashes
+from strata.llm.common import enter, pieces, trim, word_hashes
 
 
 @dataclass(frozen=True)
@@ -291,6 +291,7 @@ def search(docs: DataFrame, benchmark: DataFrame, p: Params = Params(), id_col:
         shared = spark.sparkContext.broadcast((items, weights, rows_in_space))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            enter("decontam")
             own, project, targets = shared.value
             longest = max(map(len, own.words))
             for batch in batches:
@@ -329,6 +330,7 @@ def search(docs: DataFrame, benchmark: DataFrame, p: Params = Params(), id_col:
                             ],
                             names=[id_col, item_id, "cosine", "common", "answer", "first_word"],
                         )
+            trim()
 
         return source.mapInArrow(run, shape)
 

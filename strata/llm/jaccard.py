@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import fold, word_hashes, written
+from strata.llm.common import enter, fold, trim, word_hashes, written
 from strata.llm.graph import components
 
 
@@ -104,6 +104,7 @@ def signatures(docs: DataFrame, p: Params, id_col: str, text_col: str) -> DataFr
     """(key, set_a, set_b, shingles, nodes) of every document; without an id or a word the set is null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("jaccard")
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 part = batch.slice(i, 500)
@@ -133,6 +134,7 @@ def signatures(docs: DataFrame, p: Params, id_col: str, text_col: str) -> DataFr
                     ],
                     names=["key", "set_a", "set_b", "shingles", "nodes"],
                 )
+        trim()
 
     source = docs.select(docs[id_col].cast("bigint").alias("key"), docs[text_col].alias("text"))
     return source.mapInArrow(run, "key bigint, set_a bigint, set_b bigint, shingles int, nodes array<bigint>")
@@ -223,6 +225,7 @@ def classes(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_
     texts = docs.select(docs[id_col].cast("bigint").alias("rep"), docs[text_col].alias("text")).where("rep IS NOT NULL")
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("jaccard")
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 part = batch.slice(i, 500)
@@ -251,6 +254,7 @@ def classes(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Groups arrive one after another: a group ends where its key changes."""
+        enter("jaccard")
         now, rows = None, {}
 
         def result() -> pa.RecordBatch:

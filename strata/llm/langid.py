@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from strata.llm.common import code_points, pieces, segment_sums
+from strata.llm.common import code_points, enter, pieces, segment_sums, trim
 
 #: no language: null texts and texts without a letter
 UNDETERMINED = "und"
@@ -147,6 +147,7 @@ def fit(labelled: DataFrame, params: Params = Params()) -> Model:
     bits = params.bits
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("langid")
         sums: dict[str, np.ndarray] = {}
         rows: dict[str, int] = {}
         for batch in batches:
@@ -227,10 +228,12 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     kept = [f for f in docs.schema.fields if f.name not in answer] if carry else [docs.schema[id_col]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("langid")
         for batch in batches:
             text, lettered = batch.column(0).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
             names, score = shared.value.predict(text, lettered)
             yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(names, pa.string()), pa.array(score)], names=[*(f.name for f in kept), *answer])
+        trim()
 
     lettered = F.coalesce(docs[text_col].rlike(r"\p{L}"), F.lit(False)).alias("lettered")
     source = docs.select(docs[text_col].alias("judged"), lettered, *[docs[f.name].alias(f"c{i}") for i, f in enumerate(kept)])

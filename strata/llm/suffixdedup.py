@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField
 
-from strata.llm.common import fold, window_least, written
+from strata.llm.common import enter, fold, kept, trim, window_least, written
 from strata.llm.induced import suffix_order
 
 
@@ -107,7 +107,7 @@ def stretches(texts: list[bytes], p: Params) -> tuple[np.ndarray, np.ndarray, np
 _LOW = np.uint64((1 << 47) - 1)
 
 
-_PACKER: list = []
+_PACKER: list = kept([])
 
 
 def pack(data: bytes) -> bytes:
@@ -141,6 +141,11 @@ def _to_text(value: str | None) -> bytes:
     return value.encode("utf-8", "surrogatepass") if value else b""
 
 
+def lean(table: pa.Table) -> pa.Table:
+    trim()
+    return table
+
+
 def dealt(docs: DataFrame, parts: int, carried: list[StructField]) -> DataFrame:
     """(part, key, text, ...): compressed UTF-8 texts, the part of each row, and columns c0, c1, ... as they are."""
 
@@ -159,6 +164,7 @@ def dealt(docs: DataFrame, parts: int, carried: list[StructField]) -> DataFrame:
 
 def texts_of(table: pa.Table) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     """(ids, texts, has an id) of a part's rows."""
+    enter("suffixdedup")
     known = np.array(table.column("key").is_valid().to_pylist(), dtype=bool)
     keys = table.column("key").fill_null(0).to_numpy()
     return keys, [unpack(t) for t in table.column("text").to_pylist()], known
@@ -435,12 +441,12 @@ def cleaned(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_
     def message(df: DataFrame) -> DataFrame:
         return df.select(*[F.col(c) if c in df.columns else v.alias(c) for c, v in empty.items()])
 
-    pieces = texts.groupBy("part").applyInArrow(lambda t: piece_messages(t, buckets, p), "bucket int, part int, pieces binary")
+    pieces = texts.groupBy("part").applyInArrow(lambda t: lean(piece_messages(t, buckets, p)), "bucket int, part int, pieces binary")
     shared = message(pieces.groupBy("bucket").applyInArrow(piece_answers, "part int, shared binary")).unionByName(message(copies))
     sent = texts.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(
-        lambda a, b: stretch_messages(a, b, buckets, p), "shard int, part int, stretches binary, pieces binary, leads binary, owners binary"
+        lambda a, b: lean(stretch_messages(a, b, buckets, p)), "shard int, part int, stretches binary, pieces binary, leads binary, owners binary"
     )
-    answers = message(sent.groupBy("shard").applyInArrow(lambda t: shard_answers(t, p), "part int, shard int, answer binary"))
+    answers = message(sent.groupBy("shard").applyInArrow(lambda t: lean(shard_answers(t, p)), "part int, shard int, answer binary"))
 
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
         keys, own, runs = removed(left, right, buckets, p)
@@ -451,13 +457,13 @@ def cleaned(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_
                 rest.append(t[at:begin])
                 at = end
             kept.append(b"".join([*rest, t[at:]]))
-        return pa.table({
+        return lean(pa.table({
             "key": left.column("key"), "n_bytes": pa.array([len(t) for t in own], pa.int64()),
             "n_removed": pa.array([len(t) - len(k) for t, k in zip(own, kept, strict=True)], pa.int64()),
             "n_spans": pa.array([len(r) for r in runs], pa.int64()), "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
             "kept": pa.array(kept, pa.binary()), "spans": pa.array([[x for y in r for x in y] for r in runs], pa.list_(pa.int64())),
             **{f"c{i}": left.column(f"c{i}") for i in range(len(carried))},
-        })
+        }))
 
     got = texts.groupBy("part").cogroup(shared.unionByName(answers).groupBy("part")).applyInArrow(
         apply,
