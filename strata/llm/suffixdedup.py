@@ -8,14 +8,19 @@ one shuffle that all steps share; after it only messages between parts and shard
    hash), so equal strings share a piece. A part sends its distinct pieces to buckets,
    which answer with those that another document has as well.
 2. Around these a part cuts out the stretches of text whose strings belong to the
-   place, and sends each distinct one once, with the smallest id, to its shard.
+   place, and sends each distinct one once, with the smallest id, to its shard. A piece
+   that stands in many different surroundings (a short line of many documents) is not cut
+   into stretches but into single strings, each of which has a shard by its own hash: the
+   parts first ask the buckets which of these strings other documents have as well, and
+   send those only.
 3. A shard sorts the suffixes of its stretches by external induction (``induced.py``,
    queues on disk) with their common prefixes, which puts equal strings next to each
    other, and answers each part with the smallest owners of its stretches' strings.
 4. A part finds its stretches again and removes what an answer tells it to.
 
-A piece or stretch with a third of all occurrences comes once from each part, so no
-bucket or shard follows a hot string. Copies of a whole document are found by a digest
+A piece, stretch or string with a third of all occurrences comes once from each part, and
+different stretches of one piece are at most about ``group`` in a shard, so no bucket or
+shard follows a hot string. A shard's stretches are in memory, its queues are not. Copies of a whole document are found by a digest
 beforehand; they take no part in 2-4.
 """
 
@@ -46,6 +51,8 @@ class Params:
     #: bytes of text of a part, and that a bucket and a shard stand for, on average
     part_bytes: int = 6_000_000
     bucket_bytes: int = 4_000_000
+    #: different stretches of a piece, beyond which its strings are dealt one by one
+    group: int = 10_000
     #: entries of the induced sort's queues that stay in memory
     memory: int = 2_000_000
 
@@ -103,8 +110,10 @@ def stretches(texts: list[bytes], p: Params) -> tuple[np.ndarray, np.ndarray, np
     return text, begin, end, fold(piece[owner[cut].astype(np.int64)] ^ np.uint64(0xA5A5A5A5A5A5A5A5)), ends[text], owner[cut].astype(np.int64) - begin
 
 
-#: a piece is known by 47 bits and its bucket; chance meetings only cost work
-_LOW = np.uint64((1 << 47) - 1)
+#: a piece is known by 40 bits and its bucket; chance meetings only cost work
+_LOW = np.uint64((1 << 40) - 1)
+#: then a bit (several documents in a message, dealt by strings in an answer), then a power of two
+_BIT, _POWER = np.uint64(40), np.uint64(41)
 
 
 _PACKER: list = kept([])
@@ -127,6 +136,32 @@ def bucket_of(pieces: np.ndarray, buckets: int) -> np.ndarray:
     return ((pieces >> np.uint64(40)).astype(np.int64) * buckets) >> 24
 
 
+def name_of(pieces: np.ndarray, buckets: int) -> np.ndarray:
+    """What messages know a piece by, bucket included."""
+    return (pieces & _LOW) | (bucket_of(pieces, buckets).astype(np.uint64) << _BIT)
+
+
+_ODD = 0x9E3779B97F4A7C15
+_POWERS: dict = kept({})
+
+
+def spans_hash(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of ``raw[begin:end]``, from sums of all bytes before a place."""
+    size = 1 << max(20, len(raw).bit_length())
+    if size not in _POWERS:
+        both = np.empty((2, size), dtype=np.uint64)
+        for row, base in zip(both, (_ODD, pow(_ODD, -1, 1 << 64)), strict=True):
+            row[0] = 1
+            row[1:] = base
+            np.cumprod(row, out=row)
+        _POWERS.clear()
+        _POWERS[size] = both
+    power, back = _POWERS[size]
+    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
+    np.cumsum((raw + np.uint64(1)) * power[: len(raw)], out=sums[1:])
+    return fold((sums[end] - sums[begin]) * back[begin])
+
+
 def _six(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
@@ -179,19 +214,34 @@ def piece_messages(table: pa.Table, buckets: int, p: Params) -> pa.Table:
         if known[i] and len(t) >= p.length and t not in seen:
             seen.add(t)
             take.append(i)
-    found, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    found, owners, around = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     for first, own in groups_of([texts[i] for i in take]):
-        text, _, _, piece, _, _ = stretches(own, p)
-        found.append(piece)
-        owners.append(keys[np.array(take[first : first + len(own)])][text] if len(text) else owners[0])
-    h, d = np.concatenate(found), np.concatenate(owners)
+        text, begin, end, piece, _, _ = stretches(own, p)
+        if len(text):
+            found.append(piece)
+            owners.append(keys[np.array(take[first : first + len(own)])][text])
+            around.append(spans_hash(_buffer(own)[0], begin, end + p.length - 1))
+    return bucket_messages(table, np.concatenate(found), np.concatenate(owners), np.concatenate(around), buckets)
+
+
+def bucket_messages(table: pa.Table, h: np.ndarray, d: np.ndarray, around: np.ndarray | None, buckets: int) -> pa.Table:
+    """The distinct values of ``h``: whether several of the documents ``d`` have it, and in how many surroundings (rounded down)."""
     order = np.argsort(h, kind="stable")
     h, d = h[order], d[order]
     starts = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
     several = np.minimum.reduceat(d, starts) != np.maximum.reduceat(d, starts) if len(h) else np.zeros(0, bool)
+    power = np.zeros(len(starts), dtype=np.uint64)
+    counts = np.diff(np.append(starts, len(h)))
+    again = np.flatnonzero(np.repeat(counts > 1, counts)) if around is not None else []
+    if len(again):
+        which = np.repeat(np.arange(len(starts)), counts)[again]
+        pairs = np.lexsort((other := around[order][again], which))
+        which, other = which[pairs], other[pairs]
+        fresh = np.append(True, (which[1:] != which[:-1]) | (other[1:] != other[:-1]))
+        power = np.log2(np.maximum(np.bincount(which[fresh], minlength=len(starts)), 1)).astype(np.uint64)
     h = h[starts]
     bucket = bucket_of(h, buckets)
-    value = (h & _LOW) | (several.astype(np.uint64) << np.uint64(47))
+    value = (h & _LOW) | (several.astype(np.uint64) << _BIT) | (power << _POWER)
     edges = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
     part = table.column("part")[0].as_py() if table.num_rows else 0
     spans = list(zip(edges[:-1], edges[1:], strict=True))
@@ -201,19 +251,75 @@ def piece_messages(table: pa.Table, buckets: int, p: Params) -> pa.Table:
     })
 
 
-def piece_answers(table: pa.Table) -> pa.Table:
-    """What a bucket answers each part: those of its pieces that several documents have."""
+def shared_of(table: pa.Table, group: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each message to a bucket, those of its values that several documents have, and whether they have over ``group`` surroundings."""
     sent = [_from_six(x) for x in table.column("pieces").to_pylist()]
-    all_ = np.concatenate(sent)
-    h, counts = np.unique(all_ & _LOW, return_counts=True)
-    shared = counts > 1
-    marked = np.unique((all_ & _LOW)[(all_ >> np.uint64(47)) > 0])
-    shared |= np.isin(h, marked, assume_unique=True)
-    h = h[shared]
-    out = [np.intersect1d(x & _LOW, h, assume_unique=True) for x in sent]
-    keep = [i for i, x in enumerate(out) if len(x)]
-    parts = table.column("part").to_pylist()
-    return pa.table({"part": pa.array([parts[i] for i in keep], pa.int32()), "shared": pa.array([_six(out[i]) for i in keep], pa.binary())})
+    values = np.concatenate(sent)
+    low = values & _LOW
+    order = np.argsort(low)
+    starts = np.flatnonzero(np.append(True, (ordered := low[order])[1:] != ordered[:-1]))
+    counts = np.diff(np.append(starts, len(order)))
+    several = np.maximum.reduceat((values >> _BIT & np.uint64(1))[order], starts) > 0
+    total = np.add.reduceat(np.uint64(1) << (values >> _POWER)[order], starts)
+    shared, hot = np.empty(len(order), dtype=bool), np.empty(len(order), dtype=bool)
+    shared[order] = np.repeat((counts > 1) | several, counts)
+    hot[order] = np.repeat(total > group, counts)
+    cuts = np.cumsum([len(x) for x in sent])[:-1]
+    out = [(x[y], z[y]) for x, y, z in zip(np.split(low, cuts), np.split(shared, cuts), np.split(hot, cuts), strict=True)]
+    return [x for x, _ in out], [z for _, z in out]
+
+
+def piece_answers(table: pa.Table, p: Params) -> pa.Table:
+    """What a bucket answers each part: those of its pieces that several documents have, and of these those dealt by strings."""
+    shared, hot = shared_of(table, p.group)
+    keep = [i for i, x in enumerate(shared) if len(x)]
+    parts, bucket = table.column("part").to_pylist(), table.column("bucket")[0].as_py()
+    return pa.table({
+        "part": pa.array([parts[i] for i in keep], pa.int32()), "shard": pa.array([bucket] * len(keep), pa.int32()),
+        "shared": pa.array([_six(shared[i][~hot[i]]) for i in keep], pa.binary()),
+        "hot": pa.array([_six(shared[i][hot[i]]) if hot[i].any() else None for i in keep], pa.binary()),
+    })
+
+
+def string_messages(left: pa.Table, right: pa.Table, buckets: int, p: Params) -> pa.Table:
+    """What a part asks the buckets about the distinct strings of its hot pieces; parts without one read no text."""
+    found, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    if left.num_rows and right.num_rows:
+        keys, texts, known = texts_of(left)
+        hot = names_in(right, "hot")
+        take = [i for i, t in enumerate(texts) if known[i] and len(t) >= p.length]
+        for first, own in groups_of([texts[i] for i in take]):
+            text, begin, end, piece, _, _ = stretches(own, p)
+            on = np.flatnonzero(np.isin(name_of(piece, buckets), hot)) if len(text) else []
+            if len(on):
+                which, at = starts_of(begin[on], end[on])
+                found.append(spans_hash(_buffer(own)[0], at, at + p.length))
+                owners.append(keys[np.array(take[first : first + len(own)])][text[on][which]])
+    return bucket_messages(left, np.concatenate(found), np.concatenate(owners), None, buckets)
+
+
+def string_answers(table: pa.Table) -> pa.Table:
+    """What a bucket answers each part: those of the strings it asked about that several documents have."""
+    shared, _ = shared_of(table, 0)
+    keep = [i for i, x in enumerate(shared) if len(x)]
+    parts, bucket = table.column("part").to_pylist(), table.column("bucket")[0].as_py()
+    return pa.table({
+        "part": pa.array([parts[i] for i in keep], pa.int32()), "shard": pa.array([bucket] * len(keep), pa.int32()),
+        "strings": pa.array([_six(shared[i]) for i in keep], pa.binary()),
+    })
+
+
+def names_in(table: pa.Table, column: str) -> np.ndarray:
+    """The names (``name_of``) that the buckets' answers to a part hold in a column."""
+    rows = zip(table.column("shard").to_pylist(), table.column(column).to_pylist(), strict=True)
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *((_from_six(x) & _LOW) | (np.uint64(b) << _BIT) for b, x in rows if x)]))
+
+
+def starts_of(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the stretch, and place, of each string of some stretches."""
+    sizes = end - begin
+    which = np.repeat(np.arange(len(sizes)), sizes)
+    return which, np.arange(len(which)) + np.repeat(begin - np.cumsum(sizes) + sizes, sizes)
 
 
 @dataclass
@@ -231,8 +337,12 @@ class Found:
     place: np.ndarray
 
 
-def find(keys: np.ndarray, texts: list[bytes], take: list[int], shared: np.ndarray, buckets: int, p: Params) -> Found:
-    """Distinct stretches of the rows ``take`` around shared pieces, in the order of (shard, string)."""
+def find(keys: np.ndarray, texts: list[bytes], take: list[int], mail: pa.Table, buckets: int, p: Params) -> Found:
+    """Distinct stretches of the rows ``take`` around shared pieces, in the order of (shard, string).
+
+    Around a hot piece these are its shared strings, each alone.
+    """
+    shared, hot, strings_shared = (names_in(mail, c) for c in ("shared", "hot", "strings"))
     names: dict[bytes, int] = {}
     shard_of: list[int] = []
     piece_of: list[int] = []
@@ -240,14 +350,26 @@ def find(keys: np.ndarray, texts: list[bytes], take: list[int], shared: np.ndarr
     which, rows, places = [], [], []
     for first, own in groups_of([texts[i] for i in take]):
         text, begin, end, piece, zero, lead = stretches(own, p)
-        on = np.flatnonzero(np.isin(piece & _LOW, shared)) if len(text) else []
+        if not len(text):
+            continue
+        names_of = name_of(piece, buckets)
+        on = np.flatnonzero(np.isin(names_of, shared))
+        shard = bucket_of(piece[on], buckets)
+        alone = np.flatnonzero(np.isin(names_of, hot)) if len(strings_shared) else []
+        if len(alone):
+            of, at = starts_of(begin[alone], end[alone])
+            own_hash = spans_hash(_buffer(own)[0], at, at + p.length)
+            few = np.isin(name_of(own_hash, buckets), strings_shared)
+            of, at, shard = alone[of[few]], at[few], np.append(shard, bucket_of(own_hash[few], buckets))
+            lead, begin, end = np.append(lead[on], lead[of] + begin[of] - at), np.append(begin[on], at), np.append(end[on], at + 1)
+            on = np.append(on, of)
+        else:
+            lead, begin, end = lead[on], begin[on], end[on]
         if not len(on):
             continue
-        text, begin, end, piece, zero, lead = text[on], begin[on], end[on], piece[on], zero[on], lead[on]
+        text, piece, zero = text[on], piece[on], zero[on]
         raw, tail = b"".join(own), p.length - 1
-        for b, e, s, q, a in zip(
-            begin.tolist(), end.tolist(), bucket_of(piece, buckets).tolist(), (piece & np.uint64(0xFFFFFFFF)).tolist(), lead.tolist(), strict=True
-        ):
+        for b, e, s, q, a in zip(begin.tolist(), end.tolist(), shard.tolist(), (piece & np.uint64(0xFFFFFFFF)).tolist(), lead.tolist(), strict=True):
             string = raw[b : e + tail]
             i = names.setdefault(string, len(names))
             if i == len(shard_of):
@@ -272,11 +394,10 @@ def find(keys: np.ndarray, texts: list[bytes], take: list[int], shared: np.ndarr
 def part_stretches(left: pa.Table, right: pa.Table, buckets: int, p: Params) -> tuple[np.ndarray, list[bytes], np.ndarray, Found]:
     """A part's ids, texts and copies, and its stretches, from its rows and the messages to it."""
     keys, texts, known = texts_of(left)
-    shared = [_from_six(x) for x in right.column("shared").to_pylist() if x is not None]
     marks = {(k, m) for k, m in zip(right.column("key").to_pylist(), right.column("mark").to_pylist(), strict=True) if k is not None}
     copy = np.array([bool(marks) and k and (int(key), hashlib.md5(t).hexdigest()) in marks for key, t, k in zip(keys, texts, known, strict=True)], dtype=bool)
     take = [i for i, t in enumerate(texts) if known[i] and not copy[i] and len(t) >= p.length]
-    return keys, texts, copy, find(keys, texts, take, np.unique(np.concatenate(shared)) if shared else np.zeros(0, np.uint64), buckets, p)
+    return keys, texts, copy, find(keys, texts, take, right, buckets, p)
 
 
 def stretch_messages(left: pa.Table, right: pa.Table, buckets: int, p: Params) -> pa.Table:
@@ -435,14 +556,19 @@ def cleaned(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_
     parts = F.lit(max(1, -(-total // p.part_bytes)))
     copies = written(digests.join(firsts, "mark").where("key > first").select(F.pmod("at", parts).cast("int").alias("part"), "key", "mark"), "suffix-copies")
 
-    mail = "part int, shared binary, key bigint, mark string, shard int, answer binary"
+    mail = "part int, shared binary, hot binary, strings binary, key bigint, mark string, shard int, answer binary"
     empty = {f.split()[0]: F.lit(None).cast(f.split()[1]) for f in mail.split(", ")}
 
     def message(df: DataFrame) -> DataFrame:
         return df.select(*[F.col(c) if c in df.columns else v.alias(c) for c, v in empty.items()])
 
     pieces = texts.groupBy("part").applyInArrow(lambda t: lean(piece_messages(t, buckets, p)), "bucket int, part int, pieces binary")
-    shared = message(pieces.groupBy("bucket").applyInArrow(piece_answers, "part int, shared binary")).unionByName(message(copies))
+    told = pieces.groupBy("bucket").applyInArrow(lambda t: piece_answers(t, p), "part int, shard int, shared binary, hot binary")
+    asked = texts.groupBy("part").cogroup(told.where("hot IS NOT NULL").groupBy("part")).applyInArrow(
+        lambda a, b: lean(string_messages(a, b, buckets, p)), "bucket int, part int, pieces binary"
+    )
+    again = asked.groupBy("bucket").applyInArrow(string_answers, "part int, shard int, strings binary")
+    shared = message(told).unionByName(message(again)).unionByName(message(copies))
     sent = texts.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(
         lambda a, b: lean(stretch_messages(a, b, buckets, p)), "shard int, part int, stretches binary, pieces binary, leads binary, owners binary"
     )

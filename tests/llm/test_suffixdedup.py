@@ -1,8 +1,11 @@
 import hashlib
 import random
+from collections import Counter
 
 import cases
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from strata.llm import suffixdedup
@@ -63,6 +66,48 @@ def test_one_passage_in_a_third_of_all_documents(spark):
     assert got(suffixdedup.cleaned(docs, suffixdedup.Params(part_bytes=2000))) == brute(rows)
 
 
+def line_rows():
+    """Short lines, mostly too short to go themselves, between different texts, and some parts of these texts again."""
+    rows = []
+    for size in (20, 30, 45, 49, 60):
+        line = f"x{size} " + cases.prose(size, 30)[: size - 4]
+        rows += [(len(rows) + i, f"{cases.prose(size * 1000 + i, 12)}{i:05d}{line}{i * 7919 % 99991:05d}{cases.prose(size * 2000 + i, 12)}") for i in range(400)]
+    return rows + [(5000 + i, rows[7 * i][1][20:-20]) for i in range(200)]
+
+
+def test_short_lines_between_different_texts(spark):
+    docs = spark.createDataFrame(line_rows(), "doc_id bigint, text string")
+    assert got(suffixdedup.cleaned(docs, suffixdedup.Params(part_bytes=20_000, bucket_bytes=4000, group=50))) == brute(line_rows())
+
+
+def grouped(tables, column):
+    table = pa.concat_tables(tables)
+    return [table.filter(pc.equal(table.column(column), x)) for x in sorted(set(table.column(column).to_pylist()))]
+
+
+def test_no_shard_has_all_surroundings_of_a_short_line():
+    """The messages of the steps, dealt by hand."""
+    p, buckets, rows = suffixdedup.Params(group=50), 64, line_rows()
+    parts = [pa.table({"part": pa.array([k] * len(own), pa.int32()), "key": [i for i, _ in own], "text": [suffixdedup.pack(t.encode()) for _, t in own]}) for k, own in enumerate(rows[k::10] for k in range(10))]
+    shape = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("shared", pa.binary()), ("hot", pa.binary()), ("strings", pa.binary()), ("key", pa.int64()), ("mark", pa.string())])
+
+    def to(part, mail):
+        rows = [r for t in mail for r in t.to_pylist() if r["part"] == part]
+        return pa.table({f.name: pa.array([r.get(f.name) for r in rows], f.type) for f in shape})
+
+    told = [suffixdedup.piece_answers(t, p) for t in grouped([suffixdedup.piece_messages(x, buckets, p) for x in parts], "bucket")]
+    hot = [t.filter(pc.is_valid(t.column("hot"))) for t in told]
+    asked = [suffixdedup.string_messages(x, to(k, hot), buckets, p) for k, x in enumerate(parts)]
+    told += [suffixdedup.string_answers(t) for t in grouped(asked, "bucket")]
+    shards = grouped([suffixdedup.stretch_messages(x, to(k, told), buckets, p) for k, x in enumerate(parts)], "shard")
+    held = []
+    for t in shards:
+        own = {(q, s) for x, y in zip(t.column("stretches").to_pylist(), t.column("pieces").to_pylist(), strict=True)
+               for s, q in zip(suffixdedup.unpack(x).split(b"\xff"), np.frombuffer(y, "<u4").tolist(), strict=True)}
+        held.append(max(Counter(q for q, _ in own).values()))
+    assert len(shards) > 50 and max(held) <= 100
+
+
 def test_no_rows(spark):
     assert suffixdedup.cleaned(cases.nothing(spark)).collect() == []
 
