@@ -9,7 +9,7 @@ long, or if it is of middle length and the item's answer (its last words) is the
 
 The pass returns sums of a fixed size for each task, which Spark adds up; only the
 items and these sums are on the driver. Items are taken in blocks, so the broadcast arrays
-have a bound. A document's passages are searched in the task that reads it: no text is
+have a bound; the corpus is read twice for each block. A document's passages are searched in the task that reads it: no text is
 shuffled.
 """
 
@@ -32,9 +32,8 @@ from strata.llm.common import enter, pieces, trim, word_hashes
 class Params:
     #: words of a passage, an even number; the next begins after half of them
     passage: int = 32
-    #: random mixtures of the corpus, and dimensions for the items' rows
+    #: random mixtures of the corpus
     mixtures: int = 48
-    item_rows: int = 208
     #: least cosine of a candidate
     cosine: float = 0.33
     #: share of an item's words in the common subsequence: enough alone; enough with the answer
@@ -45,8 +44,8 @@ class Params:
     answer: float = 0.25
     #: items with fewer words must be there whole
     least_words: int = 8
-    #: items searched at once
-    block_items: int = 2000
+    #: items searched at once: each has its own row in the latent space, so this bounds its dimensions
+    block_items: int = 208
 
 
 @dataclass
@@ -236,9 +235,8 @@ def latent_space(source: DataFrame, items: Items, p: Params) -> tuple[np.ndarray
     own = items.matrix(idf)
     left, singular, _ = np.linalg.svd(idf[:, None] * sums[:size, :mixtures], full_matrices=False)
     left = left[:, singular > 1e-9 * max(1e-30, singular.max())]
-    rows = own if len(own) <= p.item_rows else random.standard_normal((p.item_rows, len(own))) @ own
-    basis, r = np.linalg.qr(np.column_stack((left, rows.T)))
-    space = basis[:, np.abs(np.diag(r)) > 1e-9]
+    # all columns: where one depends on those before it, later rows may still lean on its direction
+    space, _ = np.linalg.qr(np.column_stack((left, own.T)))
     found = own @ space
     norm = np.linalg.norm(found, axis=1, keepdims=True)
     return (idf[:, None] * space).astype(np.float32), (found / np.where(norm > 0, norm, 1)).astype(np.float32), np.sqrt(singular)

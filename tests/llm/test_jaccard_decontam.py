@@ -139,6 +139,30 @@ def test_passages_and_paraphrases_are_found_and_clean_documents_left_alone(spark
     assert {(r["doc_id"], r["item_id"]) for r in blocks} == want
 
 
+def test_no_short_item_is_lost_among_many(spark):
+    words = np.random.default_rng(4).permutation([f"{a}{b}{c}" for a in "bdfgklmnprst" for b in "aeiou" for c in "bdfgklmnprst"])
+    r = random.Random(8)
+    items = [(i, " ".join(r.choices(words.tolist(), k=4 + 2 * (i % 3)))) for i in range(450)]
+    rows = [(i, " ".join([*r.choices(words.tolist(), k=40), text, *r.choices(words.tolist(), k=40)])) for i, text in items]
+    got = decontam.search(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(i, i) for i, _ in items} <= {(x["doc_id"], x["item_id"]) for x in got}
+
+
+def test_a_full_block_has_every_items_own_row(spark):
+    """Cosines of items in the latent space are those of their own rows, whatever the size of a block."""
+    p, r = decontam.Params(), random.Random(5)
+    texts = [" ".join(f"w{r.randrange(3000)}" for _ in range(4)) for _ in range(min(p.block_items, 600))]
+    block = decontam.Items.build(list(range(len(texts))), texts)
+    source = spark.createDataFrame([(i, t) for i, t in enumerate(texts[:50])], "key bigint, text string")
+    _, found, _ = decontam.latent_space(source, block, p)
+    words = dict(zip(block.vocabulary.tolist(), range(len(block.vocabulary)), strict=True))
+    seen = np.zeros(len(words))
+    for w in block.words[:50]:
+        seen[[words[v] for v in set(w.tolist())]] += 1
+    exact = block.matrix(np.log(51 / (1 + seen)) + 0.2)
+    assert np.allclose(found @ found.T, exact @ exact.T, atol=1e-3)
+
+
 def test_empty_sides(spark):
     items, rows, _ = planted()
     docs, bench = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
