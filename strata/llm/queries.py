@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from strata.llm import bpe, decontam, htmltext, jaccard, langid, ring, suffixdedup, syncmers, toxicity, warc
+from strata.llm import bpe, curriculum, decontam, htmltext, jaccard, langid, oracles, ring, suffixdedup, syncmers, toxicity, warc
 from strata.llm.common import ship
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,11 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = curriculum.mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return curriculum.by_first_position(mixed).select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -77,6 +82,9 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_sharding": op9_sharding,
     "op10_html_text": op10_html_text,
+    "op11_curriculum_mix": op11_curriculum_mix,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+ORACLES: dict[str, str] = {"op11_curriculum_mix": oracles.CURRICULUM_MIX}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
