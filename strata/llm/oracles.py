@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from strata.llm.collocations import Params
 from strata.llm.curriculum import Plan
 
 
@@ -67,3 +68,31 @@ FROM k"""
 
 
 CURRICULUM_MIX = curriculum_mix()
+
+
+def collocations(params: Params = Params()) -> str:
+    """Every phrase of every piece counted as it stands, without chunks or filters."""
+    upper = "".join(map(chr, range(65, 91)))
+    return f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM pieces),
+g AS (SELECT lang, len AS words, array_to_string(ws[i:i + len - 1], ' ') AS phrase
+      FROM (SELECT lang, ws, len, unnest(range(1, len(ws) - len + 2)) AS i FROM w, range(1, {params.longest + 1}) l(len) WHERE len(ws) >= len)),
+f AS (SELECT lang, words, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE words = 1 GROUP BY lang),
+c AS (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE words >= 2 AND f >= {params.least}),
+cut AS (SELECT lang, phrase, a, k, array_to_string(ws[1:k], ' ') AS lp, array_to_string(ws[k + 1:words], ' ') AS rp
+        FROM (SELECT *, unnest(range(1, words)) AS k FROM c)),
+scored AS (SELECT cut.lang, cut.phrase, a, k, x.f AS l, y.f AS r, ({params.scale}::HUGEINT * a // (x.f + y.f))::BIGINT AS score
+           FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = lp JOIN f y ON y.lang = cut.lang AND y.phrase = rp),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT lang, over, array_to_string(ws[i:i + m - 1], ' ') AS phrase
+           FROM (SELECT lang, a AS over, ws, m, unnest(range(1, words - m + 2)) AS i FROM c, range(2, {params.longest}) l(m) WHERE m < words)),
+gone AS (SELECT DISTINCT c.lang, c.phrase FROM c JOIN inside i ON i.lang = c.lang AND i.phrase = c.phrase AND 100::HUGEINT * i.over >= {params.covered}::HUGEINT * c.a),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+           FROM best ANTI JOIN gone USING (lang, phrase))
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= {params.top}"""
+
+
+COLLOCATIONS = collocations()

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from strata.llm import bpe, curriculum, decontam, htmltext, jaccard, langid, oracles, ring, suffixdedup, syncmers, toxicity, warc
+from strata.llm import bpe, collocations, curriculum, decontam, htmltext, jaccard, langid, oracles, ring, suffixdedup, syncmers, toxicity, warc
 from strata.llm.common import ship
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +71,10 @@ def op11_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.by_first_position(mixed).select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -83,8 +87,9 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_html_text": op10_html_text,
     "op11_curriculum_mix": op11_curriculum_mix,
+    "op12_collocations": op12_collocations,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {"op11_curriculum_mix": oracles.CURRICULUM_MIX}
+ORACLES: dict[str, str] = {"op11_curriculum_mix": oracles.CURRICULUM_MIX, "op12_collocations": oracles.COLLOCATIONS}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
