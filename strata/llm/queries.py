@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from strata.llm import bpe, collocations, curriculum, decontam, htmltext, jaccard, langid, oracles, ring, suffixdedup, syncmers, toxicity, warc
+from strata.llm import alignment, bpe, collocations, curriculum, decontam, htmltext, jaccard, langid, oracles, ring, suffixdedup, syncmers, toxicity, warc
 from strata.llm.common import ship
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +75,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -88,6 +92,7 @@ QUERIES = {
     "op10_html_text": op10_html_text,
     "op11_curriculum_mix": op11_curriculum_mix,
     "op12_collocations": op12_collocations,
+    "op13_alignment": op13_alignment,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {"op11_curriculum_mix": oracles.CURRICULUM_MIX, "op12_collocations": oracles.COLLOCATIONS}
