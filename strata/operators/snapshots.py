@@ -12,14 +12,18 @@ A table with a ``key`` can also hold change versions (operation ``MERGE``): only
 that were inserted or changed, all rows of a key together. Reading such a version
 takes each key's rows of the latest version since the last full one, on the bucketed
 key, so a merge writes what changed and not the whole table; ``compact`` commits a full
-version when reads have many changes to go through.
+version when reads have many changes to go through. A full version and the change
+versions built on it are one chain, and retention removes chains, not links of them.
+
+The key is a property of the catalog table (set at the first commit), so whoever opens
+the table reads its versions the same way. A table without a key holds full versions only.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +45,9 @@ def _ts(v) -> _dt.datetime:
     return _dt.datetime.fromisoformat(str(v))
 
 
+KEY_PROPERTY = "strata.key"
+
+
 class VersionNotFound(LookupError):
     pass
 
@@ -51,39 +58,52 @@ class SnapshotTable:
 
     def __init__(self, wh: Warehouse, layer: str, name: str, bucket_by: tuple[int, str] | None = None,
                  key: str | None = None):
-        self.key = key
         self.wh = wh
         self.spark = wh.spark
         self.layer = layer
         self.name = name
         self.data = wh.name(layer, name)
         self.hist = wh.name(layer, f"{name}_history")
-        known = wh.buckets_of(layer, name) if bucket_by else None  # an existing table keeps its buckets
-        self.bucket_by = (known, bucket_by[1]) if known else bucket_by
+        # an existing table keeps its buckets
+        self.bucket_by = wh.bucketing_of(layer, name) if wh.exists(layer, name) else bucket_by
+        # so it keeps its key; a new one takes the given key, or the one it is bucketed on
+        self._new_key = key or (bucket_by[1] if bucket_by else None)
+        self._known_key: str | None = None
+
+    @property
+    def key(self) -> str | None:
+        """The merge key: the catalog's for a table that exists."""
+        if self._known_key is None:
+            if not self.wh.exists(self.layer, self.name):
+                return self._new_key
+            self._known_key = self.wh.property_of(self.layer, self.name, KEY_PROPERTY) or ""
+        return self._known_key or None
 
     # -- writes ---------------------------------------------------------------
     def drop(self) -> None:
         """Remove the table with all its versions and its history."""
         self.wh.drop(self.layer, self.name)
         self.wh.drop(self.layer, f"{self.name}_history")
+        self._known_key = None
 
-    def commit_changes(self, df: DataFrame, timestamp, inserted: Column) -> int:
+    def commit_changes(self, df: DataFrame, timestamp, inserted: Column, log: list[Row] | None = None) -> int:
         """Write the inserted and changed rows of a merge as the next version.
 
         ``inserted`` is true for the rows whose key is new; the history's row count is the
-        whole table's. A key that is changed has all its rows in ``df``.
+        whole table's. A key that is changed has all its rows in ``df``. ``log``: the
+        history, if the caller has read it.
         """
         if not self.key:
             raise ValueError(f"{self.data} has no key, so it holds full versions only")
-        before = self.spark.table(self.hist).orderBy(F.desc("version")).first()["num_rows"]
-        return self.commit(df, timestamp, "MERGE", prepartitioned=True, rows=F.count_if(inserted), before=before)
+        log = log or self.log()
+        return self.commit(df, timestamp, "MERGE", prepartitioned=True, rows=F.count_if(inserted), before=log[-1]["num_rows"], log=log)
 
     def compact(self, timestamp) -> int:
         """The current rows as a full version; older ones can then expire."""
         return self.commit(self.current(), timestamp, "COMPACT", prepartitioned=True)
 
     def commit(self, df: DataFrame, timestamp, operation: str = "WRITE", prepartitioned: bool = False,
-               rows: Column | None = None, before: int = 0) -> int:
+               rows: Column | None = None, before: int = 0, log: list[Row] | None = None) -> int:
         """Write ``df`` as the next version; record it in the history.
 
         ``prepartitioned``: the rows already sit in their buckets (a join on the key
@@ -91,7 +111,7 @@ class SnapshotTable:
         in the history is ``before`` plus ``rows`` (all of them by default).
         """
         self.wh.ensure_schema(self.layer)
-        v = self._next_version()
+        v = self._next_version(log)
         out = df.withColumn("_version", F.lit(v).cast("long"))
         if self.bucket_by and not prepartitioned:
             out = out.repartition(self.bucket_by[0], self.bucket_by[1])
@@ -102,7 +122,11 @@ class SnapshotTable:
         w = out.write.mode("append").format("parquet").partitionBy("_version")
         if self.bucket_by:
             w = w.bucketBy(self.bucket_by[0], self.bucket_by[1]).sortBy(self.bucket_by[1])
+        key = self.key
         w.saveAsTable(self.data)
+        if self._known_key is None:  # the table is new
+            self.wh.set_property(self.layer, self.name, KEY_PROPERTY, key or "")
+            self._known_key = key or ""
         n = before + obs.get["rows"]
         row = self.spark.createDataFrame([(v, _ts(timestamp), operation, n)], HISTORY_SCHEMA)
         row.write.mode("append").format("parquet").saveAsTable(self.hist)
@@ -114,20 +138,27 @@ class SnapshotTable:
             return set()
         return {int(r[0].split("=", 1)[1]) for r in self.spark.sql(f"SHOW PARTITIONS {self.data}").collect()}
 
-    def _committed(self, v: int) -> bool:
-        """In the history, and the full version it builds on still has its data (an empty
-        version has none; a merge that changed nothing has no folder of its own)."""
-        known = {r["version"]: r["num_rows"] for r in self.spark.table(self.hist).select("version", "num_rows").collect()}
-        if v not in known:
-            return False
-        base = self._full_version(v)
-        return base in self._partition_versions() or known[base] == 0
-
-    def _next_version(self) -> int:
+    def log(self) -> list[Row]:
+        """The history in order: one small row a commit."""
+        if not self.spark.catalog.tableExists(self.hist):
+            return []
+        return sorted(self.spark.table(self.hist).collect(), key=lambda r: r["version"])
+
+    def _base(self, log: list[Row], v: int) -> int | None:
+        """The full version that version ``v`` builds on; None if ``v`` is not in the history."""
+        base = None
+        for r in log:
+            if r["version"] > v:
+                break
+            if not self.key or r["operation"] != "MERGE":
+                base = r["version"]
+            found = r["version"]
+        return base if base is not None and found == v else None
+
+    def _next_version(self, log: list[Row] | None = None) -> int:
         """One past every version seen in the history *or* on disk: if a run died between
         writing a version's data and its history row, the retry never appends into that folder."""
-        latest = self.latest_version()
-        seen = self._partition_versions() | ({latest} if latest is not None else set())
+        seen = self._partition_versions() | {r["version"] for r in (self.log() if log is None else log)}
         return max(seen) + 1 if seen else 0
 
     # -- metadata -------------------------------------------------------------
@@ -149,33 +180,32 @@ class SnapshotTable:
                 .join(committed, "version", "left_semi"))
 
     # -- reads ----------------------------------------------------------------
-    def as_of_version(self, v: int) -> DataFrame:
+    def as_of_version(self, v: int, log: list[Row] | None = None) -> DataFrame:
         """Rows of one version. A version that was never committed, or whose data
         retention has removed, is an error (an empty frame would read as 'no rows')."""
-        if not self._committed(v):
+        log = log or self.log()
+        base = self._base(log, v)
+        # an empty version has no folder, nor has a merge that changed nothing
+        empty = base is not None and next(r["num_rows"] for r in log if r["version"] == base) == 0
+        if base is None or not (empty or base in self._partition_versions()):
             raise VersionNotFound(f"{self.data} has no version {v} (unknown, or removed by retention)")
-        data = self.spark.table(self.data)
-        base = self._full_version(v)
-        if base == v:
-            return data.filter(F.col("_version") == F.lit(v).cast("long")).drop("_version")
-        since = data.filter(F.col("_version").between(base, v))
+        return self.rows_of_chain(self.spark.table(self.data).filter(F.col("_version").between(base, v)), base == v)
+
+    def rows_of_chain(self, since: DataFrame, full: bool) -> DataFrame:
+        """The latest rows of each key out of a chain's (``since`` has ``_version``)."""
+        if full:
+            return since.drop("_version")
         latest = F.max("_version").over(Window.partitionBy(self.key))
         keyed = since.filter(F.col(self.key).isNotNull()).withColumn("_latest", latest)
         # NULL keys match nothing, so their rows are never replaced
         return keyed.filter("_version = _latest").drop("_version", "_latest").unionByName(
             since.filter(F.col(self.key).isNull()).drop("_version"))
 
-    def _full_version(self, v: int) -> int:
-        """The last full version at or before ``v``."""
-        if not self.key:
-            return v
-        return self.spark.table(self.hist).filter((F.col("version") <= v) & (F.col("operation") != "MERGE")).agg(F.max("version")).first()[0]
-
-    def current(self) -> DataFrame:
-        v = self.latest_version()
-        if v is None:
+    def current(self, log: list[Row] | None = None) -> DataFrame:
+        log = log or self.log()
+        if not log:
             raise VersionNotFound(f"{self.data} has no version")
-        return self.as_of_version(v)
+        return self.as_of_version(log[-1]["version"], log)
 
     def version_at(self, timestamp) -> int:
         """Latest version committed at or before ``timestamp``; error before the first one."""
@@ -193,24 +223,26 @@ class SnapshotTable:
     def expired(self, retain_hours: int, now) -> DataFrame:
         """Versions a retention of ``retain_hours`` would remove (dry run).
 
-        A version expires once it was superseded (next commit's timestamp) before
-        ``now - retain_hours``; the latest version is never superseded, so never expires.
-        Versions whose data is gone already are not listed again, nor are those that the
-        latest version builds on.
+        A version is past its time once it was superseded (next commit's timestamp) before
+        ``now - retain_hours``; the latest version is never superseded. It expires when all
+        later versions of its chain are past their time too, since those are read through
+        it. Versions whose data is gone already are not listed again.
         """
         cutoff = _ts(now) - _dt.timedelta(hours=retain_hours)
         h = self.spark.table(self.hist)
         w = Window.orderBy("version")  # one row per commit: the history is tiny
-        return (h.withColumn("superseded_at", F.lead("timestamp").over(w))
-                .filter(F.col("superseded_at") < F.lit(cutoff).cast("timestamp_ntz"))
-                .filter(F.col("version").isin(sorted(self._partition_versions())) & (F.col("version") < self._needed()))
+        full = (F.col("operation") != "MERGE") if self.key else F.lit(True)
+        chains = (h.withColumn("superseded_at", F.lead("timestamp").over(w))
+                  .withColumn("chain", F.max(F.when(full, F.col("version"))).over(w)))
+        # the last version of a chain is the last to be superseded; the latest of all never is
+        whole = Window.partitionBy("chain")
+        done = F.max("superseded_at").over(whole)
+        never = F.max(F.col("superseded_at").isNull()).over(whole)
+        return (chains.withColumn("done", F.when(~never, done))
+                .filter(F.col("done") < F.lit(cutoff).cast("timestamp_ntz"))
+                .filter(F.col("version").isin(sorted(self._partition_versions())))
                 .select("version", "timestamp", "superseded_at", "num_rows"))
 
-    def _needed(self) -> int:
-        """Versions from here on are read by the latest one (change versions build on a full one)."""
-        latest = self.latest_version()
-        return self._full_version(latest) if latest is not None else 0
-
     def vacuum(self, retain_hours: int, now) -> list[int]:
         """Drop the data of expired versions (their partitions and files) and of folders
         without a history row, which a failed commit leaves. Returns the expired versions.

@@ -101,12 +101,21 @@ class Warehouse:
     def table(self, layer: str, table: str) -> DataFrame:
         return self.spark.table(self.name(layer, table))
 
-    def buckets_of(self, layer: str, table: str) -> int | None:
-        """Bucket count of an existing table, from the catalog; None without one."""
+    def bucketing_of(self, layer: str, table: str) -> tuple[int, str] | None:
+        """(bucket count, bucket column) of an existing table, from the catalog; None without buckets."""
         if not self.exists(layer, table):
             return None
-        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(layer, table)}").filter("col_name = 'Num Buckets'").collect()
-        return int(rows[0]["data_type"]) if rows else None
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(layer, table)}").filter("col_name IN ('Num Buckets', 'Bucket Columns')").collect()
+        found = {r["col_name"]: r["data_type"] for r in rows}
+        return (int(found["Num Buckets"]), found["Bucket Columns"].strip("[]`")) if found else None
+
+    def property_of(self, layer: str, table: str, name: str) -> str | None:
+        """A property of an existing table, from the catalog; None where it is not set."""
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(layer, table)}").filter(f"key = '{name}'").collect()
+        return rows[0]["value"] if rows else None
+
+    def set_property(self, layer: str, table: str, name: str, value: str) -> None:
+        self.spark.sql(f"ALTER TABLE {self.name(layer, table)} SET TBLPROPERTIES ('{name}' = '{value}')")
 
     def exists(self, layer: str, table: str) -> bool:
         return self.spark.catalog.tableExists(self.name(layer, table))

@@ -92,3 +92,46 @@ def test_commit_after_orphan_data_skips_that_version(wh, spark):
     v = st.commit(spark.range(5), "2024-01-02 00:00:00")
     assert v == 2 and st.current().count() == 5
     assert sorted(r.version for r in st.versions().collect()) == [0, 2]
+
+
+def _changes(spark, rows):
+    return spark.createDataFrame([(k, v, dt.datetime(2000, 1, 1), None) for k, v in rows],
+                                 "id bigint, v string, created_at timestamp_ntz, updated_at timestamp_ntz")
+
+
+def test_retention_keeps_what_a_kept_version_builds_on(wh, spark):
+    from strata.operators import silver
+    st = SnapshotTable(wh, "silver", "chain", bucket_by=(4, "id"))
+    st.commit(silver.stamp_load(_changes(spark, [(1, "a"), (2, "b")]), "2024-01-01 00:00:00"), "2024-01-01 00:00:00")
+    silver.merge_into(st, _changes(spark, [(2, "B"), (3, "c")]), "id", "2024-01-05 00:00:00")
+    silver.merge_into(st, _changes(spark, [(1, "A")]), "id", "2024-01-20 00:00:00")
+    st.compact("2024-01-24 00:00:00")
+    want = [{1: "a", 2: "b"}, {1: "a", 2: "B", 3: "c"}, {1: "A", 2: "B", 3: "c"}, {1: "A", 2: "B", 3: "c"}]
+
+    def read(v):
+        return {r.id: r.v for r in st.as_of_version(v).collect()}
+
+    # version 2 was superseded on the 24th, so it, and all that it is read through, stay
+    assert st.expired(168, "2024-01-25").collect() == [] and st.vacuum(168, "2024-01-25") == []
+    assert [read(v) for v in range(4)] == want
+    assert sorted(st.vacuum(168, "2024-02-05")) == [0, 1, 2]
+    assert read(3) == want[3] and st.vacuum(168, "2024-02-05") == []
+    for v in range(3):
+        with pytest.raises(VersionNotFound):
+            st.as_of_version(v)
+    # a new object reads the same way: the key is the table's
+    assert SnapshotTable(wh, "silver", "chain").key == "id"
+    silver.merge_into(SnapshotTable(wh, "silver", "chain"), _changes(spark, [(9, "z")]), "id", "2024-02-06 00:00:00")
+    assert {r.id for r in SnapshotTable(wh, "silver", "chain").current().collect()} == {1, 2, 3, 9}
+
+
+def test_merge_without_a_key_writes_full_versions(wh, spark):
+    from strata.operators import silver
+    st = SnapshotTable(wh, "silver", "plain")
+    st.commit(silver.stamp_load(_changes(spark, [(1, "a"), (2, "b")]), "2024-01-01 00:00:00"), "2024-01-01 00:00:00")
+    silver.merge_into(st, _changes(spark, [(2, "B"), (3, "c")]), "id", "2024-01-05 00:00:00")
+    silver.merge_into(st, _changes(spark, [(4, "d")]), "id", "2024-01-20 00:00:00")
+    assert st.key is None and [(r.operation, r.num_rows) for r in st.history().collect()] == [("MERGE", 4), ("MERGE", 3), ("WRITE", 2)]
+    assert {r.id: r.v for r in st.as_of_version(1).collect()} == {1: "a", 2: "B", 3: "c"}
+    assert {r.id: r.v for r in st.current().collect()} == {1: "a", 2: "B", 3: "c", 4: "d"}
+    assert st.vacuum(24, "2024-01-15") == [0]
