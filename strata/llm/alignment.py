@@ -5,8 +5,8 @@ A and a token of B are linked if their bytes overlap. For each link it is asked
 its pair of ids is linked in the whole corpus, and whether that is the most of its B id.
 
 * Encoding. A text is cut into fragments before a blank or line end that follows a
-  letter or mark, where neither tokenizer can join what stands on both sides (``Aligner``
-  looks this up in its vocabularies). Fragments repeat, so each worker encodes and
+  letter or mark, and before a mark that follows a letter, where neither tokenizer can
+  join what stands on both sides (``Aligner`` looks this up in its vocabularies). Fragments repeat, so each worker encodes and
   aligns the distinct ones and remembers a bounded number of them.
 * Spilling. A block of texts gives records (pair, document, times), summed, sorted by
   pair with the B side as the major part, cut by the B id's last digits (the radix) and
@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from strata.llm.common import enter, kept, trim, written
 #: UTF-8 bytes of texts handled at once
 BLOCK_BYTES = 4 << 20
 #: fragments that a worker remembers, at most, and the longest of them in bytes
-REMEMBERED, LONGEST = 200_000, 64
+REMEMBERED, LONGEST = 500_000, 64
 #: buckets of B ids, and bytes of runs that one slice of a bucket reads, about
 BUCKETS, SLICE_BYTES = 64, 64 << 20
 SCHEMA = ("batch bigint, ord int, doc_id {}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, "
@@ -74,16 +75,28 @@ class Aligner:
         shown = [b""] * self.n_a
         for token, i in tokens.items():
             shown[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else b""
-        self.bytes_a, self.lens_a, self.at_a = _table(shown)
+        self.bytes_a, self.lens_a = _table(shown)
         self.n_b = self.b.get_piece_size()
         pieces = [self.b.id_to_piece(i) for i in range(self.n_b)]
         shown = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        self.bytes_b, self.lens_b, self.at_b = _table(shown)
-        self.blank = self.b.piece_to_id("▁")
-        #: bytes that a fragment may begin with: no piece has them after anything else
-        inside = {c for p in pieces for c in p.replace("▁", " ").lstrip(" ")}
-        self.cuts = [ord(c) for c in " \n" if c not in inside]
+        self.bytes_b, self.lens_b = _table(shown)
+        #: the numbers in decimal, each with a place for what follows it
+        digits = [b"%d " % i for i in range(max(self.n_a, self.n_b))]
+        self.digits, self.n_digits = _table(digits)
+        self.at_digits = np.cumsum(self.n_digits) - self.n_digits
+        #: what a fragment may begin with: blanks and line ends that no piece has after
+        #: anything else, and after a letter also marks that no piece has after a letter
+        shown = [p.replace("▁", " ") for i, p in enumerate(pieces) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))]
+        pairs = {p[i : i + 2] for p in shown for i in range(len(p) - 1)}
+        self.cuts = [ord(c) for c in " \n" if not any(x[1] == c and not x[0].isspace() for x in pairs)]
+        self.marks = [ord(c) for c in ".,;:!?" if not any(x[1] == c and x[0].isalpha() for x in pairs)]
+        #: B encodes a fragment without a blank in front behind a line end, which no piece has
+        self.apart = "\n" if not any("\n" in p for p in shown) else None
+        self.behind = len(self.b.encode("\n"))
+        if self.apart is None:
+            self.cuts, self.marks = [c for c in self.cuts if c == 32], []
         self.known: dict[bytes, tuple] = {}
+        self.older: dict[bytes, tuple] = {}
         # B ids in the order of their buckets: the last digits first
         self.per = -(-self.n_b // BUCKETS)
 
@@ -91,65 +104,101 @@ class Aligner:
         """Where the fragments of ``raw`` begin; ``starts``: where its texts begin."""
         begin = np.zeros(len(raw), dtype=bool)
         begin[starts] = True
-        at = np.flatnonzero(np.isin(raw, np.array(self.cuts, dtype=np.uint8)))
+        kind = np.zeros(256, dtype=np.uint8)
+        kind[self.marks] = 1
+        kind[self.cuts] = 2
+        at = np.flatnonzero(kind[raw])
         at = at[at > 1]
         before, lead = raw[at - 1], raw[at - 2]
-        # after printable ASCII or a letter from U+00C0 to U+027F, never after white space
-        sure = ((before > 32) & (before < 127)) | ((before >= 128) & (before < 192) & (lead >= 0xC3) & (lead <= 0xC9))
+        # after a letter from U+00C0 to U+027F (two bytes), or printable ASCII, never after white space
+        latin = (before >= 128) & (before < 192) & (lead >= 0xC3) & (lead <= 0xC9) & ~((lead == 0xC3) & ((before == 0x97) | (before == 0xB7)))
+        small = before | 32
+        letter = latin | ((before < 128) & (small >= 97) & (small <= 122))
+        sure = letter | ((kind[raw[at]] == 2) & (before > 32) & (before < 127))
         begin[at[sure]] = True
         return np.flatnonzero(begin)
 
     def look_up(self, parts: list[bytes]) -> list[tuple]:
         """(n_a, n_b, n_groups, links, groups) of each fragment; n_a is -1 where a
         tokenizer's bytes are not the fragment's."""
-        known = self.known
-        new = [p for p in parts if p not in known]
+        known, older = self.known, self.older
+        new = [p for p in parts if p not in known and p not in older]
         fresh: dict[bytes, tuple] = {}
         for i in range(0, len(new), 20_000):
             some = new[i : i + 20_000]
             fresh.update(zip(some, self.align(some)))
-        out = [known.get(p) or fresh[p] for p in parts]
-        if len(known) + len(fresh) > REMEMBERED:
-            known.clear()
-        known.update((p, x) for p, x in fresh.items() if len(p) <= LONGEST)
+        out = [known.get(p) or older.get(p) or fresh[p] for p in parts]
+        if len(known) > REMEMBERED // 2:  # what has not been asked for since the last time goes
+            self.older, self.known = known, {}
+            known = self.known
+        known.update((p, x) for p, x in zip(parts, out) if len(p) <= LONGEST)
         return out
 
     def align(self, parts: list[bytes]) -> list[tuple]:
         texts = [p.decode() for p in parts]
         ids_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        # B puts a blank in front of what it encodes; where the fragment has none, that goes again
-        ids_b = self.b.encode([t[1:] if t[0] == " " else t for t in texts], num_threads=1)
-        ids_b = [(x[1:] if x[0] == self.blank else [-1]) if t[0] != " " else x if t != " " else [self.blank] for x, t in zip(ids_b, texts)]
-        fits = [self._same(p, a, b) for p, a, b in zip(parts, ids_a, ids_b)]
-        at = [i for i, ok in enumerate(fits) if ok]
+        # B puts a blank in front of what it encodes: that of the fragment, or one before a line end
+        asked = [t[1:] if t[0] == " " and len(t) > 1 else (self.apart or "") + t for t in texts]
+        ids_b = self.b.encode(asked, num_threads=1)
+        for i, t in enumerate(texts):
+            if t[0] != " " or len(t) == 1:
+                ids_b[i] = ids_b[i][self.behind :] if self.apart else [0]
         out: list[tuple] = [(-1, 0, 0, b"", b"")] * len(parts)
+        at = np.flatnonzero(self._same(parts, ids_a, self.bytes_a, self.lens_a) & self._same(parts, ids_b, self.bytes_b, self.lens_b)).tolist()
         if not at:
             return out
-        na, nb = np.array([len(ids_a[i]) for i in at]), np.array([len(ids_b[i]) for i in at])
-        a, b = np.concatenate([ids_a[i] for i in at]).astype(np.int64), np.concatenate([ids_b[i] for i in at]).astype(np.int64)
+        na, a = _flat([ids_a[i] for i in at])
+        nb, b = _flat([ids_b[i] for i in at])
         ends_a, ends_b = np.cumsum(self.lens_a[a]), np.cumsum(self.lens_b[b])
         both = np.intersect1d(ends_a, ends_b, assume_unique=True)
         seams = np.union1d(ends_a, ends_b)  # a stretch between two seams is one link
-        links = self.key(a[np.searchsorted(ends_a, seams)], b[np.searchsorted(ends_b, seams)])
+        links = self.key(a[np.searchsorted(ends_a, seams)], b[np.searchsorted(ends_b, seams)]).tobytes()
         ends = np.cumsum([len(parts[i]) for i in at])
-        link_ends, group_ends = np.searchsorted(seams, ends, "right"), np.searchsorted(both, ends, "right")
-        in_a = np.searchsorted(ends_a, both, "right").tolist()  # tokens up to the end of a group
-        in_b = np.searchsorted(ends_b, both, "right").tolist()
-        words_a, words_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        groups, i, j = [], 0, 0
-        for k, m in zip(in_a, in_b):
-            groups.append(f"{','.join(words_a[i:k])}|{','.join(words_b[j:m])}")
-            i, j = k, m
-        start_link = start_group = 0
-        for place, x, y, link, group in zip(at, na.tolist(), nb.tolist(), link_ends.tolist(), group_ends.tolist()):
-            out[place] = (x, y, group - start_group, links[start_link:link].tobytes(), ";".join(groups[start_group:group]).encode())
-            start_link, start_group = link, group
+        link_ends, group_ends = np.searchsorted(seams, ends, "right").tolist(), np.searchsorted(both, ends, "right").tolist()
+        shown, places = self._shown(a, b, ends_a, ends_b, both)
+        text_ends = places[np.cumsum(na + nb) - 1].tolist()
+        start_link = start_group = start = 0
+        for place, x, y, link, group, end in zip(at, na.tolist(), nb.tolist(), link_ends, group_ends, text_ends):
+            out[place] = (x, y, group - start_group, links[8 * start_link : 8 * link], shown[start : end - 1])
+            start_link, start_group, start = link, group, end
         return out
 
-    def _same(self, part: bytes, a: list[int], b: list[int]) -> bool:
-        if not a or not b or min(b) < 0 or max(a) >= self.n_a:
-            return False
-        return b"".join([self.at_a[i] for i in a]) == part and b"".join([self.at_b[i] for i in b]) == part
+    def _shown(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, both: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The groups as text, a ``;`` after each, and where each token's part of it ends."""
+        group_a, group_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
+        upto_a, upto_b = np.searchsorted(ends_a, both, "right"), np.searchsorted(ends_b, both, "right")
+        place_a = np.arange(len(a)) + np.concatenate(([0], upto_b))[group_a]
+        place_b = np.arange(len(b)) + upto_a[group_b]
+        ids = np.empty(len(a) + len(b), dtype=np.int64)
+        after = np.full(len(ids), ord(","), dtype=np.uint8)
+        ids[place_a], ids[place_b] = a, b
+        after[place_a[upto_a - 1]] = ord("|")
+        after[place_b[upto_b - 1]] = ord(";")
+        size = self.n_digits[ids]
+        ends = np.cumsum(size)
+        text = self.digits[np.arange(int(ends[-1])) + np.repeat(self.at_digits[ids] - (ends - size), size)]
+        text[ends - 1] = after
+        return text.tobytes(), ends
+
+    @staticmethod
+    def _same(parts: list[bytes], ids: list[list[int]], shown: np.ndarray, lens: np.ndarray) -> np.ndarray:
+        """Whether the bytes of each fragment's tokens are the fragment's."""
+        n, flat = _flat(ids)
+        size = np.fromiter(map(len, parts), np.int64, len(parts))
+        inside = (flat >= 0) & (flat < len(lens))
+        flat = np.where(inside, flat, 0)
+        sums = np.add.reduceat(np.append(np.where(inside, lens[flat], 1 << 40), 0), np.cumsum(n) - n) * (n > 0)
+        ok = sums == size
+        if not ok.any():
+            return ok
+        tokens = flat[np.repeat(ok, n)]
+        starts = np.cumsum(lens) - lens
+        width = lens[tokens]
+        got = shown[np.arange(int(width.sum())) + np.repeat(starts[tokens] - (np.cumsum(width) - width), width)]
+        want = np.frombuffer(b"".join([p for p, x in zip(parts, ok.tolist()) if x]), dtype=np.uint8)
+        equal = np.add.reduceat((got != want).astype(np.int64), np.cumsum(size[ok]) - size[ok]) == 0
+        ok[np.flatnonzero(ok)[~equal]] = False
+        return ok
 
     def key(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Pairs of ids as numbers whose order is that of bucket, B id, A id."""
@@ -159,8 +208,14 @@ class Aligner:
         return keys // (self.n_a * self.per)
 
 
-def _table(shown: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    return np.frombuffer(b"".join(shown), dtype=np.uint8), np.array([len(s) for s in shown], dtype=np.int64), shown
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths of the lists, and their numbers in one array."""
+    n = np.fromiter(map(len, lists), np.int64, len(lists))
+    return n, np.fromiter(chain.from_iterable(lists), np.int64, int(n.sum()))
+
+
+def _table(shown: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(shown), dtype=np.uint8), np.array([len(s) for s in shown], dtype=np.int64)
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = kept({})
@@ -185,18 +240,21 @@ class Block:
         self.found = tool.look_up(parts.dictionary.to_pylist())
         self.part = parts.indices.to_numpy()
         self.edges = np.searchsorted(begins, ends)  # fragments up to the end of each text
-        n = np.array([f[:3] for f in self.found], dtype=np.int64).reshape(-1, 3)
-        self.links = np.array([len(f[3]) // 8 for f in self.found], dtype=np.int64)
+        n_a, n_b, n_groups, links, self.shown = zip(*self.found)
+        count = lambda x: np.fromiter(x, np.int64, len(self.found))
+        n = [count(n_a), count(n_b), count(n_groups)]
+        self.links = count(map(len, links)) // 8
+        self.pairs = np.frombuffer(b"".join(links), dtype=np.int64)
         starts = np.concatenate(([0], self.edges[:-1]))
         sums = lambda x: np.add.reduceat(x[self.part], starts)
-        self.bad = sums((n[:, 0] < 0).astype(np.int64)) > 0
-        self.numbers = [np.where(self.bad, 0, sums(x)) for x in (n[:, 0], n[:, 1], n[:, 2], self.links)]
+        self.bad = sums((n[0] < 0).astype(np.int64)) > 0
+        self.numbers = [np.where(self.bad, 0, sums(x)) for x in (*n, self.links)]
 
     def digest(self, i: int, sha) -> None:
         """Add the groups of text ``i`` to a hash."""
         start = self.edges[i - 1] if i else 0
-        found = self.found
-        sha.update(b";".join([found[p][4] for p in self.part[start : self.edges[i]].tolist()]))
+        shown = self.shown
+        sha.update(b";".join([shown[p] for p in self.part[start : self.edges[i]].tolist()]))
 
     def records(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(pair, text, times) in the order of pairs and texts; texts without tokens have none."""
@@ -205,8 +263,7 @@ class Block:
         good = ~self.bad[doc]
         cell, times = np.unique(doc[good] * n_parts + self.part[good], return_counts=True)
         doc, part = cell // n_parts, cell % n_parts
-        pairs = np.frombuffer(b"".join([f[3] for f in self.found]), dtype=np.int64)
-        keys, rank = np.unique(pairs, return_inverse=True)
+        keys, rank = np.unique(self.pairs, return_inverse=True)
         ends = np.cumsum(self.links)
         size = self.links[part]
         at = np.arange(int(size.sum())) + np.repeat((ends - self.links)[part] - (np.cumsum(size) - size), size)
