@@ -21,7 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 import oracle_model as om  # noqa: E402
-from strata.operators import gold, joins, layout, silver  # noqa: E402
+from strata.operators import gold, joins, layout, silver, skipping  # noqa: E402
 from strata.plans.medallion import MIDDLE_TS, SNAPSHOT_NOW, run_for  # noqa: E402
 from strata.sources import bronze, retail  # noqa: E402
 
@@ -309,6 +309,34 @@ def q_snapshot_after_expiry(spark, sf_dir):
     return _p(spark, sf_dir).retained_snapshots().versions()
 
 
+def q_snapshot_after_expiry_merged(spark, sf_dir):
+    """Rows of every version that can still be read after retention, each read through its chain."""
+    st = _p(spark, sf_dir).retained_merges()
+    out = None
+    for v in sorted(r["version"] for r in st.versions().select("version").collect()):
+        n = st.as_of_version(v).agg(F.lit(v).cast("long").alias("version"), F.count(F.lit(1)).alias("num_rows"))
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
+# -- files that a read can skip -----------------------------------------------------------
+
+POINT = {"customer_id": 7}
+
+
+def q_silver_merge_bloom_orders(spark, sf_dir):
+    return present(_p(spark, sf_dir).indexed_orders().current())
+
+
+def q_zorder_point_lookup(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    files = p.zorder_index().files_with(POINT)
+    found = skipping.only_files(p.zordered_fact(), files)
+    for c, v in POINT.items():
+        found = found.filter(F.col(c) == v)
+    return present(found)
+
+
 def q_schema_checked_append(spark, sf_dir):
     return present(_p(spark, sf_dir).products_with_append())
 
@@ -373,6 +401,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "snapshot_as_of_timestamp": q_snapshot_as_of_timestamp,
         "snapshot_expiry_dry_run": q_snapshot_expiry_dry_run,
         "snapshot_after_expiry": q_snapshot_after_expiry,
+        "snapshot_after_expiry_merged": q_snapshot_after_expiry_merged,
+        "silver_merge_bloom_orders": q_silver_merge_bloom_orders,
+        "zorder_point_lookup": q_zorder_point_lookup,
         "schema_checked_append": q_schema_checked_append,
         **(llm.QUERIES if llm else {}),
     }
@@ -598,6 +629,14 @@ FROM ({superseded}) h WHERE {due}""")
     sql["snapshot_after_expiry"] = om.with_(kept, f"""
 SELECT CAST(version AS BIGINT) AS version, CAST(num_rows AS BIGINT) AS num_rows
 FROM ({superseded}) h WHERE superseded_at IS NULL OR NOT ({due})""")
+    # the first chain of merged products is past its time, the second is still read through
+    sql["snapshot_after_expiry_merged"] = om.with_(om.ENTITY_CTES, """
+SELECT CAST(version AS BIGINT) AS version, COUNT(*) AS num_rows
+FROM s_products, (VALUES (2, DATE '1997-12-31'), (3, DATE '1998-12-31'), (4, DATE '1999-12-31'), (5, DATE '1999-12-31')) v(version, day)
+WHERE created_at <= day GROUP BY version""")
+    sql["silver_merge_bloom_orders"] = sql["silver_orders_merge"]
+    point = " AND ".join(f"{c} = {v}" for c, v in POINT.items())
+    sql["zorder_point_lookup"] = om.with_(om.GOLD_CTES, f"SELECT {fact_cols} FROM fact_sales WHERE {point}")
     sql["table_detail"] = om.with_(om.GOLD_CTES, """
 SELECT table_name, COUNT(*) AS num_rows, true AS within_target
 FROM fact_sales, (VALUES ('fact_sales'), ('fact_sales_zordered')) v(table_name) GROUP BY table_name""")

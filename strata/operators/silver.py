@@ -200,14 +200,15 @@ def merge_into(table, source: DataFrame, key: str, run_ts: str) -> int:
     ``table`` is a :class:`strata.operators.snapshots.SnapshotTable`. If ``key`` is the
     table's key, only the current rows whose key is in the source take part, and only they
     and the inserted rows are written, so a merge writes as much as changes; a table bucketed
-    on ``key`` is read by bucket and only the source is shuffled. A table with another key or
+    on ``key`` is read by bucket and only the source is shuffled, and with the key in its
+    file index only the files that can hold a key of the source are read. A table with another key or
     none gets the whole merged table as a full version.
     """
     log = table.log()
     if table.key != key:
         return table.commit(upsert(table.current(log), source, key, run_ts), run_ts, "MERGE" if not table.key else "WRITE", log=log)
     keys = source.filter(F.col(key).isNotNull()).select(key).distinct()
-    touched = table.current(log).join(keys, key, "left_semi")
+    touched = table.current_of_keys(keys, log)
     merged = upsert(touched, source, key, run_ts)
     # every touched row is matched, so a row without an update stamp is a new one
     return table.commit_changes(merged, run_ts, F.col("record_updated_at").isNull(), log)

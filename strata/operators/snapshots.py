@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Observation, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.skipping import FileIndex, only_files
 from strata.sources.tables import Warehouse
 
 HISTORY_SCHEMA = T.StructType([
@@ -45,7 +46,7 @@ def _ts(v) -> _dt.datetime:
     return _dt.datetime.fromisoformat(str(v))
 
 
-KEY_PROPERTY = "strata.key"
+KEY_PROPERTY, INDEX_PROPERTY = "strata.key", "strata.index"
 
 
 class VersionNotFound(LookupError):
@@ -54,10 +55,12 @@ class VersionNotFound(LookupError):
 
 class SnapshotTable:
     """``bucket_by=(n, key)`` buckets every version on its key, so a merge reads the
-    current version by bucket and shuffles only the incoming rows."""
+    current version by bucket and shuffles only the incoming rows. ``index``: columns of
+    the file index (:mod:`strata.operators.skipping`), kept up by every commit; with
+    the key among them, a merge reads only the files that can hold one of its keys."""
 
     def __init__(self, wh: Warehouse, layer: str, name: str, bucket_by: tuple[int, str] | None = None,
-                 key: str | None = None):
+                 key: str | None = None, index: list[str] | None = None):
         self.wh = wh
         self.spark = wh.spark
         self.layer = layer
@@ -69,6 +72,16 @@ class SnapshotTable:
         # so it keeps its key; a new one takes the given key, or the one it is bucketed on
         self._new_key = key or (bucket_by[1] if bucket_by else None)
         self._known_key: str | None = None
+        self._new_index = list(index or [])
+
+    @property
+    def index(self) -> FileIndex | None:
+        """The table's file index, if it has one (a property of the catalog table, as the key)."""
+        columns = self._new_index
+        if self.wh.exists(self.layer, self.name):
+            found = self.wh.property_of(self.layer, self.name, INDEX_PROPERTY)
+            columns = found.split(",") if found else []
+        return FileIndex(self.wh, self.layer, self.name, columns) if columns else None
 
     @property
     def key(self) -> str | None:
@@ -84,6 +97,7 @@ class SnapshotTable:
         """Remove the table with all its versions and its history."""
         self.wh.drop(self.layer, self.name)
         self.wh.drop(self.layer, f"{self.name}_history")
+        FileIndex(self.wh, self.layer, self.name, []).drop()
         self._known_key = None
 
     def commit_changes(self, df: DataFrame, timestamp, inserted: Column, log: list[Row] | None = None) -> int:
@@ -125,8 +139,13 @@ class SnapshotTable:
         key = self.key
         w.saveAsTable(self.data)
         if self._known_key is None:  # the table is new
-            self.wh.set_property(self.layer, self.name, KEY_PROPERTY, key or "")
+            if self.wh.property_of(self.layer, self.name, KEY_PROPERTY) is None:
+                self.wh.set_property(self.layer, self.name, KEY_PROPERTY, key or "")
+                self.wh.set_property(self.layer, self.name, INDEX_PROPERTY, ",".join(self._new_index))
             self._known_key = key or ""
+        index = self.index
+        if index:
+            index.add(v)
         n = before + obs.get["rows"]
         row = self.spark.createDataFrame([(v, _ts(timestamp), operation, n)], HISTORY_SCHEMA)
         row.write.mode("append").format("parquet").saveAsTable(self.hist)
@@ -207,6 +226,24 @@ class SnapshotTable:
             raise VersionNotFound(f"{self.data} has no version")
         return self.as_of_version(log[-1]["version"], log)
 
+    def current_of_keys(self, keys: DataFrame, log: list[Row] | None = None, version: int | None = None) -> DataFrame:
+        """The rows of the current version (or of ``version``) whose key is in ``keys``.
+
+        With the key in the file index only the files of the chain that can hold one of
+        the keys are scanned; the list of files is used while it leaves out at least half.
+        """
+        log = log or self.log()
+        v = log[-1]["version"] if version is None else version
+        base = self._base(log, v)
+        self.as_of_version(v, log)  # the version must be there
+        since = self.spark.table(self.data).filter(F.col("_version").between(base, v))
+        index = self.index
+        if index and self.key in index.columns and self.bucket_by:
+            files = index.files_of_keys(keys, self.key, self.bucket_by[0], (base, v))
+            if 2 * len(files) <= index.count((base, v)):
+                since = only_files(since, files)
+        return self.rows_of_chain(since.join(keys.select(self.key), self.key, "left_semi").select(*since.columns), base == v)
+
     def version_at(self, timestamp) -> int:
         """Latest version committed at or before ``timestamp``; error before the first one."""
         t = _ts(timestamp)
@@ -253,6 +290,9 @@ class SnapshotTable:
         gone = [r["version"] for r in self.expired(retain_hours, now).select("version").collect()]
         known = {r["version"] for r in self.spark.table(self.hist).select("version").collect()}
         orphans = self._partition_versions() - known
+        index = self.index
         for v in sorted({*gone, *orphans}):
             self.spark.sql(f"ALTER TABLE {self.data} DROP IF EXISTS PARTITION (_version={v})")
+        if index:
+            index.remove(sorted({*gone, *orphans}))
         return gone

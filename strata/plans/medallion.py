@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.config import Config
 from strata.operators import gold, layout, schema, silver
+from strata.operators.skipping import FileIndex
 from strata.operators.snapshots import SnapshotTable
 from strata.sources import bronze, retail
 from strata.sources.tables import Warehouse
@@ -35,6 +36,15 @@ SNAPSHOT_PLAN = [
 SNAPSHOT_NOW = "2024-01-25 00:00:00"
 # the first of two increments (fixed value of that scenario)
 MIDDLE_TS = "2000-01-01 00:00:00"
+# Fixed values of the merged products: (created after, created by, commit timestamp, operation)
+MERGED_PLAN = [
+    ("1900-01-01", "1996-12-31", "2023-12-01 00:00:00", "WRITE"),
+    ("1996-12-31", "1997-12-31", "2023-12-10 00:00:00", "MERGE"),
+    ("1900-01-01", "1900-01-01", "2024-01-02 00:00:00", "COMPACT"),
+    ("1997-12-31", "1998-12-31", "2024-01-05 00:00:00", "MERGE"),
+    ("1996-12-31", "1999-12-31", "2024-01-20 00:00:00", "MERGE"),
+    ("1900-01-01", "1900-01-01", "2024-01-24 00:00:00", "COMPACT"),
+]
 ZORDER_COLS = ["customer_id", "product_id", "sales_date"]
 
 
@@ -213,6 +223,47 @@ class MedallionRun:
             st.vacuum(self.config.retention_hours, SNAPSHOT_NOW)
         return st
 
+    @_stage
+    def retained_merges(self) -> SnapshotTable:
+        """Two chains of merges into the products, and retention while the second is still read."""
+        st = SnapshotTable(self.wh, "gold", "products_merged", bucket_by=(self.buckets(), "product_id"))
+        if self._fresh("products_merged"):
+            st.drop()
+            products = self.silver_table("products").drop(*silver.AUDIT)
+            for first_day, last_day, ts, op in MERGED_PLAN:
+                part = products.filter((products.created_at > first_day) & (products.created_at <= last_day))
+                if op == "MERGE":
+                    silver.merge_into(st, part, "product_id", ts)
+                elif op == "COMPACT":
+                    st.compact(ts)
+                else:
+                    st.commit(silver.stamp_load(part, ts), ts, op)
+            st.vacuum(self.config.retention_hours, SNAPSHOT_NOW)
+        return st
+
+    # -- files that a read can skip ---------------------------------------------
+    @_stage
+    def indexed_orders(self) -> SnapshotTable:
+        """The orders with a file index on their key, loaded and merged like the others."""
+        st = SnapshotTable(self.wh, "silver", "orders_indexed", bucket_by=self._bucket("orders"), index=["order_id"])
+        if self._fresh("orders_indexed"):
+            self.incremental()
+            st.drop()
+            first = self.silver_versions("orders").as_of_version(0)
+            st.commit(first, self.config.initial_ts)
+            silver.merge_into(st, self.wh.table("silver", "orders_changes"), "order_id", self.config.incremental_ts)
+        return st
+
+    @_stage
+    def zorder_index(self) -> FileIndex:
+        """The file index of the z-ordered fact."""
+        self.zordered_fact()
+        index = FileIndex(self.wh, "gold", "fact_sales_zordered", ["customer_id", "product_id"])
+        if self._fresh("fact_sales_zordered_index"):
+            index.drop()
+            index.add()
+        return index
+
     # -- schema enforcement ------------------------------------------------
     @_stage
     def products_with_append(self) -> DataFrame:
