@@ -16,7 +16,9 @@ one shuffle that all steps share; after it only messages between parts and shard
 3. A shard sorts the suffixes of its stretches by external induction (``induced.py``,
    queues on disk) with their common prefixes, which puts equal strings next to each
    other, and answers each part with the smallest owners of its stretches' strings.
-4. A part finds its stretches again and removes what an answer tells it to.
+4. A part finds its stretches once; what it needs of them later (their places, not their
+   texts) goes to a shard with its messages and comes back with the answers, and the part
+   removes what these tell it to.
 
 A piece, stretch or string with a third of all occurrences comes once from each part, and
 different stretches of one piece are at most about ``group`` in a shard, so no bucket or
@@ -337,6 +339,35 @@ class Found:
     place: np.ndarray
 
 
+def pack_found(f: Found, copy: np.ndarray) -> bytes:
+    """What step 4 needs of a part's stretches, and its rows that are copies."""
+    copies = np.flatnonzero(copy)
+    order = np.lexsort((f.place, f.row))
+    row, place = f.row[order], f.place[order]
+    arrays = (
+        np.array([len(f.strings), len(row), len(copies)], dtype="<i8"), f.shards.astype("<i4"), np.array([len(x) for x in f.strings], dtype="<u2"),
+        f.string[order].astype("<i4"), np.diff(row, prepend=0).astype("<i4"), np.diff(place, prepend=0).astype("<i8"), copies.astype("<i4"),
+    )
+    # bytes of equal rank together: most are zeros
+    return pack(b"".join(a.tobytes() if a.itemsize == 1 or not len(a) else np.ascontiguousarray(a.view(np.uint8).reshape(-1, a.itemsize).T).tobytes() for a in arrays))
+
+
+def unpack_found(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(shard and length of each string; string, row and place of each occurrence; rows that are copies)."""
+    raw, at = np.frombuffer(unpack(data), dtype=np.uint8), 0
+
+    def take(n: int, kind: str) -> np.ndarray:
+        nonlocal at
+        size = np.dtype(kind).itemsize
+        planes = raw[at : at + n * size].reshape(size, n)
+        at += n * size
+        return np.ascontiguousarray(planes.T).view(kind).ravel().astype(np.int64)
+
+    strings, places, copies = take(3, "<i8").tolist()
+    shards, sizes, string = take(strings, "<i4"), take(strings, "<u2"), take(places, "<i4")
+    return shards, sizes, string, np.cumsum(take(places, "<i4")), np.cumsum(take(places, "<i8")), take(copies, "<i4")
+
+
 def find(keys: np.ndarray, texts: list[bytes], take: list[int], mail: pa.Table, buckets: int, p: Params) -> Found:
     """Distinct stretches of the rows ``take`` around shared pieces, in the order of (shard, string).
 
@@ -403,6 +434,10 @@ def part_stretches(left: pa.Table, right: pa.Table, buckets: int, p: Params) ->
 def stretch_messages(left: pa.Table, right: pa.Table, buckets: int, p: Params) -> pa.Table:
     """What a part sends to the shards: its distinct stretches and the smallest id of each."""
     keys, _, _, f = part_stretches(left, right, buckets, p)
+    return messages_of(left, keys, f)
+
+
+def messages_of(left: pa.Table, keys: np.ndarray, f: Found) -> pa.Table:
     owner = np.full(len(f.strings), np.iinfo(np.int64).max)
     np.minimum.at(owner, f.string, keys[f.row] if len(f.row) else f.row)
     edges = np.append(np.flatnonzero(np.diff(f.shards, prepend=-1)), len(f.shards))
@@ -417,6 +452,18 @@ def stretch_messages(left: pa.Table, right: pa.Table, buckets: int, p: Params) -
     })
 
 
+def sent_messages(left: pa.Table, right: pa.Table, buckets: int, p: Params) -> pa.Table:
+    """``stretch_messages``, and a row for one of the shards with what the part will want back."""
+    keys, _, copy, f = part_stretches(left, right, buckets, p)
+    table = messages_of(left, keys, f).append_column("found", pa.nulls(len(set(f.shards.tolist())), pa.binary()))
+    if not left.num_rows:
+        return table
+    part = left.column("part")[0].as_py()
+    row = {c: pa.nulls(1, table.schema.field(c).type) for c in table.column_names}
+    row |= {"shard": pa.array([part % buckets], pa.int32()), "part": pa.array([part], pa.int32()), "found": pa.array([pack_found(f, copy)], pa.binary())}
+    return pa.concat_tables([table, pa.table(row)])
+
+
 def ambiguous(strings: list[bytes], lead: list[int], among: list[int], p: Params) -> list[int]:
     """Those of ``among`` that may have a string in common with another one.
 
@@ -447,6 +494,11 @@ def shard_answers(table: pa.Table, p: Params) -> pa.Table:
     enough surrounding of its piece in common with another needs no sorting: all its
     strings have the stretch's owner.
     """
+    shard, back = table.column("shard")[0].as_py(), table.filter(table.column("found").is_valid())
+    table = table.filter(table.column("found").is_null())
+    none = [None] * back.num_rows
+    if not table.num_rows:
+        return pa.table({"part": back.column("part"), "shard": pa.array(none, pa.int32()), "answer": pa.array(none, pa.binary()), "found": back.column("found")})
     sent = [unpack(x).split(b"\xff") for x in table.column("stretches").to_pylist()]
     ids = [np.frombuffer(unpack(x), dtype="<i8").astype(np.int64) for x in table.column("owners").to_pylist()]
     names: dict[bytes, int] = {}
@@ -470,35 +522,45 @@ def shard_answers(table: pa.Table, p: Params) -> pa.Table:
         own = [runs[i] for i in w]
         sizes = np.array([r[0] for r in own], dtype=np.uint8).tobytes()
         out.append(pack(sizes + b"".join(r[1] for r in own) + b"".join(r[2] for r in own)))
-    shard = table.column("shard")[0].as_py()
-    return pa.table({"part": table.column("part"), "shard": pa.array([shard] * len(out), pa.int32()), "answer": pa.array(out, pa.binary())})
+    return pa.table({
+        "part": pa.array(table.column("part").to_pylist() + back.column("part").to_pylist(), pa.int32()), "shard": pa.array([shard] * len(out) + none, pa.int32()),
+        "answer": pa.array([*out, *none], pa.binary()), "found": pa.array([None] * len(out) + back.column("found").to_pylist(), pa.binary()),
+    })
 
 
-def removed(left: pa.Table, right: pa.Table, buckets: int, p: Params) -> tuple[np.ndarray, list[bytes], list[list[tuple[int, int]]]]:
-    """A part's ids and texts, and the runs of bytes that go from each."""
-    keys, texts, copy, f = part_stretches(left, right, buckets, p)
+def removed(left: pa.Table, right: pa.Table, p: Params) -> tuple[list[bytes], list[list[tuple[int, int]]]]:
+    """A part's texts, and the runs of bytes that go from each."""
+    keys, texts, _ = texts_of(left)
+    gone: list[list[tuple[int, int]]] = [[] for _ in texts]
+    found = [x for x in right.column("found").to_pylist() if x is not None]
+    if not found:
+        return texts, gone
+    shards, lengths, string, row, place, copies = unpack_found(found[0])
     answers = {s: a for s, a in zip(right.column("shard").to_pylist(), right.column("answer").to_pylist(), strict=True) if a is not None}
-    edges = np.append(np.flatnonzero(np.diff(f.shards, prepend=-1)), len(f.shards))
-    runs: list[list[tuple[int, int]]] = [[] for _ in f.strings]
+    edges = np.append(np.flatnonzero(np.diff(shards, prepend=-1)), len(shards))
+    # runs of all strings one after another: the first string of each and its smallest owner
+    none = np.zeros(0, np.int64)
+    sizes, firsts, owners = [none], [none], [none]
     for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-        data, n = unpack(answers[int(f.shards[lo])]), int(hi - lo)
-        sizes = np.frombuffer(data, dtype=np.uint8, count=n).astype(np.int64)
-        total = int(sizes.sum())
-        first = np.frombuffer(data, dtype=np.uint8, count=total, offset=n).tolist()
-        owner = np.frombuffer(data, dtype="<i8", count=total, offset=n + total).tolist()
-        at = 0
-        for i, size in zip(range(lo, hi), sizes.tolist(), strict=True):
-            runs[i] = list(zip(first[at : at + size], owner[at : at + size], strict=True))
-            at += size
-    out: list[list[tuple[int, int]]] = [[] for _ in texts]
-    for i, row, place in zip(f.string.tolist(), f.row.tolist(), f.place.tolist(), strict=True):
-        own, key = runs[i], int(keys[row])
-        last = len(f.strings[i]) - p.length + 1
-        for k, (first, owner) in enumerate(own):
-            if owner < key:
-                end = own[k + 1][0] if k + 1 < len(own) else last
-                out[row].append((place + first, place + end - 1 + p.length))
-    return keys, texts, [[(0, len(t))] if c else merged(r) for t, c, r in zip(texts, copy, out, strict=True)]
+        data, n = unpack(answers[int(shards[lo])]), int(hi - lo)
+        sizes.append(np.frombuffer(data, dtype=np.uint8, count=n).astype(np.int64))
+        total = int(sizes[-1].sum())
+        firsts.append(np.frombuffer(data, dtype=np.uint8, count=total, offset=n).astype(np.int64))
+        owners.append(np.frombuffer(data, dtype="<i8", count=total, offset=n + total))
+    size, first, owner = np.concatenate(sizes), np.concatenate(firsts), np.concatenate(owners)
+    start = np.cumsum(size) - size
+    # a run ends where the next one of its string begins, or at the string's last place
+    end = np.append(first[1:], 0)
+    end[start + size - 1] = lengths - p.length + 1
+    of = np.repeat(np.arange(len(string)), size[string])
+    run = np.arange(len(of)) + np.repeat(start[string] - (np.cumsum(size[string]) - size[string]), size[string])
+    goes = np.flatnonzero(owner[run] < keys[row[of]])
+    of, run = of[goes], run[goes]
+    for i, lo, hi in zip(row[of].tolist(), (place[of] + first[run]).tolist(), (place[of] + end[run] - 1 + p.length).tolist(), strict=True):
+        gone[i].append((lo, hi))
+    for i in copies.tolist():
+        gone[i] = [(0, len(texts[i]))]
+    return texts, [merged(r) for r in gone]
 
 
 def smallest_owners(strings: list[bytes], owners: np.ndarray, p: Params) -> list[np.ndarray]:
@@ -556,7 +618,7 @@ def cleaned(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_
     parts = F.lit(max(1, -(-total // p.part_bytes)))
     copies = written(digests.join(firsts, "mark").where("key > first").select(F.pmod("at", parts).cast("int").alias("part"), "key", "mark"), "suffix-copies")
 
-    mail = "part int, shared binary, hot binary, strings binary, key bigint, mark string, shard int, answer binary"
+    mail = "part int, shared binary, hot binary, strings binary, key bigint, mark string, shard int"
     empty = {f.split()[0]: F.lit(None).cast(f.split()[1]) for f in mail.split(", ")}
 
     def message(df: DataFrame) -> DataFrame:
@@ -570,12 +632,12 @@ def cleaned(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_
     again = asked.groupBy("bucket").applyInArrow(string_answers, "part int, shard int, strings binary")
     shared = message(told).unionByName(message(again)).unionByName(message(copies))
     sent = texts.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(
-        lambda a, b: lean(stretch_messages(a, b, buckets, p)), "shard int, part int, stretches binary, pieces binary, leads binary, owners binary"
+        lambda a, b: lean(sent_messages(a, b, buckets, p)), "shard int, part int, stretches binary, pieces binary, leads binary, owners binary, found binary"
     )
-    answers = message(sent.groupBy("shard").applyInArrow(lambda t: lean(shard_answers(t, p)), "part int, shard int, answer binary"))
+    answers = sent.groupBy("shard").applyInArrow(lambda t: lean(shard_answers(t, p)), "part int, shard int, answer binary, found binary")
 
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
-        keys, own, runs = removed(left, right, buckets, p)
+        own, runs = removed(left, right, p)
         kept = []
         for t, r in zip(own, runs, strict=True):
             at, rest = 0, []
@@ -591,7 +653,7 @@ def cleaned(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_
             **{f"c{i}": left.column(f"c{i}") for i in range(len(carried))},
         }))
 
-    got = texts.groupBy("part").cogroup(shared.unionByName(answers).groupBy("part")).applyInArrow(
+    got = texts.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
         apply,
         ", ".join(
             ["key bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary, spans array<bigint>"]
