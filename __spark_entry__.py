@@ -21,7 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 import oracle_model as om  # noqa: E402
-from strata.operators import gold, joins, layout, silver, skipping  # noqa: E402
+from strata.operators import gold, increments, joins, layout, silver, skipping  # noqa: E402
 from strata.plans.medallion import MIDDLE_TS, SNAPSHOT_NOW, run_for  # noqa: E402
 from strata.sources import bronze, retail  # noqa: E402
 
@@ -157,6 +157,14 @@ def q_gold_monthly_sales(spark, sf_dir):
     return gold.ordered(gold.monthly_sales(_p(spark, sf_dir).fact()), "agg_monthly_sales")
 
 
+def q_gold_revenue_by_state_incremental(spark, sf_dir):
+    return _p(spark, sf_dir).state_revenue().mart()
+
+
+def q_gold_monthly_from_daily_bitmaps(spark, sf_dir):
+    return increments.monthly_from_daily(*_p(spark, sf_dir).daily_sets())
+
+
 def _mart(name):
     def q(spark, sf_dir):
         return gold.ordered(_p(spark, sf_dir).gold_table(name), name)
@@ -220,6 +228,14 @@ def q_skew_heavy_keys(spark, sf_dir):
     return joins.heavy_keys(p.fact(), "customer_id", p.config.heavy_key_threshold, "order_count")
 
 
+HOT_SHARE = 1000
+
+
+def q_skew_frequent_keys(spark, sf_dir):
+    """Customers with more than 1 / ``HOT_SHARE`` of all lines, found in bounded memory."""
+    return joins.frequent_keys(_p(spark, sf_dir).fact(), "customer_id", HOT_SHARE, "order_count")
+
+
 # -- layout ---------------------------------------------------------------------------------
 
 PRUNE_DATE = "2000-12-31"
@@ -234,6 +250,14 @@ def q_partition_pruned_count(spark, sf_dir):
     return layout.count_by(fp.filter(layout.date_partition_filter("sales_date", "=", PRUNE_DATE)), "product_id")
 
 
+def q_dynamic_pruned_months(spark, sf_dir):
+    """Sales of the fourth quarters, pruned by the filtered calendar that they are joined with."""
+    fact = _p(spark, sf_dir).partitioned_fact()
+    months = layout.calendar(fact, "sales_date").filter(F.col("quarter") == 4)
+    return layout.join_months(fact, months).groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("sales_count"), F.sum("line_total").cast("double").alias("revenue"))
+
+
 def q_sales_limit(spark, sf_dir):
     return present(_p(spark, sf_dir).fact().orderBy("sales_id").limit(10000))
 
@@ -244,7 +268,9 @@ def q_fact_sales_partitioned(spark, sf_dir):
 
 def q_layout_partition_counts(spark, sf_dir):
     out = None
-    for name, df in layout.layouts(_p(spark, sf_dir).fact(), "customer_id").items():
+    fact = _p(spark, sf_dir).fact()
+    tasks = layout.tasks_for(fact, _p(spark, sf_dir).config.target_file_bytes)
+    for name, df in layout.layouts(fact, "customer_id", tasks=tasks).items():
         prof = layout.partition_profile(df, name)
         out = prof if out is None else out.unionByName(prof)
     return out
@@ -378,6 +404,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_daily_sales": q_gold_daily_sales,
         "gold_monthly_sales": q_gold_monthly_sales,
         "gold_sales_enriched": q_gold_sales_enriched,
+        "gold_revenue_by_state_incremental": q_gold_revenue_by_state_incremental,
+        "gold_monthly_from_daily_bitmaps": q_gold_monthly_from_daily_bitmaps,
         "join_fact_customer_auto": q_join_fact_customer_auto,
         "join_fact_customer_broadcast": q_join_fact_customer_broadcast,
         "join_salted": q_join_salted,
@@ -386,6 +414,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "join_light_keys_anti": q_join_light_keys_anti,
         "skew_top_keys": q_skew_top_keys,
         "skew_heavy_keys": q_skew_heavy_keys,
+        "skew_frequent_keys": q_skew_frequent_keys,
+        "dynamic_pruned_months": q_dynamic_pruned_months,
         "product_sales_count": q_product_sales_count,
         "partition_pruned_count": q_partition_pruned_count,
         "sales_limit": q_sales_limit,
@@ -583,6 +613,15 @@ ORDER BY order_count DESC, customer_id LIMIT 20""")
     sql["skew_heavy_keys"] = om.with_(om.GOLD_CTES, f"""
 SELECT customer_id, COUNT(*) AS order_count FROM fact_sales GROUP BY customer_id
 HAVING COUNT(*) > {se_config().heavy_key_threshold}""")
+    sql["gold_revenue_by_state_incremental"] = sql["gold_revenue_by_state"]
+    sql["gold_monthly_from_daily_bitmaps"] = sql["gold_monthly_sales"]
+    sql["skew_frequent_keys"] = om.with_(om.GOLD_CTES, f"""
+SELECT customer_id, COUNT(*) AS order_count FROM fact_sales WHERE customer_id IS NOT NULL GROUP BY customer_id
+HAVING COUNT(*) * {HOT_SHARE} > (SELECT COUNT(customer_id) FROM fact_sales)""")
+    sql["dynamic_pruned_months"] = om.with_(om.GOLD_CTES, """
+SELECT CAST(year(sales_date) AS INTEGER) AS year, CAST(month(sales_date) AS INTEGER) AS month, COUNT(*) AS sales_count,
+       CAST(SUM(line_total) AS DOUBLE) AS revenue
+FROM fact_sales WHERE quarter(sales_date) = 4 GROUP BY 1, 2""")
     sql["product_sales_count"] = om.with_(
         om.GOLD_CTES, "SELECT product_id, COUNT(*) AS sales_count FROM fact_sales GROUP BY product_id")
     sql["partition_pruned_count"] = om.with_(om.GOLD_CTES, f"""

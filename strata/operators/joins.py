@@ -6,8 +6,13 @@ All variants return exactly the rows of the plain inner equi-join.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.session import shared_dir
 
@@ -67,6 +72,63 @@ def hot_keys(fact: DataFrame, key: str, threshold: int, most: int = 10_000) -> D
     return checkpointed(heavy_keys(fact.filter(F.col(key).isNotNull()), key, least).select(key))
 
 
+def summary(keys: pa.Array, counters: dict, size: int) -> dict:
+    """A Misra-Gries summary with a batch of keys taken in: at most ``size`` counters.
+
+    Equal keys are counted first; then the ``size + 1``-th greatest counter is taken off
+    all, and those left without go. A counter is below its key's rows by at most
+    rows / (size + 1), and summaries can be merged by adding them up.
+    """
+    for item in pc.value_counts(keys.drop_null()).to_pylist():
+        counters[item["values"]] = counters.get(item["values"], 0) + item["counts"]
+    if len(counters) > size:
+        less = sorted(counters.values(), reverse=True)[size]
+        counters = {k: n - less for k, n in counters.items() if n > less}
+    return counters
+
+
+def frequent_candidates(fact: DataFrame, key: str, most: int) -> DataFrame:
+    """Keys that may have more than 1 / ``most`` of all rows, none of them missing.
+
+    Every task keeps a summary of ``2 * most`` counters over its rows and sends these only;
+    the counters of all tasks are summed, and what stays below half of the share
+    cannot have the whole share. So memory and shuffle follow tasks and ``most``, not the
+    number of keys, and fewer than ``2 * most`` keys are returned.
+    """
+    size = 2 * most
+    field = fact.schema[key]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters: dict = {}
+        rows, kind = 0, None
+        for batch in batches:
+            column = batch.column(0)
+            kind = column.type
+            rows += len(column) - column.null_count
+            counters = summary(column, counters, size)
+        if kind is not None:
+            out = [pa.array([*counters, None], kind), pa.array([*counters.values(), rows], pa.int64())]
+            yield pa.RecordBatch.from_arrays(out, names=[key, "n"])
+
+    # a row without a key has the number of rows that the task has seen
+    sent = fact.select(key).mapInArrow(run, T.StructType([T.StructField(key, field.dataType), T.StructField("n", T.LongType())]))
+    sums = checkpointed(sent.groupBy(key).agg(F.sum("n").alias("n")))
+    total = sums.filter(F.col(key).isNull()).select("n").first()
+    return sums.filter(F.col(key).isNotNull() & (F.col("n") * (2 * most) > F.lit(total[0] if total else 0))).select(key)
+
+
+def frequent_keys(fact: DataFrame, key: str, most: int, name: str = "row_count") -> DataFrame:
+    """Keys with more than 1 / ``most`` of the rows (null keys aside) and their exact row counts.
+
+    A pass for the candidates (:func:`frequent_candidates`), and one that counts only these:
+    they are fewer than ``2 * most`` by construction, so they are broadcast.
+    """
+    candidates = checkpointed(frequent_candidates(fact, key, most))
+    total = fact.filter(F.col(key).isNotNull()).count()
+    counted = key_counts(fact.select(key).join(F.broadcast(candidates), key, "left_semi"), key, name)
+    return counted.filter(F.col(name) * most > total)
+
+
 def salt_of(row_id: str, buckets: int):
     """Deterministic salt in [0, buckets): hash of a row id, so a retried task
     salts every row the same way (``rand()`` would not)."""

@@ -75,6 +75,26 @@ def date_partition_filter(date_col: str, op: str, value, value2=None) -> Column:
     raise ValueError(f"unsupported operator {op}")
 
 
+def calendar(fact: DataFrame, date_col: str) -> DataFrame:
+    """One row for each month folder of a partitioned table: year, month, quarter, first day.
+
+    It is read from the folders' names (a distinct over partition columns only), not from rows.
+    """
+    first = F.make_date("year", "month", F.lit(1))
+    return fact.select("year", "month").distinct().filter(F.col("month").isNotNull()).select(
+        "year", "month", F.quarter(first).alias("quarter"), first.alias("month_start"), (F.month(first) == 12).alias("year_end"))
+
+
+def join_months(fact: DataFrame, months: DataFrame) -> DataFrame:
+    """``fact`` (partitioned by year and month) in the months of a filtered calendar.
+
+    An equi-join on the partition columns: the planner turns the filtered calendar into a
+    ``dynamicpruningexpression`` of the fact's scan, so folders of other months are not read,
+    although no predicate on the fact names a month.
+    """
+    return fact.join(months.select("year", "month", "quarter"), ["year", "month"])
+
+
 def count_by(df: DataFrame, key: str, name: str = "sales_count") -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
@@ -88,19 +108,22 @@ def partition_profile(df: DataFrame, layout: str) -> DataFrame:
         F.lit(layout).alias("layout"), "partitions", "rows")
 
 
-def layouts(df: DataFrame, key: str, n: int = 20, n_key: int = 10, n_small: int = 4) -> dict[str, DataFrame]:
+def layouts(df: DataFrame, key: str, n: int = 20, n_key: int = 10, n_small: int = 4, tasks: int = 1) -> dict[str, DataFrame]:
     """Round-robin to ``n``, hash on ``key`` to ``n_key``, coalesce ``n`` down to ``n_small``,
     and the 'coalesce cannot grow' case (``n`` to ``2n`` stays ``n``).
 
-    The defaults are the reference's demo counts; on a large table pick them from
-    the data size (:func:`tasks_for`), since each is a full shuffle.
+    ``n`` and the others are least counts, named in the result; ``tasks`` is what the data's
+    size asks for (:func:`tasks_for`), and no layout has fewer tasks than that. Hashing
+    goes by key and a row hash within as many salts as a task's share asks for.
     """
-    rr = df.repartition(n)
+    rr = df.repartition(max(n, tasks))
+    by_key = df.repartition(n_key, key) if tasks <= n_key else df.repartition(
+        tasks, key, F.pmod(F.xxhash64(*df.columns), F.lit(-(-tasks // n_key))))
     return {
         f"repartition_{n}": rr,
-        f"repartition_{n_key}_by_{key}": df.repartition(n_key, key),
-        f"coalesce_{n_small}_from_{n}": rr.coalesce(n_small),
-        f"coalesce_{2 * n}_from_{n}": rr.coalesce(2 * n),
+        f"repartition_{n_key}_by_{key}": by_key,
+        f"coalesce_{n_small}_from_{n}": rr.coalesce(max(n_small, tasks)),
+        f"coalesce_{2 * n}_from_{n}": rr.coalesce(2 * max(n, tasks)),
     }
 
 

@@ -244,6 +244,27 @@ class SnapshotTable:
                 since = only_files(since, files)
         return self.rows_of_chain(since.join(keys.select(self.key), self.key, "left_semi").select(*since.columns), base == v)
 
+    def current_with(self, values: DataFrame, column: str, log: list[Row] | None = None, version: int | None = None) -> DataFrame:
+        """The rows of the current version (or of ``version``) whose ``column`` is in ``values``.
+
+        Another column than the key: what a key has in older versions of the chain may be out
+        of date, so the keys that ever had one of the values are looked up. The range of
+        the values is pushed down to the scan.
+        """
+        if column == self.key:
+            return self.current_of_keys(values, log, version)
+        log = log or self.log()
+        v = log[-1]["version"] if version is None else version
+        base = self._base(log, v)
+        if base == v or not self.key:
+            rows = self.as_of_version(v, log)
+            return rows.join(values.select(column), column, "left_semi").select(*rows.columns)
+        low, high = values.agg(F.min(column), F.max(column)).first()
+        since = self.spark.table(self.data).filter(F.col("_version").between(base, v) & F.col(column).between(F.lit(low), F.lit(high)))
+        keys = since.join(values.select(column), column, "left_semi").select(self.key).distinct()
+        rows = self.current_of_keys(keys, log, v)
+        return rows.join(values.select(column), column, "left_semi").select(*rows.columns)
+
     def version_at(self, timestamp) -> int:
         """Latest version committed at or before ``timestamp``; error before the first one."""
         t = _ts(timestamp)

@@ -20,7 +20,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.config import Config
-from strata.operators import gold, layout, schema, silver
+from strata.operators import gold, increments, layout, schema, silver
+from strata.operators.increments import StateRevenue
 from strata.operators.skipping import FileIndex
 from strata.operators.snapshots import SnapshotTable
 from strata.sources import bronze, retail
@@ -241,6 +242,35 @@ class MedallionRun:
             st.vacuum(self.config.retention_hours, SNAPSHOT_NOW)
         return st
 
+    # -- marts kept up to date ----------------------------------------------------
+    @_stage
+    def state_revenue(self) -> StateRevenue:
+        """Revenue by state after a first load and two increments of three entities."""
+        st = StateRevenue(self.wh, "state_revenue", self.buckets())
+        if self._fresh("state_revenue"):
+            tag, entities = "_mart", ("orders", "order_items", "customers")
+            tables = {e: self.silver_versions(e, tag) for e in entities}
+            for t in (self.control(tag), *tables.values(), st):
+                t.drop()
+            for ts, extract in ((MIDDLE_TS, MIDDLE_TS), (self.config.incremental_ts, None)):
+                first = self.control(tag).latest_version() is None
+                self.increment(ts, entities, tag, extract_ts=extract)
+                if first:
+                    st.build(*(t.as_of_version(0) for t in tables.values()), self.config.initial_ts)
+                changes = [self.wh.table("silver", f"{e}_changes{tag}") for e in entities]
+                st.refresh(*tables.values(), *changes, ts)
+        return st
+
+    @_stage
+    def daily_sets(self) -> tuple[DataFrame, DataFrame]:
+        """The days' sums and the exact sets of their orders and customers."""
+        self.gold()
+        if self._fresh("daily_sets"):
+            totals = self.gold_table("order_totals")
+            self.wh.save(increments.daily_sums(totals), "gold", "daily_sums")
+            self.wh.save(increments.daily_bitmaps(totals), "gold", "daily_bitmaps")
+        return self.wh.table("gold", "daily_sums"), self.wh.table("gold", "daily_bitmaps")
+
     # -- files that a read can skip ---------------------------------------------
     @_stage
     def indexed_orders(self) -> SnapshotTable:
