@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import runs
-from strata.llm.bpe import byte_letters
+from strata.llm.bpe import byte_letters, vocabulary
 from strata.llm.common import enter, kept, trim, written
 
 #: UTF-8 bytes of texts handled at once
@@ -47,15 +47,6 @@ SCHEMA = ("batch bigint, ord int, doc_id {}, n_a bigint, n_b bigint, n_groups bi
 _COLUMNS = [c.split(" ")[0] for c in SCHEMA.split(", ")]
 
 
-def vocabulary(name: str) -> str:
-    """Place of a tokenizer file on this machine: a path, or the name of a public one."""
-    if os.path.isabs(name):
-        return name
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 class Aligner:
     """Tokens, groups and links of fragments."""
 

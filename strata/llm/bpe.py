@@ -55,7 +55,7 @@ class Codec:
     """Encoder and decoder of one tokenizer file with word ends and byte letters."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
+        with open(vocabulary(path), encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
         self.suffix = model["end_of_word_suffix"]
@@ -269,12 +269,23 @@ class _WordTable(dict):
         return out
 
 
-#: where the vocabulary files of public tokenizers are, on every executor
-TOKENIZERS = os.environ.get("STRATA_TOKENIZERS", "/opt/tokenizers")
+def vocabulary(name: str) -> str:
+    """Place of a tokenizer file on this machine: a path, or the name of a public one,
+    which the package of the public files looks up on each executor."""
+    if os.path.isabs(name):
+        return name
+    import public_tokenizers
 
+    return public_tokenizers.path(name)
 
-def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
-    return f"{TOKENIZERS}/{name}"
+
+#: the tokenizer that the queries use, by name; each executor looks it up
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_file(name: str = TOKENIZER) -> str:
+    """Where a tokenizer file is on this machine."""
+    return vocabulary(name)
 
 
 _CODECS: dict[str, Codec] = kept({})

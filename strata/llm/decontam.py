@@ -143,6 +143,52 @@ def _passages(h: Halves, sums: np.ndarray, part: slice = slice(None)) -> np.ndar
     return sums[first] + sums[second] * (second > first)[:, None]
 
 
+class Overlap:
+    """How many of an item's words a passage's surroundings can hold, at most.
+
+    Words of the vocabulary are bits; a passage's surroundings are the halves that its
+    longest check can reach (and more), so what falls short of an item here cannot have
+    a common subsequence of the needed length.
+    """
+
+    def __init__(self, items: Items, p: Params):
+        size = len(items.vocabulary)
+        self.reach = -(-max(map(len, items.words)) // (p.passage // 2))
+        self.width, self.spare = 2 * self.reach + 2, -(-size // 8) % 8 and 8 - -(-size // 8) % 8
+        own = np.zeros((len(items.words), size), dtype=bool)
+        for row, words in zip(own, items.words, strict=True):
+            row[np.searchsorted(items.vocabulary, words)] = True
+        self.items = self._packed(own)
+        # a word that an item has twice may be there twice
+        self.need = np.array([p.with_answer * len(w) - (len(w) - len(c)) for w, c in zip(items.words, items.counts, strict=True)])
+
+    def _packed(self, bits: np.ndarray) -> np.ndarray:
+        return np.pad(np.packbits(bits, axis=1), ((0, 0), (0, self.spare))).view(np.uint64)
+
+    def around(self, h: Halves, size: int) -> np.ndarray:
+        """Bits of the words around each half."""
+        rows, packed = h.half + self.reach, []
+        for lo in range(0, h.count + self.width, 4096):  # a very long text has many halves
+            there = np.zeros((min(4096, h.count + self.width - lo), size), dtype=bool)
+            begin, end = np.searchsorted(rows, (lo, lo + 4096))
+            there[rows[begin:end] - lo, h.numbers[begin:end]] = True
+            packed.append(self._packed(there))
+        out, have = np.concatenate(packed), 1
+        while have < self.width:
+            step = min(have, self.width - have)
+            out = out[: len(out) - step] | out[step:]
+            have += step
+        return out
+
+    def enough(self, around: np.ndarray, halves_: np.ndarray, items: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(items), dtype=bool)
+        for lo in range(0, len(items), 20_000):
+            part = slice(lo, lo + 20_000)
+            common = np.bitwise_count(around[halves_[part]] & self.items[items[part]]).sum(axis=1)
+            out[part] = common >= self.need[items[part]]
+        return out
+
+
 def _parts(batch: pa.RecordBatch, size: int = 200_000) -> Iterator[tuple[int, list[str]]]:
     """Runs of texts of about ``size`` characters (a longer text is on its own): first row, texts."""
     texts = [t or "" for t in batch.column(1).to_pylist()]
@@ -291,18 +337,23 @@ def search(docs: DataFrame, benchmark: DataFrame, p: Params = Params(), id_col:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             enter("decontam")
             own, project, targets = shared.value
-            longest = max(map(len, own.words))
+            longest, overlap = max(map(len, own.words)), Overlap(own, p)
             for batch in batches:
                 for first, texts in _parts(batch):
                     best: dict[tuple[int, int], tuple] = {}
                     h = halves(texts, own, p)
-                    sums = _half_sums(h, project)
+                    sums, around = _half_sums(h, project), None
                     for lo in range(0, len(h.first), 4096):
                         part = slice(lo, lo + 4096)
                         y = _passages(h, sums, part)
                         norm = np.linalg.norm(y, axis=1, keepdims=True)
                         cosine = (y / np.where(norm > 0, norm, 1)) @ targets.T
                         rows, found = np.nonzero(cosine >= p.cosine)
+                        if len(rows) and around is None:
+                            around = overlap.around(h, len(own.vocabulary))
+                        if len(rows):
+                            few = overlap.enough(around, h.first[lo + rows], found)
+                            rows, found = rows[few], found[few]
                         seen, region = -1, set()
                         for i, item in zip(rows.tolist(), found.tolist(), strict=True):
                             text, words = int(h.text[lo + i]), own.words[item]

@@ -51,7 +51,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.round_trip_digests(table(spark, sf_dir, "documents"), bpe.tokenizer_file())
+    return bpe.round_trip_digests(table(spark, sf_dir, "documents"), bpe.TOKENIZER)
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,14 +4,15 @@ A k-mer of code points is a closed syncmer if the least hash among its inner s-m
 that of its first or last s-mer: the choice depends on the k-mer alone, so an edit
 elsewhere moves no anchor. The fingerprint deals a text's distinct anchors into bins by
 their hash and keeps the least of each bin with its place, so it is of bounded size for
-any text. Two fingerprints are compared bin by bin: an anchor counts as common if both
-have it at about the same place. The share of common bins estimates the Jaccard
-likeness of the anchor sets, among anchors that kept their place.
+any text. Two fingerprints are compared bin by bin: an anchor is common if both have
+it, and counts for the likeness if it is in line with the others, wherever in the text
+they all stand. The share of such bins estimates the Jaccard likeness of the anchor sets.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,7 +32,7 @@ class Params:
     s: int = 6
     #: bins of a fingerprint, at most 256
     bins: int = 128
-    #: places of a common anchor may differ by this share of the longer text, and by this many code points
+    #: shifts of common anchors may differ by this share of the longer text, or by this many code points, without a look at their order
     drift: float = 0.125
     least_drift: int = 64
 
@@ -112,13 +113,36 @@ def prints(texts: list[str], p: Params) -> Prints:
     return Prints(np.where(place < 0, 0, best & np.uint64(0xFFFFFFFF)).astype(np.uint32), place, np.array(list(map(len, texts)), dtype=np.int64))
 
 
+def in_line(a: np.ndarray, b: np.ndarray) -> int:
+    """The most anchors, given by their places in two texts, that come in one order in both."""
+    tails: list[int] = []  # the least last place in ``b`` of a chain of each length
+    for place in b[np.lexsort((b, a))].tolist():
+        at = bisect_right(tails, place)
+        tails[at : at + 1] = [place]
+    return len(tails)
+
+
 def likeness(a: Prints, b: Prints, p: Params) -> np.ndarray:
-    """Share of common bins among those that either has; 1 for two empty texts."""
+    """Share of common bins in line, less those out of line, among those that either has; 1 for two empty texts.
+
+    A bin is common if both texts have its anchor. If the shifts of a pair's common anchors
+    (place in ``b`` less place in ``a``) lie within one drift of each other, all are in line;
+    else those in line are the most that come in one order in both. So a passage in front
+    or inside, or a cut beginning, costs only the anchors that it holds or hides, and
+    anchors that have changed places count against the others.
+    """
     used_a, used_b = a.places >= 0, b.places >= 0
-    room = np.maximum(p.least_drift, p.drift * np.maximum(a.chars, b.chars))[:, None]
-    same = used_a & used_b & (a.hashes == b.hashes) & (np.abs(a.places - b.places) <= room)
+    room = np.maximum(p.least_drift, p.drift * np.maximum(a.chars, b.chars))
+    same = used_a & used_b & (a.hashes == b.hashes)
     used = (used_a | used_b).sum(axis=1)
-    return np.where(used > 0, same.sum(axis=1) / np.maximum(used, 1), 1.0)
+    common = same.sum(axis=1)
+    shift = b.places - a.places
+    big = np.iinfo(np.int64).max >> 2
+    spread = np.where(same, shift, -big).max(axis=1) - np.where(same, shift, big).min(axis=1)
+    agreed = common.copy()
+    for i in np.flatnonzero((common > 1) & (spread > room)):
+        agreed[i] = in_line(a.places[i][same[i]], b.places[i][same[i]])
+    return np.where(used > 0, np.maximum(0, 2 * agreed - common) / np.maximum(used, 1), 1.0)
 
 
 def _rows(p: Prints, index: np.ndarray | slice) -> Prints:
@@ -151,15 +175,17 @@ def in_order(docs: DataFrame, id_col: str, text_col: str, rows_per_chunk: int =
 
     Every chunk also has, as a guest, the first document of the next one (the last
     chunk: that of the first), so each document's follower is in its own task. Chunk
-    borders are ids: quantiles of the id column, one number a chunk on the driver.
+    borders are ids: quantiles of the id column, one number a chunk on the driver, and
+    at most four chunks for each of the session's shuffle partitions. Ids are integers.
     Null ids come last; rows of equal ids are ordered by their texts.
     """
     spark = docs.sparkSession
     keys = docs.select(docs[id_col].alias("key"))
     n = keys.count()
-    chunks = max(1, -(-n // rows_per_chunk))
+    # a chunk is streamed, so it may be long: there are at most a few for each task
+    chunks = max(1, min(-(-n // rows_per_chunk), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
     probs = [i / chunks for i in range(1, chunks)]
-    found = sorted({int(x) for x in keys.where("key IS NOT NULL").approxQuantile("key", probs, 0.1 / chunks)}) if probs else []
+    found = sorted({int(x) for x in keys.where("key IS NOT NULL").approxQuantile("key", probs, 0.25 / chunks)}) if probs else []
     cuts = np.array(found, dtype=np.int64)
     last = len(cuts)
 

@@ -249,6 +249,10 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
     return out if with_payload else out.drop("payload")
 
 
+#: bytes of a cell of an archive, for finding the cuts of records that cross splits
+CELL = 1 << 20
+
+
 def _assembled(spark: SparkSession, path: str, blocks: DataFrame, parts: DataFrame, with_payload: bool) -> DataFrame:
     """Payloads of the records in ``parts`` from all the cuts between their ends."""
     text = spark.read.option("lineSep", MAGIC.decode()).text(path)
@@ -266,7 +270,11 @@ def _assembled(spark: SparkSession, path: str, blocks: DataFrame, parts: DataFra
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spots, pa.int64())], names=["file", "block", "cut", "spot"])
 
     spots = source.mapInArrow(place, "file string, block bigint, cut binary, spot bigint").join(small(blocks.select("file", "block", "base")), ["file", "block"])
-    inside = spots.withColumn("spot", F.col("base") + F.col("spot")).join(small(parts), "file").where("spot >= start AND spot < succ")
+    # a part is looked for in the cells of the file that it spans, and a cut stands in one of them
+    cell = lambda c: F.floor(F.col(c) / CELL)
+    spanned = parts.withColumn("cell", F.explode(F.sequence(cell("start"), F.floor((F.col("succ") - 1) / CELL))))
+    spots = spots.withColumn("spot", F.col("base") + F.col("spot")).withColumn("cell", cell("spot"))
+    inside = spots.join(small(spanned), ["file", "cell"]).where("spot >= start AND spot < succ")
 
     def put_together(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("spot")

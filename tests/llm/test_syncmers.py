@@ -90,3 +90,32 @@ def test_one_row_and_none(spark):
     assert [r["near_next"] for r in one] == [1.0]
     assert syncmers.compare_neighbours(cases.nothing(spark)).collect() == []
     assert syncmers.fingerprints(cases.documents(spark)).count() == len(cases.rows())
+
+
+def brute_likeness(x, y, p):
+    """Bins in line less those out of line; the longest chain by comparing all pairs."""
+    a, b = syncmers.prints([x], p), syncmers.prints([y], p)
+    used = ((a.places >= 0) | (b.places >= 0)).sum()
+    pairs = sorted((int(o), int(q)) for g, h, o, q in zip(a.hashes[0], b.hashes[0], a.places[0], b.places[0]) if g == h and o >= 0 and q >= 0)
+    shifts = [q - o for o, q in pairs]
+    best: list[int] = []
+    for i, (_, q) in enumerate(pairs):
+        best.append(1 + max((best[j] for j in range(i) if pairs[j][1] <= q), default=0))
+    close = not shifts or max(shifts) - min(shifts) <= max(p.least_drift, p.drift * max(len(x), len(y)))
+    agreed = len(pairs) if close else max(best)
+    return max(0, 2 * agreed - len(pairs)) / used if used else 1.0
+
+
+def test_shifted_copies_are_alike():
+    p = syncmers.Params()
+    text = cases.prose(31, 160)[:1000]
+    front = cases.prose(32, 60)[:200]
+    pairs = [(text, front + text), (front + text, text), (text, text[250:]), (text, text), (text, cases.prose(33, 160)), ("", ""), ("", text), (text, text[:400] + front + text[400:]),
+             (text * 3, cases.prose(34, 900) + text * 3), (text, text[500:] + text[:500]), (text, text[800:] + text[:800])]
+    got = [float(syncmers.likeness(syncmers.prints([x], p), syncmers.prints([y], p), p)[0]) for x, y in pairs]
+    assert got == [brute_likeness(x, y, p) for x, y in pairs]
+    assert got[0] >= 0.7 and got[1] >= 0.7 and got[2] >= 0.6 and got[3] == 1 and got[4] <= 0.05 and got[5] == 1 and got[6] == 0 and got[7] >= 0.7
+    assert got[9] < 0.2 < 0.4 < got[10] < 0.8  # changed places
+    # many pairs at once give the same as one by one
+    a, b = syncmers.prints([x for x, _ in pairs], p), syncmers.prints([y for _, y in pairs], p)
+    assert syncmers.likeness(a, b, p).tolist() == got
