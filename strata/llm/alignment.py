@@ -141,8 +141,9 @@ class Aligner:
         na, a = _flat([ids_a[i] for i in at])
         nb, b = _flat([ids_b[i] for i in at])
         ends_a, ends_b = np.cumsum(self.lens_a[a]), np.cumsum(self.lens_b[b])
-        both = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        seams = np.union1d(ends_a, ends_b)  # a stretch between two seams is one link
+        every = np.sort(np.concatenate((ends_a, ends_b)), kind="stable")
+        again = every[1:] == every[:-1]
+        both, seams = every[1:][again], every[np.concatenate(([True], ~again))]  # a stretch between two seams is one link
         links = self.key(a[np.searchsorted(ends_a, seams)], b[np.searchsorted(ends_b, seams)]).tobytes()
         ends = np.cumsum([len(parts[i]) for i in at])
         link_ends, group_ends = np.searchsorted(seams, ends, "right").tolist(), np.searchsorted(both, ends, "right").tolist()

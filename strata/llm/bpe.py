@@ -299,27 +299,30 @@ def codec(path: str) -> Codec:
     return _CODECS[path]
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
     """(id, ids, n_tokens): the token ids of every whole text.
 
     A null text counts as empty: no ids. Rows with equal or null ids are encoded each
-    on its own; other columns are not read, so their names do not matter.
+    on its own; other columns are not read, so their names do not matter. With ``decoded``
+    the ids are decoded again, as ``decode_documents`` does, and the SHA-256 of the text
+    that they stand for comes along (decoded_sha256).
     """
     source = docs.select(docs[id_col].alias("key"), docs[text_col].alias("text"))
+    names = [id_col, "ids", "n_tokens", *(["decoded_sha256"] if decoded else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(tokenizer)
         for batch in batches:
             for part in slices(batch):
                 ids = [coder.encode(t or "").astype(np.int32) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64())],
-                    names=[id_col, "ids", "n_tokens"],
-                )
+                columns = [part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64())]
+                if decoded:
+                    columns.append(pa.array([hashlib.sha256(coder.decode(x.astype(np.int64)).encode()).hexdigest() for x in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
         trim()
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return source.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, n_tokens bigint")
+    return source.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, n_tokens bigint" + (", decoded_sha256 string" if decoded else ""))
 
 
 def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:

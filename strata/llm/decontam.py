@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import enter, pieces, trim, word_hashes
+from strata.llm.common import distinct, enter, pieces, trim, word_hashes
 
 
 @dataclass(frozen=True)
@@ -259,7 +259,7 @@ def latent_space(source: DataFrame, items: Items, p: Params) -> tuple[np.ndarray
         if not len(h.numbers):
             return
         # a passage counts once for a word: the words of its halves, less what both have
-        cells = np.unique(h.half * size + h.numbers)
+        cells = distinct(h.half * size + h.numbers)
         half, number = cells // size, cells % size
         two = h.second > h.first
         in_passages = np.bincount(h.first, minlength=h.count) + np.bincount(h.second[two], minlength=h.count)

@@ -598,13 +598,14 @@ def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def cleaned(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+def cleaned(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, kept binary, spans, ...) of every document.
 
     A null text counts as empty. Texts shorter than ``length`` bytes keep everything, as
     does a document with a null id, and of several rows with one id none removes
     from another. An empty table gives no rows; other columns are not read. ``spans``
     has the removed runs, ``kept`` the remaining bytes; columns in ``carry`` come along.
+    With ``as_text``, ``kept`` is text: what is left of a character that lost bytes is dropped.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     carried = [docs.schema[c] for c in carry]
@@ -649,14 +650,14 @@ def cleaned(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_
             "key": left.column("key"), "n_bytes": pa.array([len(t) for t in own], pa.int64()),
             "n_removed": pa.array([len(t) - len(k) for t, k in zip(own, kept, strict=True)], pa.int64()),
             "n_spans": pa.array([len(r) for r in runs], pa.int64()), "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
-            "kept": pa.array(kept, pa.binary()), "spans": pa.array([[x for y in r for x in y] for r in runs], pa.list_(pa.int64())),
+            "kept": pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary()), "spans": pa.array([[x for y in r for x in y] for r in runs], pa.list_(pa.int64())),
             **{f"c{i}": left.column(f"c{i}") for i in range(len(carried))},
         }))
 
     got = texts.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
         apply,
         ", ".join(
-            ["key bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary, spans array<bigint>"]
+            [f"key bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept {'string' if as_text else 'binary'}, spans array<bigint>"]
             + [f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(carried)]
         ),
     )

@@ -67,3 +67,13 @@ def test_documents(spark, library, clash):
 
 def test_no_rows(spark):
     assert bpe.round_trip_digests(cases.nothing(spark), bpe.tokenizer_file()).collect() == []
+
+
+def test_encoding_with_the_decoded_digest(spark):
+    docs = cases.documents(spark)
+    plain = bpe.encode_documents(docs, bpe.TOKENIZER)
+    both = bpe.encode_documents(docs, bpe.TOKENIZER, decoded=True)
+    texts = bpe.decode_documents(plain, bpe.TOKENIZER)
+    want = sorted((str(r.doc_id), hashlib.sha256(r.text.encode()).hexdigest()) for r in texts.collect())
+    assert sorted((str(r.doc_id), r.decoded_sha256) for r in both.collect()) == want
+    assert sorted(map(str, both.drop("decoded_sha256").collect())) == sorted(map(str, plain.collect()))

@@ -133,3 +133,9 @@ def test_induced_order_and_common_prefixes(memory):
 def test_whole_characters(spark):
     df = spark.createDataFrame([(bytearray("aé".encode()[:-1]),), (bytearray(b""),)], "b binary")
     assert [r["t"] for r in suffixdedup.whole_characters(df, "b", "t").collect()] == ["a", ""]
+
+
+def test_kept_as_text_equals_the_kept_bytes(spark):
+    docs = cases.documents(spark)
+    own = suffixdedup.whole_characters(suffixdedup.cleaned(docs), "kept", "kept").collect()
+    assert sorted(map(str, own)) == sorted(str(r) for r in suffixdedup.cleaned(docs, as_text=True).collect())
