@@ -61,8 +61,8 @@ def long_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """
     ship(spark)
     rest = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    cleaned = suffixdedup.cleaned(docs, carry=rest)
-    whole = suffixdedup.whole_characters(cleaned, "kept", "text").withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    cleaned = suffixdedup.cleaned(docs, carry=rest, as_text=True)
+    whole = cleaned.withColumn("text", F.col("kept")).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return whole.where("n_bytes = 0 OR length(trim(text)) > 0").select(*docs.columns)
 
 
@@ -74,9 +74,10 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, ids, n_tokens) of every document that is left."""
+    """(doc_id, ids, n_tokens, decoded_sha256) of every document that is left: its token
+    ids, decoded again to the text whose digest comes along."""
     ship(spark)
-    return bpe.encode_documents(docs, bpe.tokenizer_file())
+    return bpe.encode_documents(docs, bpe.TOKENIZER, decoded=True)
 
 
 STAGES = [
