@@ -1,12 +1,20 @@
 """Toxicity by compression distance (operator 2).
 
-Two zstandard dictionaries are trained on labelled text, one on ordinary text and one
-on toxic text, and each window of 32 words is compressed with both. The toxic
-dictionary holds the ordinary one's segments too (toxic documents are mostly ordinary
-prose), so a window is shorter under it only where it says what toxic documents say
-and ordinary ones do not. Words are written as fixed codes of 6 bytes (the word, and
-two beginnings of it, which join inflected forms); a match is then a whole word or
-beginning, and lengths do not depend on chance matches of letters.
+Two zstandard dictionaries are made from labelled text, one from ordinary text and one
+from toxic text, and each window of 32 words is compressed with both. The ordinary one
+is trained by zstandard on windows of ordinary documents, with the most frequent words
+after it. The toxic one has the passages of toxic documents as they stand, less what
+ordinary documents say as well, and then all of the ordinary one: toxic documents are
+mostly ordinary prose, so a window is shorter under it only where it says what toxic
+documents say and ordinary ones do not, be it a word or a sequence. Words are written as
+fixed codes of 6 bytes (the word, and two beginnings of it, which join inflected forms);
+a match is then a whole word or beginning, and lengths do not depend on chance matches
+of letters.
+
+What toxic documents say more is told by a likelihood ratio of document counts, which
+holds for a few dozen labels as well as for thousands. With fewer than
+``least_documents`` toxic documents there is nothing to tell: no window has a gain, and
+all documents get the score of the labels' share.
 
 A document's features are the gains of its windows; a logistic curve fitted on the
 labelled sample turns them into the probability of the label, so the threshold on the
@@ -15,13 +23,14 @@ score is calibrated.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import pieces, word_hashes, written
@@ -37,10 +46,17 @@ class Params:
     beginnings: tuple[int, ...] = (4, 5)
     #: segments of the ordinary dictionary, the most frequent ones
     ordinary_segments: int = 3000
-    #: a toxic segment: rate in toxic documents against ordinary ones, log-odds and its z
+    #: what toxic documents say more: log-odds of their rate against that of ordinary ones,
+    #: the root of the likelihood ratio, and toxic documents
     log_odds: float = 2.0
     z: float = 4.0
-    least_documents: int = 5
+    least_documents: int = 3
+    #: windows of ordinary documents that the trainer sees, and bytes that it makes of them
+    ordinary_windows: int = 8000
+    trained_bytes: int = 18_000
+    #: bytes of toxic passages, and documents that may bring the same word
+    toxic_bytes: int = 64_800
+    word_copies: int = 8
     threshold: float = 0.3
 
 
@@ -72,6 +88,15 @@ def compressor(segments: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(compression_params=settings, dict_data=trained)
 
 
+def trained(windows: list[bytes], params: Params) -> bytes:
+    """A dictionary that zstandard makes of what recurs in the windows; too few for it are taken as they are."""
+    width = CODE * (1 + len(params.beginnings))
+    try:
+        return zstandard.train_dictionary(params.trained_bytes, windows, k=width, d=CODE).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(windows)[: params.trained_bytes // width * width]
+
+
 @dataclass
 class Model:
     ordinary: bytes
@@ -129,7 +154,8 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Model:
     The sample of labels is bounded (``rows_per_class``, on average) and chosen by hash
     of the id; only it is sent to the scan of the texts, so no text but the sample's
     moves. Of equal texts one row is taken, so a copied document is not counted as many.
-    The driver gets the codes that pass the frequency bound and a few numbers a sample row.
+    The driver gets the codes that pass the bounds, ``ordinary_windows`` windows, toxic
+    passages up to ``toxic_bytes`` and a few numbers a sample row.
     """
     spark = docs.sparkSession
     rows = labels.where("label IN (0, 1) AND id IS NOT NULL")
@@ -164,19 +190,55 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Model:
     def segments(part: DataFrame) -> tuple[bytes, bytes]:
         sizes = {r["label"]: r["n"] for r in part.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
         toxic_docs, plain_docs = sizes.get(1, 0), sizes.get(0, 0)
+        rate = (F.col("a") + F.col("b")) / float(max(1, toxic_docs + plain_docs))
+
+        def part_of_ratio(seen: Column, expected: Column) -> Column:
+            return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(F.lit(0.0))
+
+        ratio = part_of_ratio(F.col("a"), rate * toxic_docs) + part_of_ratio(toxic_docs - F.col("a"), (1 - rate) * toxic_docs)
+        ratio += part_of_ratio(F.col("b"), rate * plain_docs) + part_of_ratio(plain_docs - F.col("b"), (1 - rate) * plain_docs)
         table = (
             part.select("text", "label").mapInArrow(document_codes, "code bigint, label int, n bigint")
             .groupBy("code")
             .agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("b"))
             .withColumn("odds", F.log((F.col("a") + 0.5) / (toxic_docs - F.col("a") + 0.5)) - F.log((F.col("b") + 0.5) / (plain_docs - F.col("b") + 0.5)))
-            .withColumn("z", F.col("odds") / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5)))
+            .withColumn("z", F.sqrt(F.greatest(2 * ratio, F.lit(0.0))))
             .withColumn("toxic", (F.col("a") >= params.least_documents) & (F.col("odds") >= params.log_odds) & (F.col("z") >= params.z))
         )
-        toxic = [r["code"] for r in table.where("toxic").orderBy(F.desc("z"), "code").limit(params.ordinary_segments).collect()]
+        telling = [r["code"] for r in table.where("toxic").orderBy(F.desc("z"), "code").limit(params.ordinary_segments).collect()]
         plain = [r["code"] for r in table.where("NOT toxic AND b > 1").orderBy(F.desc("b"), "code").limit(params.ordinary_segments).collect()]
-        own_bytes = lambda x: as_bytes(np.array(x[::-1], dtype=np.int64).view(np.uint64))
-        ordinary = own_bytes(plain)
-        return ordinary, own_bytes(toxic) + ordinary
+        known = spark.sparkContext.broadcast(np.sort(np.array(telling, dtype=np.int64).view(np.uint64)))
+
+        def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Windows of ordinary documents, and passages of toxic ones, with what only these say taken out or alone."""
+            for batch in batches:
+                d = batch.to_pydict()
+                code, at = codes(d["text"], own)
+                says = np.isin(code, known.value).any(axis=1) if len(code) else np.zeros(0, bool)
+                out = []
+                for label, lo, hi in zip(d["label"], at[:-1], at[1:], strict=True):
+                    rows = code[lo:hi][says[lo:hi] == bool(label)]
+                    step = params.window if not label else max(1, len(rows))
+                    out += [(label, as_bytes(rows[k : k + step])) for k in range(0, len(rows), step)]
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], names=["label", "passage"])
+
+        found = part.select("text", "label").mapInArrow(passages, "label int, passage binary").distinct().withColumn("place", F.xxhash64("passage"))
+        ordinary = trained([bytes(r["passage"]) for r in found.where("label = 0").orderBy("place", "passage").limit(params.ordinary_windows).collect()], params)
+        ordinary += as_bytes(np.array(plain[::-1], dtype=np.int64).view(np.uint64))
+        toxic: list[bytes] = []
+        times: Counter = Counter()
+        left = params.toxic_bytes
+        for r in found.where("label = 1").orderBy("place", "passage").toLocalIterator():
+            passage = bytes(r["passage"])
+            words = {passage[k : k + CODE] for k in range(0, len(passage), CODE * (1 + len(own)))}
+            if all(times[w] >= params.word_copies for w in words):
+                continue  # its words are there
+            toxic.append(passage[:left])
+            times.update(words)
+            left -= len(toxic[-1])
+            if left <= 0:
+                break
+        return ordinary, b"".join(toxic) + ordinary
 
     def measured(part: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
         shared = spark.sparkContext.broadcast(model)

@@ -109,3 +109,33 @@ def test_remainder_is_crc32_of_the_id_as_text(spark):
 
     got = {r["doc_id"]: r["m"] for r in spark.range(50).select(F.col("id").alias("doc_id")).select("doc_id", queries.remainder("doc_id", 3).alias("m")).collect()}
     assert got == {i: zlib.crc32(str(i).encode()) % 3 for i in range(50)}
+
+
+@pytest.mark.parametrize(("sf", "recall"), [("0.01", 0.5)])
+def test_held_out_toxic_documents_with_few_labels(spark, sf, recall):
+    """37 toxic documents to learn from: most of the others are found, and no more than one in ten found is wrong."""
+    from strata.llm.queries import op2_toxicity
+    folder = f"/root/testdata/sf{sf}"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    rows = op2_toxicity(spark, folder).join(labels, "doc_id").where("held_out").select("toxic", "predicted").collect()
+    hits = sum(r.toxic and r.predicted for r in rows)
+    assert hits > recall * sum(r.toxic for r in rows) and hits >= 0.9 * sum(r.predicted for r in rows)
+
+
+def test_toxic_passages_match_as_sequences():
+    """A passage of the dictionary is one match; its words one by one are several."""
+    p = toxicity.Params()
+    passage = toxicity.as_bytes(toxicity.codes(["alpha beta gamma delta epsilon zeta eta theta"], p.beginnings)[0])
+    with_it = toxicity.compressor(passage)
+    mixed = toxicity.as_bytes(toxicity.codes(["theta eta zeta epsilon delta gamma beta alpha"], p.beginnings)[0])
+    assert len(with_it.compress(passage)) < len(with_it.compress(mixed)) < len(mixed)
+    assert toxicity.trained([], p) == b"" and toxicity.trained([passage], p)
+
+
+def test_no_toxic_label_gives_no_gain(spark):
+    docs = spark.createDataFrame([(i, cases.prose(i, 40)) for i in range(30)], "id bigint, text string")
+    labels = spark.createDataFrame([(i, 0) for i in range(30)], "id bigint, label int")
+    model = toxicity.fit(docs, labels)
+    assert model.toxic == model.ordinary
+    out = toxicity.score(docs, model, "id").collect()
+    assert len({r.score for r in out}) == 1 and not any(r.predicted for r in out)
