@@ -21,8 +21,8 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 import oracle_model as om  # noqa: E402
-from strata.operators import gold, increments, joins, layout, silver, skipping  # noqa: E402
-from strata.plans.medallion import MIDDLE_TS, SNAPSHOT_NOW, run_for  # noqa: E402
+from strata.operators import gold, increments, joins, layout, schema, silver, skipping  # noqa: E402
+from strata.plans.medallion import GONE, LATE, LOST, MIDDLE_TS, SNAPSHOT_NOW, run_for  # noqa: E402
 from strata.sources import bronze, retail  # noqa: E402
 
 try:  # the corpus operators are an optional part
@@ -347,6 +347,37 @@ def q_snapshot_after_expiry_merged(spark, sf_dir):
 
 # -- files that a read can skip -----------------------------------------------------------
 
+def q_snapshot_changes(spark, sf_dir):
+    """What the increment did to the orders: version 0 against version 1."""
+    p = _p(spark, sf_dir)
+    p.incremental()
+    return p.silver_versions("orders").changes(0, 1)
+
+
+def q_silver_reconcile_orders(spark, sf_dir):
+    return _p(spark, sf_dir).reconciled_orders()
+
+
+def q_clustered_sales(spark, sf_dir):
+    return present(_p(spark, sf_dir).clustered_sales().rows())
+
+
+def q_sales_sample_by_state(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    sales = p.fact().join(p.gold_table("dim_customers").select("customer_id", "state"), "customer_id").select("state", "sales_id", "order_id", "quantity")
+    return joins.sample_by_group(sales, "state", "sales_id", 5)
+
+
+def q_schema_profile(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    out = None
+    for table in ("fact_sales", "dim_customers", "dim_products"):
+        df = p.gold_table(table)
+        rows = schema.profile(df.select([c for c in df.columns if not c.startswith("record_")]), table)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 POINT = {"customer_id": 7}
 
 
@@ -432,6 +463,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "snapshot_expiry_dry_run": q_snapshot_expiry_dry_run,
         "snapshot_after_expiry": q_snapshot_after_expiry,
         "snapshot_after_expiry_merged": q_snapshot_after_expiry_merged,
+        "snapshot_changes": q_snapshot_changes,
+        "silver_reconcile_orders": q_silver_reconcile_orders,
+        "clustered_sales": q_clustered_sales,
+        "sales_sample_by_state": q_sales_sample_by_state,
+        "schema_profile": q_schema_profile,
         "silver_merge_bloom_orders": q_silver_merge_bloom_orders,
         "zorder_point_lookup": q_zorder_point_lookup,
         "schema_checked_append": q_schema_checked_append,
@@ -442,6 +478,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # ---------------------------------------------------------------------------------------
 # DuckDB oracle
 
+_STAMPS = [("created_at", "timestamp_ntz"), ("updated_at", "timestamp_ntz")]
+# the declared columns of the gold tables
+PROFILED = {
+    "fact_sales": [("sales_id", "bigint"), ("order_id", "bigint"), ("customer_id", "bigint"), ("product_id", "bigint"), ("sales_date", "date"),
+                   ("quantity", "int"), ("unit_price", "decimal(12,2)"), ("line_total", "decimal(23,2)"), ("order_total", "decimal(14,2)"),
+                   ("order_status", "string"), *_STAMPS],
+    "dim_customers": [("customer_id", "bigint"), ("customer_name", "string"), ("city", "string"), ("state", "string"), ("signup_date", "date"), *_STAMPS],
+    "dim_products": [("product_id", "bigint"), ("product_name", "string"), ("category", "string"), ("price", "decimal(12,2)"), *_STAMPS],
+}
+
 def _raw(entity: str, cols: list[str], file_name: str) -> str:
     sel = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in cols)
     return (f"SELECT {sel}, {om.RUN_TS} AS ingestion_timestamp, '{file_name}' AS source_file_name "
@@ -673,6 +719,25 @@ FROM ({superseded}) h WHERE superseded_at IS NULL OR NOT ({due})""")
 SELECT CAST(version AS BIGINT) AS version, COUNT(*) AS num_rows
 FROM s_products, (VALUES (2, DATE '1997-12-31'), (3, DATE '1998-12-31'), (4, DATE '1999-12-31'), (5, DATE '1999-12-31')) v(version, day)
 WHERE created_at <= day GROUP BY version""")
+    changed = ",".join(c for c in _COLS["orders"] if c not in ("order_id", "created_at"))
+    sql["snapshot_changes"] = om.with_(om.ENTITY_CTES, f"""
+SELECT order_id, CASE WHEN created_at > {om.INITIAL_TS} THEN 'inserted' ELSE 'updated' END AS change,
+       CASE WHEN created_at <= {om.INITIAL_TS} THEN '{changed}' END AS changed_columns
+FROM s_orders WHERE created_at > {om.INITIAL_TS} OR updated_at > {om.INITIAL_TS}""")
+    sql["silver_reconcile_orders"] = om.with_(om.ENTITY_CTES, f"""
+SELECT order_id, CASE WHEN order_id % {GONE} = 0 THEN 'missing in source' WHEN order_id % {LOST} = 0 THEN 'missing in target'
+                      ELSE 'different' END AS finding
+FROM s_orders WHERE (order_id % {GONE} = 0) <> (order_id % {LOST} = 0) OR (order_id % {LATE} = 0 AND order_id % {GONE} <> 0)""")
+    sql["clustered_sales"] = om.with_(om.GOLD_CTES, f"SELECT {fact_cols} FROM fact_sales")
+    sql["sales_sample_by_state"] = om.with_(om.GOLD_CTES, """
+SELECT state, sales_id, order_id, quantity FROM fact_sales f JOIN dim_customers c ON f.customer_id = c.customer_id
+QUALIFY row_number() OVER (PARTITION BY state ORDER BY md5(CAST(sales_id AS VARCHAR)), sales_id) <= 5""")
+    prof = []
+    for table, cols in PROFILED.items():
+        for i, (c, kind) in enumerate(cols):
+            prof.append(f"SELECT '{table}' AS table_name, {i} AS position, '{c}' AS column_name, '{kind}' AS data_type, COUNT(*) AS num_rows, "
+                        f"COUNT(*) - COUNT({c}) AS nulls, CAST(MIN({c}) AS VARCHAR) AS min_value, CAST(MAX({c}) AS VARCHAR) AS max_value FROM {table}")
+    sql["schema_profile"] = om.with_(om.GOLD_CTES, " UNION ALL ".join(prof))
     sql["silver_merge_bloom_orders"] = sql["silver_orders_merge"]
     point = " AND ".join(f"{c} = {v}" for c, v in POINT.items())
     sql["zorder_point_lookup"] = om.with_(om.GOLD_CTES, f"SELECT {fact_cols} FROM fact_sales WHERE {point}")

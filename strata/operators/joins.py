@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -196,3 +196,18 @@ def light_rows(fact: DataFrame, key: str, heavy: DataFrame, max_bytes: int, row_
         return fact.join(F.broadcast(keys), key, "left_anti")
     salted = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     return fact.withColumn("_salt", salt_of(row_id, buckets)).join(salted, [key, "_salt"], "left_anti").drop("_salt")
+
+
+def sample_by_group(df: DataFrame, group: str, row_id: str, k: int, parts: int = 64) -> DataFrame:
+    """``k`` rows of each group: those with the least MD5 of their id (a bottom-k sample).
+
+    The sample is the same at every run and every partitioning, and samples of parts of the
+    data can be merged by taking the least again. First each of ``parts`` slices of a group
+    finds its own ``k`` least, then the group's are picked from these, so no task holds a
+    group and nothing is sorted as a whole. Null groups are a group.
+    """
+    keyed = df.withColumn("_h", F.md5(F.col(row_id).cast("string"))).withColumn("_part", F.pmod(F.xxhash64(row_id), F.lit(parts)))
+    order = [F.col("_h").asc(), F.col(row_id).asc()]
+    for by in ([group, "_part"], [group]):
+        keyed = keyed.withColumn("_rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("_rank") <= k)
+    return keyed.drop("_h", "_part", "_rank")

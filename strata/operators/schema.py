@@ -17,6 +17,22 @@ def schema_listing(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "position int, column_name string, data_type string, nullable boolean")
 
 
+def profile(df: DataFrame, table: str) -> DataFrame:
+    """(table_name, position, column_name, data_type, num_rows, nulls, min_value, max_value) of every column.
+
+    The schema listing with what is in the columns: one aggregate over the table, whose tasks
+    send one row each, and its only row turned into one a column. Values are shown as text.
+    """
+    fields = df.schema.fields
+    sums = [F.count(F.lit(1)).alias("num_rows")]
+    for i, f in enumerate(fields):
+        sums += [F.count_if(F.col(f.name).isNull()).alias(f"n{i}"), F.min(f.name).cast("string").alias(f"a{i}"), F.max(f.name).cast("string").alias(f"z{i}")]
+    rows = [F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+                     F.col(f"n{i}").alias("nulls"), F.col(f"a{i}").alias("min_value"), F.col(f"z{i}").alias("max_value")) for i, f in enumerate(fields)]
+    return df.agg(*sums).select("num_rows", F.explode(F.array(*rows)).alias("c")).select(
+        F.lit(table).alias("table_name"), "c.position", "c.column_name", "c.data_type", "num_rows", "c.nulls", "c.min_value", "c.max_value")
+
+
 def check_append(target: T.StructType, incoming: T.StructType) -> list[str]:
     """Problems that block an append: unknown columns and type changes (names are case-insensitive).
     Columns missing from ``incoming`` are fine: they are filled with NULL."""

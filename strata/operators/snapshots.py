@@ -277,6 +277,29 @@ class SnapshotTable:
     def as_of_timestamp(self, timestamp) -> DataFrame:
         return self.as_of_version(self.version_at(timestamp))
 
+    # -- differences ----------------------------------------------------------
+    def changes(self, old: int, new: int) -> DataFrame:
+        """(key, change, changed_columns) of the rows that are not the same in two versions.
+
+        ``change`` is inserted, deleted or updated; ``changed_columns`` names, in the table's
+        order, the columns whose values differ (audit columns aside), null unless updated.
+        Both versions are read by bucket, so nothing is shuffled on a table bucketed on its
+        key. Rows with a null key have no counterpart: those of the newer version count as
+        inserted, those of the older one as deleted. A key is expected once a version.
+        """
+        if not self.key:
+            raise ValueError(f"{self.data} has no key to tell rows by")
+        log = self.log()
+        a, b = self.as_of_version(old, log), self.as_of_version(new, log)
+        rest = [c for c in b.columns if c != self.key and not c.startswith("record_")]
+        left = a.select(self.key, F.struct(*rest).alias("_old"), F.lit(True).alias("_in_old"))
+        right = b.select(F.col(self.key).alias("_key"), F.struct(*rest).alias("_new"), F.lit(True).alias("_in_new"))
+        both = left.join(right, F.col(self.key) == F.col("_key"), "full_outer")
+        differ = F.array_compact(F.array(*[F.when(~F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")), F.lit(c)) for c in rest]))
+        change = F.when(F.col("_in_old").isNull(), "inserted").when(F.col("_in_new").isNull(), "deleted").when(F.size(differ) > 0, "updated")
+        told = both.select(F.coalesce(F.col(self.key), F.col("_key")).alias(self.key), change.alias("change"), differ.alias("changed_columns"))
+        return told.filter("change IS NOT NULL").withColumn("changed_columns", F.when(F.col("change") == "updated", F.array_join("changed_columns", ",")))
+
     # -- retention ------------------------------------------------------------
     def expired(self, retain_hours: int, now) -> DataFrame:
         """Versions a retention of ``retain_hours`` would remove (dry run).
