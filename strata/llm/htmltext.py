@@ -38,6 +38,8 @@ class Params:
     #: inside an article: least pages, and least share of the host's pages
     article_pages: int = 5
     article_share: float = 0.5
+    #: a page without an article that would keep less than this share of its words is a copy of others
+    copy_left: float = 0.2
     #: repeated runs that are sent to every task (16 bytes each); more are joined instead
     broadcast_rows: int = 2_000_000
 
@@ -53,20 +55,31 @@ _BLOCKS = set(
 _VOID = set("area base br col embed frame hr img input link meta param source track wbr".split())
 _INLINE_DROPPED = {"img", "input", "wbr"}
 _MARKED = set(
-    "ad ads advert advertisement advertising adverts sponsor sponsored promo promotion promoted banner nav navbar navigation menu "
+    "ad ads advert advertisement advertising adverts sponsor sponsored promo promoted banner nav navbar navigation menu "
     "masthead header footer sidebar aside rail cookie cookies consent gdpr notice notices alert popup modal overlay newsletter "
     "subscribe subscription signup login share sharing social comment comments reply replies respond disqus discussion related "
     "recommended recommendations breadcrumb breadcrumbs pagination pager toolbar widget widgets copyright skip search "
     "contentinfo complementary".split()
 )
-_NOT_AFTER = {"no", "has", "with", "without", "hide", "is"}
+#: words that may stand beside them in a name of such a part; any other word makes it a name of something else
+_BESIDE = set(
+    "area article articles bar block body bottom box btn button buttons card center col column container content count desktop "
+    "element first fixed form global group holder icon icons id info inline inner item items large last layer left link links "
+    "list main mobile module more outer page panel parts popular post posts primary region responsive right row secondary "
+    "section sections site slot small sticky story stories strip tag text theme thread title tool tools top unit wide window "
+    "wrap wrapper you".split()
+)
 
-_ATTRS = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
+# Attributes as browsers read them: a value without quotes ends at a blank or ``>``, quotes
+# elsewhere are letters like others. A tag that never ends takes the rest of the page. All
+# repeats are possessive, so a page is read once whatever is in it.
+_ATTRS = r"(?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^\s>]*+)|[\"'=])*+"
 _TAG = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<(?P<raw>{_RAW})\b{_ATTRS}>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>{_ATTRS})>|<[!?/][^>]*>",
+    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>{_RAW})\b{_ATTRS}(?:>|\Z).*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>{_ATTRS})(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)",
     re.S | re.I,
 )
-_NAMES = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_NAMES = re.compile(r"(?<![\w-])(class|id|role|itemprop|hidden|aria-hidden|style)(?![\w-])\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _HOST = re.compile(r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/@?#]*@)?([^/:?#]+)")
 
@@ -104,19 +117,29 @@ def _marks(name: str, attrs: str, in_article: bool) -> tuple[bool, bool, bool]:
                 article |= value == "article"
                 main |= value == "main"
             elif key in ("class", "id", "role") and low not in ("html", "body", "main"):
-                words = [w.lower() for w in _PARTS.findall(value)]
-                for i, w in enumerate(words):
-                    if w in _MARKED and not (i and words[i - 1] in _NOT_AFTER) and not (w == "header" and in_article):
-                        dropped = True
+                for token in value.split():
+                    words = [w.lower() for w in _PARTS.findall(token)]
+                    said = [w for w in words if w in _MARKED and not (w == "header" and in_article)]
+                    dropped |= bool(said) and all(w in _MARKED or w in _BESIDE or w.isdigit() for w in words)
     return dropped, article, main
 
 
+#: elements that end where one of these begins
+_ENDED_BY = {
+    "p": {"p"}, "option": {"option"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "tr": {"tr", "td", "th", "p"},
+    "dd": {"dd", "dt", "p"}, "dt": {"dd", "dt", "p"}, "li": {"li", "p"},
+}
+
+
 def blocks_of(page: str) -> list[Block]:
     """Text blocks of a page in order: references decoded, white space in a block made one space."""
     out: list[Block] = []
     held: list[str] = []
-    stack: list[tuple[str, bool, bool, bool]] = []
-    state = (False, False, False)  # dropped, article, main
+    # open elements: name, state, block elements up to it; and by name where they stand
+    stack: list[tuple[str, tuple[bool, bool, bool], int]] = []
+    open_at: dict[str, list[int]] = {}
+    nothing = (False, False, False)  # dropped, article, main
+    state = nothing
 
     def flush() -> None:
         if held:
@@ -125,6 +148,9 @@ def blocks_of(page: str) -> list[Block]:
             if text:
                 out.append(Block(text, state[1], state[2], state[0]))
 
+    def pop() -> None:
+        open_at[stack.pop()[0]].pop()
+
     at = 0
     for m in _TAG.finditer(page):
         if m.start() > at:
@@ -141,32 +167,34 @@ def blocks_of(page: str) -> list[Block]:
         if block:
             flush()
         if m.group("close"):
-            if any(x[0] == low for x in stack):
-                if not block and any(x[0] in _BLOCKS for x in stack[_last(stack, low) :]):
+            where = open_at.get(low)
+            if where:
+                if not block and stack[-1][2] > stack[where[-1]][2]:
                     continue  # an inline end tag closes no blocks
                 flush()
-                while stack.pop()[0] != low:
-                    pass
-                state = stack[-1][1:] if stack else (False, False, False)
+                upto = where[-1]
+                while len(stack) > upto:
+                    pop()
+                state = stack[-1][1] if stack else nothing
             continue
         attrs = m.group("attrs")
         if low in _VOID or attrs.endswith("/"):
             continue
-        if block and low in ("p", "li", "dd", "dt", "td", "th", "tr", "option"):
-            # these end where the next one begins
-            mine = {"td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "tr": {"tr", "td", "th", "p"}, "dd": {"dd", "dt", "p"}, "dt": {"dd", "dt", "p"}, "li": {"li", "p"}}.get(low, {low})
+        if block and low in _ENDED_BY:
+            mine = _ENDED_BY[low]
             while stack and (stack[-1][0] in mine or stack[-1][0] not in _BLOCKS):
-                stack.pop()
-            state = stack[-1][1:] if stack else (False, False, False)
+                pop()
+            state = stack[-1][1] if stack else nothing
         elif block and stack and stack[-1][0] == "p":
-            stack.pop()
-            state = stack[-1][1:] if stack else (False, False, False)
+            pop()
+            state = stack[-1][1] if stack else nothing
         dropped, article, main = _marks(low, attrs, state[1])
         fresh = (state[0] or dropped, state[1] or article, state[2] or main)
         if fresh != state:
             flush()
         if block or fresh != state:
-            stack.append((low, *fresh))
+            open_at.setdefault(low, []).append(len(stack))
+            stack.append((low, fresh, (stack[-1][2] if stack else 0) + block))
             state = fresh
     if at < len(page):
         held.append(page[at:])
@@ -174,10 +202,6 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def _last(stack: list[tuple], name: str) -> int:
-    return max(i for i, x in enumerate(stack) if x[0] == name)
-
-
 def _host_key(host: str) -> int:
     value = 0xCBF29CE484222325
     for b in host.encode("utf-8", "surrogatepass"):
@@ -229,36 +253,56 @@ def streams(urls: list[str | None], pages: list[str | None], p: Params) -> Strea
 
 
 def main_text(s: Streams, page: int, on_pages: np.ndarray, host_pages: int, p: Params) -> str:
-    """The page's kept blocks. ``on_pages``: for each picked suffix of the page, the pages of its run."""
+    """The page's unique runs. ``on_pages``: for each picked suffix of the page, the pages of its run.
+
+    Where repeated runs cover most of a block it goes, but for long unique runs; from
+    other blocks the covered words go. A page that would be left with next to nothing is a copy
+    of others, not boilerplate: runs must then be on most of the host's pages to go.
+    """
     own = s.pages[page]
     if not own:
         return ""
     lo, hi = s.page_at[page], s.page_at[page + 1]
-    at = s.block_at[lo : hi + 1]
-    base = at[0]
+    at = s.block_at[lo : hi + 1] - s.block_at[lo]
     mine = s.owner == page
-    places = s.places[mine] - base
+    places = s.places[mine] - s.block_at[lo]
+    words = np.diff(at)
 
-    def covered(least: float) -> np.ndarray:
-        """Share of each block's words under runs that so many pages have."""
-        edge = np.zeros(int(at[-1] - base) + 1, dtype=np.int64)
+    def kept(least: float) -> np.ndarray:
+        """Words that stay when runs that so many pages have go."""
+        edge = np.zeros(int(at[-1]) + 1, dtype=np.int64)
         begins = places[on_pages >= least]
         np.add.at(edge, begins, 1)
         np.add.at(edge, begins + p.run, -1)
-        under = np.concatenate(([0], np.cumsum(np.cumsum(edge)[:-1] > 0)))
-        return (under[at[1:] - base] - under[at[:-1] - base]) / np.maximum(np.diff(at), 1)
+        stays = np.cumsum(edge)[:-1] == 0
+        if stays.all():
+            return stays
+        upto = np.concatenate(([0], np.cumsum(~stays)))
+        full = np.flatnonzero(upto[at[1:]] - upto[at[:-1]] >= p.covered * np.maximum(words, 1))
+        for b in full:
+            # the ends of a run can be missed: what stays of a covered block is long
+            part = stays[at[b] : at[b + 1]]
+            cuts = np.flatnonzero(np.diff(np.concatenate(([0], part.view(np.int8), [0]))))
+            for i, j in zip(cuts[::2], cuts[1::2]):
+                if j - i < 2 * p.run:
+                    part[i:j] = False
+        return stays
 
     article, main = any(b.article and not b.dropped for b in own), any(b.main and not b.dropped for b in own)
-    if article or main:
-        everywhere = covered(max(p.article_pages, p.article_share * host_pages)) >= p.covered
-        inside = np.array([(b.article if article else b.main) and not b.dropped for b in own])
-        words = np.diff(at)
-        if words[inside & everywhere].sum() > words[inside].sum() / 2:
-            everywhere[:] = False  # copies of one article, not boilerplate in many
-        keep = inside & ~everywhere
-    else:
-        keep = (covered(2) < p.covered) & np.array([not b.dropped for b in own])
-    return " ".join([b.text for b, k in zip(own, keep, strict=True) if k])
+    inside = np.array([not b.dropped and (b.article if article else b.main if main else True) for b in own])
+    wanted = np.repeat(inside, words)
+    most = max(p.article_pages, p.article_share * host_pages)
+    stays = kept(most if article or main else 2) & wanted
+    if not (article or main) and stays.sum() < p.copy_left * wanted.sum():
+        stays = kept(most) & wanted
+    if stays.sum() < (wanted.sum() / 2 if article or main else 1):
+        stays = wanted  # copies of one text, not boilerplate in many
+    out = []
+    for b, i, j in zip(own, at[:-1], at[1:], strict=True):
+        part = stays[i:j]
+        if j > i and part.any():
+            out.append(b.text if part.all() else " ".join([w for w, x in zip(b.text.split(" "), part.tolist(), strict=True) if x]))
+    return " ".join(out)
 
 
 def extract(pages: DataFrame, params: Params = Params(), id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -266,7 +310,11 @@ def extract(pages: DataFrame, params: Params = Params(), id_col: str = "page_id"
 
     A null or empty page has the text "". Pages without a host form a host of their own.
     Rows with the same id count as distinct pages and each gets its text. Whole pages
-    are read; a page's own repeats do not count, only other pages do.
+    are read, each in time that follows its length whatever its markup; a page's own
+    repeats do not count, only other pages do. Pages with one text (copies, print
+    versions) keep it. Runs of 13 words and more are always found; shorter ones, of 8 and
+    more, if one of their suffixes is picked. Other columns are not read, so their
+    names do not matter.
     """
     p = params
     spark = pages.sparkSession
