@@ -25,7 +25,7 @@ from strata.llm.common import written
 #: a run of these characters is a word
 WORD = r"[^\x20\x09-\x0D]+"
 #: documents of a range of hashes, about; and the most hex digits that one level adds
-RANGE_ROWS, LEVEL_DIGITS = 4096, 3
+RANGE_ROWS, LEVEL_DIGITS = 512, 3
 BIG = "decimal(38,0)"
 
 
