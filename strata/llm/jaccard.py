@@ -1,13 +1,16 @@
 """Jaccard join on word n-grams by a MinHash LSH forest (operator 8).
 
 Documents are sets of five-word shingles. Equal sets are one set with a weight. Each
-set has a path of MinHash values in every tree of the forest; sets below the same node
-of a tree's trie are candidates. The depth of the nodes is the longest prefix at which
-a pair at the threshold meets in some tree with the target probability: prefixes are
-shortened from the full path until that holds.
-
-No node lists its pairs. Its sets are tied to the smallest one, and the parts of the
-graph of these ties are checked exactly: the shingle sets of a part are compared block
+set has a path of MinHash values in every tree of the forest. The paths of a tree, sorted,
+are its prefix trie: sets below one node stand next to each other. Spark sorts all paths by
+range, so a crowded node is cut over tasks, and one pass compares each path with the next:
+a set's prefix is shortened from the full path to what it shares with its neighbour, but
+not below the depth at which a pair at the threshold meets in some tree with the target
+recall. Neighbours that still match are tied; so are the last path of a task and the first
+of the next.
+
+No node lists its pairs: n sets below it have n - 1 ties, and the parts of the graph of
+all ties are checked exactly: the shingle sets of a part are compared block
 by block, each pair of blocks in a task of its own, so no link inside a part is missed
 and a part of any size is dealt over many tasks. A block comparison returns the weight
 of each set's links and a spanning forest, never its pairs.
@@ -20,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import enter, fold, trim, word_hashes, written
@@ -70,13 +73,15 @@ def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
     return out
 
 
-def tree_nodes(sets: list[np.ndarray], p: Params) -> np.ndarray:
-    """(sets, trees) names of the nodes at the prefix depth of each tree; sets are not empty."""
+def tree_paths(sets: list[np.ndarray], p: Params) -> np.ndarray:
+    """(sets, trees, bytes) paths: the tree's number, then ``depth`` MinHash values of 16 bits,
+    so that byte order is the tries' order; sets are not empty."""
     random = np.random.default_rng(8)
-    depth = p.prefix
-    mult = random.integers(1, 1 << 32, p.trees * depth, dtype=np.uint32) | np.uint32(1)
-    add = random.integers(0, 1 << 32, p.trees * depth, dtype=np.uint32)
-    out = np.zeros((len(sets), p.trees), dtype=np.uint64)
+    mult = random.integers(1, 1 << 32, p.trees * p.depth, dtype=np.uint32) | np.uint32(1)
+    add = random.integers(0, 1 << 32, p.trees * p.depth, dtype=np.uint32)
+    out = np.zeros((len(sets), p.trees, 2 + 2 * p.depth), dtype=np.uint8)
+    out[:, :, 0], out[:, :, 1] = np.arange(p.trees) >> 8, np.arange(p.trees) & 255
+    values = out[:, :, 2:].reshape(len(sets), p.trees, p.depth, 2)
     i = 0
     while i < len(sets):
         j, size = i, 0
@@ -86,22 +91,77 @@ def tree_nodes(sets: list[np.ndarray], p: Params) -> np.ndarray:
         x = (np.concatenate(sets[i:j]) >> np.uint64(32)).astype(np.uint32)
         starts = np.cumsum([0, *(len(s) for s in sets[i : j - 1])])
         h = np.empty_like(x)
-        for t in range(p.trees):
-            node = np.full(j - i, t + 1, dtype=np.uint64)
-            for d in range(depth):
-                k = t * depth + d
-                np.multiply(x, mult[k], out=h)
-                h ^= h >> np.uint32(15)
-                h *= np.uint32(0x2C1B3C6D)
-                h += add[k]
-                node = fold(node * np.uint64(0x100000001B3) + np.minimum.reduceat(h, starts))
-            out[i:j, t] = node
+        for k in range(p.trees * p.depth):
+            np.multiply(x, mult[k], out=h)
+            h ^= h >> np.uint32(15)
+            h *= np.uint32(0x2C1B3C6D)
+            h += add[k]
+            # the least value is small: 16 bits of a mix of it
+            least = fold(np.minimum.reduceat(h, starts))
+            values[i:j, k // p.depth, k % p.depth, 0] = (least >> np.uint64(8)).astype(np.uint8)
+            values[i:j, k // p.depth, k % p.depth, 1] = least.astype(np.uint8)
         i = j
+    out[:, :, 2:] = values.reshape(len(sets), p.trees, 2 * p.depth)
     return out
 
 
+def shared_depth(paths: np.ndarray) -> np.ndarray:
+    """Of each path and the next: values that they share from the root on; -1 in another tree."""
+    same = paths[1:] == paths[:-1]
+    tree, pairs = same[:, :2].all(axis=1), same[:, 2:].reshape(len(same), (paths.shape[1] - 2) // 2, 2).all(axis=2)
+    return np.where(tree, np.cumprod(pairs, axis=1).sum(axis=1), -1)
+
+
+def trie_ties(members: DataFrame, p: Params) -> DataFrame:
+    """(a, b, depth): neighbours in the sorted tries whose shared prefix reaches ``p.prefix``.
+
+    ``members`` is a written table of (node, path). The driver sees nothing; the ends of the
+    sorted ranges, two rows a task, are put together in one more sort.
+    """
+    width, least = 2 + 2 * p.depth, p.prefix
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("jaccard")
+        before, ends = None, []
+        shape = ["a", "b", "depth", "path"]
+
+        def edge(node: int, path: bytes) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([node], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.array([path], pa.binary())], names=shape)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            node = batch.column(0).to_numpy()
+            column = batch.column(1)
+            raw = np.frombuffer(column.buffers()[2], dtype=np.uint8)
+            at = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset]
+            paths = raw[at : at + width * batch.num_rows].reshape(batch.num_rows, width)
+            if before is None:
+                ends.append(edge(int(node[0]), paths[0].tobytes()))
+            else:
+                node, paths = np.concatenate((before[0], node)), np.concatenate((before[1], paths))
+            depth = shared_depth(paths)
+            tied = np.flatnonzero((depth >= least) & (node[1:] != node[:-1]))
+            if len(tied):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node[tied]), pa.array(node[tied + 1]), pa.array(depth[tied].astype(np.int32)), pa.nulls(len(tied), pa.binary())], names=shape)
+            before = (node[-1:].copy(), paths[-1:].copy())
+        if before is not None:
+            yield from ends
+            yield edge(int(before[0][0]), before[1].tobytes())
+
+    dealt = members.repartitionByRange("path", "node").sortWithinPartitions("path", "node").select("node", "path")
+    found = written(dealt.mapInArrow(compare, "a bigint, b bigint, depth int, path binary"), "jaccard-ties")
+    inside = found.where("path IS NULL").select("a", "b", "depth")
+    order = Window.orderBy("path", "a")
+    seams = found.where("path IS NOT NULL").select("a", F.lead("a").over(order).alias("b"), "path", F.lead("path").over(order).alias("next"))
+    head = lambda c: F.substring(c, 1, 2 + 2 * least)
+    seams = seams.where((F.col("a") != F.col("b")) & (head("path") == head("next"))).select("a", "b", F.lit(least).alias("depth"))
+    return inside.unionByName(seams)
+
+
 def signatures(docs: DataFrame, p: Params, id_col: str, text_col: str) -> DataFrame:
-    """(key, set_a, set_b, shingles, nodes) of every document; without an id or a word the set is null."""
+    """(key, set_a, set_b, shingles, paths) of every document; without an id or a word the set is null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enter("jaccard")
@@ -115,29 +175,29 @@ def signatures(docs: DataFrame, p: Params, id_col: str, text_col: str) -> DataFr
                 if len(rest):
                     nothing = pa.nulls(len(rest), pa.int64())
                     yield pa.RecordBatch.from_arrays(
-                        [rest, nothing, nothing, pa.array([0] * len(rest), pa.int32()), pa.nulls(len(rest), pa.list_(pa.int64()))],
-                        names=["key", "set_a", "set_b", "shingles", "nodes"],
+                        [rest, nothing, nothing, pa.array([0] * len(rest), pa.int32()), pa.nulls(len(rest), pa.binary())],
+                        names=["key", "set_a", "set_b", "shingles", "paths"],
                     )
                 if not have:
                     continue
                 own = [sets[k] for k in have]
                 starts = np.cumsum([0, *(len(s) for s in own[:-1])])
                 flat = np.concatenate(own)
-                nodes = tree_nodes(own, p).view(np.int64)
+                paths = tree_paths(own, p)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0).take(pa.array(have)),
                         pa.array(fold(np.add.reduceat(flat, starts)).view(np.int64)),
                         pa.array(np.bitwise_xor.reduceat(fold(flat + np.uint64(3)), starts).view(np.int64)),
                         pa.array([len(s) for s in own], pa.int32()),
-                        pa.array(list(nodes), pa.list_(pa.int64())),
+                        pa.array([x.tobytes() for x in paths], pa.binary()),
                     ],
-                    names=["key", "set_a", "set_b", "shingles", "nodes"],
+                    names=["key", "set_a", "set_b", "shingles", "paths"],
                 )
         trim()
 
     source = docs.select(docs[id_col].cast("bigint").alias("key"), docs[text_col].alias("text"))
-    return source.mapInArrow(run, "key bigint, set_a bigint, set_b bigint, shingles int, nodes array<bigint>")
+    return source.mapInArrow(run, "key bigint, set_a bigint, set_b bigint, shingles int, paths binary")
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
@@ -209,10 +269,10 @@ def classes(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_
     )
     # one row of each set goes on: the one with its smallest key
     lead = signed.join(sets, [signed["set_a"] == sets["set_a"], signed["set_b"] == sets["set_b"], signed["key"] == sets["rep"]], "left_semi").dropDuplicates(["set_a", "set_b"])
-    members = written(lead.select(F.xxhash64("set_a", "set_b").alias("node"), F.explode("nodes").alias("trie")), "jaccard-trie")
-    hubs = members.groupBy("trie").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").select("trie", "hub")
-    ties = members.join(hubs, "trie").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    parts = components(ties)
+    width = 2 + 2 * p.depth
+    trees = F.transform(F.sequence(F.lit(0), F.lit(p.trees - 1)), lambda t: F.substring("paths", t * width + 1, F.lit(width)))
+    members = written(lead.select(F.xxhash64("set_a", "set_b").alias("node"), F.explode(trees).alias("path")), "jaccard-trie")
+    parts = components(trie_ties(members, p).select("a", "b").distinct())
 
     sizes = parts.groupBy("label").agg(F.count(F.lit(1)).alias("n")).withColumn("blocks", F.ceil(F.col("n") / p.block).cast("int"))
     named = sets.withColumn("node", F.xxhash64("set_a", "set_b"))

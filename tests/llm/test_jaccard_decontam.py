@@ -188,3 +188,52 @@ def test_frequencies_and_space(spark):
     assert np.allclose(np.linalg.norm(weights, axis=1) <= idf + 1e-4, True)
     exact = block.matrix(idf)
     assert np.allclose(found @ found.T, exact @ exact.T, atol=1e-3)
+
+
+def test_sorted_tries_tie_what_shares_a_prefix(spark):
+    """Neighbours in the sorted paths connect exactly the sets that share a prefix of some tree."""
+    p = jaccard.Params(trees=6, depth=5, recall=0.97)
+    assert 1 < p.prefix < p.depth
+    base = [cases.prose(s, 120).split() for s in range(12)]
+    texts = [" ".join(w) for w in base] + [" ".join(w[: 10 * k] + ["other"] + w[10 * k + 1 :]) for w in base for k in (1, 5)] + [" ".join(w[:60]) for w in base]
+    paths = jaccard.tree_paths(jaccard.shingle_sets(texts, p.words), p)
+    rows = [(i, bytearray(x.tobytes())) for i, own in enumerate(paths) for x in own]
+    members = spark.createDataFrame(rows, "node bigint, path binary")
+    want = {}
+    for t in range(p.trees):
+        for i, x in enumerate(paths[:, t]):
+            want.setdefault((t, x[: 2 + 2 * p.prefix].tobytes()), set()).add(i)
+
+    def classes(edges, n):
+        label = list(range(n))
+        for _ in range(n):
+            for a, b in edges:
+                label[a] = label[b] = min(label[a], label[b])
+        return label
+
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    try:
+        ties = [(r.a, r.b, r.depth) for r in jaccard.trie_ties(members, p).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert ties and all(p.prefix <= d <= p.depth for _, _, d in ties) and max(d for _, _, d in ties) > p.prefix
+    truth = [(min(g), i) for g in want.values() for i in g]
+    assert classes([(a, b) for a, b, _ in ties], len(texts)) == classes(truth, len(texts))
+    # one tie less than sets in a node, and no more
+    assert len(ties) <= sum(len(g) - 1 for g in want.values())
+
+
+def test_recall_against_brute_force():
+    """Pairs at and above the threshold that meet in the forest, of all such pairs."""
+    p = jaccard.Params()
+    r = np.random.default_rng(5)
+    meet = pairs = 0
+    for i in range(150):
+        n = 200
+        common = r.integers(0, 1 << 63, n, dtype=np.uint64)
+        extra = int(round(n * 0.125))  # 200 / 250 = 0.8
+        a, b = (np.unique(np.concatenate((common, r.integers(0, 1 << 63, extra, dtype=np.uint64)))) for _ in range(2))
+        x = jaccard.tree_paths([a, b], p)
+        pairs += 1
+        meet += bool((x[0, :, : 2 + 2 * p.prefix] == x[1, :, : 2 + 2 * p.prefix]).all(axis=1).any())
+    assert pairs == 150 and meet >= 0.99 * pairs
