@@ -62,6 +62,13 @@ def q_bronze_product_lookup(spark, sf_dir):
     return bronze.lookup(_p(spark, sf_dir).raw("products"), "product_id", 150)
 
 
+def q_bronze_quarantine(spark, sf_dir):
+    """Rows loaded and lines set apart, by reason, of an extract with broken lines."""
+    good, bad = _p(spark, sf_dir).guarded_orders()
+    rows = good.select("source_file_name", F.lit("loaded").alias("reason")).unionByName(bad.select("source_file_name", "reason"))
+    return rows.groupBy("source_file_name", "reason").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 # -- silver -------------------------------------------------------------------------
 
 def _silver_load(entity):
@@ -408,6 +415,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bronze_ingest_counts": q_bronze_ingest_counts,
         "bronze_orders": q_bronze_orders,
         "bronze_product_lookup": q_bronze_product_lookup,
+        "bronze_quarantine": q_bronze_quarantine,
         "silver_customers_load": _silver_load("customers"),
         "silver_order_items_load": _silver_load("order_items"),
         "silver_orders_load": _silver_load("orders"),
@@ -547,6 +555,11 @@ def oracle_sql() -> dict[str, str]:
         sql[f"silver_{e}_load"] = om.with_(
             om.SILVER_CTES, f"SELECT {_dbl(e)}, record_created_at, record_updated_at FROM sv_{e}")
         sql[f"silver_{e}_merge"] = _merge_sql(e)
+    short, long = retail.CUT_SHORT, retail.TOO_LONG
+    sql["bronze_quarantine"] = om.with_(om.ENTITY_CTES, f"""
+SELECT 'orders_damaged.csv' AS source_file_name, CASE WHEN order_id % {short} = 0 THEN 'too few fields'
+       WHEN order_id % {long} = 0 THEN 'too many fields' ELSE 'loaded' END AS reason, COUNT(*) AS row_count
+FROM s_orders GROUP BY ALL""")
     sql["silver_logger_init"] = om.with_(om.SILVER_CTES, " UNION ALL ".join(
         f"SELECT '{e}' AS table_name, MAX(record_created_at) AS last_run_time FROM sv_{e}"
         for e in ("customers", "products", "orders", "order_items")))

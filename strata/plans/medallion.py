@@ -246,6 +246,17 @@ class MedallionRun:
             st.vacuum(self.config.retention_hours, SNAPSHOT_NOW)
         return st
 
+    # -- damaged extracts ----------------------------------------------------------
+    @_stage
+    def guarded_orders(self) -> tuple[DataFrame, DataFrame]:
+        """Orders out of an extract with broken lines: the table and its quarantine."""
+        if self._fresh("raw_orders_guarded"):
+            orders = retail.entity(self.spark, self.sf_dir, "orders")
+            path = f"{self.wh.root}/raw_data/orders_damaged.csv"
+            retail.damaged_lines(orders, "order_id").write.mode("overwrite").text(path)
+            bronze.load_guarded(self.wh, path, "raw_orders_guarded", orders.columns, self.config.run_ts, header=False)
+        return self.wh.table("bronze", "raw_orders_guarded"), self.wh.table("bronze", "raw_orders_guarded_quarantine")
+
     # -- what the mark misses ------------------------------------------------------
     @_stage
     def reconciled_orders(self) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +28,47 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", False).csv(path)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_guarded_csv(spark: SparkSession, path: str, columns: list[str], header: bool = True) -> DataFrame:
+    """A CSV extract of known columns, all text, with the whole line in ``_corrupt_record``
+    where it has not as many fields as there are columns.
+
+    Columns are not pruned in the parser: it could not see what is wrong with a line of
+    which it reads some fields only.
+    """
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, CORRUPT)])
+    return (spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).csv(path))
+
+
+def damage(line: str | Column, columns: int) -> Column:
+    """Why a line is set apart: an open quote, or too few or too many fields."""
+    text = F.col(line) if isinstance(line, str) else line
+    quotes = F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
+    # commas outside quotes: those of the line without its quoted parts
+    bare = F.regexp_replace(text, '"[^"]*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    return F.when(quotes % 2 == 1, "open quote").when(fields < columns, "too few fields").when(fields > columns, "too many fields").otherwise("unreadable")
+
+
+def load_guarded(wh: Warehouse, path: str, table: str, columns: list[str], load_ts: str | None = None, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Load one extract; damaged lines go to ``<table>_quarantine`` and not into the table.
+
+    Returns (table, quarantine). The quarantine has (line, first_field, reason,
+    ingestion_timestamp, source_file_name), so each line can be mended and loaded again. Each side is one pass over
+    the extract that Spark deals out by its splits.
+    """
+    parsed = read_guarded_csv(wh.spark, path, columns, header)
+    good = parsed.filter(F.col(CORRUPT).isNull()).select(*columns)
+    # the parser refuses a read of this column alone, so the first field comes along
+    bad = parsed.filter(F.col(CORRUPT).isNotNull()).select(
+        F.col(CORRUPT).alias("line"), F.col(columns[0]).alias("first_field"), damage(CORRUPT, len(columns)).alias("reason"))
+    name = file_name(path)
+    return wh.save(stamp(good, name, load_ts), "bronze", table), wh.save(stamp(bad, name, load_ts), "bronze", f"{table}_quarantine")
+
+
 def file_name(path: str) -> str:
     """Last segment of the configured path (not ``_metadata.file_name``, which names part files)."""
     return path.rstrip("/").split("/")[-1]

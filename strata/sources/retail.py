@@ -125,6 +125,18 @@ def as_dirty_raw(df: DataFrame, key: str) -> DataFrame:
     return df.select(raw)
 
 
+# fixed values of the damaged extract: keys whose line is cut short, or has a field too many
+CUT_SHORT, TOO_LONG = 89, 83
+
+
+def damaged_lines(df: DataFrame, key: str) -> DataFrame:
+    """The extract as CSV lines (no header), some of them broken: two fields short or one too many."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+    whole = F.concat_ws(",", *fields)
+    return df.select(F.when(F.col(key) % CUT_SHORT == 0, F.concat_ws(",", *fields[:-2]))
+                     .when(F.col(key) % TOO_LONG == 0, F.concat(whole, F.lit(",x"))).otherwise(whole).alias("value"))
+
+
 def as_of(df: DataFrame, ts: str, key: str) -> DataFrame:
     """The extract as it looked at ``ts``: rows created by then, later updates not yet made.
 

@@ -36,3 +36,15 @@ def test_lookup_pushes_an_implied_predicate(spark, wh):
     df = bronze.lookup(spark.read.parquet(path), "product_id", 150)
     assert "StringContains(product_id,150)" in plan_text(df)
     assert sorted(r[0] for r in df.collect()) == ["0150", "150"]
+
+
+def test_broken_lines_are_set_apart(spark, wh):
+    lines = ["a,b,c", "1,x,2", "2,y", "3,z,4,5", '4,"q,r",6', '5,"q', "", "6,,"]
+    path = f"{wh.root}/raw_data/broken.csv"
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    good, bad = bronze.load_guarded(wh, path, "raw_broken", ["a", "b", "c"], "2002-01-01 00:00:00")
+    assert sorted((r.a, r.b, r.c) for r in good.collect()) == [("1", "x", "2"), ("4", "q,r", "6"), ("6", None, None)]
+    assert {(r.line, r.reason) for r in bad.collect()} == {("2,y", "too few fields"), ("3,z,4,5", "too many fields"), ('5,"q', "open quote")}
+    assert {r.source_file_name for r in bad.collect()} == {"broken.csv"} and good.columns[-2:] == ["ingestion_timestamp", "source_file_name"]
+    # a count of either side alone is right as well, although it needs no column
+    assert good.count() == 3 and bad.count() == 3
