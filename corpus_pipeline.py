@@ -3,7 +3,7 @@ in ``strata.llm``. Every stage's result is written as Parquet and read again by
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import bpe, decontam, jaccard, langid, suffixdedup
@@ -20,6 +20,14 @@ def _ids(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= BROADCAST_IDS else table
 
 
+def _apart(docs: DataFrame, *named: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with all columns but ``named`` under names that no operator uses, and the
+    columns that give ``docs`` back its own."""
+    rest = {c: f"_carried{i}" for i, c in enumerate(docs.columns) if c not in named}
+    plain = docs.select(*named, *[docs[c].alias(r) for c, r in rest.items()])
+    return plain, [F.col(rest.get(c, c)).alias(c) for c in docs.columns]
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the model knows and is sure of; a null ``lang`` is filled in.
 
@@ -31,9 +39,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.select(F.col("doc_id").alias("id"), "text", "lang"))
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    return langid.predict(docs, model, carry=True).where(
+    plain, back = _apart(docs, "doc_id", "text", "lang")
+    return langid.predict(plain, model, carry=True).where(
         (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
-    ).withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    ).withColumn("lang", F.coalesce("lang", "lang_pred")).select(*back)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +57,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     known = docs.join(_ids(keep), "doc_id", "left_semi").select(*docs.columns)
     twice = written(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "pipeline-twice")
     if twice.limit(1).count():  # texts are grouped for such ids only
-        repeated = known.join(_ids(twice), "doc_id", "left_semi").withColumn("same", F.xxhash64("text")).dropDuplicates(["doc_id", "same"])
+        repeated = known.join(_ids(twice), "doc_id", "left_semi").withColumn("_same", F.xxhash64("text")).dropDuplicates(["doc_id", "_same"])
         known = known.join(_ids(twice), "doc_id", "left_anti").select(*docs.columns).unionByName(repeated.select(*docs.columns))
     return known.unionByName(docs.where("doc_id IS NULL"))
 
@@ -60,10 +69,10 @@ def long_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     left go.
     """
     ship(spark)
-    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    cleaned = suffixdedup.cleaned(docs, carry=rest, as_text=True)
-    whole = cleaned.withColumn("text", F.col("kept")).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return whole.where("n_bytes = 0 OR length(trim(text)) > 0").select(*docs.columns)
+    plain, back = _apart(docs.drop("n_chars"), "doc_id", "text")
+    cleaned = suffixdedup.cleaned(plain, carry=tuple(plain.columns[2:]), as_text=True)
+    left = cleaned.where("n_bytes = 0 OR length(trim(kept)) > 0").drop("n_bytes").withColumnRenamed("kept", "text").select(*back)
+    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
