@@ -317,8 +317,12 @@ def search(docs: DataFrame, benchmark: DataFrame, p: Params = Params(), id_col:
     """(id, item_id, cosine, common, answer, first_word): a row for each document and item that it contains.
 
     Words are lower-case, cut at blanks and ASCII punctuation. Null and empty texts, and
-    items without words, are in no result. Repeated items are reported under each id,
-    repeated documents in each row. An empty table on either side gives no rows.
+    items without words, are in no result. Repeated items are reported under each id
+    (an item row that is there twice gives its rows twice), repeated documents in each row.
+    Whole texts are searched, very long ones too, passage by passage; of the passages of a
+    document that hold an item the one with the longest common subsequence is reported,
+    the first of equal ones. Other columns are not read, so their names do not matter.
+    An empty table on either side gives no rows.
     """
     spark = docs.sparkSession
     kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_id].dataType.simpleString()

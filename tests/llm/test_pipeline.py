@@ -63,3 +63,18 @@ def test_queries_run_on_the_given_tables(spark, name):
         assert 0 < rows.count() <= n
     elif not name.startswith(("op3_", "op12_")):  # these have rows of their own
         assert rows.count() == n
+
+
+def test_stages_keep_extra_columns_whatever_their_names(spark, tmp_path):
+    from pyspark.sql import functions as F
+    docs = cases.documents(spark, clash=True).withColumn("kept", F.lit(5)).withColumn("spans", F.lit("s")).withColumn("lang_pred", F.lit("q")).withColumn("same", F.lit(1)).withColumn("class_id", F.lit("c"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, cases.prose(700, 30))], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    plain = cases.documents(spark)
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs, plain = (corpus_pipeline.written(stage(spark, x, str(tmp_path)), f"clash-{name}") for x in (docs, plain))
+        assert sorted(map(str, docs.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
+        rest = {str(r) for r in docs.select([c for c in docs.columns if c not in plain.columns]).collect()}
+        assert len(rest) == 1 and "score='s'" in rest.pop() and docs.columns[:5] == plain.columns
+    assert {f.name: f.dataType.simpleString() for f in docs.schema}["score"] == "string"
