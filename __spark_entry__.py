@@ -346,7 +346,7 @@ def q_snapshot_after_expiry_merged(spark, sf_dir):
     """Rows of every version that can still be read after retention, each read through its chain."""
     st = _p(spark, sf_dir).retained_merges()
     out = None
-    for v in sorted(r["version"] for r in st.versions().select("version").collect()):
+    for v in st.readable():
         n = st.as_of_version(v).agg(F.lit(v).cast("long").alias("version"), F.count(F.lit(1)).alias("num_rows"))
         out = n if out is None else out.unionByName(n)
     return out

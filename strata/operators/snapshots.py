@@ -204,12 +204,20 @@ class SnapshotTable:
         retention has removed, is an error (an empty frame would read as 'no rows')."""
         log = log or self.log()
         base = self._base(log, v)
-        # an empty version has no folder, nor has a merge that changed nothing
-        empty = base is not None and next(r["num_rows"] for r in log if r["version"] == base) == 0
-        if base is None or not (empty or base in self._partition_versions()):
+        if not self._there(log, base, self._partition_versions()):
             raise VersionNotFound(f"{self.data} has no version {v} (unknown, or removed by retention)")
         return self.rows_of_chain(self.spark.table(self.data).filter(F.col("_version").between(base, v)), base == v)
 
+    @staticmethod
+    def _there(log: list[Row], base: int | None, folders: set[int]) -> bool:
+        """Whether a chain's full version can be read: an empty one has no folder."""
+        return base is not None and (base in folders or next(r["num_rows"] for r in log if r["version"] == base) == 0)
+
+    def readable(self) -> list[int]:
+        """Versions that can be read, those included that changed nothing and so have no folder."""
+        log, folders = self.log(), self._partition_versions()
+        return [r["version"] for r in log if self._there(log, self._base(log, r["version"]), folders)]
+
     def rows_of_chain(self, since: DataFrame, full: bool) -> DataFrame:
         """The latest rows of each key out of a chain's (``since`` has ``_version``)."""
         if full:
