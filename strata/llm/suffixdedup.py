@@ -29,7 +29,6 @@ beforehand; they take no part in 2-4.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField
 
-from strata.llm.common import enter, fold, kept, trim, window_least, written
+from strata.llm.common import distinct, enter, fold, kept, trim, window_least, written
 from strata.llm.induced import suffix_order
 
 
@@ -164,6 +163,48 @@ def spans_hash(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarra
     return fold((sums[end] - sums[begin]) * back[begin])
 
 
+def words_at(raw: np.ndarray) -> np.ndarray:
+    """The 8 bytes from every place on, without a copy."""
+    return np.ndarray(max(0, len(raw) - 7), dtype="<u8", buffer=raw.data, strides=(1,))
+
+
+def short_hash(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of ``raw[begin:end]``, all of at least 8 bytes and few of them, word by word."""
+    words, size = words_at(raw), end - begin
+    value = size.astype(np.uint64)
+    for at in range(0, int(size.max()) if len(size) else 0, 8):
+        step = np.minimum(at, size - 8)  # the last word ends with the span
+        value = fold(value * np.uint64(_ODD) ^ words[begin + step])
+    return value
+
+
+def same_spans(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which distinct one each of ``raw[begin:end]`` is, an occurrence of each distinct one).
+
+    Spans as of ``short_hash``. Those with equal hashes are compared byte for byte.
+    """
+    if not len(begin):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    words, size = words_at(raw), end - begin
+    value = short_hash(raw, begin, end)
+    order = np.argsort(value, kind="stable")
+    fresh = np.append(True, np.diff(value[order]) != 0)
+    which = np.empty(len(begin), dtype=np.int64)
+    which[order] = np.cumsum(fresh) - 1
+    first = order[fresh]
+    again = order[~fresh]
+    model = first[which[again]]
+    alike = bool((size[again] == size[model]).all())
+    for at in range(0, int(size[again].max()) if len(again) and alike else 0, 8):
+        step = np.minimum(at, size[again] - 8)
+        alike = alike and bool((words[begin[again] + step] == words[begin[model] + step]).all())
+    if not alike:  # a chance meeting of hashes
+        names: dict[bytes, int] = {}
+        which = np.array([names.setdefault(raw[b:e].tobytes(), len(names)) for b, e in zip(begin.tolist(), end.tolist(), strict=True)])
+        first = np.unique(which, return_index=True)[1]
+    return which, first
+
+
 def _six(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
@@ -292,7 +333,7 @@ def string_messages(left: pa.Table, right: pa.Table, buckets: int, p: Params) ->
         take = [i for i, t in enumerate(texts) if known[i] and len(t) >= p.length]
         for first, own in groups_of([texts[i] for i in take]):
             text, begin, end, piece, _, _ = stretches(own, p)
-            on = np.flatnonzero(np.isin(name_of(piece, buckets), hot)) if len(text) else []
+            on = np.flatnonzero(are_in(name_of(piece, buckets), hot)) if len(text) else []
             if len(on):
                 which, at = starts_of(begin[on], end[on])
                 found.append(spans_hash(_buffer(own)[0], at, at + p.length))
@@ -312,9 +353,16 @@ def string_answers(table: pa.Table) -> pa.Table:
 
 
 def names_in(table: pa.Table, column: str) -> np.ndarray:
-    """The names (``name_of``) that the buckets' answers to a part hold in a column."""
+    """The sorted names (``name_of``) that the buckets' answers to a part hold in a column."""
     rows = zip(table.column("shard").to_pylist(), table.column(column).to_pylist(), strict=True)
-    return np.unique(np.concatenate([np.zeros(0, np.uint64), *((_from_six(x) & _LOW) | (np.uint64(b) << _BIT) for b, x in rows if x)]))
+    return distinct(np.concatenate([np.zeros(0, np.uint64), *((_from_six(x) & _LOW) | (np.uint64(b) << _BIT) for b, x in rows if x)]))
+
+
+def are_in(values: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Which values are among the sorted names."""
+    if not len(names):
+        return np.zeros(len(values), dtype=bool)
+    return names[np.minimum(np.searchsorted(names, values), len(names) - 1)] == values
 
 
 def starts_of(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -326,14 +374,17 @@ def starts_of(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 @dataclass
 class Found:
-    """The stretches of a part: their shard and string, and each document's places."""
+    """The stretches of a part, by shard, and each document's places."""
 
+    #: the part's bytes, and shard, begin and end in them of each distinct stretch
+    raw: bytes
     shards: np.ndarray
-    strings: list[bytes]
+    begin: np.ndarray
+    end: np.ndarray
     pieces: np.ndarray
-    #: bytes before the piece in each string
+    #: bytes before the piece in each stretch
     leads: np.ndarray
-    #: index of the string, row and place of each occurrence
+    #: index of the stretch, row and place of each occurrence
     string: np.ndarray
     row: np.ndarray
     place: np.ndarray
@@ -345,7 +396,7 @@ def pack_found(f: Found, copy: np.ndarray) -> bytes:
     order = np.lexsort((f.place, f.row))
     row, place = f.row[order], f.place[order]
     arrays = (
-        np.array([len(f.strings), len(row), len(copies)], dtype="<i8"), f.shards.astype("<i4"), np.array([len(x) for x in f.strings], dtype="<u2"),
+        np.array([len(f.shards), len(row), len(copies)], dtype="<i8"), f.shards.astype("<i4"), (f.end - f.begin).astype("<u2"),
         f.string[order].astype("<i4"), np.diff(row, prepend=0).astype("<i4"), np.diff(place, prepend=0).astype("<i8"), copies.astype("<i4"),
     )
     # bytes of equal rank together: most are zeros
@@ -368,58 +419,48 @@ def unpack_found(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return shards, sizes, string, np.cumsum(take(places, "<i4")), np.cumsum(take(places, "<i8")), take(copies, "<i4")
 
 
-def find(keys: np.ndarray, texts: list[bytes], take: list[int], mail: pa.Table, buckets: int, p: Params) -> Found:
-    """Distinct stretches of the rows ``take`` around shared pieces, in the order of (shard, string).
+def find(texts: list[bytes], take: list[int], mail: pa.Table, buckets: int, p: Params) -> Found:
+    """Distinct stretches of the rows ``take`` around shared pieces, by shard.
 
     Around a hot piece these are its shared strings, each alone.
     """
     shared, hot, strings_shared = (names_in(mail, c) for c in ("shared", "hot", "strings"))
-    names: dict[bytes, int] = {}
-    shard_of: list[int] = []
-    piece_of: list[int] = []
-    lead_of: list[int] = []
-    which, rows, places = [], [], []
-    for first, own in groups_of([texts[i] for i in take]):
+    own_texts = [texts[i] for i in take]
+    raw, tail, before = b"".join(own_texts), p.length - 1, 0
+    none = np.zeros(0, np.int64)
+    # begin, end, shard, piece, bytes before it, row, place
+    got: list[tuple[np.ndarray, ...]] = [(none,) * 7]
+    for first, own in groups_of(own_texts):
         text, begin, end, piece, zero, lead = stretches(own, p)
+        offset, before = before, before + sum(map(len, own))
         if not len(text):
             continue
         names_of = name_of(piece, buckets)
-        on = np.flatnonzero(np.isin(names_of, shared))
+        on = np.flatnonzero(are_in(names_of, shared))
         shard = bucket_of(piece[on], buckets)
-        alone = np.flatnonzero(np.isin(names_of, hot)) if len(strings_shared) else []
+        alone = np.flatnonzero(are_in(names_of, hot)) if len(strings_shared) else []
         if len(alone):
             of, at = starts_of(begin[alone], end[alone])
             own_hash = spans_hash(_buffer(own)[0], at, at + p.length)
-            few = np.isin(name_of(own_hash, buckets), strings_shared)
+            few = are_in(name_of(own_hash, buckets), strings_shared)
             of, at, shard = alone[of[few]], at[few], np.append(shard, bucket_of(own_hash[few], buckets))
             lead, begin, end = np.append(lead[on], lead[of] + begin[of] - at), np.append(begin[on], at), np.append(end[on], at + 1)
             on = np.append(on, of)
         else:
             lead, begin, end = lead[on], begin[on], end[on]
-        if not len(on):
-            continue
-        text, piece, zero = text[on], piece[on], zero[on]
-        raw, tail = b"".join(own), p.length - 1
-        for b, e, s, q, a in zip(begin.tolist(), end.tolist(), shard.tolist(), (piece & np.uint64(0xFFFFFFFF)).tolist(), lead.tolist(), strict=True):
-            string = raw[b : e + tail]
-            i = names.setdefault(string, len(names))
-            if i == len(shard_of):
-                shard_of.append(s)
-                piece_of.append(q)
-                lead_of.append(a)
-            which.append(i)
-        rows.append(np.array(take[first : first + len(own)])[text])
-        places.append(begin - zero)
-    strings = list(names)
-    order = [i for _, _, i in sorted(zip(shard_of, strings, range(len(strings)), strict=True))]
+        if len(on):
+            low = (piece[on] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            got.append((begin + offset, end + offset + tail, shard, low, lead, np.array(take[first : first + len(own)])[text[on]], begin - zero[on]))
+    begin, end, shard, low, lead, row, place = (np.concatenate(x) for x in zip(*got, strict=True))
+    data = np.frombuffer(raw, dtype=np.uint8)
+    which, firsts = same_spans(data, begin, end)
+    # alike ones of a shard together, which compresses well
+    head = np.ndarray(len(data) - 7, dtype=">u8", buffer=raw, strides=(1,))[begin[firsts]] if len(firsts) else none
+    order = np.lexsort((head, shard[firsts]))
     new = np.empty(len(order), dtype=np.int64)
     new[order] = np.arange(len(order))
-    none = np.zeros(0, np.int64)
-    return Found(
-        np.array([shard_of[i] for i in order], dtype=np.int64), [strings[i] for i in order], np.array([piece_of[i] for i in order], dtype=np.uint32),
-        np.array([lead_of[i] for i in order], dtype=np.uint8),
-        new[np.array(which, dtype=np.int64)] if which else none, np.concatenate(rows) if rows else none, np.concatenate(places) if places else none,
-    )
+    i = firsts[order]
+    return Found(raw, shard[i], begin[i], end[i], low[i].astype(np.uint32), lead[i].astype(np.uint8), new[which], row, place)
 
 
 def part_stretches(left: pa.Table, right: pa.Table, buckets: int, p: Params) -> tuple[np.ndarray, list[bytes], np.ndarray, Found]:
@@ -428,7 +469,7 @@ def part_stretches(left: pa.Table, right: pa.Table, buckets: int, p: Params) ->
     marks = {(k, m) for k, m in zip(right.column("key").to_pylist(), right.column("mark").to_pylist(), strict=True) if k is not None}
     copy = np.array([bool(marks) and k and (int(key), hashlib.md5(t).hexdigest()) in marks for key, t, k in zip(keys, texts, known, strict=True)], dtype=bool)
     take = [i for i, t in enumerate(texts) if known[i] and not copy[i] and len(t) >= p.length]
-    return keys, texts, copy, find(keys, texts, take, right, buckets, p)
+    return keys, texts, copy, find(texts, take, right, buckets, p)
 
 
 def stretch_messages(left: pa.Table, right: pa.Table, buckets: int, p: Params) -> pa.Table:
@@ -438,14 +479,14 @@ def stretch_messages(left: pa.Table, right: pa.Table, buckets: int, p: Params) -
 
 
 def messages_of(left: pa.Table, keys: np.ndarray, f: Found) -> pa.Table:
-    owner = np.full(len(f.strings), np.iinfo(np.int64).max)
+    owner = np.full(len(f.shards), np.iinfo(np.int64).max)
     np.minimum.at(owner, f.string, keys[f.row] if len(f.row) else f.row)
     edges = np.append(np.flatnonzero(np.diff(f.shards, prepend=-1)), len(f.shards))
     part = left.column("part")[0].as_py() if left.num_rows else 0
     spans = [(int(a), int(b)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
     return pa.table({
         "shard": pa.array(f.shards[edges[:-1]].astype(np.int32)), "part": pa.array([part] * len(spans), pa.int32()),
-        "stretches": pa.array([pack(b"\xff".join(f.strings[a:b])) for a, b in spans], pa.binary()),
+        "stretches": pa.array([pack(b"\xff".join(f.raw[x:y] for x, y in zip(f.begin[a:b].tolist(), f.end[a:b].tolist(), strict=True))) for a, b in spans], pa.binary()),
         "pieces": pa.array([f.pieces[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary()),
         "leads": pa.array([f.leads[a:b].tobytes() for a, b in spans], pa.binary()),
         "owners": pa.array([pack(owner[a:b].astype("<i8").tobytes()) for a, b in spans], pa.binary()),
@@ -464,27 +505,26 @@ def sent_messages(left: pa.Table, right: pa.Table, buckets: int, p: Params) -> p
     return pa.concat_tables([table, pa.table(row)])
 
 
-def ambiguous(strings: list[bytes], lead: list[int], among: list[int], p: Params) -> list[int]:
-    """Those of ``among`` that may have a string in common with another one.
+def ambiguous(raw: np.ndarray, begin: np.ndarray, end: np.ndarray, lead: np.ndarray, among: np.ndarray, p: Params) -> np.ndarray:
+    """Those of the stretches ``among`` that may have a string in common with another one.
 
     A common string has its piece and ``length - piece`` more bytes, some before the piece
     and some after. Whatever the split, it holds one of four surroundings of the piece,
-    of which each has nearly the string's length.
+    of which each has nearly the string's length. Surroundings are known by a hash: a
+    chance meeting only costs work.
     """
     extra = p.length - p.piece
     cuts = [round(extra * k / 4) for k in range(5)]
-    spans = [(lo, extra - hi) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
-    keys: list[tuple[int, tuple[int, bytes]]] = []
-    count: Counter = Counter()
-    for i in among:
-        s, a = strings[i], lead[i]
-        after = len(s) - a - p.piece
-        for k, (left, right) in enumerate(spans):
-            if a >= left and after >= right:
-                key = (k, s[a - left : a + p.piece + right])
-                keys.append((i, key))
-                count[key] += 1
-    return sorted({i for i, key in keys if count[key] > 1})
+    lead, begin, end = lead[among].astype(np.int64), begin[among], end[among]
+    after = end - begin - lead - p.piece
+    several = np.zeros(len(among), dtype=bool)
+    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+        left, right = low, extra - high
+        on = np.flatnonzero((lead >= left) & (after >= right))
+        middle = begin[on] + lead[on]
+        _, group, counts = np.unique(short_hash(raw, middle - left, middle + p.piece + right), return_inverse=True, return_counts=True)
+        several[on[counts[group] > 1]] = True
+    return among[several]
 
 
 def shard_answers(table: pa.Table, p: Params) -> pa.Table:
@@ -499,29 +539,39 @@ def shard_answers(table: pa.Table, p: Params) -> pa.Table:
     none = [None] * back.num_rows
     if not table.num_rows:
         return pa.table({"part": back.column("part"), "shard": pa.array(none, pa.int32()), "answer": pa.array(none, pa.binary()), "found": back.column("found")})
-    sent = [unpack(x).split(b"\xff") for x in table.column("stretches").to_pylist()]
-    ids = [np.frombuffer(unpack(x), dtype="<i8").astype(np.int64) for x in table.column("owners").to_pylist()]
-    names: dict[bytes, int] = {}
-    which = [np.array([names.setdefault(s, len(names)) for s in own]) for own in sent]
-    owner = np.full(len(names), np.iinfo(np.int64).max)
-    piece = np.zeros(len(names), dtype=np.uint32)
-    lead = np.zeros(len(names), dtype=np.uint8)
-    for w, d, q, a in zip(which, ids, table.column("pieces").to_pylist(), table.column("leads").to_pylist(), strict=True):
-        np.minimum.at(owner, w, d)
-        piece[w] = np.frombuffer(q, dtype="<u4")
-        lead[w] = np.frombuffer(a, dtype=np.uint8)
+    # all messages one after another; a byte 255 ends each stretch
+    raw = np.frombuffer(b"".join(unpack(x) + b"\xff" for x in table.column("stretches").to_pylist()), dtype=np.uint8)
+    end = np.flatnonzero(raw == 255)
+    begin = np.append(0, end[:-1] + 1)
+    ids = [np.frombuffer(unpack(x), dtype="<i8") for x in table.column("owners").to_pylist()]
+    which, first = same_spans(raw, begin, end)
+    owner = np.full(len(first), np.iinfo(np.int64).max)
+    np.minimum.at(owner, which, np.concatenate(ids))
+    piece = np.frombuffer(b"".join(table.column("pieces").to_pylist()), dtype="<u4")[first]
+    lead = np.frombuffer(b"".join(table.column("leads").to_pylist()), dtype=np.uint8)[first]
+    begin, end = begin[first], end[first]
     _, group, sizes = np.unique(piece, return_inverse=True, return_counts=True)
-    strings = list(names)
-    several = np.array(ambiguous(strings, lead.tolist(), np.flatnonzero(sizes[group] > 1).tolist(), p), dtype=np.int64)
-    runs: list = [(1, b"\0", x) for x in map(bytes, owner.astype("<i8").view(np.uint8).reshape(-1, 8))]
-    for i, x in zip(several.tolist(), smallest_owners([strings[i] for i in several], owner[several], p) if len(several) else (), strict=True):
-        f = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
-        runs[i] = (len(f), f.astype(np.uint8).tobytes(), x[f].astype("<i8").tobytes())
+    several = ambiguous(raw, begin, end, lead, np.flatnonzero(sizes[group] > 1), p)
+    # runs of a stretch: first string and smallest owner of each; most have a single one
+    count = np.ones(len(first), dtype=np.int64)
+    starts, owners = [], []
+    if len(several):
+        for i, x in zip(several.tolist(), smallest_owners([raw[b:e].tobytes() for b, e in zip(begin[several].tolist(), end[several].tolist(), strict=True)], owner[several], p), strict=True):
+            f = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
+            count[i] = len(f)
+            starts.append(f)
+            owners.append(x[f])
+    zero = np.cumsum(count) - count
+    run_first, run_owner = np.zeros(int(count.sum()), dtype=np.uint8), np.empty(int(count.sum()), dtype="<i8")
+    run_owner[zero] = owner
+    if len(several):
+        at = np.repeat(zero[several], count[several]) + starts_of(np.zeros(len(several), np.int64), count[several])[1]
+        run_first[at] = np.concatenate(starts)
+        run_owner[at] = np.concatenate(owners)
     out = []
-    for w in which:
-        own = [runs[i] for i in w]
-        sizes = np.array([r[0] for r in own], dtype=np.uint8).tobytes()
-        out.append(pack(sizes + b"".join(r[1] for r in own) + b"".join(r[2] for r in own)))
+    for w in np.split(which, np.cumsum([len(x) for x in ids])[:-1]):
+        at = starts_of(zero[w], zero[w] + count[w])[1]
+        out.append(pack(count[w].astype(np.uint8).tobytes() + run_first[at].tobytes() + run_owner[at].tobytes()))
     return pa.table({
         "part": pa.array(table.column("part").to_pylist() + back.column("part").to_pylist(), pa.int32()), "shard": pa.array([shard] * len(out) + none, pa.int32()),
         "answer": pa.array([*out, *none], pa.binary()), "found": pa.array([None] * len(out) + back.column("found").to_pylist(), pa.binary()),
@@ -556,11 +606,11 @@ def removed(left: pa.Table, right: pa.Table, p: Params) -> tuple[list[bytes], li
     run = np.arange(len(of)) + np.repeat(start[string] - (np.cumsum(size[string]) - size[string]), size[string])
     goes = np.flatnonzero(owner[run] < keys[row[of]])
     of, run = of[goes], run[goes]
-    for i, lo, hi in zip(row[of].tolist(), (place[of] + first[run]).tolist(), (place[of] + end[run] - 1 + p.length).tolist(), strict=True):
+    for i, lo, hi in zip(*(x.tolist() for x in merged(row[of], place[of] + first[run], place[of] + end[run] - 1 + p.length)), strict=True):
         gone[i].append((lo, hi))
     for i in copies.tolist():
         gone[i] = [(0, len(texts[i]))]
-    return texts, [merged(r) for r in gone]
+    return texts, gone
 
 
 def smallest_owners(strings: list[bytes], owners: np.ndarray, p: Params) -> list[np.ndarray]:
@@ -587,15 +637,18 @@ def smallest_owners(strings: list[bytes], owners: np.ndarray, p: Params) -> list
     return [at[b : b + n - p.length + 1] for b, n in zip(begins, sizes, strict=True)]
 
 
-def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Disjoint runs in order; runs that touch are one."""
-    out: list[list[int]] = []
-    for begin, end in sorted(runs):
-        if out and begin <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], end)
-        else:
-            out.append([begin, end])
-    return [tuple(x) for x in out]
+def merged(row: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, begin, end) of the disjoint runs of each row in order; runs that touch are one."""
+    order = np.lexsort((begin, row))
+    row, begin, end = row[order], begin[order], end[order]
+    if not len(row):
+        return row, begin, end
+    # each row's runs lie after those of the row before
+    shift = row * (int(end.max()) + 2)
+    reach = np.maximum.accumulate(end + shift)
+    fresh = np.flatnonzero(np.append(True, (begin + shift)[1:] > reach[:-1]))
+    last = np.append(fresh[1:], len(row)) - 1
+    return row[fresh], begin[fresh], (reach - shift)[last]
 
 
 def cleaned(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:

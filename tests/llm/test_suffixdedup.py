@@ -139,3 +139,27 @@ def test_kept_as_text_equals_the_kept_bytes(spark):
     docs = cases.documents(spark)
     own = suffixdedup.whole_characters(suffixdedup.cleaned(docs), "kept", "kept").collect()
     assert sorted(map(str, own)) == sorted(str(r) for r in suffixdedup.cleaned(docs, as_text=True).collect())
+
+
+@pytest.mark.parametrize("alike", [False, True])
+def test_equal_spans(monkeypatch, alike):
+    """Also if hashes of different spans meet."""
+    if alike:
+        monkeypatch.setattr(suffixdedup, "short_hash", lambda raw, begin, end: (end - begin).astype(np.uint64) // np.uint64(3))
+    r = random.Random(4)
+    raw = bytes(r.choice(b"ab") for _ in range(900))
+    begin = np.array([r.randint(0, 40) * 20 for _ in range(700)])
+    end = begin + np.array([r.randint(8, 30) for _ in begin])
+    which, first = suffixdedup.same_spans(np.frombuffer(raw, np.uint8), begin, end)
+    spans = [raw[b:e] for b, e in zip(begin, end, strict=True)]
+    assert sorted(spans[i] for i in first) == sorted(set(spans))
+    assert all(spans[first[w]] == x for w, x in zip(which, spans, strict=True))
+
+
+def test_runs_that_touch_are_one():
+    r = random.Random(6)
+    runs = [(r.randint(0, 4), b := r.randint(0, 300), b + r.randint(1, 20)) for _ in range(60)]
+    row, begin, end = (x.tolist() for x in suffixdedup.merged(*(np.array(x) for x in zip(*runs, strict=True))))
+    marked = {(i, k) for i, b, e in runs for k in range(b, e)}
+    assert {(i, k) for i, b, e in zip(row, begin, end, strict=True) for k in range(b, e)} == marked
+    assert all((i, e) not in marked for i, e in zip(row, end, strict=True)) and len(row) == sum((i, k - 1) not in marked for i, k in marked)
