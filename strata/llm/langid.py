@@ -226,15 +226,17 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     shared = docs.sparkSession.sparkContext.broadcast(model)
     answer = ("lang_pred", "score")
     kept = [f for f in docs.schema.fields if f.name not in answer] if carry else [docs.schema[id_col]]
+    # a text that comes along is sent once
+    along = [f.name for f in kept].index(text_col) if text_col in [f.name for f in kept] else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enter("langid")
         for batch in batches:
-            text, lettered = batch.column(0).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            names, score = shared.value.predict(text, lettered)
-            yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(names, pa.string()), pa.array(score)], names=[*(f.name for f in kept), *answer])
+            own, lettered = batch.columns[1 : 1 + len(kept)], batch.column(0).to_numpy(zero_copy_only=False).astype(bool)
+            names, score = shared.value.predict((batch.columns[-1] if along is None else own[along]).to_pylist(), lettered)
+            yield pa.RecordBatch.from_arrays([*own, pa.array(names, pa.string()), pa.array(score)], names=[*(f.name for f in kept), *answer])
         trim()
 
     lettered = F.coalesce(docs[text_col].rlike(r"\p{L}"), F.lit(False)).alias("lettered")
-    source = docs.select(docs[text_col].alias("judged"), lettered, *[docs[f.name].alias(f"c{i}") for i, f in enumerate(kept)])
+    source = docs.select(lettered, *[docs[f.name].alias(f"c{i}") for i, f in enumerate(kept)], *([docs[text_col].alias("judged")] if along is None else []))
     return source.mapInArrow(run, StructType([*kept, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))

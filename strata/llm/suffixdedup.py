@@ -219,9 +219,12 @@ def _to_text(value: str | None) -> bytes:
     return value.encode("utf-8", "surrogatepass") if value else b""
 
 
-def lean(table: pa.Table) -> pa.Table:
+def lean(table: pa.Table, size: int = 1_000_000) -> pa.Table:
+    """The table in batches of about ``size`` bytes, which the JVM reads one by one."""
     trim()
-    return table
+    if table.nbytes <= size:
+        return table
+    return pa.Table.from_batches(table.combine_chunks().to_batches(max_chunksize=max(1, size * table.num_rows // table.nbytes)), table.schema)
 
 
 def dealt(docs: DataFrame, parts: int, carried: list[StructField]) -> DataFrame:
@@ -679,7 +682,7 @@ def cleaned(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_
         return df.select(*[F.col(c) if c in df.columns else v.alias(c) for c, v in empty.items()])
 
     pieces = texts.groupBy("part").applyInArrow(lambda t: lean(piece_messages(t, buckets, p)), "bucket int, part int, pieces binary")
-    told = pieces.groupBy("bucket").applyInArrow(lambda t: piece_answers(t, p), "part int, shard int, shared binary, hot binary")
+    told = pieces.groupBy("bucket").applyInArrow(lambda t: lean(piece_answers(t, p)), "part int, shard int, shared binary, hot binary")
     asked = texts.groupBy("part").cogroup(told.where("hot IS NOT NULL").groupBy("part")).applyInArrow(
         lambda a, b: lean(string_messages(a, b, buckets, p)), "bucket int, part int, pieces binary"
     )
