@@ -237,3 +237,15 @@ def test_recall_against_brute_force():
         pairs += 1
         meet += bool((x[0, :, : 2 + 2 * p.prefix] == x[1, :, : 2 + 2 * p.prefix]).all(axis=1).any())
     assert pairs == 150 and meet >= 0.99 * pairs
+
+
+def test_components_of_chains_stars_and_random_graphs(spark):
+    r = random.Random(12)
+    edges = [(i, i + 1) for i in range(60)] + [(1000, i) for i in range(900, 960)] + [(2000 + r.randint(0, 80), 2000 + r.randint(0, 80)) for _ in range(70)]
+    label = {x: x for e in edges if e[0] != e[1] for x in e}
+    for _ in label:
+        for a, b in edges:
+            if a != b:
+                label[a] = label[b] = min(label[a], label[b])
+    got = {r["node"]: r["label"] for r in graph.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == label
