@@ -243,6 +243,20 @@ def dealt(docs: DataFrame, parts: int, carried: list[StructField]) -> DataFrame:
     return docs.select(part, "key", "text", *rest).mapInArrow(run, shape)
 
 
+def in_order(table: pa.Table) -> pa.Table:
+    """A part's rows in one order, whatever order the shuffle brought them in.
+
+    Blocks of several executors arrive as they come, and not alike in two steps: places
+    that one step found by row hold for another one in this order only. Rows alike in
+    both columns are interchangeable. Ids ascend, so the first row of a text has its
+    smallest.
+    """
+    keys, texts = table.column("key").to_pylist(), table.column("text").to_pylist()
+    order = sorted(range(len(keys)), key=lambda i: (keys[i] is None, keys[i] or 0, texts[i]))
+    # a plain kernel: Arrow's ``sort_by`` would start a pool of threads in every worker
+    return table.combine_chunks().take(pa.array(order, pa.int64()))
+
+
 def texts_of(table: pa.Table) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     """(ids, texts, has an id) of a part's rows."""
     enter("suffixdedup")
@@ -253,7 +267,7 @@ def texts_of(table: pa.Table) -> tuple[np.ndarray, list[bytes], np.ndarray]:
 
 def piece_messages(table: pa.Table, buckets: int, p: Params) -> pa.Table:
     """What a part sends to the buckets: its distinct pieces, with a bit for those of several documents."""
-    keys, texts, known = texts_of(table)
+    keys, texts, known = texts_of(table := in_order(table))
     seen: set[bytes] = set()
     take = []
     for i, t in enumerate(texts):
@@ -498,6 +512,7 @@ def messages_of(left: pa.Table, keys: np.ndarray, f: Found) -> pa.Table:
 
 def sent_messages(left: pa.Table, right: pa.Table, buckets: int, p: Params) -> pa.Table:
     """``stretch_messages``, and a row for one of the shards with what the part will want back."""
+    left = in_order(left)
     keys, _, copy, f = part_stretches(left, right, buckets, p)
     table = messages_of(left, keys, f).append_column("found", pa.nulls(len(set(f.shards.tolist())), pa.binary()))
     if not left.num_rows:
@@ -582,7 +597,7 @@ def shard_answers(table: pa.Table, p: Params) -> pa.Table:
 
 
 def removed(left: pa.Table, right: pa.Table, p: Params) -> tuple[list[bytes], list[list[tuple[int, int]]]]:
-    """A part's texts, and the runs of bytes that go from each."""
+    """The texts of a part whose rows are ``in_order``, and the runs of bytes that go from each."""
     keys, texts, _ = texts_of(left)
     gone: list[list[tuple[int, int]]] = [[] for _ in texts]
     found = [x for x in right.column("found").to_pylist() if x is not None]
@@ -694,6 +709,7 @@ def cleaned(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id", text_
     answers = sent.groupBy("shard").applyInArrow(lambda t: lean(shard_answers(t, p)), "part int, shard int, answer binary, found binary")
 
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = in_order(left)
         own, runs = removed(left, right, p)
         kept = []
         for t, r in zip(own, runs, strict=True):

@@ -163,3 +163,45 @@ def test_runs_that_touch_are_one():
     marked = {(i, k) for i, b, e in runs for k in range(b, e)}
     assert {(i, k) for i, b, e in zip(row, begin, end, strict=True) for k in range(b, e)} == marked
     assert all((i, e) not in marked for i, e in zip(row, end, strict=True)) and len(row) == sum((i, k - 1) not in marked for i, k in marked)
+
+
+def test_a_part_whose_rows_come_in_another_order_at_each_step():
+    """Blocks of several executors arrive as they come: no step may count on the order of another one."""
+    r, p, buckets = random.Random(8), suffixdedup.Params(), 4
+    passage = cases.prose(5, 20)
+    rows = [(i % 45 if i < 60 else None, cases.prose(300 + i, 5 + i % 7) + (passage if i % 3 else "")) for i in range(64)]
+    rows += [(90, rows[4][1]), (2, rows[4][1]), (70, None), (71, "")]
+    texts = [(k, suffixdedup._to_text(t)) for k, t in rows]
+
+    def part():
+        mixed = r.sample(texts, len(texts))
+        return pa.table({
+            "part": pa.array([0] * len(mixed), pa.int32()), "key": pa.array([k for k, _ in mixed], pa.int64()),
+            "text": pa.array([suffixdedup.pack(t) for _, t in mixed], pa.binary())})
+
+    def by(table, column):
+        return [table.filter(pc.equal(table.column(column), v)) for v in sorted(set(table.column(column).to_pylist()))]
+
+    told = pa.concat_tables([suffixdedup.piece_answers(t, p) for t in by(suffixdedup.piece_messages(part(), buckets, p), "bucket")])
+    n = told.num_rows
+    mail = told.append_column("strings", pa.nulls(n, pa.binary())).append_column("key", pa.nulls(n, pa.int64())).append_column("mark", pa.nulls(n, pa.string()))
+    mark = pa.table({"key": pa.array([k for k, t in texts if t == texts[4][1] and k > 2], pa.int64())})
+    mark = mark.append_column("mark", pa.array([hashlib.md5(texts[4][1]).hexdigest()] * mark.num_rows))
+    mail = pa.concat_tables([mail, mark], promote_options="default")
+    sent = suffixdedup.sent_messages(part(), mail, buckets, p)
+    answers = pa.concat_tables([suffixdedup.shard_answers(t, p) for t in by(sent, "shard")])
+    left = part()
+    left = getattr(suffixdedup, "in_order", lambda t: t)(left)
+    own, runs = suffixdedup.removed(left, answers, p)
+    out = []
+    for key, t, spans in zip(left.column("key").to_pylist(), own, runs, strict=True):
+        kept = bytes(x for i, x in enumerate(t) if not any(a <= i < b for a, b in spans))
+        out.append((key is None, key or 0, len(t), len(t) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()))
+    assert sorted(out) == brute(rows)
+
+
+def test_a_text_under_two_ids_of_which_one_is_another_rows_too(spark):
+    text = cases.prose(41, 30)
+    rows = [(4, text), (3, text), (4, text + " and more")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    assert got(suffixdedup.cleaned(docs)) == brute(rows)
