@@ -4,6 +4,7 @@ import __spark_entry__ as entry
 import pytest
 
 from strata.config import Config
+from strata.operators import layout
 from strata.plans import medallion
 from strata.plans.medallion import GOLD_PARTS, MedallionRun, with_parts
 
@@ -73,3 +74,17 @@ def test_extracts_are_landed_compressed_and_in_files_of_bounded_rows(spark, monk
     assert run.raw("customers").count() == spark.read.parquet(f"{SF_SMALL}/customer.parquet").count()
     files = bronze.read_raw_csv(spark, f"{run.wh.root}/raw_data/customers.csv").inputFiles()
     assert len(files) > 1 and all(f.endswith(".csv.gz") for f in files)
+
+
+def test_sorted_files_grow_in_number_and_not_in_size(spark):
+    """A file is sorted by one task: its rows, and the task's memory, follow the target and not the table."""
+    target = 320_000
+    run = MedallionRun(spark, "/root/testdata/sf0.01", Config(target_file_bytes=target))
+    asked = layout.tasks_for(run.fact(), target // 8)
+    assert asked > 8
+    zordered = len(run.zordered_fact().inputFiles())
+    assert asked // 2 < zordered <= asked
+    table = run.clustered_sales()
+    first = table._files([0])
+    assert first.count() > asked // 2
+    assert first.agg({"num_rows": "max"}).first()[0] < 2 * run.fact().count() / asked
