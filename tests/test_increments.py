@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 from collections import Counter
 
 import pyarrow as pa
@@ -86,6 +87,49 @@ def test_a_refresh_reads_changed_orders_only(medallion, spark):
     assert sorted(map(str, with_order.collect())) == sorted(map(str, want.collect()))
 
 
+def test_two_versions_are_read_at_once(wh, spark):
+    """Lines that stay, change, are new, repeat or have no key; on one chain, across two and with full versions only."""
+    def rows(*r):
+        return spark.createDataFrame(r, "order_item_id bigint, v string")
+
+    st = SnapshotTable(wh, "silver", "two_sides", bucket_by=(3, "order_item_id"))
+    st.commit(rows((1, "a"), (2, "b"), (2, "b"), (3, "c"), (None, "n")), "2001-01-01 00:00:00")
+    for k, changed in enumerate((rows((2, "B"), (4, "d"), (None, "m")), rows((1, "A"), (4, "D"), (5, "e"), (5, "e"), (None, "n")))):
+        st.commit_changes(changed, f"2001-01-{k + 2:02d} 00:00:00", F.lit(True))
+    st.compact("2001-01-09 00:00:00")
+    plain = SnapshotTable(wh, "silver", "two_sides_plain")
+    for k in range(2):
+        plain.commit(rows((1, f"a{k}"), (2, "b")), f"2001-01-{k + 1:02d} 00:00:00")
+    for table, old, new in ((st, 0, 1), (st, 1, 2), (st, 0, 2), (st, 2, 3), (st, 1, 1), (plain, 0, 1)):
+        both = table.of_two_versions(old, new)
+        for side, v in ((2, old), (1, new)):
+            got = both.filter(F.col("_side") != side).drop("_side")
+            assert sorted(map(str, got.collect())) == sorted(map(str, table.as_of_version(v).select(got.columns).collect())), (old, new)
+
+
+def test_lines_of_both_versions_move_by_order_once(medallion, spark):
+    """Not broadcast, the changed orders' lines are one shuffle for the contributions before and after."""
+    st = medallion.state_revenue()
+    orders, items = (medallion.silver_versions(e, "_mart") for e in ("orders", "order_items"))
+    ids = medallion.wh.table("gold", "state_revenue_changed_orders")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = st.delta(ids, orders, items)
+        text = plan_text(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    scans = re.findall(r"^\(\d+\) Scan parquet \S*order_items_versions_mart", text, flags=re.M)
+    assert len(scans) == 2  # the keyed lines, and those without a key
+    moved = re.findall(r"^\(\d+\) Exchange.*\nInput \[\d+\]: \[(.*)\]\nArguments: hashpartitioning\(order_id", text, flags=re.M)
+    assert len([x for x in moved if "price" in x]) == 2  # those of each scan, once
+    assert not [x for x in moved if "sum" in x or "revenue" in x]  # and not again as sums
+    after = increments.by_customer(increments.order_contributions(orders.current(), items.current())).agg(F.sum("orders")).first()[0]
+    o, i = orders.log()[-2]["version"], items.log()[-2]["version"]
+    before = increments.by_customer(increments.order_contributions(orders.as_of_version(o), items.as_of_version(i))).agg(F.sum("orders")).first()[0]
+    assert df.agg(F.sum("orders")).first()[0] == after - before
+
+
 def test_state_mart_after_two_increments_equals_a_rebuild(medallion):
     mart = medallion.state_revenue().mart()
     o, i, c = (medallion.silver_versions(e, "_mart").current() for e in ("orders", "order_items", "customers"))
