@@ -140,7 +140,9 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, buckets: int, row_id:
     """Join on (key, salt): a hot key's fact rows spread over ``buckets`` tasks.
 
     Without ``hot`` every dim row is replicated ``buckets`` times (the classic
-    form). With ``hot`` (from :func:`hot_keys`, bounded) only those keys are salted and
+    form). The planner's size of the replicas is that of the dim once, so it would
+    broadcast many times what its threshold allows, through the driver: the hint keeps
+    this form a shuffle join at any size. With ``hot`` (from :func:`hot_keys`, bounded) only those keys are salted and
     replicated; the rest keep salt 0, so the dim grows by |hot| * (buckets - 1).
     Flagging hot fact rows must not itself shuffle the fact by key (that would
     put the hot key in one task again), so the hot set is broadcast.
@@ -148,7 +150,7 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, buckets: int, row_id:
     """
     if hot is None:
         f = fact.withColumn("_salt", salt_of(row_id, buckets))
-        d = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+        d = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))).hint("merge")
     else:
         flag = F.broadcast(hot.select(key).withColumn("_hot", F.lit(True)))
         f = (fact.join(flag, key, "left")

@@ -42,6 +42,20 @@ def test_broadcast_only_behind_the_bound(medallion):
     assert "strategy=broadcast" in hinted.split("== Optimized Logical Plan ==")[0]
 
 
+def test_salted_replicas_are_not_broadcast(spark, wh):
+    """Whatever the planner takes the dimension's size for: its replicas go through a shuffle."""
+    f = spark.createDataFrame([(i, None if i % 7 == 0 else i % 5) for i in range(60)], "sales_id bigint, customer_id bigint")
+    d = spark.createDataFrame([(0, "a"), (1, "b"), (1, "c"), (3, None), (None, "n"), (9, "z")], "customer_id bigint, customer_name string")
+    f, d = wh.save(f, "gold", "few_sales"), wh.save(d, "gold", "few_customers")   # files, so the planner knows their size
+    salted = joins.salted_join(f, d, "customer_id", 4, "sales_id")
+    assert "BroadcastHashJoin" in plan_text(f.join(d, "customer_id"))   # small enough to be broadcast once
+    assert "Broadcast" not in plan_text(salted)
+    assert _same(salted, f.join(d, "customer_id")) and salted.count() > 0
+    rows = salted.select("sales_id", "customer_id", "customer_name")
+    rows.collect()
+    assert "Broadcast" not in plan_text(rows)    # nor when the shuffles' sizes are known
+
+
 def test_byte_size_counts_text(spark):
     df = spark.createDataFrame([(1, "x" * 1000), (2, None)], "a bigint, b string")
     assert joins.byte_size(df) == 1000 + 2 * 2 * 16
