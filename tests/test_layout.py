@@ -1,7 +1,10 @@
 import re
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
+import __spark_entry__ as se
+from strata.config import Config
 from strata.operators import layout
 from strata.plans.inspect import plan_text
 
@@ -48,6 +51,17 @@ def test_repartition_and_coalesce_keep_rows(medallion):
     assert got["repartition_10_by_customer_id"][1] == n
 
 
+def test_layout_counts_are_the_same_at_every_size(spark, wh, monkeypatch):
+    """A fact worth many files of the target size gets the layouts that the result names."""
+    fact = wh.save(spark.range(3000).selectExpr("id AS sales_id", "id % 700 AS customer_id"), "gold", "layout_sales")
+    config = Config(target_file_bytes=256)
+    assert layout.tasks_for(fact, config.target_file_bytes) > 20
+    monkeypatch.setattr(se, "_p", lambda *_: SimpleNamespace(fact=lambda: fact, config=config))
+    got = {r["layout"]: (r["partitions"], r["rows"]) for r in se.q_layout_partition_counts(spark, "").collect()}
+    assert got == {"repartition_20": (20, 3000), "repartition_10_by_customer_id": (10, 3000),
+                   "coalesce_4_from_20": (4, 3000), "coalesce_40_from_20": (20, 3000)}
+
+
 def test_persisted_reads_cache(medallion):
     f = medallion.fact()
     with layout.persisted(f.groupBy("customer_id").count()) as df:
